@@ -277,6 +277,15 @@ class WordBpe:
         get = self.cache.__getitem__
         return [b"".join([self.special[x].to_bytes(4, "little") if k % 2 else b"".join(map(get, x)) for k, x in enumerate(parts)]) for parts in cut]
 
+    def sizes(self, pieces: list[str]) -> list[int]:
+        """How many ids each pre-token has."""
+        out = []
+        for start in range(0, len(pieces), CACHE // 2):
+            some = pieces[start : start + CACHE // 2]
+            self.learn(set(some))
+            out.extend(len(self.cache[p]) // 4 for p in some)
+        return out
+
     def encode(self, text: str) -> bytes:
         return self.encode_all([text])[0]
 

@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -71,7 +72,7 @@ class Scratch:
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut batches so that the texts of a slice hold about ``most`` bytes, or one row."""
     for batch in batches:
-        ends = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_pylist()
+        ends = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
         start = held = 0
         for i, n in enumerate(ends):
             if i > start and held + n > most:
