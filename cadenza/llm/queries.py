@@ -6,9 +6,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cadenza.llm import langid, toxicity
 from cadenza.llm.bpe import bpe_round_trip
+from cadenza.llm.common import crc32_mod
 from cadenza.llm.decontaminate import find_items
 from cadenza.llm.licenses import license_scan
+from cadenza.llm.near_dup import near_duplicates
 from cadenza.llm.repetition import repetition_quality
 from cadenza.llm.token_counts import token_counts
 from cadenza.llm.urls import url_filter
@@ -29,12 +32,25 @@ def op1_repetition_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition_quality(_texts(spark, sf_dir)).select("doc_id", "repetition.*")
 
 
+def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_texts(spark, sf_dir)).select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op3_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = bpe_round_trip(_texts(spark, sf_dir), public_tokenizers.path(TOKENIZER))
     n_tokens = (F.octet_length("bpe.ids") / 4).cast("long").alias("n_tokens")
     return coded.select("doc_id", n_tokens, F.sha2("bpe.ids", 256).alias("ids_sha256"), F.sha2(F.encode("bpe.decoded", "UTF-8"), 256).alias("decoded_sha256"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _texts(spark, sf_dir)
+    held_out = crc32_mod(F.col("doc_id"), 3) == 1
+    labels = _table(spark, sf_dir, "labels", "doc_id", "toxic").where(~held_out & F.col("toxic").isNotNull())
+    labelled = docs.join(labels, "doc_id").select(F.col("doc_id").alias("key"), "text", "toxic")
+    found = toxicity.toxicity(docs, toxicity.fit(labelled))
+    return found.select("doc_id", held_out.alias("held_out"), "toxicity.score", "toxicity.predicted")
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_items(_texts(spark, sf_dir), _table(spark, sf_dir, "benchmark", "item_id", "text"))
     n_hit = F.aggregate("leaks.spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
@@ -46,6 +62,18 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter(_table(spark, sf_dir, "pages", "page_id", "url"), URL_RULES).select("page_id", "url_rule.*")
 
 
+def language_centroids(spark: SparkSession, sf_dir: str) -> langid.Centroids:
+    """Fitted to the rows of ``documents`` that aren't held out."""
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text", "lang").where(crc32_mod(F.col("doc_id"), 5) != 0)
+    return langid.fit(docs.select(F.col("doc_id").alias("key"), "text", "lang"))
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = langid.identify(_texts(spark, sf_dir), language_centroids(spark, sf_dir))
+    held_out = (crc32_mod(F.col("doc_id"), 5) == 0).alias("held_out")
+    return found.select("doc_id", held_out, "language.lang_pred", "language.score", "language.rejected")
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = token_counts(_texts(spark, sf_dir), public_tokenizers.path(TOKENIZER))
     return counted.select("doc_id", F.col("n_bytes").cast("long").alias("n_bytes"), "n_tokens", (F.col("n_tokens") > 2048).alias("over_limit"))
@@ -59,9 +87,12 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict:
     return {
         "op1_repetition_quality": op1_repetition_quality,
+        "op2_near_duplicates": op2_near_duplicates,
         "op3_bpe_round_trip": op3_bpe_round_trip,
+        "op4_toxicity": op4_toxicity,
         "op5_decontamination": op5_decontamination,
         "op7_url_filter": op7_url_filter,
+        "op8_language_id": op8_language_id,
         "op9_token_counts": op9_token_counts,
         "op10_license_scan": op10_license_scan,
     }
@@ -85,6 +116,17 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
 FROM d LEFT JOIN words USING (r) LEFT JOIN items USING (r)
 """
 
+OP2_SQL = r"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (SELECT DISTINCT r, array_to_string(w[p:p + 4], ' ') AS k FROM d, LATERAL (SELECT unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS p) WHERE len(w) > 0),
+n AS (SELECT r, count(*) AS n FROM s GROUP BY r),
+e AS (SELECT a.r AS a, b.r AS b FROM s a JOIN s b ON a.k = b.k AND a.r < b.r JOIN n x ON x.r = a.r JOIN n y ON y.r = b.r GROUP BY a.r, b.r, x.n, y.n HAVING 100 * count(*) >= 75 * (x.n + y.n - count(*))),
+both_ways AS MATERIALIZED (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
+reach AS (WITH RECURSIVE t(a, b) AS (SELECT r, r FROM d UNION SELECT t.a, x.b FROM t JOIN both_ways x ON x.a = t.b) SELECT * FROM t)
+SELECT d.doc_id, coalesce(max(n.n), 0) AS n_shingles, min(o.doc_id) AS component_id, d.doc_id = min(o.doc_id) AS kept
+FROM d LEFT JOIN n ON n.r = d.r JOIN reach ON reach.a = d.r JOIN d o ON o.r = reach.b GROUP BY d.r, d.doc_id
+"""
+
 OP7_SQL = """
 WITH u AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
 h AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
@@ -98,4 +140,4 @@ FROM h LEFT JOIN (SELECT DISTINCT * FROM m WHERE k = 1) m ON m.page_id = h.page_
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_decontamination": OP5_SQL, "op7_url_filter": OP7_SQL}
+    return {"op2_near_duplicates": OP2_SQL, "op5_decontamination": OP5_SQL, "op7_url_filter": OP7_SQL}
