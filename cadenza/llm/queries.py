@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadenza.llm import langid, toxicity
+from cadenza.llm import langid, secrets, toxicity
 from cadenza.llm.bpe import bpe_round_trip
 from cadenza.llm.common import crc32_mod
 from cadenza.llm.decontaminate import find_items
@@ -58,6 +58,25 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "leaks.n_words", n_hit.alias("n_hit"), F.size("leaks.items").cast("long").alias("n_items"), listed, (n_hit > 0).alias("contaminated"))
 
 
+def secret_field(spark: SparkSession, sf_dir: str) -> secrets.SecretField:
+    """Trained on ``documents``."""
+    return secrets.fit(_texts(spark, sf_dir))
+
+
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.find_secrets(_texts(spark, sf_dir), secret_field(spark, sf_dir)).withColumn("spans", F.col("secrets.spans"))
+
+    def listed(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+    def number(kind):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    base = F.filter("spans", lambda s: s["kind"] != "crf")
+    counts = [number(k) for k in ("assign", "access", "hex")]
+    return found.select("doc_id", *counts, F.sha2(F.encode(listed(base), "UTF-8"), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
+
+
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter(_table(spark, sf_dir, "pages", "page_id", "url"), URL_RULES).select("page_id", "url_rule.*")
 
@@ -91,6 +110,7 @@ def queries() -> dict:
         "op3_bpe_round_trip": op3_bpe_round_trip,
         "op4_toxicity": op4_toxicity,
         "op5_decontamination": op5_decontamination,
+        "op6_secret_scan": op6_secret_scan,
         "op7_url_filter": op7_url_filter,
         "op8_language_id": op8_language_id,
         "op9_token_counts": op9_token_counts,
