@@ -1,5 +1,431 @@
-"""Registered queries of the speech-corpus operators."""
-def queries():
-    return {}
-def oracle_sql():
-    return {}
+"""Registered queries of the speech-corpus operators, over whole tables."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from cadenza.functions import text as tx
+from cadenza.operators import events, export, freshness, grouping, levels, prosody, removal, segments, silence, text, vectors
+from cadenza.plans.oracle import SQL
+from cadenza.sources import fixtures as fx
+from cadenza.sources import metadata as md
+
+Query = Callable[[SparkSession, str], DataFrame]
+_QUERIES: dict[str, Query] = {}
+
+
+def query(f: Query) -> Query:
+    _QUERIES[f.__name__] = f
+    return f
+
+
+def queries() -> dict[str, Query]:
+    return dict(_QUERIES)
+
+
+def oracle_sql() -> dict[str, str]:
+    return {k: v for k, v in SQL.items() if k in _QUERIES}
+
+
+def _gaps(spark, d):
+    return segments.gaps(fx.segments(spark, d))
+
+
+def _packed(spark, d, rules=grouping.Packing()):
+    g = _gaps(spark, d)
+    return grouping.pack(g, rules), g
+
+
+def _utts(spark, d):
+    groups, g = _packed(spark, d)
+    return export.utterances(groups, g), g
+
+
+@query
+def episode_index(spark, d):
+    paths = fx.table(spark, d, "events").select(F.format_string("src/ep_%05d.wav", F.col("user_id")).alias("path"))
+    return segments.episode_index(paths)
+
+
+@query
+def segment_gaps(spark, d):
+    return _gaps(spark, d)
+
+
+@query
+def vad_coalesce(spark, d):
+    return segments.coalesce_spans(fx.segments(spark, d)).select("idx", "start_ms", "end_ms", "n")
+
+
+@query
+def vad_min_filter(spark, d):
+    return segments.long_enough(fx.segments(spark, d), 5000).select("idx", "i", "start_ms", "end_ms")
+
+
+@query
+def greedy_groups(spark, d):
+    return _packed(spark, d)[0]
+
+
+@query
+def greedy_groups_packed(spark, d):
+    return _packed(spark, d, grouping.Packing(pref_max=None))[0]
+
+
+@query
+def group_review(spark, d):
+    return grouping.review(*_packed(spark, d))
+
+
+@query
+def group_validation(spark, d):
+    """Groups made under wider limits, checked against the usual ones."""
+    groups, g = _packed(spark, d, grouping.Packing(max_gap=6000, max_dur=36000, pref_max=30000))
+    return grouping.violations(groups, g)
+
+
+@query
+def split_override(spark, d):
+    """Groups of three or more lose their first member; a second table, for even episodes, parts all others into singles."""
+    groups, _ = _packed(spark, d)
+    size = groups.groupBy("idx", "gid").agg(F.count("*").alias("n"))
+    some = groups.join(size, ["idx", "gid"])
+    one = some.where("n >= 3").select("idx", "gid", F.when(F.col("pos") == 0, 0).otherwise(1).alias("part"), "pos", "i")
+    two = some.where("n = 2 and idx % 2 = 0").select("idx", "gid", F.col("pos").alias("part"), F.lit(0).cast("long").alias("pos"), "i")
+    return grouping.apply_splits(groups, one, two)
+
+
+@query
+def export_filter(spark, d):
+    return export.exported(_utts(spark, d)[0]).select("idx", "gid", "n_segs", "length_ms")
+
+
+@query
+def pad_clip(spark, d):
+    return export.padded(export.exported(_utts(spark, d)[0])).select("idx", "gid", "start_ms", "end_ms", "pad_start_ms", "pad_end_ms")
+
+
+@query
+def manifest(spark, d):
+    return export.manifest(export.exported(_utts(spark, d)[0]))
+
+
+@query
+def export_histogram(spark, d):
+    return export.histogram(export.exported(_utts(spark, d)[0]))
+
+
+@query
+def export_summary(spark, d):
+    return export.summary(export.exported(_utts(spark, d)[0]))
+
+
+@query
+def episode_stats(spark, d):
+    return export.episode_stats(_utts(spark, d)[0])
+
+
+@query
+def forced_ends(spark, d):
+    return export.forced_ends(*_utts(spark, d)).select("idx", "gid", "last_i", "forced")
+
+
+def _clusters(spark, d):
+    """Ten utterances an episode; a window lasts 1000 ms and a third of its number of more."""
+    w = fx.windows(spark, d)
+    return w.select(F.expr("utt div 10").alias("idx"), F.col("speaker").alias("label"), "emb", (F.lit(1000) + F.col("pos") % 333).alias("dur"), "pos")
+
+
+def _reference(spark, d):
+    return fx.windows(spark, d).where("pos = 0").select(vectors.unit(F.col("emb")).alias("ref"))
+
+
+@query
+def cluster_stats(spark, d):
+    s = vectors.cluster_stats(_clusters(spark, d))
+    return s.select("idx", "label", "dur", "n", F.posexplode("centroid").alias("k", "x")).select("idx", "label", "dur", "n", F.col("k").cast("long").alias("k"), F.round("x", 6).alias("x"))
+
+
+@query
+def target_cluster(spark, d):
+    return vectors.target_cluster(vectors.cluster_stats(_clusters(spark, d))).select("idx", "label")
+
+
+@query
+def target_cluster_ref(spark, d):
+    t = vectors.target_cluster(vectors.cluster_stats(_clusters(spark, d)), _reference(spark, d), 0.75)
+    return t.select("idx", "label", F.round("ref_dist", 6).alias("ref_dist"))
+
+
+@query
+def robust_centroid(spark, d):
+    c = vectors.robust_centroid(fx.windows(spark, d))
+    return c.select(F.posexplode("centroid").alias("k", "x")).select(F.col("k").cast("long").alias("k"), F.round("x", 6).alias("x"))
+
+
+def _similarities(spark, d):
+    w = fx.windows(spark, d)
+    return vectors.window_similarity(w, vectors.robust_centroid(w)).withColumn("sim", F.round("sim", 6))
+
+
+@query
+def window_similarity(spark, d):
+    return _similarities(spark, d).select("utt", "pos", "sim")
+
+
+@query
+def upper_half(spark, d):
+    per = _similarities(spark, d).groupBy("utt").agg(F.round(F.avg("sim"), 6).alias("sim"))
+    return vectors.upper_half(per)
+
+
+@query
+def speaker_purity(spark, d):
+    p = vectors.purity(_similarities(spark, d), low_sim=0.05, flag_run=2, severe_run=4, severe_min=-0.2)
+    return p.withColumn("mean_sim", F.round("mean_sim", 7))
+
+
+@query
+def frame_levels(spark, d):
+    f = fx.frames(spark, d)
+    return f.select("sid", F.col("frame").cast("long").alias("frame"), *(F.round(levels.db(F.col("ms"), k), 6).alias(f"db_{k}") for k in ("export", "frame", "prosody", "loudness")))
+
+
+@query
+def noise_floor(spark, d):
+    return levels.noise_floor(fx.frames(spark, d)).withColumn("floor_db", F.round("floor_db", 6))
+
+
+@query
+def active_level(spark, d):
+    a = levels.active_level(fx.frames(spark, d), 5.0)
+    return a.select("sid", *(F.round(c, 8).alias(c) for c in ("noise_db", "active_db", "peak_db")))
+
+
+@query
+def frame_events(spark, d):
+    e = events.frame_events(fx.frames(spark, d), -18.0, 2, 2)
+    return e.select("sid", F.col("first").cast("long").alias("first"), F.col("end").cast("long").alias("end"))
+
+
+def _timed(spark, d):
+    """Three words in each clip of 16 frames of 20 ms."""
+    v = fx.table(spark, d, "embeddings").select(F.col("vec_id").alias("sid"))
+    w = v.select("sid", F.explode(F.array(*(F.lit(k).cast("long") for k in range(3)))).alias("pos"))
+    start = F.lit(40) + F.col("pos") * 100 + (F.col("sid") % 3) * 10
+    words = w.select("sid", "pos", start.alias("start_ms"), (start + 20).alias("end_ms"))
+    return words, v.withColumn("dur_ms", F.lit(320).cast("long"))
+
+
+def _cuts(spark, d):
+    words, clips = _timed(spark, d)
+    gaps = events.gap_windows(words, clips, 10, 30)
+    found = events.gap_events(fx.frames(spark, d), gaps, 20, -18.5, 1, 2, 1)
+    return words, found
+
+
+@query
+def gap_event_plan(spark, d):
+    return _cuts(spark, d)[1]
+
+
+@query
+def cut_plan(spark, d):
+    return events.cuts(_cuts(spark, d)[1], 20, 60)
+
+
+@query
+def item_shift(spark, d):
+    words, found = _cuts(spark, d)
+    return events.shifted(words, events.cuts(found, 20, 60))
+
+
+@query
+def cut_totals(spark, d):
+    c = events.cuts(_cuts(spark, d)[1], 20, 60)
+    return c.groupBy("kind").agg(F.count("*").alias("n"), F.sum(F.col("t1") - F.col("t0")).alias("cut_ms"), F.sum("pad").alias("pad_ms"), F.countDistinct("sid").alias("clips"))
+
+
+@query
+def metadata_parse(spark, d):
+    return md.parse_metadata(fx.metadata_lines(spark, d))
+
+
+@query
+def filelist_format(spark, d):
+    return md.filelist_lines(md.parse_metadata(fx.metadata_lines(spark, d)), "speaker").select("line")
+
+
+@query
+def char_metrics(spark, d):
+    rows = fx.table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("id"), "text")
+    own = spark.createDataFrame([("v1", "你好，world 3。"), ("v2", "㐀一鿿!"), ("v3", "…？"), ("v4", "")], "id string, text string")
+    t = F.col("text")
+    return rows.unionByName(own).select("id", tx.has_chinese(t).alias("chinese"), F.sha2(tx.strip_punct(t), 256).alias("stripped_sha"), F.length(tx.strip_punct(t)).cast("long").alias("n_stripped"), tx.n_chars(t).alias("n_chars"))
+
+
+@query
+def transcript_filter(spark, d):
+    rows = fx.table(spark, d, "conversations").select(F.col("conv_id").alias("idx"), F.col("turn").alias("i"), "text", F.lit(True).alias("kept"))
+    marked = segments.keep_transcribed(rows.withColumn("text", F.when(F.col("i") % 2 == 0, F.concat(F.lit("你"), "text")).otherwise(F.col("text"))), F.col("text"))
+    return marked.groupBy("kept", "dropped_asr").agg(F.count("*").alias("n"))
+
+
+@query
+def join_texts(spark, d):
+    """Turns of each conversation, put together in order; a conversation is a bounded group."""
+    c = fx.table(spark, d, "conversations").groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", "text"))).alias("t"))
+    return c.select("conv_id", F.sha2(tx.join_texts(F.transform("t", lambda x: x["text"])), 256).alias("joined_sha"))
+
+
+@query
+def text_similarity(spark, d):
+    """Each turn against the one before it, up to the first full stop."""
+    c = fx.table(spark, d, "conversations").select("conv_id", "turn", F.split("text", r"\.")[0].alias("a"))
+    b = c.select("conv_id", (F.col("turn") + 1).alias("turn"), F.col("a").alias("b"))
+    return text.compare(c.join(b, ["conv_id", "turn"])).select("conv_id", "turn", F.round("sim", 6).alias("sim"))
+
+
+def _aligned(spark, d):
+    """Sentences of conversations with their words as items; every seventh word is misheard."""
+    it = fx.items(spark, d).withColumn("sentence", F.expr("pos div 12"))
+    heard = F.when(F.col("pos") % 7 == 6, F.lit("#")).otherwise(F.regexp_replace("token", r"[^\p{L}\p{N}]", ""))
+    item = F.struct("pos", heard.alias("token"), (F.col("start_ms") / 1000).alias("start"), (F.col("end_ms") / 1000).alias("end"), F.col("token").alias("word"))
+    g = it.groupBy("conv_id", "turn", "sentence").agg(F.sort_array(F.collect_list(item)).alias("x"))
+    whole = F.array_join(F.transform("x", lambda t: t["word"]), " ")
+    parts = F.filter(F.transform("x", lambda t: F.struct(t["token"].alias("token"), t["start"].alias("start"), t["end"].alias("end"))), lambda t: t["token"] != "")
+    return g.select(F.concat_ws("-", "conv_id", "turn", "sentence").alias("id"), whole.alias("text"), parts.alias("items"))
+
+
+@query
+def char_alignment(spark, d):
+    return text.align(_aligned(spark, d).select("id", "text", F.transform("items", lambda t: t["token"]).alias("tokens"))).withColumn("coverage", F.round("coverage", 6))
+
+
+@query
+def punct_rewrite(spark, d):
+    return text.repair(_aligned(spark, d).withColumn("old", F.col("text")), chinese_only=False)
+
+
+_ITEM_KEYS = ["conv_id", "turn"]
+
+
+@query
+def token_gaps(spark, d):
+    return silence.token_gaps(fx.items(spark, d), _ITEM_KEYS)
+
+
+def _ends(spark, d):
+    it = fx.items(spark, d).withColumn("start_ms", F.col("start_ms") + (F.col("conv_id") * 37 + F.col("turn") * 11) % 900)
+    dur = it.groupBy(*_ITEM_KEYS).agg((F.max("end_ms") + (F.max("conv_id") * 53) % 1400).alias("dur_ms"))
+    return silence.head_tail(it, dur, _ITEM_KEYS)
+
+
+@query
+def silence_bounds(spark, d):
+    b = silence.bounds(_ends(spark, d))
+    return b.select(F.round("head_bound", 6).alias("head_bound"), F.round("tail_bound", 6).alias("tail_bound"))
+
+
+@query
+def silence_flags(spark, d):
+    return silence.flags(silence.token_gaps(fx.items(spark, d), _ITEM_KEYS), _ends(spark, d), _ITEM_KEYS, 450)
+
+
+@query
+def silence_distribution(spark, d):
+    rows = silence.long_form(silence.token_gaps(fx.items(spark, d), _ITEM_KEYS), _ends(spark, d), _ITEM_KEYS)
+    s = silence.distribution(rows)
+    return s.select("kind", "n", *(F.round(c, 6).alias(c) for c in ("mean", "median", "p90")), "max")
+
+
+@query
+def tail_mark_rewrite(spark, d):
+    u, g = _utts(spark, d)
+    ends = export.forced_ends(export.manifest(u), g).select("sid", "forced")
+    texts = export.manifest(u).select("sid", F.when(F.col("last_i") % 3 == 0, F.lit("好。 ")).when(F.col("last_i") % 3 == 1, F.lit("好。")).otherwise(F.lit("好！")).alias("text"))
+    return text.rewrite_tails(texts, ends)
+
+
+def _metrics(spark, d):
+    o = fx.table(spark, d, "orders")
+    return o.select(F.col("o_orderkey").alias("sid"), (F.col("o_totalprice") % 97 / 10).alias("f0_std"), (F.col("o_custkey") % 41 / 3).alias("f0_range"), (F.col("o_orderkey") % 29 / 7).alias("energy_std"))
+
+
+@query
+def prosody_score(spark, d):
+    s = prosody.scores(_metrics(spark, d))
+    return s.select("sid", F.round("prosody_score", 6).alias("prosody_score"), "prosody_level")
+
+
+@query
+def rate_outliers(spark, d):
+    rates = fx.table(spark, d, "orders").select(F.col("o_orderkey").alias("sid"), (F.col("o_totalprice") % 1000 / 200 + F.when(F.col("o_orderkey") % 50 == 0, 12.0).otherwise(0.0)).alias("cps"))
+    return prosody.rate_outliers(rates).select("sid", F.round("cps", 6).alias("cps"), F.round("bound", 6).alias("bound"))
+
+
+def _plan(spark, d, **k):
+    p = levels.loudness_plan(fx.clip_levels(spark, d), **k)
+    return p.select("clip", "episode", F.round("gain", 6).alias("gain"), "clamped", "noop")
+
+
+@query
+def loudness_plan(spark, d):
+    return _plan(spark, d)
+
+
+@query
+def loudness_plan_ratio(spark, d):
+    return _plan(spark, d, pass_ratio=0.3)
+
+
+@query
+def loudness_episodes(spark, d):
+    r = levels.episode_rollup(levels.loudness_plan(fx.clip_levels(spark, d)))
+    return r.select("episode", "n_utts", "n_clamped", *(F.round(c, 6).alias(c) for c in ("measured", "gain", "achieved")))
+
+
+@query
+def removal_antijoin(spark, d):
+    flagged = fx.table(spark, d, "labels").where("quality = 0 or toxic = 1")
+    return removal.without(fx.table(spark, d, "documents").select("doc_id", "lang"), flagged, "doc_id")
+
+
+@query
+def resume_todo(spark, d):
+    return removal.todo(fx.table(spark, d, "documents"), fx.table(spark, d, "labels"), "doc_id")
+
+
+@query
+def fingerprint(spark, d):
+    """A hash for each thousand ids, so that no task holds all names."""
+    docs = fx.table(spark, d, "documents").select(F.expr("doc_id div 1000").alias("part"), F.concat_ws(":", F.col("doc_id").cast("string"), F.sha1("text")).alias("entry"))
+    return docs.groupBy("part").agg(F.substring(F.sha1(F.array_join(F.array_sort(F.collect_list("entry")), "|")), 1, 16).alias("fp"))
+
+
+@query
+def freshness_check(spark, d):
+    """Lengths of documents against a stamp that lacks some, has changed some, and has others on top."""
+    now = fx.table(spark, d, "documents").select(F.col("doc_id").alias("sid"), F.length("text").cast("long").alias("frames"))
+    stamp = now.where("sid % 11 <> 3").withColumn("frames", F.when(F.col("sid") % 7 == 2, F.col("frames") + 1).otherwise(F.col("frames")))
+    stamp = stamp.union(now.select((-1 - F.col("sid")).alias("sid"), "frames"))
+    return freshness.stale(now, stamp)
+
+
+@query
+def audit_summary(spark, d):
+    e = fx.table(spark, d, "events").select(F.get_json_object("props", "$.k").cast("int").alias("k"), "event_type")
+    verdict = F.when(F.col("event_type") == "error", "error").when(F.col("k") < 10, "drop").when(F.col("k") < 30, "review").otherwise("keep")
+    a = e.withColumn("verdict", verdict)
+    return a.groupBy("verdict").agg(F.count("*").alias("n"), F.count_if(F.col("k") % 2 == 0).alias("noisy"), F.count_if(F.col("k") % 3 == 0).alias("clipped"))
+
+
+@query
+def separation_guard(spark, d):
+    f = fx.frames(spark, d).groupBy("sid").agg(F.avg("ms").alias("full"), F.avg(F.when(F.col("frame") < 4, F.col("ms"))).alias("part"))
+    scale = F.when(F.col("sid") % 5 == 0, 1e-6).when(F.col("sid") % 5 == 1, 1e-2).otherwise(1.0)
+    lv = f.select("sid", F.round(levels.db(F.col("full")), 6).alias("full_db"), F.round(levels.db(F.col("part") * scale), 6).alias("vocals_db"))
+    return levels.separation_guard(lv)
