@@ -9,16 +9,20 @@
    with probability 1 - (1 - s)**2; at 0.75 a pair stays together at any depth
    of a tree with probability 0.889 or more, so 8 trees lose fewer than 3 in
    10**8 pairs.
-3. First links join each node's members to its smallest one where they meet in
-   several nodes; the linked groups then count as one. Nodes whose members all
-   lie in one group are done.
-4. Open nodes of ``LEAF`` members at most are compared exhaustively, larger
-   ones branch on. After ``LEVELS`` levels the rest is compared block by block,
-   so no node is capped.
-5. Signatures sort out pairs far below the threshold (fewer than 30 of 64 equal
-   tokens has probability 2e-7 at 0.75); all other links are confirmed on the
-   full sets of both texts.
-6. Components come from alternating large-star and small-star steps.
+3. A text's popularity is the size of its nodes on the first level, so the text
+   that others were copied from is popular. Each node's most popular member is
+   its head; members are compared with the heads they meet in several nodes.
+4. The texts of similarity 0.5 or more to a head are its circle. By the triangle
+   inequality for Jaccard distance, whatever links to a member that links to the
+   head lies in there too. Members that aren't linked to the head are compared
+   with the whole circle exhaustively, block against block.
+5. Nodes whose members all lie in one linked group or in one circle are done.
+   Others of ``LEAF`` members at most are compared exhaustively, larger ones
+   branch on. After ``LEVELS`` levels the rest is compared block by block, so no
+   node is capped. Signatures sort out pairs far below the threshold (fewer than
+   30 of 64 equal tokens has probability 2e-7 at 0.75).
+6. All links are confirmed on the full sets of both texts; components come from
+   alternating large-star and small-star steps.
 
 All steps shuffle ids, signatures or the texts of candidates; no group meets in
 one task. Tables of each step are written to the shared folder.
@@ -46,11 +50,13 @@ from cadenza.llm.common import Scratch, raw_texts, slices, space_words
 SHINGLE = 5
 PERCENT = 75
 TOKENS = 64
-TREES, BRANCHES, LEVELS, LEAF = 8, 2, 12, 64
+TREES, BRANCHES, LEVELS, LEAF = 8, 2, 8, 4096
 #: Equal tokens of a candidate, at least.
 ALIKE = 30
-#: Shared nodes of the first level from which a member is compared with the smallest one at once.
-MET = 6
+#: Shared nodes of the first level from which a member is compared with a head.
+MET = 4
+#: Members that aren't linked to their head, and members, in a block of a circle.
+OPEN_BLOCK, CIRCLE_BLOCK = 128, 512
 #: Row numbers that are broadcast, at most; beyond it, Spark joins by a shuffle.
 BROADCAST_ROWS = 1_000_000
 
@@ -94,8 +100,8 @@ def shingle_set(raw: bytes) -> set[bytes]:
     return {b" ".join(words[i : i + SHINGLE]) for i in range(max(1, len(words) - SHINGLE + 1))}
 
 
-def _signatures(words: list[list[bytes]], known: _Hashes) -> tuple[list[int], list[list[int] | None]]:
-    """Set size and signature of each text; no signature without words."""
+def _hashed(words: list[list[bytes]], known: _Hashes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The hashed shingles of all texts that have some, with repeats; the numbers of these texts and where each starts."""
     sizes = np.array([len(w) for w in words], np.int64)
     flat = np.fromiter(map(known.__getitem__, (x for w in words for x in w)), np.uint64, int(sizes.sum()))
     n = np.where(sizes >= SHINGLE, sizes - SHINGLE + 1, np.minimum(sizes, 1))
@@ -108,14 +114,19 @@ def _signatures(words: list[list[bytes]], known: _Hashes) -> tuple[list[int], li
     for j in range(1, SHINGLE):  # a short text takes the words it has
         inside = long | (j < np.repeat(sizes[some], n[some]))
         h = np.where(inside, h * _BASE + flat[np.minimum(at + j, len(flat) - 1)], h * _BASE) if len(at) else h
-    h = _mix(h)
+    return _mix(h), some, np.r_[starts, len(h)]
+
+
+def _signatures(words: list[list[bytes]], known: _Hashes) -> tuple[list[int], list[list[int] | None]]:
+    """Set size and signature of each text; no signature without words."""
+    h, some, starts = _hashed(words, known)
     count, tokens = [0] * len(words), [None] * len(words)
     if len(some):
         signature = np.empty((TOKENS, len(some)), np.uint32)
         for k in range(TOKENS):
-            signature[k] = np.minimum.reduceat((h * _MULTIPLY[k] + _ADD[k]) >> np.uint64(32), starts)
+            signature[k] = np.minimum.reduceat((h * _MULTIPLY[k] + _ADD[k]) >> np.uint64(32), starts[:-1])
         signature = signature.T.copy().view(np.int32).tolist()
-        for t, a, b, s in zip(some.tolist(), starts.tolist(), (starts + n[some]).tolist(), signature):
+        for t, a, b, s in zip(some.tolist(), starts.tolist(), starts[1:].tolist(), signature):
             count[t], tokens[t] = len(np.unique(h[a:b])), s
     return count, tokens
 
@@ -130,44 +141,91 @@ def _prepare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*batch.columns, *new], names=[*batch.schema.names, "n", "digest", "tokens"])
 
 
-def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Keep pairs whose full sets are similar enough; pairs of the same ``a`` follow each other."""
+def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Size of the intersection and of the union of the full sets; pairs of the same ``a`` follow each other."""
     last, left = None, set()
     for batch in batches:
-        a, keep = batch.column("a").to_pylist(), []
-        for x, ta, tb in zip(a, raw_texts(batch, "text_a"), raw_texts(batch, "text_b")):
+        both, all_ = [], []
+        for x, ta, tb in zip(batch.column("a").to_pylist(), raw_texts(batch, "text_a"), raw_texts(batch, "text_b")):
             if x != last:
                 last, left = x, shingle_set(ta)
             right = shingle_set(tb)
-            both = len(left & right)
-            keep.append(100 * both >= PERCENT * (len(left) + len(right) - both))
-        yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
+            both.append(len(left & right))
+            all_.append(len(left) + len(right) - both[-1])
+        yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(both, pa.int64()), pa.array(all_, pa.int64())], names=["a", "b", "both", "all"])
 
-def _leaf_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Candidates within each node; the rows of a node follow each other."""
-
-    def pairs(node: pa.RecordBatch | pa.Table) -> pa.RecordBatch:
-        row, group, n = (node.column(c).to_numpy() for c in ("row", "label", "n"))
-        tokens = np.array(node.column("tokens").to_pylist(), np.int32)
-        i, j = np.triu_indices(len(row), 1)
-        open_ = (group[i] != group[j]) & (100 * np.minimum(n[i], n[j]) >= PERCENT * np.maximum(n[i], n[j]))
-        i, j = i[open_], j[open_]
-        alike = np.concatenate([(tokens[i[s : s + 20_000]] == tokens[j[s : s + 20_000]]).sum(1) for s in range(0, len(i), 20_000)] or [np.zeros(0, int)]) >= ALIKE
-        a, b = np.minimum(row[i], row[j])[alike], np.maximum(row[i], row[j])[alike]
-        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
+def _runs(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
+    """The rows of each value of ``key``, which follow each other."""
     rest: pa.Table | None = None
     for batch in batches:
         table = pa.Table.from_batches([batch])
         table = pa.concat_tables([rest, table]).combine_chunks() if rest is not None else table
-        node = table.column("node").to_numpy()
-        edges = np.flatnonzero(np.r_[True, node[1:] != node[:-1]]) if len(node) else np.zeros(0, int)
+        value = table.column(key).to_numpy()
+        edges = np.flatnonzero(np.r_[True, value[1:] != value[:-1]]) if len(value) else np.zeros(0, int)
         for s, e in zip(edges, edges[1:]):
-            yield pairs(table.slice(int(s), int(e - s)))
+            yield table.slice(int(s), int(e - s))
         rest = table.slice(int(edges[-1])) if len(edges) else table
     if rest is not None and rest.num_rows:
-        yield pairs(rest)
+        yield rest
+
+
+def _circle_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links between the open members of a block and its members; of each open one, one link to each other group."""
+    known = _Hashes()
+    for block in _runs(batches, "cell"):
+        row, group, open_ = (block.column(c).to_numpy() for c in ("row", "label", "open"))
+        words = [space_words(raw.lower()) for raw in block.column("text").cast(pa.binary()).to_pylist()]
+        h, some, starts = _hashed(words, known)
+        _, token = np.unique(h, return_inverse=True)
+        owner = np.repeat(some, np.diff(starts))
+        key = np.unique(owner.astype(np.int64) << 32 | token)
+        owner, token = key >> 32, key & 0xFFFFFFFF
+        size = np.bincount(owner, minlength=len(row))
+        u, m = np.flatnonzero(open_), np.flatnonzero(~open_)
+        shared = np.zeros((len(u), len(m)), np.float32)
+        place = np.full(len(row), -1)
+        place[u], place[m] = np.arange(len(u)), np.arange(len(m))
+        by_u, by_m = open_[owner], ~open_[owner]
+        used = np.intersect1d(token[by_u], token[by_m])
+        for at in range(0, len(used), 4096):  # tokens of both sides, some at a time
+            part = used[at : at + 4096]
+            sides = []
+            for side, count in ((by_u, len(u)), (by_m, len(m))):
+                where = np.minimum(np.searchsorted(part, token), len(part) - 1)
+                hit = side & (part[where] == token)
+                x = np.zeros((count, len(part)), np.float32)
+                x[place[owner[hit]], where[hit]] = 1
+                sides.append(x)
+            shared += sides[0] @ sides[1].T
+        linked = (100 * shared >= PERCENT * (size[u][:, None] + size[m][None] - shared)) & (group[u][:, None] != group[m][None])
+        x, y = np.nonzero(linked)
+        _, one = np.unique(np.stack([x, group[m][y]], 1), axis=0, return_index=True)
+        a, b = row[u[x[one]]], row[m[y[one]]]
+        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+
+
+def _leaf_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Candidates within each node, of different groups and circles.
+
+    Of several leaves of the first level that hold a pair, the one of the lowest place gives it.
+    """
+    for node in _runs(batches, "node"):
+        row, group, circle, n, leaves = (node.column(c).to_numpy() for c in ("row", "label", "circle", "n", "leaves"))
+        place = node.column("place")[0].as_py()
+        tokens = np.array(node.column("tokens").to_pylist(), np.int32)
+        m = len(row)
+        alike, before = np.zeros((m, m), np.uint8), np.zeros((m, m), bool)
+        for k in range(TOKENS):
+            same = tokens[:, k][:, None] == tokens[:, k][None]
+            alike += same
+            if k < place:
+                before |= same & ((leaves >> k & 1) > 0)[None]
+        found = np.triu((alike >= ALIKE) & ~before & (group[:, None] != group[None]) & (circle[:, None] != circle[None]), 1)
+        i, j = np.nonzero(found)
+        fits = 100 * np.minimum(n[i], n[j]) >= PERCENT * np.maximum(n[i], n[j])
+        a, b = np.minimum(row[i], row[j])[fits], np.maximum(row[i], row[j])[fits]
+        yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
 
 def _bounded(df: DataFrame) -> DataFrame:
@@ -180,14 +238,33 @@ class _Join:
         self.scratch, self.prepared = scratch, prepared
         self.places = places()
 
-    def confirmed(self, pairs: DataFrame, name: str) -> DataFrame:
-        pairs = self.scratch.write(pairs, f"{name}-candidates")
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("row")).distinct()
-        wanted = self.scratch.write(wanted, f"{name}-rows")
-        texts = self.prepared.select("row", "text").join(_bounded(wanted), "row", "left_semi")
+    def texts(self, rows: DataFrame, name: str) -> DataFrame:
+        """The texts of some rows."""
+        wanted = self.scratch.write(rows.distinct(), name)
+        return self.prepared.select("row", "text").join(_bounded(wanted), "row", "left_semi")
+
+    def compared(self, pairs: DataFrame, name: str) -> DataFrame:
+        """a, b, and the sizes of intersection and union of their full sets."""
+        pairs = self.scratch.write(pairs, f"{name}-pairs")
+        texts = self.texts(pairs.select(F.explode(F.array("a", "b")).alias("row")), f"{name}-rows")
         with_b = pairs.join(texts.select(F.col("row").alias("b"), F.col("text").alias("text_b")), "b")
         both = with_b.join(texts.select(F.col("row").alias("a"), F.col("text").alias("text_a")), "a")
-        return self.scratch.write(both.select("a", "b", "text_a", "text_b").mapInArrow(_confirm, "a long, b long"), f"{name}-links")
+        return self.scratch.write(both.select("a", "b", "text_a", "text_b").mapInArrow(_compare, "a long, b long, both long, all long"), name)
+
+    def circle_links(self, circles: DataFrame) -> DataFrame:
+        """(circle, row, label, head_label) to links between open members and others, not yet confirmed."""
+        open_ = F.col("label") != F.col("head_label")
+        sizes = circles.groupBy("circle").agg(F.count("*").alias("s"), F.count_if(open_).alias("u")).where("u > 0 and s > 2")
+        rows = self.scratch.write(circles.join(sizes, "circle").withColumn("open", open_), "circles")
+        across = F.ceil(F.col("u") / OPEN_BLOCK).cast("int")
+        down = F.ceil(F.col("s") / CIRCLE_BLOCK).cast("int")
+        x, y = F.pmod(F.xxhash64("row"), across).cast("int"), F.pmod(F.xxhash64("row", F.lit(1)), down).cast("int")
+        members = rows.select("circle", "row", "label", F.lit(False).alias("open"), F.explode(F.sequence(F.lit(0), across - 1)).alias("x"), y.alias("y"))
+        opened = rows.where("open").select("circle", "row", "label", F.lit(True).alias("open"), x.alias("x"), F.explode(F.sequence(F.lit(0), down - 1)).alias("y"))
+        cells = members.unionByName(opened).select(F.xxhash64("circle", "x", "y").alias("cell"), "row", "label", "open")
+        texts = self.texts(rows.select("row"), "circle-rows")
+        dealt = cells.join(texts, "row").repartition("cell").sortWithinPartitions("cell")
+        return dealt.select("cell", "row", "label", "open", "text").mapInArrow(_circle_pairs, "a long, b long").distinct()
 
     def components(self, links: DataFrame, name: str) -> DataFrame:
         """(row, root) of every linked row; the root is the smallest row of its component."""
@@ -213,7 +290,7 @@ class _Join:
         chosen = F.array(*(F.array(*(F.lit(p) for p in tree[level])) for tree in self.places))
         place = members.withColumn("place", F.explode(chosen[F.col("tree")]))
         node = F.xxhash64("node", "tree", "place", F.element_at("tokens", F.col("place") + 1))
-        return place.select(node.alias("node"), "tree", *(c for c in members.columns if c not in ("node", "tree", "tokens")))
+        return place.select(node.alias("node"), "tree", "place", *(c for c in members.columns if c not in ("node", "tree", "tokens")))
 
     def run(self) -> DataFrame:
         """Of each row: its number, doc_id, n, component_id, and whether it is the first one of its component."""
@@ -230,37 +307,57 @@ class _Join:
 
         roots = F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree")
         first = self.children(reps.select(F.lit(0).cast("long").alias("node"), roots, "row", "n", "tokens"), 0)
-        heads = first.groupBy("node").agg(F.count("*").alias("size"), F.min(F.struct("row", "n")).alias("head")).where("size > 1")
-        nodes = scratch.write(first.join(heads, "node"), "level-0")
-        fits = f"100 * least(n, head.n) >= {PERCENT} * greatest(n, head.n)"
-        stars = nodes.where(f"row <> head.row and {fits}").groupBy(F.col("head.row").alias("a"), F.col("row").alias("b")).agg(F.count("*").alias("k")).where(f"k >= {MET}")
-        links = self.confirmed(stars.select("a", "b"), "stars")
+        several = first.groupBy("node").agg(F.count("*").alias("size")).where("size > 1")
+        nodes = scratch.write(first.join(several, "node"), "nodes")
+        fame = nodes.groupBy("row").agg(F.sum("size").alias("fame"))
+        famous = nodes.join(fame, "row").select("node", F.struct("fame", (-F.col("row")).alias("minus"), "n").alias("f"))
+        heads = famous.groupBy("node").agg(F.max("f").alias("f")).select("node", (-F.col("f.minus")).alias("head"), F.col("f.n").alias("head_n"))
+        half = "100 * least(n, head_n) >= 50 * greatest(n, head_n)"  # else the similarity is below 0.5
+        met = nodes.join(heads, "node").where(f"row <> head and {half}").groupBy(F.col("head").alias("a"), F.col("row").alias("b")).agg(F.count("*").alias("k"))
+        stars = self.compared(met.where(f"k >= {MET}").select("a", "b"), "stars")
+        links = scratch.write(stars.where(f"100 * both >= {PERCENT} * all").select("a", "b"), "star-links")
         groups = scratch.write(self.components(links, "groups"), "groups")
 
         label = F.coalesce("root", "row").alias("label")
-        labelled = nodes.join(groups, "row", "left").select("node", "tree", "row", "n", label)
+        near = stars.where("100 * both >= 50 * all").groupBy(F.col("b").alias("row")).agg(F.max(F.struct((F.col("both") / F.col("all")).alias("j"), (-F.col("a")).alias("minus"))).alias("m"))
+        near = near.select("row", (-F.col("m.minus")).alias("circle"))
+        circles = near.join(near.select(F.col("circle").alias("row")).distinct().withColumn("is_head", F.lit(True)), "row", "full")
+        circles = scratch.write(circles.select("row", F.when(F.col("is_head"), F.col("row")).otherwise(F.col("circle")).alias("circle")), "circle-of")
+        all_near = stars.where("100 * both >= 50 * all").select(F.col("a").alias("circle"), F.col("b").alias("row"))
+        all_near = all_near.union(all_near.select("circle", F.col("circle").alias("row")).distinct())
+        of_head = groups.select(F.col("row").alias("circle"), F.col("root").alias("head_root"))
+        wide = all_near.join(groups, "row", "left").join(of_head, "circle", "left").select("circle", "row", label, F.coalesce("head_root", "circle").alias("head_label"))
+        inner = self.compared(self.circle_links(wide), "circle-links")
+        links = scratch.write(links.union(inner.where(f"100 * both >= {PERCENT} * all").select("a", "b")), "early-links")
+        groups = scratch.write(self.components(links, "more-groups"), "more-groups")
+
+        circle = F.coalesce("circle", "row").alias("circle")
+        labelled = nodes.join(groups, "row", "left").join(circles, "row", "left").select("node", "tree", "place", "row", "n", label, circle)
         leaves, level = [], 0
         while True:
-            state = labelled.groupBy("node").agg(F.count("*").alias("size"), F.min("label").alias("low"), F.max("label").alias("high"))
-            open_ = scratch.write(labelled.join(state.where("size > 1 and low < high").select("node", "size"), "node"), f"open-{level}")
-            leaves.append(open_.where(f"size <= {LEAF}").select("node", "row", "label"))
+            ends = [f(c).alias(f"{g}_{c}") for c in ("label", "circle") for f, g in ((F.min, "low"), (F.max, "high"))]
+            state = labelled.groupBy("node").agg(F.count("*").alias("size"), *ends).where("low_label < high_label and low_circle < high_circle")
+            open_ = scratch.write(labelled.join(state.select("node", "size"), "node"), f"open-{level}")
+            leaves.append(open_.where(f"size <= {LEAF}").select("node", "row", "label", "circle", F.col("place") if level == 0 else F.lit(-1).alias("place")))
             large = open_.where(f"size > {LEAF}")
             level += 1
             if large.isEmpty():
                 break
             if level == LEVELS:  # block against block
-                blocks = F.ceil(F.col("size") / LEAF).cast("int")
+                blocks = F.ceil(4 * F.col("size") / LEAF).cast("int")
                 own_block = F.pmod(F.xxhash64("row"), blocks).cast("int")
-                cells = large.select("node", "row", "label", own_block.alias("p"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("q"))
-                leaves.append(cells.select(F.xxhash64("node", F.least("p", "q"), F.greatest("p", "q")).alias("node"), "row", "label"))
+                cells = large.select("node", "row", "label", "circle", own_block.alias("p"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("q"))
+                leaves.append(cells.select(F.xxhash64("node", F.least("p", "q"), F.greatest("p", "q")).alias("node"), "row", "label", "circle", F.lit(-1).alias("place")))
                 break
-            labelled = self.children(large.drop("size").join(reps.select("row", "tokens"), "row"), level)
+            labelled = self.children(large.drop("size", "place").join(reps.select("row", "tokens"), "row"), level)
+        of_first = leaves[0].groupBy("row").agg(F.bit_or(F.expr("shiftleft(1, place)")).alias("leaves"))
         leaf = leaves[0]
         for more in leaves[1:]:
             leaf = leaf.union(more)
-        dealt = leaf.join(reps, "row").select("node", "row", "label", "n", "tokens").repartition("node").sortWithinPartitions("node")
+        leaf = leaf.join(of_first, "row", "left").withColumn("leaves", F.coalesce("leaves", F.lit(0)))
+        dealt = leaf.join(reps, "row").select("node", "row", "label", "circle", "place", "leaves", "n", "tokens").repartition("node").sortWithinPartitions("node")
         pairs = dealt.mapInArrow(_leaf_pairs, "a long, b long").distinct()
-        more = self.confirmed(pairs, "leaves")
+        more = self.compared(pairs, "leaves").where(f"100 * both >= {PERCENT} * all").select("a", "b")
         all_links = groups.where("row <> root").select(F.col("row").alias("a"), F.col("root").alias("b")).union(more)
         found = self.components(all_links, "components") if not more.isEmpty() else groups
 
