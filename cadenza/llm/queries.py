@@ -45,8 +45,9 @@ def op3_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _texts(spark, sf_dir)
     held_out = crc32_mod(F.col("doc_id"), 3) == 1
-    labels = _table(spark, sf_dir, "labels", "doc_id", "toxic").where(~held_out & F.col("toxic").isNotNull())
-    labelled = docs.join(labels, "doc_id").select(F.col("doc_id").alias("key"), "text", "toxic")
+    labels = _table(spark, sf_dir, "labels", "doc_id", "toxic").where(~held_out)
+    labels = toxicity.sampled_labels(labels.select(F.col("doc_id").alias("key"), "toxic"))
+    labelled = docs.withColumnRenamed("doc_id", "key").join(labels, "key").select("key", "text", "toxic")
     found = toxicity.toxicity(docs, toxicity.fit(labelled))
     return found.select("doc_id", held_out.alias("held_out"), "toxicity.score", "toxicity.predicted")
 
