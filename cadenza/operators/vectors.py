@@ -25,7 +25,7 @@ def mean_vector(df: DataFrame, keys: list[str], vec: str = "emb") -> DataFrame:
     """The mean vector of each key (or of all rows), of length 1."""
     flat = df.select(*keys, F.posexplode(vec).alias("k", "x")).groupBy(*keys, "k").agg(F.avg("x").alias("x"))
     whole = flat.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("k", "x"))).alias("v"))
-    return whole.select(*keys, unit(F.transform("v", lambda e: e["x"])).alias("centroid"))
+    return whole.where(F.size("v") > 0).select(*keys, unit(F.transform("v", lambda e: e["x"])).alias("centroid"))
 
 
 def cluster_stats(segs: DataFrame) -> DataFrame:
