@@ -4,6 +4,10 @@ A plain window over a key puts all its rows into one task. Here the rows of a
 key are cut into buckets by an expression that grows with the order; windows
 run over (key, bucket), and a table with one row for each bucket carries ranks,
 sums and neighbours across their borders. A bucket without rows does no harm.
+
+The input is read twice, once for the table of buckets, so columns that need
+the same order are best made in one call of :func:`extended`, and an input that
+is costly to make is best written first.
 """
 
 from __future__ import annotations
@@ -15,43 +19,55 @@ from pyspark.sql.window import Window
 _B = "__bucket"
 
 
-def _window(keys: list[str], order: list):
-    return Window.partitionBy(*keys, _B).orderBy(*order)
-
+def extended(
+    df: DataFrame, keys: list[str], order: list[str], bucket: Column, rank: str | None = None, sums: dict[str, tuple[Column, bool]] | None = None,
+    ahead: dict[str, str] | None = None, behind: dict[str, str] | None = None,
+) -> DataFrame:
+    """Add columns by the order of the rows of each key; null keys are a key of their own.
 
-def _carry(df: DataFrame, small: DataFrame, keys: list[str]) -> DataFrame:
-    """Join the table of buckets back; null keys match."""
-    cond = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in (*keys, _B)]
-    out = df.alias("l").join(small.alias("r"), cond, "left")
-    return out.select("l.*", *(F.col(f"r.{c}") for c in small.columns if c not in (*keys, _B)))
+    ``rank`` numbers the rows from 1. ``sums`` has running sums by name: the value, and whether a row's own counts;
+    for them the order must be without ties. ``ahead`` and ``behind`` name columns of the next row and the one
+    before, which are null at the ends.
+    """
+    sums, ahead, behind = sums or {}, ahead or {}, behind or {}
+    df = df.withColumn(_B, bucket)
+    at = F.struct(*order)
+    near = {"ahead": ahead, "behind": behind}
+    packed = {side: F.struct(*(F.col(c).alias(n) for c, n in columns.items())) for side, columns in near.items() if columns}
+    totals = [F.count("*").alias("__n"), *(F.sum(v).alias(f"__s_{n}") for n, (v, _) in sums.items())]
+    edges = [(F.min_by if side == "ahead" else F.max_by)(x, at).alias(f"__e_{side}") for side, x in packed.items()]
+    small = df.groupBy(*keys, _B).agg(*totals, *edges)
+    across = Window.partitionBy(*keys).orderBy(_B)
+    before = across.rowsBetween(Window.unboundedPreceding, -1)
+    small = small.select(
+        *(F.col(c).alias(f"__k_{c}") for c in (*keys, _B)), F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__n"),
+        *(F.coalesce(F.sum(f"__s_{n}").over(before), F.lit(0)).alias(f"__s_{n}") for n in sums),
+        *((F.lead if side == "ahead" else F.lag)(f"__e_{side}").over(across).alias(f"__e_{side}") for side in packed),
+    )
+    inside = Window.partitionBy(*keys, _B).orderBy(*order)
+    own = [F.row_number().over(inside).cast("long").alias("__rank")] if rank else []
+    for n, (value, inclusive) in sums.items():
+        own.append(F.coalesce(F.sum(value).over(inside.rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)), F.lit(0)).alias(f"__o_{n}"))
+    own += [(F.lead if side == "ahead" else F.lag)(x).over(inside).alias(f"__o_{side}") for side, x in packed.items()]
+    rows = df.select("*", *own)
+    out = rows.join(small, [F.col(c).eqNullSafe(F.col(f"__k_{c}")) for c in (*keys, _B)], "left")
+    made = [(F.col("__rank") + F.col("__n")).alias(rank)] if rank else []
+    made += [(F.col(f"__o_{n}") + F.col(f"__s_{n}")).alias(n) for n in sums]
+    for side in packed:
+        made += [F.coalesce(F.col(f"__o_{side}"), F.col(f"__e_{side}"))[n].alias(n) for n in near[side].values()]
+    return out.select(*(c for c in df.columns if c != _B), *made)
 
 
-def ranked(df: DataFrame, keys: list[str], order: list, bucket: Column, name: str) -> DataFrame:
+def ranked(df: DataFrame, keys: list[str], order: list[str], bucket: Column, name: str) -> DataFrame:
     """Number the rows of each key from 1 in their order."""
-    df = df.withColumn(_B, bucket)
-    counts = df.groupBy(*keys, _B).agg(F.count("*").alias("__n"))
-    before = counts.withColumn("__before", F.sum("__n").over(Window.partitionBy(*keys).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1))).drop("__n")
-    own = df.withColumn(name, F.row_number().over(_window(keys, order)).cast("long"))
-    return _carry(own, before, keys).withColumn(name, F.col(name) + F.coalesce("__before", F.lit(0))).drop("__before", _B)
+    return extended(df, keys, order, bucket, rank=name)
 
 
-def running_sum(df: DataFrame, keys: list[str], order: list, bucket: Column, value: Column, name: str, inclusive: bool = True) -> DataFrame:
-    """Sum of ``value`` over the rows of the key up to each row, itself included or not; order must be without ties."""
-    df = df.withColumn(_B, bucket).withColumn("__v", value)
-    sums = df.groupBy(*keys, _B).agg(F.sum("__v").alias("__s"))
-    before = sums.withColumn("__before", F.sum("__s").over(Window.partitionBy(*keys).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1))).drop("__s")
-    frame = _window(keys, order).rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
-    own = df.withColumn(name, F.coalesce(F.sum("__v").over(frame), F.lit(0)))
-    return _carry(own, before, keys).withColumn(name, F.col(name) + F.coalesce("__before", F.lit(0))).drop("__before", "__v", _B)
+def running_sum(df: DataFrame, keys: list[str], order: list[str], bucket: Column, value: Column, name: str, inclusive: bool = True) -> DataFrame:
+    """Sum of ``value`` over the rows of the key up to each row, itself included or not."""
+    return extended(df, keys, order, bucket, sums={name: (value, inclusive)})
 
 
 def neighbour(df: DataFrame, keys: list[str], order: list[str], bucket: Column, columns: dict[str, str], step: int = 1) -> DataFrame:
-    """Columns of the next row of the key (``step`` 1) or the one before (-1), under new names; null at the end."""
-    df = df.withColumn(_B, bucket).withColumn("__row", F.struct(*(F.col(c).alias(n) for c, n in columns.items())))
-    edge = F.min_by if step > 0 else F.max_by
-    edges = df.groupBy(*keys, _B).agg(edge("__row", F.struct(*order)).alias("__edge"))
-    across = Window.partitionBy(*keys).orderBy(_B)
-    beyond = edges.select(*keys, _B, (F.lead if step > 0 else F.lag)("__edge").over(across).alias("__far"))
-    near = (F.lead if step > 0 else F.lag)("__row").over(_window(keys, order))
-    out = _carry(df.withColumn("__near", near), beyond, keys).withColumn("__near", F.coalesce("__near", "__far"))
-    return out.select(*(c for c in df.columns if c not in (_B, "__row")), *(F.col(f"__near.{n}").alias(n) for n in columns.values()))
+    """Columns of the next row of the key (``step`` 1) or the one before (-1), under new names."""
+    return extended(df, keys, order, bucket, ahead=columns if step > 0 else None, behind=None if step > 0 else columns)

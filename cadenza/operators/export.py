@@ -38,8 +38,7 @@ def exported(utts: DataFrame, min_ms: int = 2000, max_ms: int = 30000) -> DataFr
 
 def padded(utts: DataFrame, pad_ms: int = 200) -> DataFrame:
     """Pads on both sides, at most to the middle of the pause to the neighbour among ``utts``."""
-    more = ordered.neighbour(utts, ["idx"], ["first_i"], by_i("first_i"), {"start_ms": "next_start"})
-    more = ordered.neighbour(more, ["idx"], ["first_i"], by_i("first_i"), {"end_ms": "prev_end"}, -1)
+    more = ordered.extended(utts, ["idx"], ["first_i"], by_i("first_i"), ahead={"start_ms": "next_start"}, behind={"end_ms": "prev_end"})
     left = F.when(F.col("start_ms") > F.col("prev_end"), F.expr("(start_ms + prev_end) div 2"))
     right = F.when(F.col("next_start") > F.col("end_ms"), F.expr("(end_ms + next_start) div 2"))
     start = F.greatest(F.col("start_ms") - pad_ms, left, F.lit(0))

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from cadenza.functions import ordered
 from cadenza.sources.fixtures import by_i
+from cadenza.sources.scratch import Scratch
 
 
 @dataclass(frozen=True)
@@ -98,6 +99,7 @@ def pack(gapped: DataFrame, rules: Packing = Packing()) -> DataFrame:
 
     dealt = runs.select("idx", "run", "i", "start_ms", "end_ms", F.coalesce("gap_ms", F.lit(0)).alias("gap_ms")).repartition("idx", "run").sortWithinPartitions("idx", "run", "i")
     packed = dealt.mapInPandas(fold, f"idx {kinds['idx']}, head long, pos long, i long")
+    packed = Scratch(gapped.sparkSession, "packed").write(packed, "groups")  # numbering reads it twice
     numbered = ordered.running_sum(packed, ["idx"], ["i"], by_i(), (F.col("pos") == 0).cast("long"), "gid")
     return numbered.select("idx", (F.col("gid") - 1).alias("gid"), "pos", "i")
 

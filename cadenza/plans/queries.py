@@ -12,6 +12,7 @@ from cadenza.operators import events, export, freshness, grouping, levels, proso
 from cadenza.plans.oracle import SQL
 from cadenza.sources import fixtures as fx
 from cadenza.sources import metadata as md
+from cadenza.sources.scratch import Scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -34,8 +35,13 @@ def _gaps(spark, d):
     return segments.gaps(fx.segments(spark, d))
 
 
+def _kept_gaps(spark, d):
+    """The same, written once for plans that read it several times."""
+    return Scratch(spark, "gaps").write(_gaps(spark, d), "gaps")
+
+
 def _packed(spark, d, rules=grouping.Packing()):
-    g = _gaps(spark, d)
+    g = _kept_gaps(spark, d)
     return grouping.pack(g, rules), g
 
 

@@ -25,11 +25,10 @@ def segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events").select(F.col("user_id").alias("idx"), F.unix_micros(F.col("ts").cast("timestamp")).alias("us"), "event_id", "event_type", "value")
     day = F.expr(f"us div {DAY_US}")
     order = ["us", "event_id"]
-    e = ordered.neighbour(e, ["idx"], order, day, {"us": "next_us"})
+    e = ordered.extended(e, ["idx"], order, day, rank="i", ahead={"us": "next_us"})
     dur = F.lit(1000) + F.round(F.col("value") * 1000).cast("long") % 17000
     e = e.withColumn("dur", dur).withColumn("step", F.col("dur") + F.coalesce(F.expr("(next_us - us) div 14400000"), F.lit(0)))
     e = ordered.running_sum(e, ["idx"], order, day, F.col("step"), "start_ms", inclusive=False)
-    e = ordered.ranked(e, ["idx"], order, day, "i")
     return e.select("idx", (F.col("i") - 1).alias("i"), F.col("start_ms").cast("long").alias("start_ms"), (F.col("start_ms") + F.col("dur")).cast("long").alias("end_ms"), (F.col("event_type") != "error").alias("kept"))
 
 
