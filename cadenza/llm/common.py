@@ -1,18 +1,18 @@
-"""Helpers that the text operators share: scratch tables, Arrow batches, words."""
+"""Helpers that the text operators share: Arrow batches and words."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from cadenza.sources.scratch import Scratch, shared_folder  # noqa: F401
+
 #: A batch is worked on in slices of about this many text bytes.
 SLICE_BYTES = 2 << 20
 
@@ -35,40 +35,6 @@ def alnum_words(raw: bytes) -> list[bytes]:
     return raw.lower().translate(ALNUM).split()
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that all executors share: ``spark.checkpoint.dir``, or an own one where it is unset (tests)."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        set_dir = spark.sparkContext._jsc.sc().getCheckpointDir()
-        if set_dir.isDefined():
-            return set_dir.get()
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        folder = "file://" + tempfile.mkdtemp(prefix="cadenza-")
-        spark.sparkContext.setCheckpointDir(folder)
-        return spark.sparkContext._jsc.sc().getCheckpointDir().get()
-    return folder
-
-
-class Scratch:
-    """Tables of one run in the shared folder. They cut the lineage and survive lost executors."""
-
-    def __init__(self, spark: SparkSession, name: str):
-        self.spark = spark
-        self.folder = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-
-    def write(self, df: DataFrame, name: str) -> DataFrame:
-        path = f"{self.folder}/{name}"
-        df.write.option("compression", "zstd").parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
-
-    def drop(self, name: str) -> None:
-        """Delete a table that nothing reads any more."""
-        jvm = self.spark._jvm
-        path = jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}")
-        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut batches so that the texts of a slice hold about ``most`` bytes, or one row."""
     for batch in batches:
