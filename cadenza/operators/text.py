@@ -70,3 +70,22 @@ def rewrite_tails(texts: DataFrame, forced: DataFrame) -> DataFrame:
     rows = texts.join(forced.select("sid", "forced"), "sid", "left")
     new = tail_mark(F.col("text"), F.coalesce("forced", F.lit(False)))
     return rows.select("sid", new.alias("text"), (~new.eqNullSafe(F.col("text"))).alias("changed"))
+
+
+def pair_groups(texts: DataFrame, groups: DataFrame, least: float = 0.85) -> DataFrame:
+    """(idx, n, text) and (idx, gid, text) to (idx, n, gid), for datasets without a manifest.
+
+    Texts and groups of an episode are in order, and groups may be left out; without punctuation a pair must be alike
+    by ``least``. A text without a group is an error. An episode's transcripts are one group of rows.
+    """
+    from cadenza.functions.text import strip_punct
+
+    def run(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        a, b = a.sort_values("n"), b.sort_values("gid")
+        at = matching.pair_in_order(a["bare"].tolist(), b["bare"].tolist(), least)
+        return pd.DataFrame({"idx": a["idx"].tolist(), "n": a["n"].tolist(), "gid": [b["gid"].iloc[k] for k in at]})
+
+    kinds = dict(texts.dtypes)
+    left = texts.select("idx", "n", strip_punct(F.col("text")).alias("bare")).groupBy("idx")
+    right = groups.select("idx", "gid", strip_punct(F.col("text")).alias("bare")).groupBy("idx")
+    return left.cogroup(right).applyInPandas(run, f"idx {kinds['idx']}, n {kinds['n']}, gid {dict(groups.dtypes)['gid']}")

@@ -119,3 +119,13 @@ def cluster_episodes(segs: DataFrame, most: float = 0.6) -> DataFrame:
 
     kinds = dict(segs.dtypes)
     return segs.select("idx", "i", "emb").groupBy("idx").applyInPandas(run, f"idx {kinds['idx']}, i {kinds['i']}, label long")
+
+
+def previews(segs: DataFrame, each_ms: int = 5000, enough_ms: int = 12000) -> DataFrame:
+    """(idx, label, i, start_ms, end_ms): for each cluster the first segments, cut to ``each_ms``, until they last ``enough_ms``."""
+    from cadenza.functions import ordered
+    from cadenza.sources.fixtures import by_i
+
+    cut = segs.withColumn("end_ms", F.least("end_ms", F.col("start_ms") + each_ms))
+    run = ordered.running_sum(cut, ["idx", "label"], ["i"], by_i(), F.col("end_ms") - F.col("start_ms"), "before", inclusive=False)
+    return run.where(F.col("before") < enough_ms).drop("before")

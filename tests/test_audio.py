@@ -176,3 +176,10 @@ def test_speech_spans():
     spans = audio.energy_speech(_bursts(), SR)
     assert len(spans) == 3 and abs(spans[0][0] - 0.14) < 0.03
     assert audio.energy_speech(np.zeros(SR, np.float32), SR) == []
+
+
+def test_previews(spark):
+    rows = [(1, 0, i, i * 10000, i * 10000 + d) for i, d in enumerate((9000, 4000, 4000, 4000, 4000))]
+    df = spark.createDataFrame(rows, "idx int, label int, i long, start_ms long, end_ms long")
+    got = sorted((r["i"], r["end_ms"] - r["start_ms"]) for r in vectors.previews(df).collect())
+    assert got == [(0, 5000), (1, 4000), (2, 4000)]

@@ -65,3 +65,9 @@ def test_pairing_in_order():
     assert matching.pair_in_order(["abcd", "efgh"], ["abcd", "zzzz", "efgi", "efgh"], 0.9) == [0, 3]
     with pytest.raises(ValueError):
         matching.pair_in_order(["abcd", "efgh"], ["efgh", "abcd"])
+
+
+def test_groups_without_a_manifest(spark):
+    texts = spark.createDataFrame([(1, 0, "你好，世界。"), (1, 1, "再见！")], "idx int, n int, text string")
+    groups = spark.createDataFrame([(1, 0, "你好世界"), (1, 1, "別的"), (1, 2, "再见")], "idx int, gid long, text string")
+    assert sorted(tuple(r) for r in text.pair_groups(texts, groups).collect()) == [(1, 0, 0), (1, 1, 2)]
