@@ -59,6 +59,13 @@ def texts_of(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     return df.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
 
 
+def without_column(df: DataFrame, name: str, needed: str) -> DataFrame:
+    """``df`` without the column that a result is to replace, if it has one; names don't differ by case alone."""
+    if name.lower() == needed.lower():
+        raise ValueError(f"the result can't replace the column {needed!r} it is made from")
+    return df.select(*(F.col(f"`{c}`") for c in df.columns if c.lower() != name.lower()))
+
+
 def fresh(name: str, taken) -> str:
     """``name``, with underscores in front until no existing column has it."""
     lower = {c.lower() for c in taken}
@@ -76,8 +83,10 @@ def annotate(docs: DataFrame, text_col: str, fields: str, start, out: str) -> Da
     """``docs`` with a struct column ``out`` of the DDL ``fields``, in one pass without a shuffle.
 
     ``start()`` is called once in each task and gives ``work(raws) -> {field: values}``, which sees the
-    UTF-8 bytes (None for null) of some rows. Other columns pass through, whatever their names.
+    UTF-8 bytes (None for null) of some rows. Other columns pass through, whatever their names; a column
+    named ``out`` is replaced.
     """
+    docs = without_column(docs, out, text_col)
     kind = T.StructType.fromDDL(fields)
     arrow = to_arrow_schema(kind)
 

@@ -12,7 +12,8 @@ The benchmark goes to the tasks in blocks of ``block_words`` words at most (an
 item is never cut), each of them against all texts, so the broadcast is bounded
 for a benchmark of any size. Words are compared as words, not as hashes.
 
-Null texts and items have no words; empty tables give no hits. Repeated item
+Null texts have no words, items without an id or a text no windows; empty tables
+give no hits. Repeated item
 rows or ids count once. A text's row keeps its other columns.
 """
 
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from cadenza.llm.common import alnum_words, fresh, raw_texts, slices
+from cadenza.llm.common import alnum_words, raw_texts, slices, without_column
 from cadenza.llm.repetition import covered
 
 SPAN = T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])
@@ -195,18 +196,18 @@ def find_items(
     items = benchmark.select(F.col(f"`{item_col}`").cast("string").alias("item"), F.col(f"`{item_text_col}`").alias("text")).where("item is not null and text is not null")
     words = items.agg(F.sum(F.length("text"))).first()[0] or 0  # characters: more than words
     n_blocks = max(1, -(-words // block_words))
-    kept = fresh(out, docs.columns)
+    docs = without_column(docs, out, text_col)
     found = docs
     for b in range(n_blocks):
         own = items.where(F.pmod(F.xxhash64("item"), F.lit(n_blocks)) == b) if n_blocks > 1 else items
-        block = Block([(r["item"], r["text"].encode()) for r in own.toLocalIterator()], size, shingle)
+        block = Block([(r["item"], r["text"].encode()) for r in own.collect()], size, shingle)
         wanted = block.shingles()
         counts: dict[tuple[int, int], int] = {}
         if wanted:
             shared = spark.sparkContext.broadcast((block, wanted))
             total = docs.select(F.col(f"`{text_col}`").alias("text")).mapInArrow(_count(shared), "k long, code long, n long")
-            counts = {(r["k"], r["code"]): r["n"] for r in total.groupBy("k", "code").agg(F.sum("n").alias("n")).toLocalIterator()}
+            counts = {(r["k"], r["code"]): r["n"] for r in total.groupBy("k", "code").agg(F.sum("n").alias("n")).collect()}
         block.index(counts)
-        schema = T.StructType([*docs.schema.fields, T.StructField(kept, FOUND)])
-        found = found.mapInArrow(_mark(spark.sparkContext.broadcast(block), text_col, kept), schema)
-    return found if kept == out else found.withColumnRenamed(kept, out)
+        schema = T.StructType([*docs.schema.fields, T.StructField(out, FOUND)])
+        found = found.mapInArrow(_mark(spark.sparkContext.broadcast(block), text_col, out), schema)
+    return found

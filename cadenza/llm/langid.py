@@ -115,7 +115,7 @@ def fit(labelled: DataFrame, rules: LanguageRules = LanguageRules()) -> Centroid
 
     drawn = rows.join(F.broadcast(share), "lang").where(draw).select("lang", "text").mapInArrow(run, "lang string, counts binary")
     by_lang: dict[str, list[np.ndarray]] = {}
-    for r in drawn.toLocalIterator():
+    for r in drawn.collect():
         own = by_lang.setdefault(r["lang"], [])
         if len(own) < 2 * most:
             own.append(np.frombuffer(r["counts"], "<u2"))

@@ -229,8 +229,8 @@ def _leaf_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _bounded(df: DataFrame) -> DataFrame:
-    """A table of row numbers, marked for broadcast where its size allows it."""
-    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
+    """A written table of row numbers, marked for broadcast where its size allows it."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
 class _Join:

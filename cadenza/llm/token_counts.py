@@ -68,7 +68,7 @@ def _frequent(sizes: DataFrame, most: int) -> dict[str, int]:
         least = power
     if least is None:
         return {}
-    return {r["piece"]: r["size"] for r in sizes.where((F.col("n") >= 2**least) & (F.length("piece") <= 64)).select("piece", "size").toLocalIterator()}
+    return {r["piece"]: r["size"] for r in sizes.where((F.col("n") >= 2**least) & (F.length("piece") <= 64)).select("piece", "size").collect()}
 
 
 def token_counts(docs: DataFrame, path: str, text_col: str = "text", out: str = "n_tokens", max_broadcast: int = 200_000) -> DataFrame:
@@ -97,7 +97,7 @@ def token_counts(docs: DataFrame, path: str, text_col: str = "text", out: str =
             rest = [(n, c) for n, c in zip(batch.schema.names, batch.columns) if n != "text"]
             yield pa.RecordBatch.from_arrays([c for _, c in rest] + columns, names=[n for n, _ in rest] + ["n_bytes", "hot", "pieces", "times"])
 
-    taken = [c for c in docs.columns if c != text_col]
+    taken = [c for c in docs.columns if c != text_col and c.lower() not in ("n_bytes", out.lower())]  # those are replaced
     names = {c: f"c{k}" for k, c in enumerate(taken)}  # own names, so that none clashes
     plain = docs.select(F.monotonically_increasing_id().alias("row"), F.col(f"`{text_col}`").alias("text"), *(F.col(f"`{c}`").alias(n) for c, n in names.items()))
     kinds = [f for f in plain.schema.fields if f.name != "text"]

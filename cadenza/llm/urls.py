@@ -24,10 +24,9 @@ import pyarrow as pa
 import xxhash
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cadenza.llm.common import fresh, shared_folder
+from cadenza.llm.common import shared_folder, without_column
 
 VERDICTS = ("allow", "block")
 _HEAD = struct.Struct("<QQQ")  # rules, distinct lengths of paths, bytes of strings
@@ -121,7 +120,7 @@ def publish(spark: SparkSession, rules: list[tuple[str, str, str]]) -> str:
 def url_filter(pages: DataFrame, rules: list[tuple[str, str, str]], url_col: str = "url", default: str = "allow", out: str = "url_rule") -> DataFrame:
     """``pages`` with the struct ``out``: host, path, the rule that wins (host + path, or null) and the verdict."""
     name = publish(pages.sparkSession, rules)
-    kept = fresh(out, pages.columns)
+    pages = without_column(pages, out, url_col)
     fields = T.StructType.fromDDL("host string, path string, rule string, verdict string")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -134,7 +133,6 @@ def url_filter(pages: DataFrame, rules: list[tuple[str, str, str]], url_col: str
                 for (h, p), i in zip(urls, won)
             ]
             kind = pa.struct([(f.name, pa.string()) for f in fields])
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(rows, kind)], names=[*batch.schema.names, kept])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(rows, kind)], names=[*batch.schema.names, out])
 
-    found = pages.mapInArrow(run, T.StructType([*pages.schema.fields, T.StructField(kept, fields)]))
-    return found if kept == out else found.withColumn(out, F.col(kept)).drop(kept)
+    return pages.mapInArrow(run, T.StructType([*pages.schema.fields, T.StructField(out, fields)]))

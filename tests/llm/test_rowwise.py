@@ -122,3 +122,15 @@ def test_sha_columns(spark, tmp_path):
     for r in queries.op3_bpe_round_trip(spark, str(tmp_path)).collect():
         if r["doc_id"] in (2, 3):
             assert r["n_tokens"] == 0 and r["ids_sha256"] == hashlib.sha256(b"").hexdigest() == r["decoded_sha256"]
+
+
+def test_clashing_columns_are_replaced(spark):
+    """Results take the place of columns of their names; all others stay."""
+    rows = [(1, "All rights reserved", "en", "x", "x", 1, 2, "x")]
+    df = helpers.table(spark, rows)
+    got = licenses.license_scan(df, out="Language").first()
+    assert got["Language"]["n_base"] == 1 and got["repetition"] == "x" and len(got) == len(df.columns)
+    assert token_counts(df, PATH, out="n").first()["n"] == 3
+    assert repetition.repetition_quality(df).first()["repetition"]["n_words"] == 3
+    with pytest.raises(ValueError):
+        licenses.license_scan(df, out="TEXT")
