@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from cadenza.llm.common import annotate
 
 #: Entries of a worker's cache of pre-tokens; it starts anew when full.
-CACHE = 500_000
+CACHE = 250_000
 _NEVER = 1 << 62
 
 # Code points that the installed tokenizers library doesn't count as letters or numbers yet,

@@ -20,13 +20,15 @@ from __future__ import annotations
 
 import random
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cadenza.llm.common import annotate
+from cadenza.llm.common import annotate, raw_texts, slices
 
 KINDS = ("assign", "access", "hex", "crf")
 FIELDS = "spans array<struct<kind: string, start: long, end: long, secret: long>>"
@@ -341,8 +343,8 @@ def fit(docs: DataFrame, key_col: str = "doc_id", text_col: str = "text", sample
     texts = []
     for named, n in sorted(counts.items()):
         share = min(1.0, sample / 2 / n)
-        some = rows.where((F.col("named") == named) & (F.pmod(F.xxhash64("key"), F.lit(1_000_000)) < share * 1_000_000)).select("key", "text")
-        drawn = sorted((r["key"] is None, r["key"] or 0, r["text"]) for r in some.toLocalIterator())
+        some = rows.where((F.pmod(F.xxhash64("key"), F.lit(1_000_000)) < share * 1_000_000) & (F.col("named") == named)).select("key", "text")
+        drawn = sorted((r["key"] is None, r["key"] or 0, r["text"]) for r in some.collect())
         texts += [x[2].encode() for x in drawn[:sample]]
     return train(texts)
 
@@ -384,3 +386,24 @@ def redacted(text: str, spans: list[dict], mark: str = "[secret]") -> str:
             parts += [text[at : max(s, at)], mark if s >= at else ""]
             at = e
     return "".join([*parts, text[at:]])
+
+
+def redact_secrets(docs: DataFrame, field: SecretField, text_col: str = "text", size_col: str = "n_chars") -> DataFrame:
+    """``docs`` with every secret itself replaced, and ``size_col``, if there, set anew where a text changed; one pass."""
+    shared = docs.sparkSession.sparkContext.broadcast(field)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, text_col, 1 << 20):
+            found = scan(raw_texts(batch, text_col), shared.value)
+            if any(found):
+                at = batch.schema.get_field_index(text_col)
+                texts = [redacted(t, s) if s else t for t, s in zip(batch.column(at).to_pylist(), found)]
+                columns = list(batch.columns)
+                columns[at] = pa.array(texts, columns[at].type)
+                if (k := batch.schema.get_field_index(size_col)) >= 0:
+                    sizes = [len(t) if s else n for t, s, n in zip(texts, found, columns[k].to_pylist())]
+                    columns[k] = pa.array(sizes, columns[k].type)
+                batch = pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
+            yield batch
+
+    return docs.mapInArrow(run, docs.schema)

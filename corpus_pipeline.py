@@ -15,9 +15,6 @@ Models are fitted to the tables in ``sf_dir``.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pyarrow as pa
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,7 +24,7 @@ from cadenza.llm.bpe import bpe_round_trip
 from cadenza.llm.common import Scratch, fresh
 from cadenza.llm.decontaminate import find_items
 from cadenza.llm.near_dup import drop_near_duplicates
-from cadenza.llm.secrets import find_secrets, redacted
+from cadenza.llm.secrets import redact_secrets
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,23 +44,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    out = fresh("secrets", docs.columns)
-    found = find_secrets(docs, queries.secret_field(spark, sf_dir), out=out)
-    names, schema = docs.columns, docs.schema
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            spans = [x["spans"] for x in batch.column(batch.schema.get_field_index(out)).to_pylist()]
-            columns = {n: batch.column(batch.schema.get_field_index(n)) for n in names}
-            if any(spans):
-                texts = [redacted(t, s) if t and s else t for t, s in zip(columns["text"].to_pylist(), spans)]
-                columns["text"] = pa.array(texts, columns["text"].type)
-                if "n_chars" in columns:
-                    sizes = [len(t) if t and s else n for t, s, n in zip(texts, spans, columns["n_chars"].to_pylist())]
-                    columns["n_chars"] = pa.array(sizes, columns["n_chars"].type)
-            yield pa.RecordBatch.from_arrays(list(columns.values()), names=names)
-
-    return found.mapInArrow(run, schema)
+    return redact_secrets(docs, queries.secret_field(spark, sf_dir))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
