@@ -19,8 +19,9 @@
 5. Nodes whose members all lie in one linked group or in one circle are done.
    Others of ``LEAF`` members at most are compared exhaustively, larger ones
    branch on. After ``LEVELS`` levels the rest is compared block by block, so no
-   node is capped. Signatures sort out pairs far below the threshold (fewer than
-   30 of 64 equal tokens has probability 2e-7 at 0.75).
+   node is capped. Signatures sort out pairs far below the threshold: at 0.75,
+   fewer than 30 equal ones of the 64 tokens that trees branch on, or fewer than
+   70 of all 128, have a probability below 1e-6 together.
 6. All links are confirmed on the full sets of both texts; components come from
    alternating large-star and small-star steps.
 
@@ -49,10 +50,11 @@ from cadenza.llm.common import Scratch, raw_texts, slices, space_words
 
 SHINGLE = 5
 PERCENT = 75
-TOKENS = 64
+#: Minwise tokens that trees branch on, and those of a whole signature.
+TOKENS, SIGNATURE = 64, 128
 TREES, BRANCHES, LEVELS, LEAF = 8, 2, 8, 4096
-#: Equal tokens of a candidate, at least.
-ALIKE = 30
+#: Equal tokens of a candidate, at least: of the first ``TOKENS``, and of the whole signature.
+ALIKE, ALL_ALIKE = 30, 70
 #: Shared nodes of the first level from which a member is compared with a head.
 MET = 4
 #: Members that aren't linked to their head, and members, in a block of a circle.
@@ -61,8 +63,8 @@ OPEN_BLOCK, CIRCLE_BLOCK = 128, 512
 BROADCAST_ROWS = 1_000_000
 
 _RANDOM = np.random.default_rng(20240607)
-_MULTIPLY = _RANDOM.integers(0, 1 << 63, TOKENS, np.uint64) * np.uint64(2) + np.uint64(1)
-_ADD = _RANDOM.integers(0, 1 << 63, TOKENS, np.uint64)
+_MULTIPLY = _RANDOM.integers(0, 1 << 63, SIGNATURE, np.uint64) * np.uint64(2) + np.uint64(1)
+_ADD = _RANDOM.integers(0, 1 << 63, SIGNATURE, np.uint64)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 PREPARED = "row long, doc_id long, n long, digest binary, tokens array<int>"
 
@@ -122,8 +124,8 @@ def _signatures(words: list[list[bytes]], known: _Hashes) -> tuple[list[int], li
     h, some, starts = _hashed(words, known)
     count, tokens = [0] * len(words), [None] * len(words)
     if len(some):
-        signature = np.empty((TOKENS, len(some)), np.uint32)
-        for k in range(TOKENS):
+        signature = np.empty((SIGNATURE, len(some)), np.uint32)
+        for k in range(SIGNATURE):
             signature[k] = np.minimum.reduceat((h * _MULTIPLY[k] + _ADD[k]) >> np.uint64(32), starts[:-1])
         signature = signature.T.copy().view(np.int32).tolist()
         for t, a, b, s in zip(some.tolist(), starts.tolist(), starts[1:].tolist(), signature):
@@ -224,7 +226,12 @@ def _leaf_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = np.triu((alike >= ALIKE) & ~before & (group[:, None] != group[None]) & (circle[:, None] != circle[None]), 1)
         i, j = np.nonzero(found)
         fits = 100 * np.minimum(n[i], n[j]) >= PERCENT * np.maximum(n[i], n[j])
-        a, b = np.minimum(row[i], row[j])[fits], np.maximum(row[i], row[j])[fits]
+        i, j = i[fits], j[fits]
+        equal = alike[i, j]
+        for k in range(TOKENS, SIGNATURE):
+            equal += tokens[i, k] == tokens[j, k]
+        i, j = i[equal >= ALL_ALIKE], j[equal >= ALL_ALIKE]
+        a, b = np.minimum(row[i], row[j]), np.maximum(row[i], row[j])
         yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
 
