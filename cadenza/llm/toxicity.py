@@ -18,8 +18,9 @@ that score best added in each round. Scores are a logistic of the margin, with
 
 Fitting takes a bounded sample of the labelled rows, chosen by a hash of the id
 (``sampled_labels``); the words of about ``most`` texts of each label are looked at
-one by one. Null and empty texts have no word and get the lowest score. Without
-labels of both kinds every text gets that score.
+one by one. Digits and signs that stand for letters count as these, so only words
+without any letter are left out. Null and empty texts have no word and get the
+lowest score. Without labels of both kinds every text gets that score.
 """
 
 from __future__ import annotations
@@ -48,6 +49,8 @@ LOWEST = -4.0  # the margin of a text without words and of a word without letter
 
 _EDGES = b".,;:!?()[]{}\"'"
 _LETTERS, _DIGITS = bytes(range(97, 123)) + bytes(range(128, 256)), b"0123456789"
+_SIGNS, _DIGIT = bytes(b for b in range(33, 127) if not chr(b).isalnum()), re.compile(rb"[0-9]")
+MOST_MIXED = 1500  # words of digits and letters from clean texts that are negatives from the start
 _LONE = re.compile(rb"(?<![^\s])(?:[^\s][ .\-_*]{1,2}){3,}[^\s](?![^\s])")
 # Characters that stand for letters.
 LOOKALIKES = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i"}
@@ -63,18 +66,27 @@ _CODES = 1 << 18
 
 
 def spans(raw: bytes) -> list[bytes]:
-    """The lower-cased words of a text; letters that stand alone in a row also count as one word."""
+    """The lower-cased words of a text; letters that stand alone in a row also count as one word.
+
+    Words of digits and letters are read twice: with digits as look-alikes, which the kernel does, and without digits and signs.
+    """
     low = raw.lower() if raw.isascii() else raw.decode().lower().encode()
     words = [w.strip(_EDGES) for w in low.split()]
     if _LONE.search(low):
         words += [re.sub(rb"[^a-z0-9@$\x80-\xff]", b"", m[0]) for m in _LONE.finditer(low)]
+    if _DIGIT.search(low):
+        words += [w.translate(None, _DIGITS + _SIGNS) for w in words if _is_mixed(w)]
     return words
 
 
 def _is_number(word: bytes) -> bool:
-    """Over a third as many digits as letters, or no letter."""
-    letters = len(word) - len(word.translate(None, _LETTERS))
-    return letters < 3 * (len(word) - len(word.translate(None, _DIGITS))) or not letters
+    """No letter, before look-alikes are mapped."""
+    return len(word) == len(word.translate(None, _LETTERS))
+
+
+def _is_mixed(word: bytes) -> bool:
+    """Digits as well as letters: an amount, a code, or an insult with look-alikes."""
+    return len(word) > len(word.translate(None, _DIGITS)) and not _is_number(word)
 
 
 def subsequences(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -218,6 +230,8 @@ def train(witnesses: dict[bytes, float], toxic: list[bytes], clean: list[bytes],
     rng = np.random.default_rng(seed)
     everyday = sorted(clear.keys() | set(others) - {b""}, key=lambda w: (-clear[w], w))
     negatives = dict.fromkeys(everyday[:1500] + [everyday[i] for i in rng.integers(0, len(everyday), 2500)])
+    mixed = [w for w in everyday if _is_mixed(w)]
+    negatives |= dict.fromkeys(mixed[i] for i in rng.permutation(len(mixed))[:MOST_MIXED])
     hard: list[bytes] = []
     for turn in range(ROUNDS):
         if turn:  # other telling words that the machine finds alike
@@ -227,8 +241,8 @@ def train(witnesses: dict[bytes, float], toxic: list[bytes], clean: list[bytes],
         positive = sorted(witnesses, key=lambda w: (-witnesses[w], w))[:4000]
         bent = {v: witnesses[w] / 8 for w in positive[:200] for v in _bent(w, rng) if v not in clear}
         half = LANDMARKS // 2
-        mixed = [list(negatives)[i] for i in rng.permutation(len(negatives))[:half]]
-        landmarks = positive[: half // 2] + [positive[i] for i in sorted(rng.permutation(len(positive))[: half // 2])] + (hard[: half // 2] + mixed)[:half]
+        drawn = [list(negatives)[i] for i in rng.permutation(len(negatives))[:half]]
+        landmarks = positive[: half // 2] + [positive[i] for i in sorted(rng.permutation(len(positive))[: half // 2])] + (hard[: half // 2] + drawn)[:half]
         model = _machine(positive + sorted(bent), list(negatives), bent | witnesses, list(dict.fromkeys(landmarks)))
         margin = np.concatenate([model.margins(everyday[at : at + 20_000]) for at in range(0, len(everyday), 20_000)])
         hard = [everyday[i] for i in np.argsort(-margin, kind="stable")[:2500]]
@@ -242,7 +256,7 @@ def train(witnesses: dict[bytes, float], toxic: list[bytes], clean: list[bytes],
 
 
 def _bent(word: bytes, rng: np.random.Generator) -> list[bytes]:
-    """A word with a character inserted here and there, and with one between all."""
+    """A word with a character inserted here and there, and with one between all; ``spans`` reads words also without their digits."""
     letters = word.decode("utf-8", "replace")
     if len(letters) < 4:
         return []

@@ -60,6 +60,17 @@ def test_toxicity_held_out(spark):
     assert scored["score"][0] > scored["score"][2] and scored["score"][1] > scored["score"][2]
 
 
+def test_toxicity_of_digits():
+    """Insults with look-alikes or inserted digits count, numbers and codes of clean texts don't."""
+    rng = random.Random(8)
+    rows = [(k, f"{t} v{k}.{rng.randrange(9)}.17 {rng.randrange(1, 90)}th {rng.randbytes(6).hex()} mp{k % 9}", y) for k, t, y in _labelled()]
+    model = toxicity.train({w.encode(): 20.0 for w in INSULTS}, [t.encode() for _, t, y in rows if y], [t.encode() for _, t, y in rows if not y])
+    insults = [x.encode() for x in ("you n1tw1t there", "a n1twi7", "such n7i7t7w7i7t s", "a n2i2t2w2i2t", "nit4wit", "bl0ckh34d", "b1o1c1k1h1e1a1d".replace("o", "lo", 1))]
+    assert toxicity.Scorer(model)(insults)["predicted"] == [1] * len(insults)
+    clean = [x.encode() for x in ("v7.3.17", "12th", "1 2 3", "2024-01-03", "4711", "mp3", "a3f09c1d77be", rng.randbytes(6).hex())]
+    assert toxicity.Scorer(model)(clean)["predicted"] == [0] * len(clean)
+
+
 def test_toxicity_awkward_rows(spark):
     model = toxicity.fit(spark.createDataFrame(_labelled(), "key long, text string, toxic int"))
     rows = {r["doc_id"]: r["toxicity"] for r in toxicity.toxicity(helpers.table(spark), model).collect()}
