@@ -7,7 +7,8 @@ match. It is normalised to 1 for equal words. ``LANDMARKS`` words give the
 Nyström map z(w) = K(L, L)**-1/2 k(L, w), in which a linear machine with hinge
 loss is trained. As k(L, w) is linear in the subsequence weights of w, the
 machine folds into one weight for each subsequence, so a distinct word is
-scored once, without a kernel for each landmark.
+scored once, without a kernel for each landmark. Long runs without spaces are
+cut at signs within and into overlapping windows, all of which count as words.
 
 Labels mark whole texts, so training takes their sentences as bags: a sentence
 scores as its best word, a text as its best sentence. Positive examples are the
@@ -42,7 +43,7 @@ from cadenza.llm.common import Scratch, annotate, raw_texts, slices
 
 DECAY, SPAN = 0.6, 5
 LANDMARKS, ROUNDS = 192, 5
-CACHE = 300_000
+CACHE, PORTION = 300_000, 150_000
 FIELDS = "score double, predicted int"
 THRESHOLD = 0.7
 LOWEST = -4.0  # the margin of a text without words and of a word without letters
@@ -50,6 +51,10 @@ LOWEST = -4.0  # the margin of a text without words and of a word without letter
 _EDGES = b".,;:!?()[]{}\"'"
 _LETTERS, _DIGITS = bytes(range(97, 123)) + bytes(range(128, 256)), b"0123456789"
 _SIGNS, _DIGIT = bytes(b for b in range(33, 127) if not chr(b).isalnum()), re.compile(rb"[0-9]")
+_INNER = re.compile(rb"[!-/:-@\[-`{-~]+")
+#: Runs over ``PART`` bytes are also cut at signs within; what is then over ``RUN`` characters is read by overlapping
+#: windows (size, step), so that whatever is shorter than size - step lies whole in one of them.
+PART, RUN, WINDOWS = 16, 48, [(8, 2), (12, 4), (24, 8), (48, 16), (96, 32)]
 MOST_MIXED = 1500  # words of digits and letters from clean texts that are negatives from the start
 _LONE = re.compile(rb"(?<![^\s])(?:[^\s][ .\-_*]{1,2}){3,}[^\s](?![^\s])")
 # Characters that stand for letters.
@@ -76,7 +81,21 @@ def spans(raw: bytes) -> list[bytes]:
         words += [re.sub(rb"[^a-z0-9@$\x80-\xff]", b"", m[0]) for m in _LONE.finditer(low)]
     if _DIGIT.search(low):
         words += [w.translate(None, _DIGITS + _SIGNS) for w in words if _is_mixed(w)]
-    return words
+    return [p for w in words for p in (pieces(w) if len(w) > PART else (w,))]
+
+
+def pieces(run: bytes) -> list[bytes]:
+    """A long run, the parts between its signs, and windows in place of each that is too long; nothing is left out."""
+    parts = [run, *(p for p in _INNER.split(run) if p and len(p) < len(run))]
+    out = []
+    for part in parts:
+        text = part.decode("utf-8", "replace") if len(part) > RUN else ""
+        if len(text) <= RUN:
+            out.append(part)
+            continue
+        for size, step in WINDOWS:
+            out += [text[at : at + size].encode() for at in range(0, max(1, len(text) - size + step), step)]
+    return out
 
 
 def _is_number(word: bytes) -> bool:
@@ -91,7 +110,7 @@ def _is_mixed(word: bytes) -> bool:
 
 def subsequences(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(word number, code, weight) of all distinct subsequences of each word between ^ and $, by word and code."""
-    text = "\0".join(w.decode("utf-8", "replace").replace("\0", "?")[:400] for w in words)
+    text = "\0".join(w.decode("utf-8", "replace").replace("\0", "?") for w in words)
     points = np.frombuffer(("\1" + text.replace("\0", "\2\0\1") + "\2").encode("utf-32-le"), "<u4").astype(np.int64)
     kind = np.where(points < 0x250, _CLASS[np.minimum(points, 0x24F)], 27 + points % 33)
     kind[points == 1], kind[points == 2] = 62, 63
@@ -149,7 +168,24 @@ class Scorer:
         self.model, self.cache = model, {}
 
     def __call__(self, raws: list[bytes | None]) -> dict[str, list]:
-        texts = [spans(raw) if raw else [] for raw in raws]
+        best: list[float] = [-math.inf] * len(raws)
+        held: list[tuple[int, list[bytes]]] = []
+        n = 0
+        for i, raw in enumerate(raws):
+            words = spans(raw) if raw else []
+            for at in range(0, len(words), PORTION):
+                held.append((i, words[at : at + PORTION]))
+                n += len(held[-1][1])
+                if n >= PORTION:
+                    self._take(held, best)
+                    held, n = [], 0
+        self._take(held, best)
+        scores = [self.model.probability(b if b > -math.inf else LOWEST) for b in best]
+        return {"score": scores, "predicted": [int(s >= THRESHOLD) for s in scores]}
+
+    def _take(self, held: list[tuple[int, list[bytes]]], best: list[float]) -> None:
+        """Raise the best margin of each text by the words at hand."""
+        texts = [words for _, words in held]
         new = list(set().union(*texts).difference(self.cache))
         if len(self.cache) + len(new) > CACHE:
             self.cache.clear()
@@ -158,8 +194,8 @@ class Scorer:
             some = new[at : at + 20_000]
             self.cache.update(zip(some, self.model.margins(some).tolist()))
         get = self.cache.__getitem__
-        scores = [self.model.probability(max(map(get, words), default=LOWEST)) for words in texts]
-        return {"score": scores, "predicted": [int(s >= THRESHOLD) for s in scores]}
+        for i, words in held:
+            best[i] = max(best[i], max(map(get, words)))
 
 
 def _hinge(z: np.ndarray, y: np.ndarray, cost: np.ndarray) -> tuple[np.ndarray, float]:
@@ -313,10 +349,10 @@ def _word_labels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches):
         for label, raw in zip(batch.column("toxic").to_pylist(), raw_texts(batch)):
             held[label].update(set(spans(raw)) - {b""})
-        if len(held[0]) + len(held[1]) > CACHE:
-            yield out()
-            held[0].clear()
-            held[1].clear()
+            if len(held[0]) + len(held[1]) > CACHE:
+                yield out()
+                held[0].clear()
+                held[1].clear()
     yield out()
 
 

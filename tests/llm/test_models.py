@@ -71,6 +71,24 @@ def test_toxicity_of_digits():
     assert toxicity.Scorer(model)(clean)["predicted"] == [0] * len(clean)
 
 
+def test_toxicity_in_long_runs():
+    """An insult anywhere in a run without spaces is found, whatever joins the run."""
+    rows, rng = _labelled(), random.Random(9)
+    model = toxicity.train({w.encode(): 20.0 for w in INSULTS}, [t.encode() for _, t, y in rows if y], [t.encode() for _, t, y in rows if not y])
+    words = helpers.prose(3, 300).split()
+    for joint in ",/_":
+        for at in (0, 150, 299):
+            texts = [joint.join(words[:at] + more + words[at:]).encode() for more in ([], ["nitwit"])]
+            assert toxicity.Scorer(model)(texts)["predicted"] == [0, 1]
+    for at in (0, 401, 1203, 5000):
+        signs = ["".join(chr(rng.randrange(0x4E00, 0x9F00)) for _ in range(n)) for n in (at, 600)]
+        texts = [x.join(signs).encode() for x in ("", "blockhead")]
+        assert toxicity.Scorer(model)(texts)["predicted"] == [0, 1]
+    run = "".join(rng.choice("abcdefgh") for _ in range(3000))
+    covered = [p.decode() for p in toxicity.pieces(run.encode())]
+    assert all(any(run[i : i + 60] in p for p in covered) for i in range(len(run) - 60)) and max(map(len, covered)) <= 96
+
+
 def test_toxicity_awkward_rows(spark):
     model = toxicity.fit(spark.createDataFrame(_labelled(), "key long, text string, toxic int"))
     rows = {r["doc_id"]: r["toxicity"] for r in toxicity.toxicity(helpers.table(spark), model).collect()}
