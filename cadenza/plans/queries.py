@@ -289,8 +289,8 @@ def join_texts(spark, d):
 
 @query
 def text_similarity(spark, d):
-    """Each turn against the one before it, up to the first full stop."""
-    c = fx.table(spark, d, "conversations").select("conv_id", "turn", F.split("text", r"\.")[0].alias("a"))
+    """Each turn against the one before it, whole texts."""
+    c = fx.table(spark, d, "conversations").select("conv_id", "turn", F.col("text").alias("a"))
     b = c.select("conv_id", (F.col("turn") + 1).alias("turn"), F.col("a").alias("b"))
     return text.compare(c.join(b, ["conv_id", "turn"])).select("conv_id", "turn", F.round("sim", 6).alias("sim"))
 

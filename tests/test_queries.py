@@ -2,6 +2,7 @@
 
 import glob
 import os
+from difflib import SequenceMatcher
 from pathlib import Path
 
 import duckdb
@@ -51,3 +52,11 @@ def test_plans(spark):
     assert "Python" not in plan("segment_gaps") and "Arrow" not in plan("loudness_plan") and "Pandas" not in plan("silence_flags")
     assert "BroadcastNestedLoopJoin" in plan("prosody_score") and "CartesianProduct" not in plan("prosody_score")
     assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint,o_totalprice:double>" in plan("loudness_plan")
+
+
+def test_turns_are_compared_whole(spark):
+    """Against difflib, on whole texts of all turns."""
+    texts = {(r["conv_id"], r["turn"]): r["text"] for r in spark.read.parquet(f"{DATA}/conversations.parquet").collect()}
+    want = {(c, t): SequenceMatcher(None, a, texts[c, t - 1]).ratio() for (c, t), a in texts.items() if (c, t - 1) in texts}
+    got = {(r["conv_id"], r["turn"]): r["sim"] for r in queries()["text_similarity"](spark, DATA).collect()}
+    assert any("." in a[:-1] for a in texts.values()) and got == pytest.approx(want, abs=1.01e-6)
