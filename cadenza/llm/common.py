@@ -74,6 +74,30 @@ def fresh(name: str, taken) -> str:
     return name
 
 
+def drawn(rows: DataFrame, kind: str, by: list[str], most: int, longest: int | None = None) -> DataFrame:
+    """A bounded sample of ``rows``, written to the shared folder: of each value of ``kind`` about ``most`` distinct rows.
+
+    Rows are drawn by a 64-bit hash of the columns ``by``, those of the lowest hashes, so it is the same rows at every
+    run, and equal rows are drawn once; their number is estimated by approx_count_distinct. With ``longest``, rows
+    whose ``text`` has more characters aren't drawn. Rows come out with their hash in ``draw``; see :func:`taken`.
+    """
+    spark = rows.sparkSession
+    if longest is not None:
+        rows = rows.where(F.length("text") <= longest)
+    rows = rows.withColumn("draw", F.xxhash64(*by))
+    sizes = rows.groupBy(kind).agg(F.approx_count_distinct("draw", 0.02).alias("n")).collect()
+    lowest, span = -(1 << 63), 1 << 64
+    limits = [(r[kind], lowest + min(span - 1, int(span * (1.2 * most + 20) / max(1, r["n"])))) for r in sizes if r[kind] is not None]
+    limits = spark.createDataFrame(limits, f"`{kind}` {dict(rows.dtypes)[kind]}, below long")
+    low = rows.join(F.broadcast(limits), kind).where("draw <= below").drop("below")  # one row for each value of kind
+    return Scratch(spark, "drawn").write(low.dropDuplicates([kind, "draw"]), "rows")
+
+
+def taken(sample: DataFrame, kind: str, value, most: int) -> list:
+    """The ``most`` rows of lowest hash of one kind, on the driver."""
+    return sample.where(F.col(kind) == F.lit(value)).orderBy("draw").limit(most).collect()
+
+
 def crc32_mod(col, n: int):
     """crc32 of the value's text, modulo n; null counts as the empty text."""
     return F.pmod(F.crc32(F.encode(F.coalesce(col.cast("string"), F.lit("")), "UTF-8")), F.lit(n))

@@ -1,8 +1,15 @@
 """Fitted operators: language and toxicity, on invented languages and insults."""
 
+import itertools
 import random
+import re
+import time
 
-from cadenza.llm import langid, toxicity
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from cadenza.llm import common, langid, toxicity
 from tests.llm import helpers
 
 SYLLABLES = {"aa": "ka to mi ru se no", "bb": "sch ein ung der ach zu", "cc": "que eau ou ai oi en"}
@@ -60,21 +67,41 @@ def test_toxicity_held_out(spark):
     assert scored["score"][0] > scored["score"][2] and scored["score"][1] > scored["score"][2]
 
 
+def _telling(words=INSULTS):
+    return {w: 20.0 for x in words for w in toxicity._words_of([x])[0]}
+
+
+def _trained(rows):
+    return toxicity.train(_telling(), [t.encode() for _, t, y in rows if y], [t.encode() for _, t, y in rows if not y])
+
+
 def test_toxicity_of_digits():
     """Insults with look-alikes or inserted digits count, numbers and codes of clean texts don't."""
     rng = random.Random(8)
-    rows = [(k, f"{t} v{k}.{rng.randrange(9)}.17 {rng.randrange(1, 90)}th {rng.randbytes(6).hex()} mp{k % 9}", y) for k, t, y in _labelled()]
-    model = toxicity.train({w.encode(): 20.0 for w in INSULTS}, [t.encode() for _, t, y in rows if y], [t.encode() for _, t, y in rows if not y])
-    insults = [x.encode() for x in ("you n1tw1t there", "a n1twi7", "such n7i7t7w7i7t s", "a n2i2t2w2i2t", "nit4wit", "bl0ckh34d", "b1o1c1k1h1e1a1d".replace("o", "lo", 1))]
+    model = _trained([(k, f"{t} v{k}.{rng.randrange(9)}.17 {rng.randrange(1, 90)}th {rng.randbytes(6).hex()} mp{k % 9}", y) for k, t, y in _labelled()])
+    insults = [x.encode() for x in ("you n1tw1t there", "a n1twi7", "such n7i7t7w7i7t s", "a n2i2t2w2i2t", "nit4wit", "bl0ckh34d", "b1l1o1c1k1h1e1a1d")]
     assert toxicity.Scorer(model)(insults)["predicted"] == [1] * len(insults)
     clean = [x.encode() for x in ("v7.3.17", "12th", "1 2 3", "2024-01-03", "4711", "mp3", "a3f09c1d77be", rng.randbytes(6).hex())]
     assert toxicity.Scorer(model)(clean)["predicted"] == [0] * len(clean)
 
 
-def test_toxicity_in_long_runs():
-    """An insult anywhere in a run without spaces is found, whatever joins the run."""
-    rows, rng = _labelled(), random.Random(9)
-    model = toxicity.train({w.encode(): 20.0 for w in INSULTS}, [t.encode() for _, t, y in rows if y], [t.encode() for _, t, y in rows if not y])
+@pytest.fixture(scope="module")
+def model():
+    return _trained(_labelled())
+
+
+def test_toxicity_across_gaps(model):
+    """Insults broken by spaces, signs or single letters, with letters put in, and within sentences; not across sentences."""
+    found = ["you nit wit there", "a block head", "n i t w i t", "n.i.t.w.i.t", "such a n-i-t-w-i-t!", "block,head", "nitxwit", "nittwit", "Alpha beta. Gamma NITWIT delta! Zeta."]
+    assert toxicity.Scorer(model)([x.encode() for x in found])["predicted"] == [1] * len(found)
+    assert toxicity.Scorer(model)([b"alpha betas", b"gammaing"])["predicted"] == [0, 0]
+    apart = toxicity.read(["nit. wit.\nblock\nhead", "end"])[0]
+    assert not any(len(w.a) for w in toxicity.windows(apart) if w.kind == toxicity.NEIGHBOURS)
+
+
+def test_toxicity_in_long_runs(model):
+    """An insult anywhere in a run without spaces is found, whatever joins the run; dashes in any number take no time."""
+    rng = random.Random(9)
     words = helpers.prose(3, 300).split()
     for joint in ",/_":
         for at in (0, 150, 299):
@@ -82,11 +109,23 @@ def test_toxicity_in_long_runs():
             assert toxicity.Scorer(model)(texts)["predicted"] == [0, 1]
     for at in (0, 401, 1203, 5000):
         signs = ["".join(chr(rng.randrange(0x4E00, 0x9F00)) for _ in range(n)) for n in (at, 600)]
-        texts = [x.join(signs).encode() for x in ("", "blockhead")]
+        assert toxicity.Scorer(model)([x.join(signs).encode() for x in ("", "blockhead")])["predicted"] == [0, 1]
+    glued = "x" * 401 + "blockhead" + "x" * 300
+    assert toxicity.Scorer(model)([glued.encode(), glued.replace("blockhead", "").encode()])["predicted"] == [1, 0]
+    start = time.perf_counter()
+    toxicity.Scorer(model)([("intro " + "-" * 10_000 + "Title").encode(), (".-_*" * 50_000).encode()])
+    assert time.perf_counter() - start < 1
+
+
+def test_toxicity_of_long_texts(monkeypatch, model):
+    """Parts of a long text overlap, so that nothing is lost where they meet."""
+    monkeypatch.setattr(toxicity, "PORTION", 1000)
+    words = helpers.prose(5, 600).split()
+    for at in range(0, 600, 37):
+        texts = [" ".join(words[:at] + more + words[at:]).encode() for more in ([], ["nit", "wit"])]
         assert toxicity.Scorer(model)(texts)["predicted"] == [0, 1]
-    run = "".join(rng.choice("abcdefgh") for _ in range(3000))
-    covered = [p.decode() for p in toxicity.pieces(run.encode())]
-    assert all(any(run[i : i + 60] in p for p in covered) for i in range(len(run) - 60)) and max(map(len, covered)) <= 96
+    parts = [t for _, some in toxicity.portions(["y" * 5000]) for t in some]
+    assert len(parts) > 4 and sum(map(len, parts)) > 5000
 
 
 def test_toxicity_awkward_rows(spark):
@@ -103,15 +142,76 @@ def test_toxicity_without_labels(spark):
         assert toxicity.Scorer(model)([b"anything", None])["predicted"] == [0, 0]
 
 
-def test_kernel_is_folded_exactly():
-    """The folded weights give the same margins as kernels to the landmarks."""
-    words = [b"nitwit", b"dolt", b"alphas", b"gammaing", b"x", b"", "Łódź".encode()]
-    number, code, weight = toxicity._unit(words)
-    vectors = [dict(zip(code[number == k].tolist(), weight[number == k].tolist())) for k in range(len(words))]
-    for v in vectors:
-        norm = sum(x * x for x in v.values())
-        assert not v or abs(norm - 1) < 1e-9
-    model = toxicity._machine(words[:2], words[2:4], {}, words[:4])
-    direct = [sum(model.weights[c] * x for c, x in v.items()) + model.bias for v in vectors]
-    got = model.margins(words)
-    assert all(abs(a - b) < 1e-9 for a, b, w in zip(got, direct, words) if not toxicity._is_number(w))
+def _plain_windows(text):
+    """(kind, letters with their ends) of the windows of one text of small letters, spaces and full stops."""
+    for sentence in re.split(r"[.?!](?=\s|$)|\n", text):
+        words = re.findall("[a-z]+", sentence)
+        for i in range(len(words)):
+            for k in range(1, toxicity.SPELT + 1):
+                x = "".join(words[i : i + k])
+                if i + k <= len(words) and len(x) >= 3 and (k <= 3 or len(x) <= k + 3):
+                    yield (0 if k == 1 else 1), "^" + x + "$"
+            if len(words[i]) > toxicity.RUN:
+                for n in toxicity.SLIDES:
+                    yield from ((2, words[i][a : a + n]) for a in range(len(words[i]) - n + 1))
+
+
+def _plain_vector(window):
+    """Weights of its subsequences of three characters, by the definition of the kernel."""
+    out, inner = {}, len(window.strip("^$"))
+    for a, b, c in itertools.combinations(range(len(window)), 3):
+        if c - a < toxicity.SPAN and not (window[a] == "^" and window[c] == "$"):
+            key = window[a] + window[b] + window[c]
+            out[key] = out.get(key, 0) + toxicity.DECAY ** (c - a + 1)
+    edges = window[0] == "^"
+    square = sum((j - 1) * toxicity.DECAY ** (2 * j + 2) * (max(0, inner - j) + (2 * (inner >= j) if edges else 0)) for j in range(2, toxicity.SPAN))
+    return {k: v / square**0.5 for k, v in out.items()}
+
+
+def _kernel(x, y):
+    a, b = _plain_vector(x), _plain_vector(y)
+    return sum(v * b.get(k, 0) for k, v in a.items())
+
+
+def _plain(window):
+    return "".join({62: "^", 63: "$"}.get(c, chr(96 + c)) for c in window)
+
+
+def test_scores_are_those_of_the_unfolded_machine(model):
+    """Kernels to the landmarks for each window of each sentence, the best of all, against the running sums."""
+    marks = [_plain(x) for x in model.landmarks]
+    for text in ("a nitwit here. blok head and", "the scumbagger of alphabetagammadelta", "n i t w i t s. it is", "gammaing alphas"):
+        best = [toxicity.LOWEST] * 3
+        for kind, window in set(_plain_windows(text)):
+            margin = sum(a * _kernel(window, x) for a, x in zip(model.alpha, marks)) + model.bias[kind]
+            best[kind] = max(best[kind], margin)
+        assert model.best([text])[:, 0] == pytest.approx(best, abs=1e-4)
+        score = toxicity.Scorer(model)([text.encode()])["score"][0]
+        assert score == pytest.approx(model.probability(max(best)), abs=1e-3)
+
+
+def test_the_map_is_that_of_nystroem():
+    """z(w) z(w') is k(w, L) K(L, L)**-1 k(L, w'), so the machine's margins come from weights in the landmarks' span."""
+    marks = ["^nitwit$", "^dolt$", "^alphas$"]
+    coded = [bytes({"^": 62, "$": 63}.get(c, ord(c) - 96) for c in x) for x in marks]
+    model = toxicity.machine(coded[:2], coded[2:], [1.0, 1.0], coded)
+    gram = np.array([[_kernel(a, b) for b in marks] for a in marks])
+    margins = gram @ model.alpha + model.bias[0]
+    assert model.of_instances(coded) == pytest.approx(margins, abs=1e-5) and margins[0] > 0.9 and margins[1] > 0.9 and margins[2] < -0.9
+
+
+def test_cover_is_greedy():
+    bags, known = [{b"a", b"b"}, {b"a"}, {b"a", b"c"}, {b"c"}, {b"d"}], {b"a": 3.0, b"b": 1.0, b"c": 2.0, b"d": 1.0}
+    assert list(toxicity._cover(bags, known, 1, 1)) == [b"a", b"c", b"d"] and list(toxicity._cover(bags, known, 2, 1)) == [b"a"]
+
+
+def test_samples_are_bounded(spark):
+    """All ids null, or one row many times: no more rows than asked for come out, and some do."""
+    same = spark.range(100_000).select(F.lit(7).cast("long").alias("key"), F.lit("a b c").alias("text"), F.lit(1).alias("toxic"))
+    odd = spark.range(20_000).select(F.lit(None).cast("long").alias("key"), F.concat(F.lit("text "), "id").alias("text"), F.lit(0).alias("toxic"))
+    sample = common.drawn(same.union(odd), "toxic", ["key", "text"], 100)
+    assert [len(common.taken(sample, "toxic", k, 100)) for k in (0, 1)] == [100, 1] and sample.count() < 200
+    again = common.drawn(odd.union(same).repartition(3), "toxic", ["key", "text"], 100)
+    assert common.taken(sample, "toxic", 0, 100) == common.taken(again, "toxic", 0, 100)
+    labels = toxicity.sampled_labels(same.union(odd.withColumn("key", F.col("text").substr(6, 9).cast("long"))), 1000)
+    assert labels.where("toxic = 1").count() == 1 and 900 <= labels.where("toxic = 0").count() <= 1300
