@@ -7,13 +7,18 @@ words and delimiters around it, and a feature of the whole text. Viterbi decodes
 line by line. A line whose every token is so unlikely to be secret that no path
 but "all outside" can win keeps that path without decoding; the bound is exact.
 
-The field is trained here: on lines of at most ``sample`` texts that the base
-patterns label, and on the same lines with generated secrets of other kinds
-put in (access keys, hexadecimal and base64 strings, prefixed tokens).
+The field is trained here: on windows of ``_WINDOW`` tokens around the lines of at
+most ``sample`` texts, half of them with a base span that labels it, the others
+without; and on the same lines with generated secrets of other kinds put in
+(access keys, hexadecimal and base64 strings, prefixed tokens). Texts with a base
+span are sought among ``pool`` texts; both are drawn by a 64-bit hash of the text
+from those of ``longest`` characters at most. These bounds hold for fitting only.
 
 Null counts as the empty text: no spans. The base patterns' spans always stay;
 the field adds those of its spans that overlap none. Spans are in code points,
-end exclusive.
+end exclusive. Repeated rows have the same spans, and equal texts count once in
+fitting; an empty table stays empty, and a field fitted to it still knows the
+generated secrets. Of paths that score alike, Viterbi takes "outside" last.
 """
 
 from __future__ import annotations
@@ -28,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cadenza.llm.common import annotate, raw_texts, slices
+from cadenza.llm.common import Scratch, annotate, drawn, raw_texts, slices
 
 KINDS = ("assign", "access", "hex", "crf")
 FIELDS = "spans array<struct<kind: string, start: long, end: long, secret: long>>"
@@ -242,15 +247,27 @@ def generated(rng: random.Random) -> tuple[str, str]:
 _WINDOW = 40
 
 
-def _examples(texts: list[bytes], rng: random.Random) -> list[tuple[np.ndarray, np.ndarray]]:
-    """(features, labels) of windows of lines, with the base labels and with generated secrets."""
+@dataclass
+class Examples:
+    """Windows of tokens: features, labels, which places are taken, and whether the line has a base span."""
+
+    features: np.ndarray
+    labels: np.ndarray
+    held: np.ndarray
+    based: np.ndarray
+
+
+def examples(texts: list[bytes], rng: random.Random) -> Examples:
+    """Windows of lines of each text: two at random, the one of the longest token, and three with a base span; each as it
+    is, around its longest token if it has no secret, and with a generated secret."""
     out = []
     for raw in texts:
         lines = [x for x in raw.split(b"\n") if x.strip()]
-        for line in rng.sample(lines, min(len(lines), 3)) + [x for x in lines if base_spans(x)][:3]:
+        longest = [max(lines, key=lambda x: max(map(len, x.split())))] if lines else []
+        for line in rng.sample(lines, min(len(lines), 2)) + longest + [x for x in lines if base_spans(x)][:3]:
             for put in (False, True):
                 spans = [(s, e) for _, _, e, s in base_spans(line)]
-                data = line
+                based, data = bool(spans), line
                 if put:
                     lead, secret = generated(rng)
                     at = rng.choice([m.start() for m in re.finditer(rb" ", line)] or [len(line)])
@@ -266,87 +283,108 @@ def _examples(texts: list[bytes], rng: random.Random) -> list[tuple[np.ndarray,
                 if not len(y):
                     continue
                 marked = np.flatnonzero(y < 2)
-                middle = int(marked[rng.randrange(len(marked))]) if len(marked) else rng.randrange(len(y))
+                middle = int(marked[rng.randrange(len(marked))]) if len(marked) else int((tokens.end - tokens.start).argmax())
                 lo = max(0, min(middle - rng.randrange(5, _WINDOW - 5), len(y) - _WINDOW))
                 if lo < len(y) and y[lo] == 1:
                     lo += 1
-                out.append((tokens.features[lo : lo + _WINDOW], y[lo : lo + _WINDOW]))
-    return out
+                if lo < len(y):
+                    out.append((tokens.features[lo : lo + _WINDOW], y[lo : lo + _WINDOW], based))
+    n, t = len(out), _WINDOW
+    found = Examples(np.zeros((n, t, len(SIZES)), np.int64), np.full((n, t), 2), np.zeros((n, t), bool), np.array([x[2] for x in out], bool))
+    for k, (f, labels, _) in enumerate(out):
+        found.features[k, : len(labels)], found.labels[k, : len(labels)], found.held[k, : len(labels)] = f, labels, True
+    return found
+
+
+def _gradient(theta: np.ndarray, x: Examples, some: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Expected minus seen counts of some windows, by forward and backward sums over all of them at once."""
+    size, t = int(offsets[-1]), _WINDOW
+    feats, y, held = x.features[some] + offsets[:-1], x.labels[some], x.held[some]
+    n = len(feats)
+    w, pairs, first = theta[: 2 * size].reshape(2, size), theta[2 * size : 2 * size + 9].reshape(3, 3) + _NEVER, theta[2 * size + 9 :] + _NEVER_FIRST
+    e = np.zeros((n, t, 3))
+    for g in range(len(SIZES)):
+        e[:, :, 0] += w[0][feats[:, :, g]]
+        e[:, :, 1] += w[1][feats[:, :, g]]
+    trans = np.exp(pairs)
+    g = np.exp(e - e.max(2, keepdims=True))
+    alpha = np.zeros((n, t, 3))
+    alpha[:, 0] = np.exp(first) * g[:, 0]
+    alpha[:, 0] /= alpha[:, 0].sum(1, keepdims=True)
+    for i in range(1, t):
+        new = (alpha[:, i - 1] @ trans) * g[:, i]
+        alpha[:, i] = np.where(held[:, i, None], new / np.maximum(new.sum(1, keepdims=True), 1e-300), alpha[:, i - 1])
+    beta = np.ones((n, t, 3))
+    expected = np.zeros((3, 3))
+    for i in range(t - 2, -1, -1):
+        nxt = held[:, i + 1]
+        into = g[:, i + 1] * beta[:, i + 1]
+        joint = alpha[:, i, :, None] * trans * into[:, None, :]
+        joint /= np.maximum(joint.sum((1, 2), keepdims=True), 1e-300)
+        expected += joint[nxt].sum(0)
+        b = into @ trans.T
+        beta[:, i] = np.where(nxt[:, None], b / np.maximum(b.max(1, keepdims=True), 1e-300), beta[:, i + 1])
+    gamma = alpha * beta
+    gamma /= np.maximum(gamma.sum(2, keepdims=True), 1e-300)
+    out = np.zeros_like(theta)
+    flat, own, tags = feats[held].reshape(-1), gamma[held], y[held]
+    for k in (0, 1):
+        weight = np.repeat(own[:, k] - (tags == k), len(SIZES))
+        out[k * size : (k + 1) * size] = np.bincount(flat, weight, size)
+    pair = held[:, 1:]
+    out[2 * size : 2 * size + 9] = expected.reshape(-1) - np.bincount((y[:, :-1] * 3 + y[:, 1:])[pair], minlength=9)
+    out[2 * size + 9 :] = gamma[:, 0].sum(0) - np.bincount(y[:, 0], minlength=3)
+    return out / n
+
+
+_NEVER = np.zeros((3, 3))
+_NEVER[2, 1] = -1e4
+_NEVER_FIRST = np.array([0, -1e4, 0])
 
 
-def train(texts: list[bytes], steps: int = 120, seed: int = 3) -> SecretField:
-    """Maximum likelihood by Adam; forward and backward sums over all windows at once."""
+def train(texts: list[bytes], steps: int = 160, seed: int = 3, batch: int = 400) -> SecretField:
+    """Maximum likelihood by Adam over batches of windows of all texts; those with and those without a base span are in
+    each batch in proportion to their number."""
     rng = random.Random(seed)
-    examples = [x for x in _examples(texts or [b"nothing to learn from"], rng) if len(x[1])][:4000]
-    n, t = len(examples), _WINDOW
-    feats, y, held = np.zeros((n, t, len(SIZES)), np.int64), np.full((n, t), 2), np.zeros((n, t), bool)
-    for k, (f, labels) in enumerate(examples):
-        feats[k, : len(labels)], y[k, : len(labels)], held[k, : len(labels)] = f, labels, True
+    x = examples(texts or [b"nothing to learn from"], rng)
     offsets = np.r_[0, np.cumsum(SIZES)]
-    flat = (feats + offsets[:-1]).reshape(n * t, -1)
     size = int(offsets[-1])
     theta = np.zeros(2 * size + 12)
-    never = np.zeros((3, 3))
-    never[2, 1] = -1e4
     m = v = np.zeros_like(theta)
-    seen = np.zeros(2 * size + 12)
-    ok = held.reshape(-1)
-    for k in (0, 1):
-        seen[k * size : (k + 1) * size] = np.bincount(flat[ok & (y.reshape(-1) == k)].reshape(-1), minlength=size)
-    pair = held[:, 1:]
-    seen[2 * size : 2 * size + 9] = np.bincount((y[:, :-1] * 3 + y[:, 1:])[pair], minlength=9)
-    seen[2 * size + 9 :] = np.bincount(y[:, 0], minlength=3)
+    order, at = np.zeros(0, np.int64), 0
+    draw = np.random.default_rng(seed)
     for step in range(1, steps + 1):
-        w, pairs, first = theta[: 2 * size].reshape(2, size), theta[2 * size : 2 * size + 9].reshape(3, 3) + never, theta[2 * size + 9 :] + np.array([0, -1e4, 0])
-        e = np.zeros((n, t, 3))
-        e[:, :, :2] = w[:, flat].sum(2).T.reshape(n, t, 2)
-        trans = np.exp(pairs)
-        alpha, scale = np.zeros((n, t, 3)), np.ones((n, t))
-        top = e.max(2, keepdims=True)
-        g = np.exp(e - top)
-        alpha[:, 0] = np.exp(first) * g[:, 0]
-        for i in range(t):
-            if i:
-                alpha[:, i] = np.where(held[:, i, None], (alpha[:, i - 1] @ trans) * g[:, i], alpha[:, i - 1])
-            scale[:, i] = alpha[:, i].sum(1)
-            alpha[:, i] /= scale[:, i, None]
-        beta = np.ones((n, t, 3))
-        expected = np.zeros((3, 3))
-        for i in range(t - 2, -1, -1):
-            nxt = held[:, i + 1]
-            into = g[:, i + 1] * beta[:, i + 1]
-            joint = alpha[:, i, :, None] * trans * into[:, None, :]
-            joint /= np.maximum(joint.sum((1, 2), keepdims=True), 1e-300)
-            expected += joint[nxt].sum(0)
-            b = into @ trans.T
-            beta[:, i] = np.where(nxt[:, None], b / np.maximum(b.max(1, keepdims=True), 1e-300), beta[:, i + 1])
-        gamma = alpha * beta
-        gamma /= np.maximum(gamma.sum(2, keepdims=True), 1e-300)
-        model = np.zeros_like(theta)
-        flat_gamma = gamma.reshape(-1, 3)
-        for k in (0, 1):
-            model[k * size : (k + 1) * size] = np.bincount(flat[ok].reshape(-1), np.repeat(flat_gamma[ok, k], flat.shape[1]), size)
-        model[2 * size : 2 * size + 9], model[2 * size + 9 :] = expected.reshape(-1), gamma[:, 0].sum(0)
-        gradient = (model - seen) / n + 1e-4 * theta
+        if at + batch > len(order):
+            order, at = draw.permutation(len(x.based)), 0
+        some = order[at : at + batch]
+        at += batch
+        gradient = _gradient(theta, x, some, offsets) + 1e-4 * theta
         m, v = 0.9 * m + 0.1 * gradient, 0.99 * v + 0.01 * gradient**2
-        theta = theta - 0.15 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
+        rate = 0.15 * min(1.0, 2 * (1 - (step - 1) / steps))
+        theta = theta - rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
     w = theta[: 2 * size].reshape(2, size).T
     weights = [w[a:b].copy() for a, b in zip(offsets, offsets[1:])]
-    return SecretField(weights, theta[2 * size : 2 * size + 9].reshape(3, 3) + never, theta[2 * size + 9 :] + np.array([0, -1e4, 0]))
-
-
-def fit(docs: DataFrame, key_col: str = "doc_id", text_col: str = "text", sample: int = 1500) -> SecretField:
-    """A field from about ``sample`` texts, half of them with a base span, chosen by a hash of the key."""
-    named = F.col(f"`{text_col}`").rlike("(?i)(password|passwd|secret|token|api_?key)[\"']? *[:=]|AKIA[A-Z0-9]{16}|[0-9a-f]{24}")
-    rows = docs.select(F.col(f"`{key_col}`").alias("key"), F.col(f"`{text_col}`").alias("text"), named.alias("named")).where("text is not null")
-    counts = {r["named"]: r["n"] for r in rows.groupBy("named").agg(F.count("*").alias("n")).collect()}
-    texts = []
-    for named, n in sorted(counts.items()):
-        share = min(1.0, sample / 2 / n)
-        some = rows.where((F.pmod(F.xxhash64("key"), F.lit(1_000_000)) < share * 1_000_000) & (F.col("named") == named)).select("key", "text")
-        drawn = sorted((r["key"] is None, r["key"] or 0, r["text"]) for r in some.collect())
-        texts += [x[2].encode() for x in drawn[:sample]]
-    return train(texts)
+    return SecretField(weights, theta[2 * size : 2 * size + 9].reshape(3, 3) + _NEVER, theta[2 * size + 9 :] + _NEVER_FIRST)
+
+
+def sampled_texts(docs: DataFrame, text_col: str = "text", sample: int = 1000, pool: int = 30_000, longest: int = 200_000) -> list[bytes]:
+    """``sample`` texts at most, half of them with a base span."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            named = pa.array([bool(base_spans(raw)) for raw in raw_texts(batch)])
+            yield pa.RecordBatch.from_arrays([batch.column("draw"), batch.column("text"), named], names=["draw", "text", "named"])
+
+    rows = docs.select(F.col(f"`{text_col}`").cast("string").alias("text"), F.lit(0).alias("kind")).where("text is not null")
+    found = drawn(rows, "kind", ["text"], pool, longest).mapInArrow(run, "draw long, text string, named boolean")
+    found = Scratch(docs.sparkSession, "secrets").write(found, "pool")
+    half = sample // 2
+    return [r["text"].encode() for named in (True, False) for r in found.where(F.col("named") == named).orderBy("draw").limit(half).collect()]
+
+
+def fit(docs: DataFrame, text_col: str = "text", sample: int = 1000, pool: int = 30_000, longest: int = 200_000) -> SecretField:
+    """A field from a bounded sample of the texts."""
+    return train(sampled_texts(docs, text_col, sample, pool, longest))
 
 
 def scan(raws: list[bytes | None], field: SecretField) -> list[list[dict]]:

@@ -81,7 +81,7 @@ def _base(text):
 def field():
     clean = [helpers.prose(700 + k, 60) for k in range(60)]
     named = [helpers.prose(800 + k, 20) + f' token = "{k:040x}" ' + helpers.prose(900 + k, 20) for k in range(40)]
-    return secrets.train([x.encode() for x in clean + named], steps=60)
+    return secrets.train([x.encode() for x in clean + named], steps=120)
 
 
 def test_base_spans_stay_and_clean_texts_have_none(field):
@@ -142,3 +142,49 @@ def test_secret_table_and_redaction(spark, field):
     assert secrets.redacted(r["text"], [s.asDict() for s in r["secrets"]["spans"]]) == "my password=[secret] ok"
     assert got[2]["secrets"] == Row(spans=[])
     assert secrets.fit(helpers.table(spark, [])).decode(secrets.tokenize(b"", secrets.np.zeros(1, int))) == []
+    assert secrets.find_secrets(helpers.table(spark, []), field).count() == 0
+
+
+def test_both_kinds_of_texts_are_learnt_from(spark):
+    """Half of the sample has base spans, whatever part of the table they are; equal texts count once."""
+    rows = [(k, helpers.prose(k, 30) + (f" token={k:08x}" if k % 20 == 0 else "")) for k in range(600)] + [(1, helpers.prose(1, 30))] * 400 + [(None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    texts = secrets.sampled_texts(df, sample=40)
+    assert len(texts) == len(set(texts)) == 40 and sum(bool(secrets.base_spans(t)) for t in texts) == 20
+    found = secrets.examples(texts, __import__("random").Random(1))
+    assert found.based.sum() >= 40 and len(found.based) - found.based.sum() >= 40
+    plain = found.based & (found.labels < 2).any(1)
+    assert plain.sum() >= 0.9 * found.based.sum()  # the base spans are labelled
+    assert len(secrets.sampled_texts(df, sample=4, pool=50)) == 4
+
+
+def test_gradient_is_that_of_the_likelihood():
+    """Against differences of the log-likelihood, summed over all paths one by one."""
+    import itertools
+    import random
+
+    np = secrets.np
+    x = secrets.examples([b"token=abcdef12 now", b"plain words"], random.Random(2))
+    x.held[:, 4:] = False
+    offsets = np.r_[0, np.cumsum(secrets.SIZES)]
+    size, rng = int(offsets[-1]), np.random.default_rng(5)
+    theta, some = rng.normal(0, 0.3, 2 * size + 12), np.arange(len(x.based))
+
+    def likelihood(theta):
+        w, pairs, first = theta[: 2 * size].reshape(2, size), theta[2 * size : 2 * size + 9].reshape(3, 3) + secrets._NEVER, theta[2 * size + 9 :] + secrets._NEVER_FIRST
+        total = 0.0
+        for f, y, held in zip(x.features, x.labels, x.held):
+            n = int(held.sum())
+            e = np.array([[w[0][f[i] + offsets[:-1]].sum(), w[1][f[i] + offsets[:-1]].sum(), 0.0] for i in range(n)])
+
+            def score(tags):
+                return first[tags[0]] + sum(e[i, t] for i, t in enumerate(tags)) + sum(pairs[a, b] for a, b in zip(tags, tags[1:]))
+
+            total += score(y[:n].tolist()) - np.log(sum(np.exp(score(t)) for t in itertools.product(range(3), repeat=n)))
+        return total / len(x.based)
+
+    got = secrets._gradient(theta, x, some, offsets)
+    for k in [*rng.permutation(2 * size)[:12], *range(2 * size, 2 * size + 12)]:
+        step = np.zeros_like(theta)
+        step[k] = 1e-5
+        assert abs(got[k] - (likelihood(theta - step) - likelihood(theta + step)) / 2e-5) < 1e-4
