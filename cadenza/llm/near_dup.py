@@ -3,12 +3,14 @@
 1. Every text becomes a set of 5-word shingles and a signature of minwise
    tokens. Texts of equal words form a class (128-bit digest); from here on one
    representative stands for each class.
-2. ``TREES`` independent trees branch the representatives: a node sends each
-   one to ``BRANCHES`` children, chosen by its minwise tokens at the places
-   that the tree takes at this level. A pair of similarity s shares a child
-   with probability 1 - (1 - s)**2; at 0.75 a pair stays together at any depth
-   of a tree with probability 0.889 or more, so 8 trees lose fewer than 3 in
-   10**8 pairs.
+2. ``TREES`` trees branch the representatives: a node sends each one to
+   ``BRANCHES`` children, chosen by its minwise tokens at two places. The trees'
+   first places differ; below, each node takes places by a hash of its own path,
+   so that siblings that hold the same pair part or keep it independently. Where
+   k of the ``PLACES`` tokens of a pair are equal, a tree of any depth loses it
+   with probability q = (1 - p + p q)**2, p = k / PLACES; :func:`loss` sums q**TREES
+   over all k. At similarity 0.75 that is below 3 in 10**6 pairs, at 0.8 below 4 in
+   10**8, and less where nodes are small, as those don't branch on.
 3. A text's popularity is the size of its nodes on the first level, so the text
    that others were copied from is popular. Each node's most popular member is
    its head; members are compared with the heads they meet in several nodes.
@@ -20,15 +22,18 @@
    Others of ``LEAF`` members at most are compared exhaustively, larger ones
    branch on. After ``LEVELS`` levels the rest is compared block by block, so no
    node is capped. Signatures sort out pairs far below the threshold: at 0.75,
-   fewer than 30 equal ones of the 64 tokens that trees branch on, or fewer than
+   fewer than 30 equal ones of the first 64 tokens, or fewer than
    70 of all 128, have a probability below 1e-6 together.
 6. All links are confirmed on the full sets of both texts; components come from
    alternating large-star and small-star steps.
 
 All steps shuffle ids, signatures or the texts of candidates; no group meets in
-one task. Tables of each step are written to the shared folder.
+one task: where over ``HOT`` rows have one key, a join deals them over several
+copies of the other side's row (``_Join.dealt``). Tables of each step are written
+to the shared folder.
 
-Null texts and texts without words have no shingles and no links. Fewer than
+Set sizes and candidates come from 64-bit hashes of shingles, links from the
+shingles themselves. An empty table stays empty. Null texts and texts without words have no shingles and no links. Fewer than
 five words count as one shingle. Row numbers stand for rows, so repeated rows
 and repeated or null ids are linked like any others; a component's id is the
 smallest id in it that isn't null.
@@ -37,7 +42,7 @@ smallest id in it that isn't null.
 from __future__ import annotations
 
 import hashlib
-import random
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -50,15 +55,20 @@ from cadenza.llm.common import Scratch, raw_texts, slices, space_words
 
 SHINGLE = 5
 PERCENT = 75
-#: Minwise tokens that trees branch on, and those of a whole signature.
+#: Minwise tokens that are compared first, and those of a whole signature.
 TOKENS, SIGNATURE = 64, 128
 TREES, BRANCHES, LEVELS, LEAF = 8, 2, 8, 4096
+PLACES = SIGNATURE  # places that nodes may take
 #: Equal tokens of a candidate, at least: of the first ``TOKENS``, and of the whole signature.
 ALIKE, ALL_ALIKE = 30, 70
+#: Rows of one key that a task of a join gets, about.
+HOT = 4096
 #: Shared nodes of the first level from which a member is compared with a head.
 MET = 4
 #: Members that aren't linked to their head, and members, in a block of a circle.
 OPEN_BLOCK, CIRCLE_BLOCK = 128, 512
+#: Steps until components must be stable; each about halves the depth of what is left.
+STEPS = 100
 #: Row numbers that are broadcast, at most; beyond it, Spark joins by a shuffle.
 BROADCAST_ROWS = 1_000_000
 
@@ -82,16 +92,15 @@ def _mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
-def places() -> list[list[list[int]]]:
-    """The places of the signature that each tree takes at each level; those of the first level differ."""
-    out = []
-    for tree in range(TREES):
-        own = list(range(BRANCHES * tree, BRANCHES * (tree + 1)))
-        rest = [i for i in range(TOKENS) if i not in own]
-        random.Random(tree).shuffle(rest)
-        line = own + rest
-        out.append([[line[(BRANCHES * level + b) % TOKENS] for b in range(BRANCHES)] for level in range(LEVELS)])
-    return out
+def loss(similarity: float) -> float:
+    """The probability that no tree keeps a pair of this similarity together, however deep they are."""
+    total = 0.0
+    for k in range(PLACES + 1):
+        p, q = k / PLACES, 0.0
+        for _ in range(10_000):  # the least fixed point
+            q = (1 - p + p * q) ** BRANCHES
+        total += math.comb(PLACES, k) * similarity**k * (1 - similarity) ** (PLACES - k) * q**TREES
+    return total
 
 
 def shingle_set(raw: bytes) -> set[bytes]:
@@ -242,8 +251,20 @@ def _bounded(df: DataFrame) -> DataFrame:
 
 class _Join:
     def __init__(self, scratch: Scratch, prepared: DataFrame):
-        self.scratch, self.prepared = scratch, prepared
-        self.places = places()
+        self.scratch, self.prepared, self.joins = scratch, prepared, 0
+
+    def dealt(self, left: DataFrame, right: DataFrame, key: str, by: str, counts: DataFrame | None = None, how: str = "inner") -> DataFrame:
+        """``left`` joined with the row that ``right`` has for each key. Rows of ``left`` of a key that has over ``HOT`` of them
+        are dealt by ``by`` over that many copies of the row; ``counts`` (key, n) are those of ``left``, if known."""
+        counts = counts if counts is not None else left.groupBy(key).agg(F.count("*").alias("n"))
+        if (counts.agg(F.max("n")).first()[0] or 0) <= HOT:
+            return left.join(right, key, how)
+        self.joins += 1
+        hot = _bounded(self.scratch.write(counts.where(f"n > {HOT}").select(key, F.ceil(F.col("n") / HOT).cast("int").alias("__c")), f"hot-{self.joins}"))
+        copies = F.coalesce("__c", F.lit(1))
+        left = left.join(hot, key, "left").withColumn("__s", F.pmod(F.xxhash64(by, F.lit(3)), copies).cast("int")).drop("__c")
+        right = right.join(hot, key, "left").withColumn("__s", F.explode(F.sequence(F.lit(0), copies - 1))).drop("__c")
+        return left.join(right, [key, "__s"], how).drop("__s")
 
     def texts(self, rows: DataFrame, name: str) -> DataFrame:
         """The texts of some rows."""
@@ -254,15 +275,15 @@ class _Join:
         """a, b, and the sizes of intersection and union of their full sets."""
         pairs = self.scratch.write(pairs, f"{name}-pairs")
         texts = self.texts(pairs.select(F.explode(F.array("a", "b")).alias("row")), f"{name}-rows")
-        with_b = pairs.join(texts.select(F.col("row").alias("b"), F.col("text").alias("text_b")), "b")
-        both = with_b.join(texts.select(F.col("row").alias("a"), F.col("text").alias("text_a")), "a")
+        with_b = self.dealt(pairs, texts.select(F.col("row").alias("b"), F.col("text").alias("text_b")), "b", "a")
+        both = self.dealt(with_b, texts.select(F.col("row").alias("a"), F.col("text").alias("text_a")), "a", "b", pairs.groupBy("a").agg(F.count("*").alias("n")))
         return self.scratch.write(both.select("a", "b", "text_a", "text_b").mapInArrow(_compare, "a long, b long, both long, all long"), name)
 
     def circle_links(self, circles: DataFrame) -> DataFrame:
         """(circle, row, label, head_label) to links between open members and others, not yet confirmed."""
         open_ = F.col("label") != F.col("head_label")
         sizes = circles.groupBy("circle").agg(F.count("*").alias("s"), F.count_if(open_).alias("u")).where("u > 0 and s > 2")
-        rows = self.scratch.write(circles.join(sizes, "circle").withColumn("open", open_), "circles")
+        rows = self.scratch.write(self.dealt(circles, sizes, "circle", "row", sizes.select("circle", F.col("s").alias("n"))).withColumn("open", open_), "circles")
         across = F.ceil(F.col("u") / OPEN_BLOCK).cast("int")
         down = F.ceil(F.col("s") / CIRCLE_BLOCK).cast("int")
         x, y = F.pmod(F.xxhash64("row"), across).cast("int"), F.pmod(F.xxhash64("row", F.lit(1)), down).cast("int")
@@ -277,25 +298,35 @@ class _Join:
         """(row, root) of every linked row; the root is the smallest row of its component."""
         edges = self.scratch.write(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), f"{name}-0")
         seen = None
-        for step in range(1, 100):
-            mark = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        for step in range(1, STEPS + 1):
+            ends = edges.union(edges.select("v", "u"))
+            degree = ends.groupBy("u").agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h"))
+            mark = degree.agg(F.sum("n"), F.sum("h"), F.max("n")).first()
             if mark == seen:
                 break
             seen = mark
             around = edges.union(edges.select("v", "u"))
             least = around.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-            large = around.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+            hot = (mark[2] or 0) > HOT
+            large = (self.dealt(around, least, "u", "v") if hot else around.join(least, "u")).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+            large = self.scratch.write(large, f"{name}-large-{step}") if hot else large
             least = large.groupBy("u").agg(F.min("v").alias("m"))
-            small = large.join(least, "u").select(F.explode(F.array(F.struct(F.col("u").alias("x"), "m"), F.struct(F.col("v").alias("x"), "m"))).alias("e"))
+            small = (self.dealt(large, least, "u", "v") if hot else large.join(least, "u")).select(F.explode(F.array(F.struct(F.col("u").alias("x"), "m"), F.struct(F.col("v").alias("x"), "m"))).alias("e"))
             edges = self.scratch.write(small.select(F.col("e.x").alias("u"), F.col("e.m").alias("v")).where("u <> v").distinct(), f"{name}-{step}")
             self.scratch.drop(f"{name}-{step - 1}")
+        else:
+            raise RuntimeError(f"components are not stable after {STEPS} steps")
         rows = edges.select(F.col("u").alias("row"), F.col("v").alias("root"))
         return rows.union(rows.select(F.col("root").alias("row"), "root").distinct())
 
     def children(self, members: DataFrame, level: int) -> DataFrame:
-        """Members with their minwise tokens, sent to the children of their nodes."""
-        chosen = F.array(*(F.array(*(F.lit(p) for p in tree[level])) for tree in self.places))
-        place = members.withColumn("place", F.explode(chosen[F.col("tree")]))
+        """Members with their minwise tokens, sent to the children of their nodes; of the roots, to those by the tree's own places."""
+        if level == 0:
+            chosen = [F.col("tree") * BRANCHES + b for b in range(BRANCHES)]
+        else:
+            first = F.pmod(F.xxhash64("node", F.lit(level)), F.lit(PLACES))
+            chosen = [F.pmod(first + b * (1 + F.pmod(F.xxhash64("node", F.lit(-level)), F.lit(PLACES // BRANCHES - 1))), F.lit(PLACES)) for b in range(BRANCHES)]
+        place = members.withColumn("place", F.explode(F.array(*(c.cast("int") for c in chosen))))
         node = F.xxhash64("node", "tree", "place", F.element_at("tokens", F.col("place") + 1))
         return place.select(node.alias("node"), "tree", "place", *(c for c in members.columns if c not in ("node", "tree", "tokens")))
 
@@ -303,9 +334,13 @@ class _Join:
         """Of each row: its number, doc_id, n, component_id, and whether it is the first one of its component."""
         scratch = self.scratch
         smallest = F.min(F.struct(F.isnull("doc_id").alias("none"), "doc_id", "row")).alias("smallest")
-        dups = self.prepared.where("digest is not null").groupBy("digest").agg(F.min("row").alias("rep"), smallest, F.count("*").alias("k")).where("k > 1").drop("k")
+        dups = self.prepared.where("digest is not null").groupBy("digest").agg(F.min("row").alias("rep"), smallest, F.count("*").alias("n_rows")).where("n_rows > 1")
+        dups = scratch.write(dups, "classes")
         own = F.struct(F.isnull("doc_id").alias("none"), "doc_id", "row")
-        joined = self.prepared.select("row", "doc_id", "n", "digest", "tokens").join(dups, "digest", "left")
+        plain = self.prepared.select("row", "doc_id", "n", "digest", "tokens")
+        sizes = dups.select("digest", F.col("n_rows").alias("n"))
+        joined = self.dealt(plain.where("digest is not null"), dups.drop("n_rows"), "digest", "row", sizes, "left")
+        joined = joined.unionByName(plain.where("digest is null"), allowMissingColumns=True)
         rep = F.coalesce("rep", "row")
         rows = scratch.write(
             joined.select("row", "doc_id", "n", rep.alias("rep"), F.coalesce("smallest", own).alias("smallest"), F.when(rep == F.col("row"), F.col("tokens")).alias("tokens")), "rows"
@@ -314,13 +349,15 @@ class _Join:
 
         roots = F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree")
         first = self.children(reps.select(F.lit(0).cast("long").alias("node"), roots, "row", "n", "tokens"), 0)
-        several = first.groupBy("node").agg(F.count("*").alias("size")).where("size > 1")
-        nodes = scratch.write(first.join(several, "node"), "nodes")
+        several = scratch.write(first.groupBy("node").agg(F.count("*").alias("size")).where("size > 1"), "several")
+        members = several.select("node", F.col("size").alias("n"))
+        nodes = scratch.write(self.dealt(first, several, "node", "row", members), "nodes")
         fame = nodes.groupBy("row").agg(F.sum("size").alias("fame"))
         famous = nodes.join(fame, "row").select("node", F.struct("fame", (-F.col("row")).alias("minus"), "n").alias("f"))
         heads = famous.groupBy("node").agg(F.max("f").alias("f")).select("node", (-F.col("f.minus")).alias("head"), F.col("f.n").alias("head_n"))
+        heads = scratch.write(heads, "heads")
         half = "100 * least(n, head_n) >= 50 * greatest(n, head_n)"  # else the similarity is below 0.5
-        met = nodes.join(heads, "node").where(f"row <> head and {half}").groupBy(F.col("head").alias("a"), F.col("row").alias("b")).agg(F.count("*").alias("k"))
+        met = self.dealt(nodes, heads, "node", "row", members).where(f"row <> head and {half}").groupBy(F.col("head").alias("a"), F.col("row").alias("b")).agg(F.count("*").alias("k"))
         stars = self.compared(met.where(f"k >= {MET}").select("a", "b"), "stars")
         links = scratch.write(stars.where(f"100 * both >= {PERCENT} * all").select("a", "b"), "star-links")
         groups = scratch.write(self.components(links, "groups"), "groups")
@@ -333,7 +370,7 @@ class _Join:
         all_near = stars.where("100 * both >= 50 * all").select(F.col("a").alias("circle"), F.col("b").alias("row"))
         all_near = all_near.union(all_near.select("circle", F.col("circle").alias("row")).distinct())
         of_head = groups.select(F.col("row").alias("circle"), F.col("root").alias("head_root"))
-        wide = all_near.join(groups, "row", "left").join(of_head, "circle", "left").select("circle", "row", label, F.coalesce("head_root", "circle").alias("head_label"))
+        wide = self.dealt(all_near.join(groups, "row", "left"), of_head, "circle", "row", all_near.groupBy("circle").agg(F.count("*").alias("n")), "left").select("circle", "row", label, F.coalesce("head_root", "circle").alias("head_label"))
         inner = self.compared(self.circle_links(wide), "circle-links")
         links = scratch.write(links.union(inner.where(f"100 * both >= {PERCENT} * all").select("a", "b")), "early-links")
         groups = scratch.write(self.components(links, "more-groups"), "more-groups")
@@ -344,7 +381,8 @@ class _Join:
         while True:
             ends = [f(c).alias(f"{g}_{c}") for c in ("label", "circle") for f, g in ((F.min, "low"), (F.max, "high"))]
             state = labelled.groupBy("node").agg(F.count("*").alias("size"), *ends).where("low_label < high_label and low_circle < high_circle")
-            open_ = scratch.write(labelled.join(state.select("node", "size"), "node"), f"open-{level}")
+            state = scratch.write(state.select("node", "size"), f"state-{level}")
+            open_ = scratch.write(self.dealt(labelled, state, "node", "row", state.select("node", F.col("size").alias("n"))), f"open-{level}")
             leaves.append(open_.where(f"size <= {LEAF}").select("node", "row", "label", "circle", F.col("place") if level == 0 else F.lit(-1).alias("place")))
             large = open_.where(f"size > {LEAF}")
             level += 1
@@ -370,8 +408,8 @@ class _Join:
 
         of_rep = rows.where("row = rep").select("row", "smallest")
         least = found.join(of_rep, "row").groupBy("root").agg(F.min("smallest").alias("least"))
-        by_rep = scratch.write(found.join(least, "root").select(F.col("row").alias("rep"), "least"), "by-rep")
-        final = rows.drop("tokens").join(by_rep, "rep", "left").withColumn("least", F.coalesce("least", "smallest"))
+        by_rep = scratch.write(self.dealt(found, least, "root", "row").select(F.col("row").alias("rep"), "least"), "by-rep")
+        final = self.dealt(rows.drop("tokens"), by_rep, "rep", "row", dups.select("rep", F.col("n_rows").alias("n")), "left").withColumn("least", F.coalesce("least", "smallest"))
         return final.select("row", "doc_id", F.col("n").alias("n_shingles"), F.col("least.doc_id").alias("component_id"), (F.col("least.row") == F.col("row")).alias("first"))
 
 

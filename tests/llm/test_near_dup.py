@@ -83,3 +83,40 @@ def test_shuffle_path_without_broadcast(spark, monkeypatch):
     rows = list(enumerate(_copies(41, 80, 25, 4)))
     df = spark.createDataFrame(rows, "doc_id long, text string")
     assert _got(near_dup.near_duplicates(df)) == _want(rows)
+
+
+def test_hot_keys(spark, monkeypatch):
+    """Every key counts as hot, so that all joins deal rows over copies; many equal texts, and texts without words."""
+    monkeypatch.setattr(near_dup, "HOT", 3)
+    rows = list(enumerate(_copies(51, 100, 40, 6) + [helpers.prose(52, 60)] * 30 + [None, "", " "] * 5 + [helpers.prose(53, 30) + " " + helpers.prose(500 + k, 50) for k in range(20)]))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert _got(near_dup.near_duplicates(df)) == _want(rows)
+
+
+def test_components_must_get_stable(spark, monkeypatch):
+    monkeypatch.setattr(near_dup, "STEPS", 1)
+    df = spark.createDataFrame(list(enumerate(_copies(61, 60, 6, 2))), "doc_id long, text string")
+    with pytest.raises(RuntimeError, match="stable"):
+        near_dup.near_duplicates(df)
+
+
+def test_pairs_at_the_threshold_stay_together(spark, monkeypatch):
+    """Nodes of over four members branch on through all levels; pairs hardly over 0.75, among texts that share half of their words."""
+    assert near_dup.loss(0.75) < 3e-6 and near_dup.loss(0.8) < 4e-8
+    monkeypatch.setattr(near_dup, "LEAF", 4)
+    monkeypatch.setattr(near_dup, "MET", 17)
+    rng, shared, rows = random.Random(71), helpers.prose(72, 60), []
+    for k in range(60):
+        words = (shared + " " + helpers.prose(700 + k, 80)).split()
+        other, at = words[:], 60 + rng.randrange(5)
+        while True:  # edits as long as the similarity stays over the threshold
+            trial = other[:]
+            trial[at % 140] = f"new{rng.randrange(10**6)}"
+            a, b = helpers.shingles(" ".join(words)), helpers.shingles(" ".join(trial))
+            if 100 * len(a & b) < 75 * len(a | b):
+                break
+            other, at = trial, at + 17
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(other))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert _got(near_dup.near_duplicates(df)) == _want(rows)
+    assert len({c for *_, c in _want(rows)}) == 60
