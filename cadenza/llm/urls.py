@@ -3,13 +3,15 @@
 Rules (host, path, verdict) are written as one file: the xxhash64 of ``host +
 path`` in ascending order, then the full strings. Spark hands the file to every
 executor (``addFile``); tasks map it and share its pages. A url probes the
-digests of each suffix of its host's labels with each length of path that some
-rule has; the stored string must equal the probe, so a collision of digests
+digests of the suffixes of its host with as many labels, and the starts of its path
+with as many bytes, as some rule has, so a host of any length takes a bounded number
+of probes; the stored string must equal the probe, so a collision of digests
 can't give a wrong rule. The longest string wins, at equal lengths that of the
 longer host; of repeated rules the first.
 
 Null, or a url without ``://``: empty host and path, no rule. A url that no
-rule fits gets the default verdict.
+rule fits gets the default verdict. Repeated rows are judged one by one, an empty table
+stays empty.
 """
 
 from __future__ import annotations
@@ -29,23 +31,25 @@ from pyspark.sql import types as T
 from cadenza.llm.common import shared_folder, without_column
 
 VERDICTS = ("allow", "block")
-_HEAD = struct.Struct("<QQQ")  # rules, distinct lengths of paths, bytes of strings
+_HEAD = struct.Struct("<QQQQ")  # rules, distinct lengths of paths, distinct numbers of labels, bytes of strings
 
 
 def pack(rules: list[tuple[str, str, str]]) -> bytes:
-    """The file of (host, path, verdict) rules: digests, ends of strings, host lengths, verdicts, path lengths, strings."""
+    """The file of (host, path, verdict) rules: digests, ends of strings, host lengths, verdicts, path lengths, numbers of labels, strings."""
     by_key: dict[bytes, tuple[int, str]] = {}
     for host, path, verdict in rules:
         by_key.setdefault(host.encode() + path.encode(), (len(host.encode()), verdict))
     keys = sorted(by_key, key=lambda k: (xxhash.xxh64_intdigest(k), k))
     lengths = sorted({len(k) - by_key[k][0] for k in keys})
+    labels = sorted({k[: by_key[k][0]].count(b".") + 1 for k in keys})
     parts = [
-        _HEAD.pack(len(keys), len(lengths), sum(map(len, keys))),
+        _HEAD.pack(len(keys), len(lengths), len(labels), sum(map(len, keys))),
         np.array([xxhash.xxh64_intdigest(k) for k in keys], "<u8").tobytes(),
         np.cumsum([len(k) for k in keys]).astype("<u8").tobytes(),
         np.array([by_key[k][0] for k in keys], "<u4").tobytes(),
         np.array([VERDICTS.index(by_key[k][1]) for k in keys], "u1").tobytes(),
         np.array(lengths, "<u4").tobytes(),
+        np.array(labels, "<u4").tobytes(),
         b"".join(keys),
     ]
     return b"".join(parts)
@@ -55,7 +59,7 @@ class RuleFile:
     """A packed file, mapped into memory."""
 
     def __init__(self, data: np.ndarray):
-        n, k, size = _HEAD.unpack(data[: _HEAD.size].tobytes())
+        n, k, m, size = _HEAD.unpack(data[: _HEAD.size].tobytes())
         at = _HEAD.size
 
         def take(kind: str, count: int) -> np.ndarray:
@@ -65,18 +69,25 @@ class RuleFile:
             return got
 
         self.digests, self.ends = take("<u8", n), take("<u8", n)
-        self.hosts, self.verdicts, self.lengths, self.strings = take("<u4", n), take("u1", n), take("<u4", k), take("u1", size)
+        self.hosts, self.verdicts = take("<u4", n), take("u1", n)
+        self.lengths, self.labels, self.strings = take("<u4", k), take("<u4", m), take("u1", size)
 
     def string(self, i: int) -> bytes:
         return self.strings[int(self.ends[i - 1]) if i else 0 : int(self.ends[i])].tobytes()
 
+    def suffixes(self, host: bytes) -> list[bytes]:
+        """The ends of a host that have as many labels as some rule's."""
+        if not host or not len(self.labels):
+            return []
+        parts = host.rsplit(b".", int(self.labels[-1]))  # what stands before the last ones is left in one piece
+        known = len(parts) if len(parts) <= self.labels[-1] else int(self.labels[-1])
+        return [b".".join(parts[len(parts) - n :]) for n in self.labels.tolist() if n <= known]
+
     def match(self, urls: list[tuple[bytes, bytes]]) -> list[int]:
         """The number of the rule that wins for each (host, path), or -1."""
         owner, probes, hosts = [], [], []
         for i, (host, path) in enumerate(urls):
-            labels = host.split(b".")
-            for j in range(len(labels)) if host else ():
-                suffix = b".".join(labels[j:])
+            for suffix in self.suffixes(host):
                 for length in self.lengths.tolist():
                     if length <= len(path):
                         owner.append(i)
