@@ -3,12 +3,19 @@
 Suffixes of all texts of a slice are sorted together by prefix doubling, each
 text apart. The ranks of every doubling step are kept, so that the longest
 common prefix (LCP) of neighbours in the suffix array follows from log2 steps
-of comparisons. LCP intervals of ``min_repeat`` words or more that are
-left-diverse are the maximal repeated substrings; the union of all their
-occurrences gives the covered share of a text.
+of comparisons. LCP intervals of ``min_repeat`` words or more are the repeats; those
+that are left-diverse are maximal. Each suffix gets the innermost interval that
+holds it, and the span of that interval's length; the union of these spans is that
+of all occurrences of all maximal repeats, as outer intervals are shorter and a
+repeat that isn't left-diverse lies in the one a word before. The union may cover a
+share of a text, and the longest interval have so many words, before it fails.
+
+Ranks take 4 bytes a word for each doubling of the longest repeat of the slice, so a
+text of 2 million words that is one loop takes about 200 MB.
 
 Nulls and texts without words have all counts zero and fail the base rule.
-Repeated rows are judged one by one. An empty table gives an empty table.
+Repeated rows are judged one by one. An empty table gives an empty table. Order
+among equal repeats changes nothing.
 """
 
 from __future__ import annotations
@@ -48,13 +55,14 @@ def suffix_ranks(words: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, list[
     Equal ranks of step r mean that the 2**r words from there on are equal and in the same text.
     """
     n = len(words)
+    kind = np.int32 if n < 2**31 - 2 else np.int64
     last = np.searchsorted(text, text, side="right") if n else np.zeros(0, np.int64)  # the end of each word's text
     key = text.astype(np.int64) * (int(words.max()) + 1 if n else 1) + words
     order = np.argsort(key, kind="stable")
     first = np.r_[True, key[order][1:] != key[order][:-1]] if n else np.zeros(0, bool)
     rank = np.empty(n, np.int64)
     rank[order] = np.maximum.accumulate(np.where(first, np.arange(n), 0))
-    steps, h = [rank.copy()], 1
+    steps, h = [rank.astype(kind)], 1
     ends = np.r_[first[1:], True] if n else first
     active = order[~(first & ends)]  # in order of rank, groups of one left out
     while len(active):
@@ -69,7 +77,7 @@ def suffix_ranks(words: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, list[
         at = np.arange(len(active))
         start = np.maximum.accumulate(np.where(group, at, 0))
         rank[active] = old + np.maximum.accumulate(np.where(part, at, 0)) - start
-        steps.append(rank.copy())
+        steps.append(rank.astype(kind))
         active = active[~(part & np.r_[part[1:], True])]
         h *= 2
     suffixes = np.empty(n, np.int64)
@@ -93,24 +101,33 @@ def lcp_of_neighbours(suffixes: np.ndarray, steps: list[np.ndarray]) -> np.ndarr
     return lcp
 
 
-def lcp_intervals(lcp: np.ndarray, least: int) -> list[tuple[int, int, int]]:
-    """(length, first, last) of every LCP interval of ``least`` words or more."""
-    found: list[tuple[int, int, int]] = []
-    stack: list[tuple[int, int]] = []  # (length, first)
+def lcp_intervals(lcp: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """(length, first, last) of every LCP interval of ``least`` words or more, and the number of the innermost one that
+    holds each place of the suffix array (-1: none)."""
+    found: list[list[int]] = []
+    inner = np.full(len(lcp), -1, np.int64)
+    stack: list[int] = []  # intervals that are open, outermost first
     before = -2
     for i in (*np.flatnonzero(lcp >= least).tolist(), len(lcp) + 1):
         if i != before + 1:  # below the least length in between
-            while stack:
-                length, first = stack.pop()
-                found.append((length, first, before))
-        value, first = (int(lcp[i]) if i < len(lcp) else 0), i - 1
-        while stack and stack[-1][0] > value:
-            length, first = stack.pop()
-            found.append((length, first, i - 1))
-        if value and (not stack or stack[-1][0] < value):
-            stack.append((value, first))
+            for k in stack:
+                found[k][2] = before
+            stack = []
+        if i >= len(lcp):
+            break
+        value, first = int(lcp[i]), i - 1
+        while stack and found[stack[-1]][0] > value:
+            k = stack.pop()
+            found[k][2], first = i - 1, found[k][1]
+        if not stack or found[stack[-1]][0] < value:
+            stack.append(len(found))
+            found.append([value, first, -1])
+        now = stack[-1]
+        if inner[i - 1] < 0 or found[inner[i - 1]][0] < value:
+            inner[i - 1] = now
+        inner[i] = now
         before = i
-    return found
+    return np.array(found, np.int64).reshape(-1, 3), inner
 
 
 def covered(at: np.ndarray, length: np.ndarray, n: int) -> np.ndarray:
@@ -121,13 +138,13 @@ def covered(at: np.ndarray, length: np.ndarray, n: int) -> np.ndarray:
     return np.cumsum(edge[:-1]) > 0
 
 
-def _left_diverse(intervals, suffixes, words, text) -> np.ndarray:
+def _left_diverse(intervals: np.ndarray, suffixes, words, text) -> np.ndarray:
     """The text of each interval whose occurrences don't all follow the same word."""
-    if not intervals:
+    if not len(intervals):
         return np.zeros(0, np.int64)
     prev = np.where(np.r_[True, text[1:] != text[:-1]], -1, np.r_[-1, words[:-1]])[suffixes]
     differs = np.r_[0, np.cumsum((prev[1:] != prev[:-1]) | (prev[1:] < 0))]
-    _, first, last = np.array(intervals, np.int64).T
+    _, first, last = intervals.T
     return text[suffixes[first[differs[last] > differs[first]]]]
 
 
@@ -148,15 +165,16 @@ def judge(raws: list[bytes | None], rules: RepetitionRules) -> dict[str, list]:
     n = len(words)
     suffixes, steps = suffix_ranks(words, text)
     lcp = lcp_of_neighbours(suffixes, steps)
-    longest = np.zeros(n, np.int64)  # of the repeats that start at each word
-    longest[suffixes] = np.maximum(lcp, np.r_[lcp[1:], 0]) if n else lcp
-    at = np.flatnonzero(longest >= rules.base_window)
+    again = lcp >= rules.base_window
+    at = suffixes[again | np.r_[again[1:], False]] if n else suffixes
     base = np.bincount(text[covered(at, np.full(len(at), rules.base_window), n)], minlength=m)
-    at = np.flatnonzero(longest >= rules.min_repeat)
-    spans = np.bincount(text[covered(at, longest[at], n)], minlength=m)
+    intervals, inner = lcp_intervals(lcp, rules.min_repeat)
+    held = np.flatnonzero(inner >= 0)
+    at, length = suffixes[held], intervals[inner[held], 0]
+    spans = np.bincount(text[covered(at, length, n)], minlength=m)
     top = np.zeros(m, np.int64)
-    np.maximum.at(top, text[at], longest[at])
-    maximal = np.bincount(_left_diverse(lcp_intervals(lcp, rules.min_repeat), suffixes, words, text), minlength=m)
+    np.maximum.at(top, text[suffixes[intervals[:, 1]]], intervals[:, 0])
+    maximal = np.bincount(_left_diverse(intervals, suffixes, words, text), minlength=m)
     failed = (n_words < rules.min_words) | (100 * base > rules.max_base_percent * n_words)
     bad = (spans > rules.max_covered * n_words) | (top > rules.max_longest)
     chars = [len(x) - sum(x.count(c) for c in " \t\n\v\f\r") for x in ((raw or b"").decode() for raw in raws)]
