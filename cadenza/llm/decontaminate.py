@@ -8,13 +8,16 @@ over all texts. A text's occurrence of a window's rarest shingle fixes where
 the window would start (position bound) and end (length bound); equal words in
 between verify it exactly.
 
-The benchmark goes to the tasks in blocks of ``block_words`` words at most (an
-item is never cut), each of them against all texts, so the broadcast is bounded
-for a benchmark of any size. Words are compared as words, not as hashes.
+The benchmark goes to the tasks in blocks of about ``block_words`` words, each of
+them against all texts, so the broadcast is bounded for a benchmark of any size, at
+one pass over the texts for each block. Items are cut into pieces of ``PIECE`` words
+that overlap, so that each window lies in one, and pieces are dealt by a hash of
+themselves: neither a huge item nor an id with most of the rows makes a block larger.
+Words are compared as words, not as hashes.
 
 Null texts have no words, items without an id or a text no windows; empty tables
-give no hits. Repeated item
-rows or ids count once. A text's row keeps its other columns.
+give no hits. Repeated item rows or ids count once; of windows equally rare within
+an item the first is looked up. A text's row keeps its other columns.
 """
 
 from __future__ import annotations
@@ -30,13 +33,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from cadenza.llm.common import alnum_words, raw_texts, slices, without_column
+from cadenza.llm.common import Scratch, alnum_words, raw_texts, slices, without_column
 from cadenza.llm.repetition import covered
 
 SPAN = T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])
 FOUND = T.StructType([T.StructField("n_words", T.LongType()), T.StructField("spans", T.ArrayType(SPAN)), T.StructField("items", T.ArrayType(T.StringType()))])
 #: Words of distinct items in a block; three word ids must fit into 63 bits.
 BLOCK_WORDS = 1_000_000
+#: Words of a piece of an item.
+PIECE = 10_000
 
 
 class Block:
@@ -57,6 +62,8 @@ class Block:
         self.windows = list(windows)
         self.owners = [sorted(x) for x in windows.values()]
         self.base = len(self.number) + 1
+        if self.base**shingle >= 1 << 63:
+            raise ValueError(f"{shingle} of {len(self.number)} words don't fit into one number")
 
     def codes(self, ids: np.ndarray, k: int) -> np.ndarray:
         """One number for the k words from each position on; below 0 if one is in no item."""
@@ -185,6 +192,22 @@ def _united(spans: list[dict]) -> list[dict]:
     return out
 
 
+def _pieces(size: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            out: list[tuple] = []
+            for item, raw in zip(batch.column("item").to_pylist(), raw_texts(batch)):
+                words = alnum_words(raw)
+                for at in range(0, max(1, len(words) - size + 1), PIECE - size + 1):
+                    part = words[at : at + PIECE]
+                    if part:
+                        out.append((item, b" ".join(part), len(part)))
+            kinds = pa.string(), pa.binary(), pa.int64()
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], kind) for k, kind in enumerate(kinds)], names=["item", "piece", "n"])
+
+    return run
+
+
 def find_items(
     docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
     size: int = 10, shingle: int = 3, block_words: int = BLOCK_WORDS, out: str = "leaks",
@@ -194,13 +217,15 @@ def find_items(
     if shingle > 3 or block_words > 2_000_000:
         raise ValueError("three words of a block must fit into one number")
     items = benchmark.select(F.col(f"`{item_col}`").cast("string").alias("item"), F.col(f"`{item_text_col}`").alias("text")).where("item is not null and text is not null")
-    words = items.agg(F.sum(F.length("text"))).first()[0] or 0  # characters: more than words
+    pieces = items.mapInArrow(_pieces(size), "item string, piece binary, n long").distinct()
+    pieces = Scratch(spark, "decontaminate").write(pieces, "pieces")
+    words = pieces.agg(F.sum("n")).first()[0] or 0
     n_blocks = max(1, -(-words // block_words))
+    dealt = pieces.withColumn("block", F.pmod(F.xxhash64("item", "piece"), F.lit(n_blocks)))
     docs = without_column(docs, out, text_col)
     found = docs
     for b in range(n_blocks):
-        own = items.where(F.pmod(F.xxhash64("item"), F.lit(n_blocks)) == b) if n_blocks > 1 else items
-        block = Block([(r["item"], r["text"].encode()) for r in own.collect()], size, shingle)
+        block = Block([(r["item"], bytes(r["piece"])) for r in dealt.where(F.col("block") == b).collect()], size, shingle)
         wanted = block.shingles()
         counts: dict[tuple[int, int], int] = {}
         if wanted:
