@@ -2,7 +2,8 @@
 
 A text becomes a vector over hashed byte 3-grams of its lower-cased letters:
 log(1 + count) times idf, of length 1. Fitting takes labelled rows, at most
-``per_language`` each and ``sample`` in all, chosen by a hash of the id; their
+``per_language`` of each language, ``sample`` in all, and one of each at least, drawn
+by a 64-bit hash from the texts of ``longest`` characters at most; their
 vectors are clustered into ``clusters`` centroids for each language by spherical
 k-means. A text gets the language of the centroid of largest cosine; its score
 is that cosine, and it is rejected if the distance, 1 - cosine, exceeds
@@ -11,7 +12,8 @@ the limit shrinks to the part that their count of 3-grams can reach.
 
 Null texts and texts without a letter get ``und``, score 0, and are rejected.
 Rows without a language aren't learnt from; without any such rows all texts
-are ``und``. Ties go to the language that sorts first.
+are ``und``. Ties go to the language that sorts first. Repeated rows are judged
+alike, and equal ones count once in fitting; an empty table stays empty.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cadenza.llm.common import annotate, raw_texts, slices
+from cadenza.llm.common import annotate, drawn, raw_texts, slices
 
 FIELDS = "lang_pred string, score double, rejected boolean"
 _SPACE = bytes(b if chr(b).isalpha() or b >= 0x80 else 0x20 for b in range(256))
@@ -38,6 +40,7 @@ class LanguageRules:
     clusters: int = 3
     per_language: int = 400
     sample: int = 4000
+    longest: int = 200_000
     max_distance: float = 0.9
     #: 3-grams from which the full limit holds.
     enough: int = 60
@@ -93,41 +96,42 @@ def _clusters(x: np.ndarray, k: int, seed: int) -> np.ndarray:
 
 
 def fit(labelled: DataFrame, rules: LanguageRules = LanguageRules()) -> Centroids:
-    """Centroids from (key, text, lang) rows; ``key`` only chooses the sample."""
-    spark = labelled.sparkSession
-    rows = labelled.where("lang is not null and text is not null")
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    if not counts:
-        return Centroids(np.ones(rules.buckets), np.zeros((0, rules.buckets)), [])
-    most = max(1, min(rules.per_language, rules.sample // len(counts)))
-    share = spark.createDataFrame([(k, min(1.0, most / n)) for k, n in counts.items()], "lang string, share double")
-    draw = F.pmod(F.xxhash64("key"), F.lit(1_000_000)) < F.col("share") * 1_000_000
-    buckets = rules.buckets
+    """Centroids from (text, lang) rows."""
+    rows = labelled.select("lang", "text").where("lang is not null and text is not null")
+    buckets, none = rules.buckets, Centroids(np.ones(rules.buckets), np.zeros((0, rules.buckets)), [])
+    n_languages = rows.agg(F.count_distinct("lang")).first()[0]
+    if not n_languages:
+        return none
+    most = max(1, min(rules.per_language, rules.sample // n_languages))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            langs, vectors = [], []
-            for lang, raw in zip(batch.column("lang").to_pylist(), raw_texts(batch)):
+            out: list[list] = [[], [], [], []]
+            for lang, draw, raw in zip(batch.column("lang").to_pylist(), batch.column("draw").to_pylist(), raw_texts(batch)):
                 if (g := grams(raw, buckets)) is not None:
-                    langs.append(lang)
-                    vectors.append(np.minimum(np.bincount(g, minlength=buckets), 65535).astype("<u2").tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(vectors, pa.binary())], names=["lang", "counts"])
+                    gram, count = np.unique(g, return_counts=True)
+                    for x, y in zip(out, (lang, draw, gram.astype("<u4").tobytes(), count.astype("<u4").tobytes())):
+                        x.append(y)
+            kinds = pa.string(), pa.int64(), pa.binary(), pa.binary()
+            yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(out, kinds)], names=["lang", "draw", "grams", "counts"])
 
-    drawn = rows.join(F.broadcast(share), "lang").where(draw).select("lang", "text").mapInArrow(run, "lang string, counts binary")
     by_lang: dict[str, list[np.ndarray]] = {}
-    for r in drawn.collect():
+    sample = drawn(rows, "lang", ["text"], most, rules.longest).select("lang", "draw", "text")
+    for r in sample.mapInArrow(run, "lang string, draw long, grams binary, counts binary").orderBy("lang", "draw").collect():
         own = by_lang.setdefault(r["lang"], [])
-        if len(own) < 2 * most:
-            own.append(np.frombuffer(r["counts"], "<u2"))
+        if len(own) < most:
+            x = np.zeros(buckets, np.float32)
+            x[np.frombuffer(r["grams"], "<u4")] = np.frombuffer(r["counts"], "<u4")
+            own.append(x)
     if not by_lang:
-        return Centroids(np.ones(rules.buckets), np.zeros((0, rules.buckets)), [])
+        return none
     languages, vectors, seen, total = [], [], np.zeros(rules.buckets), 0
     for own in by_lang.values():
         seen += (np.stack(own) > 0).sum(0)
         total += len(own)
     idf = np.log((1 + total) / (1 + seen)) + 1
     for k, lang in enumerate(sorted(by_lang)):
-        x = np.log1p(np.stack(by_lang[lang]).astype(np.float32)) * idf.astype(np.float32)
+        x = np.log1p(np.stack(by_lang[lang])) * idf.astype(np.float32)
         x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
         for c in _clusters(x, rules.clusters, k):
             languages.append(lang)
