@@ -2,14 +2,15 @@
 
 1. Every task counts its pre-tokens; a shuffle sums them over all texts, so
    each distinct pre-token is cut into pieces once in the whole job.
-2. The most frequent ones, ``max_broadcast`` at most, go to every task. A text
+2. The most frequent ones, ``max_broadcast`` and ``max_bytes`` at most, go to every
+   task, so none that many texts have is left to the join. A text
    sums its frequencies of these at once and hands on the rest.
 3. The rest, the rare end of the vocabulary, joins the table of pieces by a
    shuffle on a hash of the pre-token and is summed for each text.
 
 The table of rows is written to the shared folder, so that both ways see the
 same row numbers. Null counts as the empty text. Repeated rows and ids are
-counted row by row. Vocabulary growth lengthens the third part only.
+counted row by row, and an empty table stays empty. Vocabulary growth lengthens the third part only.
 """
 
 from __future__ import annotations
@@ -57,28 +58,30 @@ def _sizes(path: str):
     return run
 
 
-def _frequent(sizes: DataFrame, most: int) -> dict[str, int]:
-    """The sizes of the most frequent pre-tokens, ``most`` at most: whole powers of two of frequency."""
-    by_power = {r["power"]: r["k"] for r in sizes.groupBy(F.floor(F.log2("n")).alias("power")).agg(F.count("*").alias("k")).collect()}
-    total, least = 0, None
+def _frequent(sizes: DataFrame, most: int, most_bytes: int) -> dict[str, int]:
+    """The sizes of the most frequent pre-tokens, long ones too: whole powers of two of frequency, as many as fit both bounds."""
+    power = F.floor(F.log2("n")).alias("power")
+    by_power = {r["power"]: (r["k"], r["b"]) for r in sizes.groupBy(power).agg(F.count("*").alias("k"), F.sum(F.octet_length("piece")).alias("b")).collect()}
+    total = held = 0
+    least = None
     for power in sorted(by_power, reverse=True):
-        total += by_power[power]
-        if total > most:
+        total, held = total + by_power[power][0], held + by_power[power][1]
+        if total > most or held > most_bytes:
             break
         least = power
     if least is None:
         return {}
-    return {r["piece"]: r["size"] for r in sizes.where((F.col("n") >= 2**least) & (F.length("piece") <= 64)).select("piece", "size").collect()}
+    return {r["piece"]: r["size"] for r in sizes.where(F.col("n") >= 2**least).select("piece", "size").collect()}
 
 
-def token_counts(docs: DataFrame, path: str, text_col: str = "text", out: str = "n_tokens", max_broadcast: int = 200_000) -> DataFrame:
+def token_counts(docs: DataFrame, path: str, text_col: str = "text", out: str = "n_tokens", max_broadcast: int = 200_000, max_bytes: int = 32 << 20) -> DataFrame:
     """``docs`` without its text, but with its UTF-8 size ``n_bytes`` and the column ``out``, for every row."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "token-counts")
     text = docs.select(F.col(f"`{text_col}`").alias("text"))
     counted = text.mapInArrow(_distinct(path), "piece string, n long").groupBy("piece").agg(F.sum("n").alias("n"))
     sizes = scratch.write(counted.mapInArrow(_sizes(path), "piece string, n long, size long"), "sizes")
-    known = spark.sparkContext.broadcast(_frequent(sizes, max_broadcast))
+    known = spark.sparkContext.broadcast(_frequent(sizes, max_broadcast, max_bytes))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cutter, get = bpe.load(path), known.value.get
