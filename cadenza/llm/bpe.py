@@ -9,7 +9,9 @@ Texts are cut as the vocabulary file says: special tokens first, then NFC,
 lower case, and the split pattern,
 and each pre-token is encoded once and kept in a bounded cache.
 
-Null counts as the empty text: no ids, decoded to the empty text.
+Null counts as the empty text: no ids, decoded to the empty text. Repeated rows are
+encoded alike, an empty table stays empty. Of pairs of one rank the leftmost merges
+first, as the root of the tree says.
 """
 
 from __future__ import annotations

@@ -29,7 +29,8 @@ def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op1_repetition_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repetition_quality(_texts(spark, sf_dir)).select("doc_id", "repetition.*")
+    columns = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "covered_words")
+    return repetition_quality(_texts(spark, sf_dir)).select("doc_id", *(f"repetition.{c}" for c in columns))
 
 
 def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,7 +48,7 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = crc32_mod(F.col("doc_id"), 3) == 1
     labels = _table(spark, sf_dir, "labels", "doc_id", "toxic").where(~held_out)
     labels = toxicity.sampled_labels(labels.select(F.col("doc_id").alias("key"), "toxic"))
-    labelled = docs.withColumnRenamed("doc_id", "key").join(labels, "key").select("key", "text", "toxic")
+    labelled = docs.withColumnRenamed("doc_id", "key").join(labels, "key").select("text", "toxic")
     found = toxicity.toxicity(docs, toxicity.fit(labelled))
     return found.select("doc_id", held_out.alias("held_out"), "toxicity.score", "toxicity.predicted")
 
@@ -85,7 +86,7 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def language_centroids(spark: SparkSession, sf_dir: str) -> langid.Centroids:
     """Fitted to the rows of ``documents`` that aren't held out."""
     docs = _table(spark, sf_dir, "documents", "doc_id", "text", "lang").where(crc32_mod(F.col("doc_id"), 5) != 0)
-    return langid.fit(docs.select(F.col("doc_id").alias("key"), "text", "lang"))
+    return langid.fit(docs.select("text", "lang"))
 
 
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -121,6 +122,22 @@ def queries() -> dict:
 
 _WORDS = r"list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"
 
+OP1_SQL = r"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, coalesce(text, '') AS t FROM documents),
+w AS (SELECT r, list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM d),
+lines AS (SELECT r, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS x FROM d),
+seen AS (SELECT r, n, p, array_to_string(w[p:p + n - 1], ' ') AS k FROM w, (VALUES (3), (8), (101)) s(n), LATERAL (SELECT unnest(range(1, len(w) - n + 2)) AS p) WHERE len(w) > n),
+again AS (SELECT r, n, p FROM (SELECT *, count(*) OVER (PARTITION BY r, n, k) AS c FROM seen) WHERE c > 1),
+cover AS (SELECT r, n, count(DISTINCT q) AS c FROM (SELECT r, n, unnest(range(p, p + n)) AS q FROM again WHERE n < 101) GROUP BY r, n),
+counts AS (SELECT d.doc_id, d.r, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+                  CAST(length(t) - length(translate(t, '#*$%&|<>', '')) AS BIGINT) AS n_symbols, CAST(len(x) - len(list_distinct(x)) AS BIGINT) AS n_dup_lines,
+                  coalesce(a.c, 0) AS n_repeat_words, coalesce(b.c, 0) AS covered_words, EXISTS (SELECT 1 FROM again g WHERE g.r = d.r AND g.n = 101) AS too_long
+           FROM d JOIN w ON w.r = d.r JOIN lines ON lines.r = d.r LEFT JOIN cover a ON a.r = d.r AND a.n = 3 LEFT JOIN cover b ON b.r = d.r AND b.n = 8),
+judged AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM counts)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, covered_words,
+       NOT base_failed AND NOT too_long AND covered_words <= CAST(0.3 AS DOUBLE) * n_words AS kept FROM judged
+"""
+
 OP5_SQL = f"""
 WITH d AS (SELECT doc_id, row_number() OVER () AS r, {_WORDS} AS w FROM documents),
 b AS (SELECT item_id, {_WORDS} AS w FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL),
@@ -144,7 +161,7 @@ n AS (SELECT r, count(*) AS n FROM s GROUP BY r),
 e AS (SELECT a.r AS a, b.r AS b FROM s a JOIN s b ON a.k = b.k AND a.r < b.r JOIN n x ON x.r = a.r JOIN n y ON y.r = b.r GROUP BY a.r, b.r, x.n, y.n HAVING 100 * count(*) >= 75 * (x.n + y.n - count(*))),
 both_ways AS MATERIALIZED (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
 reach AS (WITH RECURSIVE t(a, b) AS (SELECT r, r FROM d UNION SELECT t.a, x.b FROM t JOIN both_ways x ON x.a = t.b) SELECT * FROM t)
-SELECT d.doc_id, coalesce(max(n.n), 0) AS n_shingles, min(o.doc_id) AS component_id, d.doc_id = min(o.doc_id) AS kept
+SELECT d.doc_id, coalesce(max(n.n), 0) AS n_shingles, min(o.doc_id) AS component_id, coalesce(d.doc_id = min(o.doc_id), min(o.doc_id) IS NULL AND d.r = min(o.r)) AS kept
 FROM d LEFT JOIN n ON n.r = d.r JOIN reach ON reach.a = d.r JOIN d o ON o.r = reach.b GROUP BY d.r, d.doc_id
 """
 
@@ -161,4 +178,4 @@ FROM h LEFT JOIN (SELECT DISTINCT * FROM m WHERE k = 1) m ON m.page_id = h.page_
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_near_duplicates": OP2_SQL, "op5_decontamination": OP5_SQL, "op7_url_filter": OP7_SQL}
+    return {"op1_repetition_quality": OP1_SQL, "op2_near_duplicates": OP2_SQL, "op5_decontamination": OP5_SQL, "op7_url_filter": OP7_SQL}

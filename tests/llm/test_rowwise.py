@@ -1,7 +1,9 @@
 """Operators that judge each row by itself, against plain versions."""
 
 import hashlib
+import itertools
 import random
+import time
 
 import numpy as np
 import public_tokenizers
@@ -10,7 +12,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from cadenza.llm import bpe, licenses, repetition
+from cadenza.llm import bpe, licenses, repetition, urls
 from cadenza.llm.token_counts import token_counts
 from tests.llm import helpers
 
@@ -105,7 +107,7 @@ def test_license_rows(spark):
 
 def test_license_expressions():
     def value(e):
-        return licenses.evaluate(licenses.to_postfix(e))
+        return licenses.evaluate(licenses.read_expression(e)[0])
 
     assert value("MIT OR (Apache-2.0 AND GPL-3.0-only)") == ({"mit", "apache-2.0", "gpl-3.0-only"}, 0.2)
     assert value("GPL-2.0 WITH Classpath-exception-2.0 AND MIT") == ({"gpl-2.0", "mit"}, 0.4)
@@ -115,6 +117,70 @@ def test_license_expressions():
     assert got["labels"] == ["apache-2.0", "mit"] and got["n_base"] == 0 and got["score"] == 0.2
 
 
+def test_license_tags():
+    """Tags in any spelling, known identifiers in prose, and none in other prose."""
+    phrases = licenses.automaton()
+    for text, labels in (
+        ("SPDX_License_Identifier = (MIT OR Apache-2.0)", ["apache-2.0", "mit"]), ("spdx license identifier ISC", ["isc"]), ('"license-expression": "BSD-3-Clause AND MIT"', ["bsd-3-clause", "mit"]),
+        ("Distributed under Apache-2.0 and gpl-3.0-or-later.", ["apache-2.0", "gpl-3.0-or-later"]), ("a license identifier is a word", []), ("mit dem Hund", []),
+        ("SPDX-License-Identifier:\nMIT", []), ("SPDX-License-Identifier: LicenseRef-own", ["licenseref-own"]),
+    ):
+        got = licenses.scan(text.encode(), phrases)["labels"]
+        assert [x for x in got if x not in ("apache-2.0", "gpl-3.0")] == [x for x in labels if x not in ("apache-2.0", "gpl-3.0")] and set(labels) <= set(got), text
+
+
+def test_many_hits_and_long_hosts_take_linear_time():
+    start = time.perf_counter()
+    got = licenses.scan(b"all rights reserved cc by " * 200_000, licenses.automaton())
+    assert got["n_base"] == 400_000 and (got["first_word"], got["last_word"]) == (0, 999_998)
+    licenses.scan(b"SPDX-License-Identifier: MIT " * 50_000, licenses.automaton())
+    file = urls.RuleFile(np.frombuffer(urls.pack([("org", "/", "allow"), ("b.example.org", "/x", "block")]), np.uint8))
+    host = b"a." * 500_000 + b"b.example.org"
+    assert file.string(file.match([(host, b"/xy")])[0]) == b"b.example.org/x" and file.match([(host + b".net", b"/")]) == [-1]
+    assert time.perf_counter() - start < 5
+
+
+def test_base_places_by_brute_force():
+    rng = random.Random(3)
+    vocabulary = "cc by general public license all rights reserved x é1".split()
+    phrases = licenses.automaton()
+    for _ in range(200):
+        words = [rng.choice(vocabulary) for _ in range(rng.randrange(30))]
+        got = licenses.scan(rng.choice(" ,-").join(words).encode(), phrases)
+        places = [(i, label) for p, label in licenses.BASE.items() for i in range(len(words)) if words[i : i + len(p.split())] == p.split()]
+        assert got["n_base"] == len(places) and got["base_labels"] == sorted({x for _, x in places})
+        assert (got["first_word"], got["last_word"]) == ((min(places)[0], max(places)[0]) if places else (None, None))
+
+
+def _intervals(words, least):
+    """(length, occurrences) of the repeats that can't be longer: for each pair of places, what is equal from there on."""
+    out = {}
+    for i, j in itertools.combinations(range(len(words)), 2):
+        k = 0
+        while j + k < len(words) and words[i + k] == words[j + k]:
+            k += 1
+        if k >= least:
+            key = tuple(words[i : i + k])
+            out.setdefault(key, {p for p in range(len(words) - k + 1) if tuple(words[p : p + k]) == key})
+    return out
+
+
+def test_verdicts_come_from_intervals():
+    """Intervals, maximal ones, covered words and verdicts by brute force, on texts full of nested repeats."""
+    rng = random.Random(6)
+    rules = repetition.RepetitionRules(min_words=5, max_base_percent=100, min_repeat=3, max_covered=0.5, max_longest=9)
+    texts = [" ".join(rng.choice("ab") for _ in range(rng.randrange(40))) for _ in range(40)] + [" ".join(rng.choice("abcdefgh") for _ in range(60)) for _ in range(20)] + ["x " * 30]
+    got = repetition.judge([t.encode() for t in texts], rules)
+    for k, t in enumerate(texts):
+        words = t.split()
+        found = _intervals(words, 3)
+        cover = {p + d for key, at in found.items() for p in at for d in range(len(key))}
+        maximal = sum(len({words[p - 1] if p else (p,) for p in at}) > 1 for at in found.values())
+        top = max(map(len, found), default=0)
+        kept = len(words) >= 5 and len(cover) <= 0.5 * len(words) and top <= 9
+        assert (got["covered_words"][k], got["longest_repeat"][k], got["n_maximal_repeats"][k], bool(got["kept"][k])) == (len(cover), top, maximal, kept)
+
+
 def test_sha_columns(spark, tmp_path):
     from cadenza.llm import queries
 
