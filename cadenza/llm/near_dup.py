@@ -255,16 +255,16 @@ class _Join:
 
     def dealt(self, left: DataFrame, right: DataFrame, key: str, by: str, counts: DataFrame | None = None, how: str = "inner") -> DataFrame:
         """``left`` joined with the row that ``right`` has for each key. Rows of ``left`` of a key that has over ``HOT`` of them
-        are dealt by ``by`` over that many copies of the row; ``counts`` (key, n) are those of ``left``, if known."""
+        are dealt by ``by`` over that many copies of the row; ``counts`` (key, n) are those of ``left``, if known. The join shuffles at every size."""
         counts = counts if counts is not None else left.groupBy(key).agg(F.count("*").alias("n"))
         if (counts.agg(F.max("n")).first()[0] or 0) <= HOT:
-            return left.join(right, key, how)
+            return left.join(right.hint("merge"), key, how)
         self.joins += 1
         hot = _bounded(self.scratch.write(counts.where(f"n > {HOT}").select(key, F.ceil(F.col("n") / HOT).cast("int").alias("__c")), f"hot-{self.joins}"))
         copies = F.coalesce("__c", F.lit(1))
         left = left.join(hot, key, "left").withColumn("__s", F.pmod(F.xxhash64(by, F.lit(3)), copies).cast("int")).drop("__c")
         right = right.join(hot, key, "left").withColumn("__s", F.explode(F.sequence(F.lit(0), copies - 1))).drop("__c")
-        return left.join(right, [key, "__s"], how).drop("__s")
+        return left.join(right.hint("merge"), [key, "__s"], how).drop("__s")
 
     def texts(self, rows: DataFrame, name: str) -> DataFrame:
         """The texts of some rows."""
@@ -337,15 +337,16 @@ class _Join:
         dups = self.prepared.where("digest is not null").groupBy("digest").agg(F.min("row").alias("rep"), smallest, F.count("*").alias("n_rows")).where("n_rows > 1")
         dups = scratch.write(dups, "classes")
         own = F.struct(F.isnull("doc_id").alias("none"), "doc_id", "row")
-        plain = self.prepared.select("row", "doc_id", "n", "digest", "tokens")
+        plain = self.prepared.select("row", "doc_id", "n", "digest")
         sizes = dups.select("digest", F.col("n_rows").alias("n"))
         joined = self.dealt(plain.where("digest is not null"), dups.drop("n_rows"), "digest", "row", sizes, "left")
         joined = joined.unionByName(plain.where("digest is null"), allowMissingColumns=True)
         rep = F.coalesce("rep", "row")
         rows = scratch.write(
-            joined.select("row", "doc_id", "n", rep.alias("rep"), F.coalesce("smallest", own).alias("smallest"), F.when(rep == F.col("row"), F.col("tokens")).alias("tokens")), "rows"
+            joined.select("row", "doc_id", "n", rep.alias("rep"), F.coalesce("smallest", own).alias("smallest")), "rows"
         )
-        reps = rows.where("row = rep and n > 0").select("row", "n", "tokens")
+        copies = _bounded(scratch.write(rows.where("row <> rep").select("row"), "copies"))
+        reps = self.prepared.where("n > 0").select("row", "n", "tokens").join(copies, "row", "left_anti")
 
         roots = F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree")
         first = self.children(reps.select(F.lit(0).cast("long").alias("node"), roots, "row", "n", "tokens"), 0)
@@ -409,7 +410,7 @@ class _Join:
         of_rep = rows.where("row = rep").select("row", "smallest")
         least = found.join(of_rep, "row").groupBy("root").agg(F.min("smallest").alias("least"))
         by_rep = scratch.write(self.dealt(found, least, "root", "row").select(F.col("row").alias("rep"), "least"), "by-rep")
-        final = self.dealt(rows.drop("tokens"), by_rep, "rep", "row", dups.select("rep", F.col("n_rows").alias("n")), "left").withColumn("least", F.coalesce("least", "smallest"))
+        final = self.dealt(rows, by_rep, "rep", "row", dups.select("rep", F.col("n_rows").alias("n")), "left").withColumn("least", F.coalesce("least", "smallest"))
         return final.select("row", "doc_id", F.col("n").alias("n_shingles"), F.col("least.doc_id").alias("component_id"), (F.col("least.row") == F.col("row")).alias("first"))
 
 
