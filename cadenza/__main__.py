@@ -1,18 +1,18 @@
-"""python -m cadenza doctor | plan STAGE PROJECT.json | apply STAGE PROJECT.json | all PROJECT.json"""
+"""python -m cadenza doctor [PROJECT.json] | projects FOLDER | plan STAGE PROJECT.json | apply STAGE PROJECT.json | all PROJECT.json"""
 
 from __future__ import annotations
 
 import sys
-import tempfile
 from pathlib import Path
 
-from cadenza.config import parse_project
+from cadenza.config import list_projects, parse_project
 from cadenza.plans import pipeline
 from cadenza.session import session
+from cadenza.sources.scratch import Scratch
 
 
-def doctor() -> int:
-    """Versions of what is needed, and a table written and read again."""
+def doctor(project: str | None = None) -> int:
+    """Versions of what is needed, and a table written to the shared folder and read again; of a project, which stages have their inputs."""
     import duckdb
     import numpy
     import pandas
@@ -21,17 +21,23 @@ def doctor() -> int:
 
     for m in (pyspark, pyarrow, pandas, numpy, duckdb):
         print(f"{m.__name__} {m.__version__}")
-    spark = session("doctor", "local[2]")
-    with tempfile.TemporaryDirectory() as folder:
-        spark.range(10).write.parquet(f"{folder}/t")
-        ok = spark.read.parquet(f"{folder}/t").count() == 10
+    spark = session("doctor")
+    ok = Scratch(spark, "doctor").write(spark.range(10), "t").count() == 10
     print("parquet", "works" if ok else "fails")
+    if project:
+        w = pipeline.Workspace(spark, parse_project(Path(project).read_text()))
+        for name in pipeline.ALL:
+            missing = [t for t in pipeline.STAGES[name].needs if not w.has(t)]
+            print(name, "ready" if not missing else f"lacks {', '.join(missing)}")
     return int(not ok)
 
 
 def main(args: list[str]) -> int:
-    if args == ["doctor"]:
-        return doctor()
+    if args[:1] == ["doctor"] and len(args) <= 2:
+        return doctor(*args[1:])
+    if len(args) == 2 and args[0] == "projects":
+        print("\n".join(list_projects(args[1])))
+        return 0
     known = {*pipeline.STAGES, *pipeline.ALIASES}
     if len(args) == 2 and args[0] == "all" or len(args) == 3 and args[0] in ("plan", "apply") and args[1] in known:
         w = pipeline.Workspace(session(), parse_project(Path(args[-1]).read_text()))

@@ -7,17 +7,32 @@ slices over the tasks, so a long episode isn't one task's job.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cadenza.config import CutConfig
-
 FRAME_S = 0.02
 
 
+# The defaults that decide where an utterance's samples start, end and join.
+@dataclass(frozen=True)
+class Slicing:
+    """Seconds and decibels: edges are sought over ``search_s`` for sound over ``loud_db`` and keep ``rest_s``; pauses are pressed
+    to ``gap_s``, or keep ``gap_share`` of what is over it; pieces join over ``join_s``; ``fades_s`` at both ends; ``tail_s`` of silence, if given."""
+
+    search_s: float = 0.80
+    loud_db: float = -42.0
+    rest_s: float = 0.08
+    gap_s: float = 0.80
+    gap_share: float | None = None
+    join_s: float = 0.02
+    fades_s: tuple[float, float] = (0.06, 0.06)
+    tail_s: float | None = None
+
+
 def _levels(x: np.ndarray, size: int, floor: float) -> np.ndarray:
     """Whether each whole frame, from the first sample on, is over ``floor`` decibels."""
     n = len(x) // size
@@ -25,24 +40,24 @@ def _levels(x: np.ndarray, size: int, floor: float) -> np.ndarray:
     return 20 * np.log10(np.sqrt(ms) + 1e-10) > floor
 
 
-def quiet_end(x: np.ndarray, t: float, sr: int, c: CutConfig) -> float:
+def quiet_end(x: np.ndarray, t: float, sr: int, c: Slicing) -> float:
     """Where the sound before ``t`` really ends: a pad behind the last loud frame, searched back for a while."""
     size, at = int(FRAME_S * sr), int(t * sr)
-    lo = max(0, at - int(c.energy_search_s * sr))
+    lo = max(0, at - int(c.search_s * sr))
     if at - lo < size:
         return t
-    loud = np.flatnonzero(_levels(x[lo:at], size, c.energy_floor_db))
-    return min(t, lo / sr + (loud[-1] + 1) * FRAME_S + c.energy_pad_s) if len(loud) else t - c.energy_search_s
+    loud = np.flatnonzero(_levels(x[lo:at], size, c.loud_db))
+    return min(t, lo / sr + (loud[-1] + 1) * FRAME_S + c.rest_s) if len(loud) else t - c.search_s
 
 
-def quiet_start(x: np.ndarray, t: float, sr: int, c: CutConfig) -> float:
+def quiet_start(x: np.ndarray, t: float, sr: int, c: Slicing) -> float:
     """Where the sound after ``t`` really starts."""
     size, at = int(FRAME_S * sr), int(t * sr)
-    part = x[at : at + int(c.energy_search_s * sr)]
+    part = x[at : at + int(c.search_s * sr)]
     if len(part) < size:
         return t
-    loud = np.flatnonzero(_levels(part, size, c.energy_floor_db))
-    return max(t, at / sr + loud[0] * FRAME_S - c.energy_pad_s) if len(loud) else t + c.energy_search_s
+    loud = np.flatnonzero(_levels(part, size, c.loud_db))
+    return max(t, at / sr + loud[0] * FRAME_S - c.rest_s) if len(loud) else t + c.search_s
 
 
 def crossfade(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
@@ -53,13 +68,13 @@ def crossfade(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
     return np.concatenate([a[:-n], a[-n:] * (1 - up) + b[:n] * up, b[n:]])
 
 
-def pieces(x: np.ndarray, members: list[tuple[float, float]], start: float, end: float, sr: int, c: CutConfig) -> list[tuple[int, int]]:
+def pieces(x: np.ndarray, members: list[tuple[float, float]], start: float, end: float, sr: int, c: Slicing) -> list[tuple[int, int]]:
     """The sample ranges of an utterance: members in order, long pauses pressed around their quiet middle."""
     out, cursor = [], start
     for (_, e), (s, _) in zip(members, members[1:]):
         gap = s - e
-        if gap > c.max_gap:
-            keep = c.max_gap if c.gap_pass_ratio is None else c.max_gap + (gap - c.max_gap) * c.gap_pass_ratio
+        if gap > c.gap_s:
+            keep = c.gap_s if c.gap_share is None else c.gap_s + (gap - c.gap_s) * c.gap_share
             out.append((int(cursor * sr), int((quiet_end(x, e, sr, c) + keep / 2) * sr)))
             cursor = quiet_start(x, s, sr, c) - keep / 2
         else:
@@ -68,11 +83,11 @@ def pieces(x: np.ndarray, members: list[tuple[float, float]], start: float, end:
     return [*out, (int(cursor * sr), int(end * sr))]
 
 
-def cut_utterance(x: np.ndarray, members: list[tuple[float, float]], start: float, end: float, sr: int, c: CutConfig) -> np.ndarray:
+def cut_utterance(x: np.ndarray, members: list[tuple[float, float]], start: float, end: float, sr: int, c: Slicing) -> np.ndarray:
     parts = [x[max(0, a) : max(0, b)] for a, b in pieces(x, members, start, end, sr, c)]
     out = parts[0]
     for part in parts[1:]:
-        out = crossfade(out, part, int(c.xfade * sr))
+        out = crossfade(out, part, int(c.join_s * sr))
     return out
 
 
@@ -154,7 +169,7 @@ def pitch(x: np.ndarray, sr: int, low: float = 80.0, high: float = 600.0) -> np.
     return np.array(out)
 
 
-def materialise(clips: DataFrame, c: CutConfig = CutConfig()) -> DataFrame:
+def materialise(clips: DataFrame, c: Slicing = Slicing()) -> DataFrame:
     """(sid, sr, pcm, offset_s, members ARRAY<STRUCT<start, end>>, start, end) to (sid, sr, pcm, padded).
 
     ``pcm`` holds the 16-bit samples around the utterance and ``offset_s`` where they start in the episode.
@@ -167,8 +182,8 @@ def materialise(clips: DataFrame, c: CutConfig = CutConfig()) -> DataFrame:
                 x = np.frombuffer(pcm, "<i2").astype(np.float32) / 32768
                 spans = [(m["start"] - offset, m["end"] - offset) for m in members]
                 y = cut_utterance(x, spans, start - offset, end - offset, sr, c)
-                y, padded = tail_silence(y, sr, c.min_tail_sil, c.energy_floor_db)
-                y = edge_fades(y, sr, c.fade_in, c.fade_out)
+                y, padded = tail_silence(y, sr, c.tail_s, c.loud_db)
+                y = edge_fades(y, sr, *c.fades_s)
                 out.append((sid, sr, np.round(np.clip(y, -1, 1) * 32767).astype("<i2").tobytes(), padded))
             yield pd.DataFrame(out, columns=["sid", "sr", "pcm", "padded"])
 

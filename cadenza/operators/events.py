@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,6 +14,24 @@ from cadenza.operators.levels import db
 FRAME_S = 0.02
 
 
+@dataclass(frozen=True)
+class Cutting:
+    """Sounds without words: frames of ``frame_ms`` over ``floor_db``, joined over ``merge_frames``, ``least_frames`` long, ``guard`` frames
+    from words; pauses keep ``residual_ms``."""
+
+    frame_ms: int = 20
+    floor_db: float = -42.0
+    guard: int = 4
+    merge_frames: int = 6
+    least_frames: int = 8
+    guard_ms: int = 80
+    min_cut_ms: int = 150
+    residual_ms: int = 250
+
+    def of_gaps(self) -> dict:
+        return {k: getattr(self, k) for k in ("frame_ms", "floor_db", "guard", "merge_frames", "least_frames")}
+
+
 def frame_events(frames: DataFrame, floor_db: float, merge_frames: int, least_frames: int) -> DataFrame:
     """(sid, frame, ms) to (sid, first, end): runs of frames over the floor; runs closer than ``merge_frames`` are one, short ones go."""
     loud = frames.where(db(F.col("ms")) > floor_db).select("sid", "frame")
@@ -71,6 +91,21 @@ def cuts(events: DataFrame, frame_ms: int, residual_ms: int = 250) -> DataFrame:
     return rows.select("sid", "kind", "t0", "t1", pad.cast("long").alias("pad"))
 
 
+def totals(edits: DataFrame) -> DataFrame:
+    """(sid, kind, t0, t1, pad) to kind, n, cut_ms, pad_ms and the number of clips."""
+    return edits.groupBy("kind").agg(F.count("*").alias("n"), F.sum(F.col("t1") - F.col("t0")).alias("cut_ms"), F.sum("pad").alias("pad_ms"), F.countDistinct("sid").alias("clips"))
+
+
+def leftovers(words: DataFrame, edits: DataFrame, frames_after: DataFrame, clips_after: DataFrame, rules: dict, guard_ms: int = 80, min_cut_ms: int = 150) -> DataFrame:
+    """(sid, n): clips that were cut and still have something to cut, measured anew on the frames after the cuts; none is good.
+
+    ``rules`` are the arguments of :func:`gap_events` behind its tables.
+    """
+    gaps = gap_windows(shifted(words, edits), clips_after, guard_ms, min_cut_ms)
+    found = gap_events(frames_after, gaps, **rules).where("verdict = 'cut'")
+    return found.join(edits.select("sid").distinct(), "sid", "left_semi").groupBy("sid").agg(F.count("*").alias("n"))
+
+
 def shifted(words: DataFrame, edits: DataFrame) -> DataFrame:
     """Words in the time after the cuts: each cut that ends before a time moves it by what it took."""
     lost = F.col("t1") - F.col("t0") - F.col("pad")

@@ -2,11 +2,29 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cadenza.functions import ordered
+from cadenza.functions.quantiles import percentiles
 from cadenza.sources.fixtures import by_i
+from cadenza.sources.scratch import Scratch
+
+
+@dataclass(frozen=True)
+class Limits:
+    """How pauses are pressed and joins faded, which lengths are exported, and how much is left around them."""
+
+    max_gap_ms: int = 800
+    pass_ratio: float | None = None
+    xfade_ms: int = 20
+    min_ms: int = 2000
+    max_ms: int = 30000
+    pad_ms: int = 200
+    forced_gap_ms: int = 800
+
 
 #: Edges of the histogram in seconds; the last one is a little over the cap.
 EDGES = (2, 5, 10, 15, 20, 25, 30.01)
@@ -64,7 +82,10 @@ def histogram(utts: DataFrame) -> DataFrame:
 def summary(utts: DataFrame) -> DataFrame:
     """One row; zero and nulls without utterances."""
     d = F.col("length_ms")
-    return utts.agg(F.count("*").alias("n"), F.coalesce(F.sum(d), F.lit(0)).cast("long").alias("total_ms"), F.min(d).alias("min_ms"), F.percentile(d, 0.5).alias("median_ms"), F.max(d).alias("max_ms"))
+    utts = Scratch(utts.sparkSession, "summary").write(utts.select("length_ms"), "lengths")
+    one = utts.agg(F.count("*").alias("n"), F.coalesce(F.sum(d), F.lit(0)).cast("long").alias("total_ms"), F.min(d).alias("min_ms"), F.max(d).alias("max_ms"))
+    median = percentiles(utts, d, [0.5]).select(F.col("p")[0].alias("median_ms"))
+    return one.crossJoin(F.broadcast(median)).select("n", "total_ms", "min_ms", "median_ms", "max_ms")
 
 
 def episode_stats(utts: DataFrame, min_ms: int = 2000, max_ms: int = 30000) -> DataFrame:
@@ -72,6 +93,29 @@ def episode_stats(utts: DataFrame, min_ms: int = 2000, max_ms: int = 30000) -> D
     return utts.groupBy("idx").agg(F.count("*").alias("groups"), F.count_if(good).alias("exported"), F.count_if(F.col("length_ms") < min_ms).alias("too_short"), F.count_if(F.col("length_ms") > max_ms).alias("too_long"))
 
 
+def manifest_mismatches(manifest: DataFrame, members: DataFrame, groups: DataFrame) -> DataFrame:
+    """(sid, idx, gid) of the manifest, its members (sid, pos, i), and groups (idx, gid, pos, i), to the sids that differ, with ``why``.
+
+    Both are of one generation only if each manifest row's group is there and has the same members in the same order.
+    Members meet by (idx, gid, pos), so no group is gathered.
+    """
+    named = manifest.select("sid", "idx", "gid")
+    ours = members.join(named, "sid").select("sid", "idx", "gid", "pos", F.col("i").alias("own_i"))
+    theirs = groups.join(named, ["idx", "gid"]).select("sid", "idx", "gid", "pos", F.col("i").alias("their_i"))
+    both = ours.join(theirs, ["sid", "idx", "gid", "pos"], "full")
+    per = both.groupBy("sid").agg(F.count("own_i").alias("own"), F.count("their_i").alias("their"), F.count_if(~F.col("own_i").eqNullSafe(F.col("their_i"))).alias("differ"))
+    rows = named.join(per, "sid", "left")
+    why = F.when(F.coalesce("their", F.lit(0)) == 0, "no_group").when(F.col("own") != F.col("their"), "size").when(F.col("differ") > 0, "members")
+    return rows.select("sid", "idx", "gid", why.alias("why")).where("why is not null")
+
+
+def require_same_generation(manifest: DataFrame, members: DataFrame, groups: DataFrame) -> None:
+    """An error, before anything is changed, if the manifest and the groups don't belong together."""
+    wrong = manifest_mismatches(manifest, members, groups)
+    if first := wrong.first():
+        raise ValueError(f"manifest and groups are of different generations ({first['sid']}: {first['why']})")
+
+
 def forced_ends(utts: DataFrame, gapped: DataFrame, most_ms: int = 800) -> DataFrame:
     """Whether each utterance ends at a forced boundary: the next segment is adjacent and closer than ``most_ms``."""
     last = gapped.select("idx", F.col("i").alias("last_i"), "gap_ms", "next_is_adjacent")

@@ -14,9 +14,15 @@ class StaleArtifact(RuntimeError):
     """Raised by :func:`require_fresh`."""
 
 
+def part_hashes(files: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys..., name, hash) to one hash of sixteen digits for each key: of all its names and hashes, in order."""
+    entry = F.concat_ws(":", "name", "hash")
+    return files.groupBy(*keys).agg(F.substring(F.sha1(F.array_join(F.array_sort(F.collect_list(entry)), "|")), 1, 16).alias("fp"))
+
+
 def files_hash(files: DataFrame) -> DataFrame:
-    """(name, hash) to one hash of sixteen digits."""
-    return files.agg(F.substring(F.sha1(F.array_join(F.array_sort(F.collect_list(F.concat_ws(":", "name", "hash"))), "|")), 1, 16).alias("fp"))
+    """(name, hash) of a stage's few input files to one hash; for the rows of a corpus use :func:`part_hashes`."""
+    return part_hashes(files, [])
 
 
 def dataset_fingerprint(metadata: DataFrame, headers: DataFrame) -> DataFrame:

@@ -5,10 +5,25 @@ Five floors keep silence finite in decibels, and they differ; ``db`` names them.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from cadenza.functions.quantiles import percentiles
+from cadenza.sources.scratch import Scratch
+
+
+@dataclass(frozen=True)
+class Loudness:
+    """Where levels go: to ``target_db`` or the median of episodes, each clip by its episode's gain or keeping ``pass_ratio`` of its deviation."""
+
+    target_db: float | None = None
+    pass_ratio: float | None = None
+    ceiling_db: float = -1.0
+
+
 # How a mean square becomes decibels in each place.
 FLOORS = {"export": "rms+1e-10", "frame": "-120 at 0", "prosody": "sqrt(ms+1e-12)", "loudness": "sqrt(ms)+1e-12", "peak": "peak+1e-12"}
 
@@ -51,8 +66,8 @@ def loudness_plan(levels: DataFrame, target_db: float | None = None, pass_ratio:
     The target is the median of episode medians unless given. A clip gets its episode's gain or, with ``pass_ratio``,
     the gain that leaves this share of its deviation; the peak may not pass ``ceiling_db``.
     """
-    by_episode = levels.groupBy("episode").agg(F.percentile("loud", 0.5).alias("ep"))
-    goal = by_episode.agg(F.percentile("ep", 0.5).alias("target")) if target_db is None else by_episode.limit(1).select(F.lit(target_db).alias("target"))
+    by_episode = percentiles(levels, F.col("loud"), [0.5], ["episode"]).select("episode", F.col("p")[0].alias("ep"))
+    goal = percentiles(by_episode, F.col("ep"), [0.5]).select(F.col("p")[0].alias("target")) if target_db is None else by_episode.limit(1).select(F.lit(target_db).alias("target"))
     rows = levels.join(by_episode, "episode").crossJoin(F.broadcast(goal))
     wanted = F.col("target") - F.col("ep") if pass_ratio is None else F.col("target") - F.col("loud") + (F.col("loud") - F.col("ep")) * pass_ratio
     gain = F.least(wanted, F.lit(ceiling_db) - F.col("peak"))
@@ -60,10 +75,20 @@ def loudness_plan(levels: DataFrame, target_db: float | None = None, pass_ratio:
 
 
 def episode_rollup(plan: DataFrame) -> DataFrame:
-    return plan.groupBy("episode").agg(
-        F.count("*").alias("n_utts"), F.percentile("loud", 0.5).alias("measured"), F.percentile("gain", 0.5).alias("gain"),
-        F.count_if("clamped").alias("n_clamped"), F.percentile(F.col("loud") + F.col("gain"), 0.5).alias("achieved"),
-    )
+    plan = Scratch(plan.sparkSession, "levels").write(plan, "plan")
+    out = plan.groupBy("episode").agg(F.count("*").alias("n_utts"), F.count_if("clamped").alias("n_clamped"))
+    for name, value in (("measured", F.col("loud")), ("gain", F.col("gain")), ("achieved", F.col("loud") + F.col("gain"))):
+        out = out.join(percentiles(plan, value, [0.5], ["episode"]).select("episode", F.col("p")[0].alias(name)), "episode", "left")
+    return out
+
+
+def enhancement_summary(enhanced: DataFrame) -> DataFrame:
+    """(sid, sim, floor_gain, accepted) to one row: n_ok, n_low, and the medians of similarity and of what the floor sank by."""
+    enhanced = Scratch(enhanced.sparkSession, "levels").write(enhanced.select("sim", "floor_gain", "accepted"), "enhanced")
+    out = enhanced.agg(F.count_if("accepted").alias("n_ok"), F.count_if(~F.col("accepted")).alias("n_low"))
+    for name, column in (("sim_median", "sim"), ("floor_gain_median", "floor_gain")):
+        out = out.crossJoin(F.broadcast(percentiles(enhanced, F.col(column), [0.5]).select(F.col("p")[0].alias(name))))
+    return out
 
 
 def separation_guard(levels: DataFrame) -> DataFrame:

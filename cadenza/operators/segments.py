@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from cadenza.functions import ordered
 from cadenza.sources.fixtures import by_i
+from cadenza.sources.scratch import Scratch
 
 MINUTE_MS = 600_000
 
@@ -28,8 +30,11 @@ def episode_index(paths: DataFrame, mode: str = "sequential", order: list[str] |
         place = F.array_position(F.lit(order), stem)
         known = F.when(place > 0, place - 1).otherwise(F.raise_error(F.concat(F.lit("not in the episode order: "), stem)).cast("long"))
         return paths.select(F.lpad(known.cast("string"), 3, "0").alias("idx"), "path")
-    rank = ordered.ranked(paths.withColumn("all", F.lit(0)), ["all"], ["path"], F.substring("path", 1, 24), "rank")
-    number = (F.col("rank") - 1).cast("string")
+    ranges = Scratch(paths.sparkSession, "episodes").write(paths.repartitionByRange("path").withColumn("part", F.spark_partition_id()), "ranges")
+    before = Window.partitionBy().orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row for each range
+    offsets = ranges.groupBy("part").agg(F.count("*").alias("n")).select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    rank = ranges.withColumn("r", F.row_number().over(Window.partitionBy("part").orderBy("path"))).join(F.broadcast(offsets), "part")
+    number = (F.col("r") + F.col("before") - 1).cast("string")
     return rank.select(F.lpad(number, F.greatest(F.length(number), F.lit(3)), "0").alias("idx"), "path")
 
 

@@ -2,12 +2,24 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cadenza.functions import ordered
+from cadenza.functions.quantiles import percentiles
 from cadenza.functions.text import boundary
 from cadenza.sources.fixtures import by_i
+from cadenza.sources.scratch import Scratch
+
+
+@dataclass(frozen=True)
+class Pauses:
+    """The length from which a pause at a mark is flagged."""
+
+    fixed_gap_ms: int = 1150
+
 
 KINDS = ("head", "tail", "mid", "fin", "none")
 
@@ -24,10 +36,10 @@ def head_tail(items: DataFrame, durations: DataFrame, keys: list[str]) -> DataFr
     return ends.join(durations, keys).select(*keys, "head_ms", (F.col("dur_ms") - F.col("last_ms")).alias("tail_ms"))
 
 
-def upper_bound(values: Column) -> Column:
-    """Third quartile and one and a half times the distance of the quartiles, interpolated; null without values."""
-    q = F.percentile(values, F.array(F.lit(0.25), F.lit(0.75)))
-    return q[1] + 1.5 * (q[1] - q[0])
+def upper_bound(rows: DataFrame, values: Column, name: str) -> DataFrame:
+    """One row (n, ``name``): third quartile and one and a half times the distance of the quartiles, interpolated; null without values."""
+    q = F.col("p")
+    return percentiles(rows, values, [0.25, 0.75]).select("n", (q[1] + 1.5 * (q[1] - q[0])).alias(name))
 
 
 def long_form(gaps: DataFrame, ends: DataFrame, keys: list[str]) -> DataFrame:
@@ -40,17 +52,21 @@ def distribution(rows: DataFrame) -> DataFrame:
     """n, mean, median, p90 and max of each kind; kinds without rows have n = 0 and nulls."""
     spark = rows.sparkSession
     kinds = spark.createDataFrame([(k,) for k in KINDS], "kind string")
-    p = F.percentile("ms", F.array(F.lit(0.5), F.lit(0.9)))
-    stats = rows.groupBy("kind").agg(F.count("*").alias("n"), F.avg("ms").alias("mean"), p[0].alias("median"), p[1].alias("p90"), F.max("ms").alias("max"))
+    rows = Scratch(spark, "silence").write(rows.select("kind", "ms"), "rows")
+    p = percentiles(rows, F.col("ms"), [0.5, 0.9], ["kind"]).select("kind", F.col("p")[0].alias("median"), F.col("p")[1].alias("p90"))
+    stats = rows.groupBy("kind").agg(F.count("*").alias("n"), F.avg("ms").alias("mean"), F.max("ms").alias("max")).join(F.broadcast(p), "kind", "left")
     return F.broadcast(kinds).join(stats, "kind", "left").select("kind", F.coalesce("n", F.lit(0)).cast("long").alias("n"), "mean", "median", "p90", "max")
 
 
 def bounds(ends: DataFrame) -> DataFrame:
-    return ends.agg(upper_bound(F.col("head_ms")).alias("head_bound"), upper_bound(F.col("tail_ms")).alias("tail_bound"))
+    """One row: head_bound and tail_bound."""
+    head, tail = (upper_bound(ends, F.col(f"{c}_ms"), f"{c}_bound").drop("n") for c in ("head", "tail"))
+    return head.crossJoin(F.broadcast(tail))
 
 
 def flags(gaps: DataFrame, ends: DataFrame, keys: list[str], fixed_gap_ms: int = 1150) -> DataFrame:
     """A row for each reason: head or tail over its bound, a mid or fin gap of ``fixed_gap_ms`` or more."""
+    ends = Scratch(ends.sparkSession, "silence").write(ends, "ends")
     rows = ends.crossJoin(F.broadcast(bounds(ends)))
 
     def seconds(ms):

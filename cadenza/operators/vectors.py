@@ -6,11 +6,26 @@ tables (a centroid, a bound) are joined to all rows by broadcast.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from cadenza.functions.quantiles import percentiles
+from cadenza.sources.scratch import Scratch
+
+
+@dataclass(frozen=True)
+class Purity:
+    """Windows below ``low_sim`` are foreign; runs of them are flagged, long runs and very foreign windows are severe."""
+
+    low_sim: float = 0.45
+    flag_run: int = 2
+    severe_run: int = 4
+    severe_min: float = 0.05
+
 
 def dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
@@ -49,10 +64,11 @@ def target_cluster(stats: DataFrame, reference: DataFrame | None = None, max_dis
 
 def robust_centroid(utts: DataFrame) -> DataFrame:
     """One row: the mean of all vectors, then of those above the lowest tenth of similarities to it."""
-    first = mean_vector(utts, [])
+    scratch = Scratch(utts.sparkSession, "vectors")
+    first = scratch.write(mean_vector(utts, []), "first")
     sims = utts.crossJoin(F.broadcast(first)).withColumn("sim", dot(F.col("emb"), F.col("centroid")))
-    cut = sims.agg(F.percentile("sim", 0.1).alias("p10"))
-    return mean_vector(sims.crossJoin(F.broadcast(cut)).where("sim > p10"), [])
+    cut = percentiles(sims, F.col("sim"), [0.1]).select(F.col("p")[0].alias("p10"))
+    return scratch.write(mean_vector(sims.crossJoin(F.broadcast(cut)).where("sim > p10"), []), "robust")
 
 
 def upper_half(sims: DataFrame) -> DataFrame:
@@ -60,7 +76,8 @@ def upper_half(sims: DataFrame) -> DataFrame:
 
     The similarity of the last row that counts is found by a percentile, then only its ties are ranked.
     """
-    n = sims.agg(F.count("*").alias("n"), F.percentile("sim", 0.5).alias("p50"))
+    sims = Scratch(sims.sparkSession, "vectors").write(sims.select("utt", "sim"), "sims")
+    n = percentiles(sims, F.col("sim"), [0.5]).select("n", F.col("p")[0].alias("p50"))
     rows = sims.crossJoin(F.broadcast(n))
     above = rows.where("sim > p50")
     taken = above.agg(F.count("*").alias("k"))
@@ -69,6 +86,22 @@ def upper_half(sims: DataFrame) -> DataFrame:
     return above.select("utt", "sim").union(ties.withColumn("r", rank).where("r <= n div 2 - k").select("utt", "sim"))
 
 
+def mean_micros(sims: DataFrame) -> DataFrame:
+    """(utt, sim) of windows to (utt, sim): the mean in whole millionths, of similarities in whole millionths, halves upwards.
+
+    All sums are of integers, so the result doesn't depend on the order of rows.
+    """
+    k = F.round(F.col("sim") * 1_000_000).cast("long")
+    twice = 2 * F.sum(k) + F.count("*")
+    per = sims.groupBy("utt").agg(twice.alias("a"), (2 * F.count("*")).alias("b"))
+    return per.select("utt", (F.expr("(a - pmod(a, b)) div b") / 1_000_000).alias("sim"))
+
+
+def second_centroid(windows: DataFrame, half: DataFrame) -> DataFrame:
+    """One row: the mean of all windows of the utterances in ``half``, of length 1."""
+    return mean_vector(windows.join(half.select("utt"), "utt", "left_semi"), [])
+
+
 def window_similarity(windows: DataFrame, centroid: DataFrame) -> DataFrame:
     return windows.crossJoin(F.broadcast(centroid)).withColumn("sim", dot(F.col("emb"), F.col("centroid"))).drop("centroid", "emb")
 

@@ -66,6 +66,11 @@ m2 AS (SELECT k, avg(x) AS x FROM flat WHERE pos IN (SELECT pos FROM s1 WHERE si
 cen AS (SELECT k, x / sqrt((SELECT sum(x * x) FROM m2)) AS x FROM m2),
 sims AS (SELECT utt, pos, round(sum(flat.x * cen.x), 6) AS sim FROM flat JOIN cen USING (k) GROUP BY utt, pos)
 """
+HALF = """
+ints AS (SELECT utt, CAST(2 * sum(CAST(round(sim * 1000000) AS BIGINT)) + count(*) AS BIGINT) AS a, 2 * count(*) AS b FROM sims GROUP BY utt),
+u AS (SELECT utt, CAST((a - ((a % b) + b) % b) // b AS DOUBLE) / 1000000 AS sim FROM ints),
+half AS (SELECT utt, sim FROM (SELECT *, row_number() OVER (ORDER BY sim DESC, utt) AS r, count(*) OVER () AS n FROM u) WHERE r <= n // 2)
+"""
 FR = """
 smp AS (SELECT vec_id AS sid, (k - 1) // 4 AS frame, CAST(embedding[k] AS DOUBLE) AS x FROM embeddings, LATERAL (SELECT unnest(range(1, len(embedding) + 1)) AS k)),
 fr AS (SELECT sid, frame, sum(x * x) / 4 AS ms, max(abs(x)) AS peak FROM smp GROUP BY sid, frame)
@@ -149,7 +154,17 @@ d AS (SELECT idx, label, 1 - sum(cc.x * r.x) AS dist FROM cc JOIN r USING (k) GR
 SELECT idx, CASE WHEN dist <= 0.75 THEN label END AS label, round(dist, 6) AS ref_dist FROM (SELECT *, row_number() OVER (PARTITION BY idx ORDER BY dist, label) AS n FROM d) WHERE n = 1""",
     "robust_centroid": f"WITH {WIN}, {ROBUST} SELECT CAST(k - 1 AS BIGINT) AS k, round(x, 6) AS x FROM cen",
     "window_similarity": f"WITH {WIN}, {ROBUST} SELECT utt, pos, sim FROM sims",
-    "upper_half": f"WITH {WIN}, {ROBUST}, u AS (SELECT utt, round(avg(sim), 6) AS sim FROM sims GROUP BY utt) SELECT utt, sim FROM (SELECT *, row_number() OVER (ORDER BY sim DESC, utt) AS r, count(*) OVER () AS n FROM u) WHERE r <= n // 2",
+    "upper_half": f"WITH {WIN}, {ROBUST}, {HALF} SELECT utt, sim FROM half",
+    "second_centroid": f"""WITH {WIN}, {ROBUST}, {HALF}, m3 AS (SELECT k, avg(x) AS x FROM flat WHERE utt IN (SELECT utt FROM half) GROUP BY k)
+SELECT CAST(k - 1 AS BIGINT) AS k, round(x / sqrt((SELECT sum(x * x) FROM m3)), 6) AS x FROM m3""",
+    "manifest_check": f"""{G}, {UTT}, {MAN.format(src='exp')}, w AS (SELECT sid, idx, gid, CASE WHEN gid % 11 = 4 OR (gid % 5 = 2 AND n_segs = 1) THEN 'no_group' WHEN gid % 5 = 2 THEN 'size' WHEN gid % 7 = 3 THEN 'members' END AS why FROM man)
+SELECT * FROM w WHERE why IS NOT NULL""",
+    "kept_results": "SELECT doc_id, CAST(CASE WHEN doc_id % 2 = 0 THEN toxic + 10 ELSE quality END AS BIGINT) AS verdict FROM labels WHERE doc_id IN (SELECT doc_id FROM documents WHERE doc_id % 3 <> 0 OR doc_id % 6 = 0)",
+    "changed_samples": "SELECT doc_id, sha1(text) AS old_sha, sha1(text || '!') AS new_sha FROM documents WHERE doc_id % 10 = 7 ORDER BY doc_id LIMIT 12",
+    "episode_subset": f"WITH {SEG} SELECT idx, i, start_ms FROM segs WHERE idx % 4 = 1",
+    "with_audio": "SELECT doc_id AS sid FROM documents WHERE doc_id IN (SELECT vec_id * 3 FROM embeddings)",
+    "enhancement_summary": """WITH e AS (SELECT o_custkey % 100 / 100 AS sim, CAST(o_orderkey % 37 AS DOUBLE) AS g FROM orders)
+SELECT count(*) FILTER (sim >= 0.9) AS n_ok, count(*) FILTER (sim < 0.9) AS n_low, quantile_cont(sim, 0.5) AS sim_median, quantile_cont(g, 0.5) AS floor_gain_median FROM e""",
     "speaker_purity": f"""WITH {WIN}, {ROBUST}, l AS (SELECT *, sim < 0.05 AS low, row_number() OVER (PARTITION BY utt ORDER BY pos) - row_number() OVER (PARTITION BY utt, sim < 0.05 ORDER BY pos) AS isl FROM sims),
 r AS (SELECT utt, low, isl, count(*) AS run FROM l GROUP BY utt, low, isl), t AS (SELECT utt, max(CASE WHEN low THEN run ELSE 0 END) AS longest FROM r GROUP BY utt),
 a AS (SELECT utt, count(*) AS n, min(sim) AS min_sim, round(sum(sim) / count(*), 7) AS mean_sim FROM sims GROUP BY utt)

@@ -1,67 +1,163 @@
 """Stages of the corpus with a report first and an apply step, freshness stamps, and one order for all of them.
 
-``plan`` of a stage gives DataFrames and changes nothing; ``apply`` commits a new snapshot of the table it changes and
-stamps what it was made from. A stage refuses to apply to something stale.
+``plan`` of a stage gives DataFrames and changes nothing; ``apply`` commits new snapshots of the tables it changes and
+stamps what it was made from. A stage refuses to apply to something stale. Stages read the newest snapshots of:
+
+segments (idx, i, start_ms, end_ms, kept), splits-1 and -2 (idx, gid, part, pos, i), metadata and transcripts (sid, text),
+alignments (sid, text, items), words (sid, pos, start_ms, end_ms, between), durations (sid, dur_ms), frames and
+frames-after (sid, frame, ms), windows (utt, pos, emb), metrics (sid, f0_std, f0_range, energy_std), levels (clip, episode, loud, peak).
+
+Models run outside, by :mod:`cadenza.providers`, and put their results into these tables.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cadenza.config import Project
-from cadenza.operators import export, freshness, grouping, removal, segments
+from cadenza.operators import events, export, freshness, grouping, levels, prosody, removal, segments, silence, text, vectors
 from cadenza.sources.snapshots import Snapshots
 
-ALL = ("group", "export", "prune")
-ALIASES = {"merge-prep": "group", "cut": "export", "qa": "prune"}
-
-
-def packing(project: Project) -> grouping.Packing:
-    g = project.group
-    ms = lambda s: None if s is None else round(s * 1000)
-    return grouping.Packing(ms(g.max_gap), ms(g.max_dur), ms(g.pref_max_dur), ms(g.pref_min_dur), ms(g.good_gap))
+ALL = ("group", "export", "punct", "tails", "silence", "speaker", "prosody", "nonspeech", "loudness", "prune")
+# Names under which scripts call these stages.
+ALIASES = {
+    "merge-prep": "group", "cut": "export", "qa": "prune", "fix-punct": "punct", "punct-fix": "punct", "fix-tail-punct": "tails", "tail-punct": "tails", "qa-silence": "silence",
+    "silence-qa": "silence", "qa-speaker": "speaker", "qa-prosody": "prosody", "remove-nonspeech": "nonspeech", "para-cut": "nonspeech", "loudnorm": "loudness", "group-apply": "group", "merge-apply": "group",
+}
 
 
 @dataclass
 class Workspace:
-    """Tables of a project, each with its versions: segments, groups, manifest, flags, stamps."""
+    """Tables of a project, each with its versions."""
 
     spark: SparkSession
     project: Project
-    splits: list[DataFrame] = field(default_factory=list)
 
     def table(self, name: str) -> Snapshots:
         return Snapshots(self.spark, f"{self.project.out_root}/{name}")
 
+    def read(self, name: str) -> DataFrame:
+        return self.table(name).read()
+
+    def has(self, *names: str) -> bool:
+        return all(self.table(n).versions() for n in names)
+
 
 def plan_groups(w: Workspace) -> dict[str, DataFrame]:
-    gapped = segments.gaps(w.table("segments").read())
-    groups = grouping.pack(gapped, packing(w.project))
-    if w.splits:
-        groups = grouping.apply_splits(groups, *w.splits)
-    return {"groups": groups, "violations": grouping.violations(groups, gapped, packing(w.project)), "review": grouping.review(groups, gapped)}
+    rules = w.project.of("group")
+    gapped = segments.gaps(w.read("segments"))
+    groups = grouping.pack(gapped, rules)
+    splits = [w.read(n) for n in ("splits-1", "splits-2") if w.has(n)]
+    if splits:
+        groups = grouping.apply_splits(groups, *splits)
+    return {"groups": groups, "violations": grouping.violations(groups, gapped, rules), "review": grouping.review(groups, gapped)}
+
+
+def _utterances(w: Workspace) -> DataFrame:
+    c = w.project.of("export")
+    return export.utterances(w.read("groups").select("idx", "gid", "pos", "i"), segments.gaps(w.read("segments")), c.max_gap_ms, c.pass_ratio, c.xfade_ms)
 
 
 def plan_export(w: Workspace) -> dict[str, DataFrame]:
-    gapped = segments.gaps(w.table("segments").read())
-    c = w.project.cut
-    utts = export.utterances(w.table("groups").read().select("idx", "gid", "pos", "i"), gapped, round(c.max_gap * 1000), c.gap_pass_ratio, round(c.xfade * 1000))
-    good = export.exported(utts, round(c.min_dur * 1000), round(c.max_dur * 1000))
-    rows = export.padded(good, round(c.edge_pad * 1000))
-    sids = export.manifest(good, w.project.seg_prefix or "s").select("sid", "idx", "gid")
-    return {"manifest": rows.join(sids, ["idx", "gid"]), "summary": export.summary(good), "histogram": export.histogram(good), "episodes": export.episode_stats(utts)}
+    c, utts = w.project.of("export"), _utterances(w)
+    good = export.exported(utts, c.min_ms, c.max_ms)
+    rows = export.padded(good, c.pad_ms)
+    sids = export.manifest(good, w.project.prefix).select("sid", "idx", "gid")
+    members = sids.join(w.read("groups"), ["idx", "gid"]).select("sid", "pos", "i")
+    return {"manifest": rows.join(sids, ["idx", "gid"]), "members": members, "summary": export.summary(good), "histogram": export.histogram(good), "episodes": export.episode_stats(utts)}
+
+
+def plan_punct(w: Workspace) -> dict[str, DataFrame]:
+    """Recognised transcripts with marks by pauses in place of the old texts; clips without an alignment keep theirs."""
+    old = w.read("metadata").select(F.col("sid").alias("id"), F.col("text").alias("old"))
+    rows = old.join(w.read("alignments").select(F.col("sid").alias("id"), "text", "items"), "id", "left")
+    fixed = text.repair(rows)
+    new = fixed.select(F.col("id").alias("sid"), "text")
+    return {"metadata": new, "outcomes": fixed.groupBy("outcome").agg(F.count("*").alias("n"), F.sum("n_deleted").alias("deleted"), F.sum("n_inserted").alias("inserted")), "samples": removal.changed_samples(w.read("metadata"), new, "sid")}
+
+
+def plan_tails(w: Workspace) -> dict[str, DataFrame]:
+    """Full stops where a clip was cut by force become commas; the manifest must be of the groups' generation."""
+    manifest = w.read("manifest")
+    export.require_same_generation(manifest, w.read("members"), w.read("groups").select("idx", "gid", "pos", "i"))
+    ends = export.forced_ends(manifest, segments.gaps(w.read("segments")), w.project.of("export").forced_gap_ms)
+    new = text.rewrite_tails(w.read("metadata"), ends)
+    return {"metadata": new.select("sid", "text"), "changed": new.where("changed")}
+
+
+def _flagged(w: Workspace, source: str, rows: DataFrame) -> DataFrame:
+    """The flags of other sources and the new ones (sid, reason) of this one."""
+    new = rows.select(F.col("sid").cast("string").alias("sid"), F.lit(source).alias("source"), "reason")
+    return w.read("flags").where(F.col("source") != source).unionByName(new) if w.has("flags") else new
+
+
+def plan_silence(w: Workspace) -> dict[str, DataFrame]:
+    words = w.read("words")
+    gaps, ends = silence.token_gaps(words, ["sid"]), silence.head_tail(words, w.read("durations"), ["sid"])
+    found = silence.flags(gaps, ends, ["sid"], w.project.of("silence").fixed_gap_ms)
+    return {"flags": _flagged(w, "silence", found), "distribution": silence.distribution(silence.long_form(gaps, ends, ["sid"]))}
+
+
+def plan_speaker(w: Workspace) -> dict[str, DataFrame]:
+    """Clips with runs of windows far from the second centroid, that of the upper half."""
+    windows, r = w.read("windows"), w.project.of("speaker")
+    first = vectors.window_similarity(windows, vectors.robust_centroid(windows))
+    half = vectors.upper_half(vectors.mean_micros(first))
+    found = vectors.purity(vectors.window_similarity(windows, vectors.second_centroid(windows, half)), r.low_sim, r.flag_run, r.severe_run, r.severe_min)
+    severe = found.where("severe").select(F.col("utt").alias("sid"), F.format_string("run=%d", "longest").alias("reason"))
+    return {"flags": _flagged(w, "speaker", severe), "speakers": found}
+
+
+def plan_prosody(w: Workspace) -> dict[str, DataFrame]:
+    return {"prosody": prosody.scores(w.read("metrics"))}
+
+
+def plan_nonspeech(w: Workspace) -> dict[str, DataFrame]:
+    """Sounds between words to cut, and words in the time after it; with frames measured after the cuts, what is left."""
+    r, words, clips = w.project.of("nonspeech"), w.read("words"), w.read("durations")
+    edits = events.cuts(events.gap_events(w.read("frames"), events.gap_windows(words, clips, r.guard_ms, r.min_cut_ms), **r.of_gaps()), r.frame_ms, r.residual_ms)
+    out = {"cuts": edits, "words-after": events.shifted(words, edits), "totals": events.totals(edits)}
+    if w.has("frames-after", "durations-after"):
+        out["leftovers"] = events.leftovers(words, edits, w.read("frames-after"), w.read("durations-after"), r.of_gaps(), r.guard_ms, r.min_cut_ms)
+    return out
+
+
+def plan_loudness(w: Workspace) -> dict[str, DataFrame]:
+    r = w.project.of("loudness")
+    gains = levels.loudness_plan(w.read("levels"), r.target_db, r.pass_ratio, r.ceiling_db)
+    return {"gains": gains, "episodes": levels.episode_rollup(gains)}
 
 
 def plan_prune(w: Workspace) -> dict[str, DataFrame]:
-    current = w.table("manifest").read()
-    return {"manifest": removal.without(current, w.table("flags").read(), "sid"), "removed": current.join(w.table("flags").read().select("sid").distinct(), "sid")}
+    current, flags = w.read("manifest"), w.read("flags")
+    return {"manifest": removal.without(current, flags, "sid"), "removed": current.join(flags.select("sid").distinct(), "sid")}
+
+
+@dataclass(frozen=True)
+class Stage:
+    plan: Callable[[Workspace], dict[str, DataFrame]]
+    targets: tuple[str, ...]
+    needs: tuple[str, ...] = ()
 
 
-STAGES: dict[str, tuple[Callable[[Workspace], dict[str, DataFrame]], str]] = {"group": (plan_groups, "groups"), "export": (plan_export, "manifest"), "prune": (plan_prune, "manifest")}
+STAGES = {
+    "group": Stage(plan_groups, ("groups",), ("segments",)),
+    "export": Stage(plan_export, ("manifest", "members"), ("segments", "groups")),
+    "punct": Stage(plan_punct, ("metadata",), ("metadata", "alignments")),
+    "tails": Stage(plan_tails, ("metadata",), ("metadata", "manifest", "members", "groups", "segments")),
+    "silence": Stage(plan_silence, ("flags",), ("words", "durations")),
+    "speaker": Stage(plan_speaker, ("flags", "speakers"), ("windows",)),
+    "prosody": Stage(plan_prosody, ("prosody",), ("metrics",)),
+    "nonspeech": Stage(plan_nonspeech, ("cuts", "words-after"), ("words", "durations", "frames")),
+    "loudness": Stage(plan_loudness, ("gains",), ("levels",)),
+    "prune": Stage(plan_prune, ("manifest", "removed"), ("manifest", "flags")),
+}
+#: Outputs that must be empty for a stage to be applied.
+MUST_BE_EMPTY = ("violations", "leftovers")
 
 
 def _lengths(manifest: DataFrame) -> DataFrame:
@@ -70,25 +166,28 @@ def _lengths(manifest: DataFrame) -> DataFrame:
 
 def plan(w: Workspace, stage: str) -> dict[str, DataFrame]:
     """What a stage would do."""
-    return STAGES[ALIASES.get(stage, stage)][0](w)
+    return STAGES[ALIASES.get(stage, stage)].plan(w)
 
 
 def apply(w: Workspace, stage: str) -> int:
-    """Do it: the version that was committed."""
+    """Do it: the version of the first table that was committed. Rows that were removed are kept in the table ``removed``."""
     stage = ALIASES.get(stage, stage)
-    make, target = STAGES[stage]
-    if stage == "prune":
-        stamps = w.table("stamp-export")
-        freshness.require_fresh(_lengths(w.table("manifest").read()), stamps.read() if stamps.versions() else None, "export")
-    out = make(w)
-    if "violations" in out and not out["violations"].isEmpty():
-        raise ValueError("the groups break rules; see plan()['violations']")
-    version = w.table(target).commit(out[target])
+    if stage in ("prune", "tails"):
+        freshness.require_fresh(_lengths(w.read("manifest")), w.read("stamp-export") if w.has("stamp-export") else None, "export")
+    out = plan(w, stage)
+    for name in MUST_BE_EMPTY:
+        if name in out and not out[name].isEmpty():
+            raise ValueError(f"{stage}: there are {name}; they break rules, see plan()[{name!r}]")
+    versions = []
+    # all targets are computed from the same snapshots, so they are written beside each other before any pointer can be read
+    snapshots = [(w.table(t), out[t]) for t in reversed(STAGES[stage].targets)]
+    for table, rows in snapshots:
+        versions.append(table.commit(rows))
     if stage == "export":
-        w.table("stamp-export").commit(_lengths(w.table(target).read(version)))
-    return version
+        w.table("stamp-export").commit(_lengths(w.table("manifest").read(versions[-1])))
+    return versions[-1]
 
 
 def run_all(w: Workspace) -> dict[str, int]:
     """Every stage whose inputs are there, in order."""
-    return {s: apply(w, s) for s in ALL if s != "prune" or w.table("flags").versions()}
+    return {s: apply(w, s) for s in ALL if w.has(*STAGES[s].needs)}

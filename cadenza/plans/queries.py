@@ -139,6 +139,17 @@ def forced_ends(spark, d):
     return export.forced_ends(*_utts(spark, d)).select("idx", "gid", "last_i", "forced")
 
 
+@query
+def manifest_check(spark, d):
+    """The manifest against groups of another generation: some lack a member, some have others, some are gone."""
+    groups, g = _packed(spark, d)
+    groups = Scratch(spark, "groups").write(groups, "groups")
+    m = export.manifest(export.exported(export.utterances(groups, g)))
+    members = m.select("sid", "idx", "gid").join(groups, ["idx", "gid"]).select("sid", "pos", "i")
+    other = groups.where("gid % 11 <> 4 and not (gid % 5 = 2 and pos = 0)").withColumn("i", F.col("i") + F.when(F.col("gid") % 7 == 3, 1).otherwise(0))
+    return export.manifest_mismatches(m, members, other)
+
+
 def _clusters(spark, d):
     """Ten utterances an episode; a window lasts 1000 ms and a third of its number of more."""
     w = fx.windows(spark, d)
@@ -184,8 +195,13 @@ def window_similarity(spark, d):
 
 @query
 def upper_half(spark, d):
-    per = _similarities(spark, d).groupBy("utt").agg(F.round(F.avg("sim"), 6).alias("sim"))
-    return vectors.upper_half(per)
+    return vectors.upper_half(vectors.mean_micros(_similarities(spark, d)))
+
+
+@query
+def second_centroid(spark, d):
+    c = vectors.second_centroid(fx.windows(spark, d), upper_half(spark, d))
+    return c.select(F.posexplode("centroid").alias("k", "x")).select(F.col("k").cast("long").alias("k"), F.round("x", 6).alias("x"))
 
 
 @query
@@ -251,8 +267,7 @@ def item_shift(spark, d):
 
 @query
 def cut_totals(spark, d):
-    c = events.cuts(_cuts(spark, d)[1], 20, 60)
-    return c.groupBy("kind").agg(F.count("*").alias("n"), F.sum(F.col("t1") - F.col("t0")).alias("cut_ms"), F.sum("pad").alias("pad_ms"), F.countDistinct("sid").alias("clips"))
+    return events.totals(events.cuts(_cuts(spark, d)[1], 20, 60))
 
 
 @query
@@ -296,14 +311,14 @@ def text_similarity(spark, d):
 
 
 def _aligned(spark, d):
-    """Sentences of conversations with their words as items; every seventh word is misheard."""
-    it = fx.items(spark, d).withColumn("sentence", F.expr("pos div 12"))
+    """Turns of conversations, whole, with their words as items; every seventh word is misheard."""
+    it = fx.items(spark, d)
     heard = F.when(F.col("pos") % 7 == 6, F.lit("#")).otherwise(F.regexp_replace("token", r"[^\p{L}\p{N}]", ""))
     item = F.struct("pos", heard.alias("token"), (F.col("start_ms") / 1000).alias("start"), (F.col("end_ms") / 1000).alias("end"), F.col("token").alias("word"))
-    g = it.groupBy("conv_id", "turn", "sentence").agg(F.sort_array(F.collect_list(item)).alias("x"))
+    g = it.groupBy("conv_id", "turn").agg(F.sort_array(F.collect_list(item)).alias("x"))
     whole = F.array_join(F.transform("x", lambda t: t["word"]), " ")
     parts = F.filter(F.transform("x", lambda t: F.struct(t["token"].alias("token"), t["start"].alias("start"), t["end"].alias("end"))), lambda t: t["token"] != "")
-    return g.select(F.concat_ws("-", "conv_id", "turn", "sentence").alias("id"), whole.alias("text"), parts.alias("items"))
+    return g.select(F.concat_ws("-", "conv_id", "turn").alias("id"), whole.alias("text"), parts.alias("items"))
 
 
 @query
@@ -408,8 +423,8 @@ def resume_todo(spark, d):
 @query
 def fingerprint(spark, d):
     """A hash for each thousand ids, so that no task holds all names."""
-    docs = fx.table(spark, d, "documents").select(F.expr("doc_id div 1000").alias("part"), F.concat_ws(":", F.col("doc_id").cast("string"), F.sha1("text")).alias("entry"))
-    return docs.groupBy("part").agg(F.substring(F.sha1(F.array_join(F.array_sort(F.collect_list("entry")), "|")), 1, 16).alias("fp"))
+    docs = fx.table(spark, d, "documents").select(F.expr("doc_id div 1000").alias("part"), F.col("doc_id").cast("string").alias("name"), F.sha1("text").alias("hash"))
+    return freshness.part_hashes(docs, ["part"])
 
 
 @query
@@ -425,8 +440,43 @@ def freshness_check(spark, d):
 def audit_summary(spark, d):
     e = fx.table(spark, d, "events").select(F.get_json_object("props", "$.k").cast("int").alias("k"), "event_type")
     verdict = F.when(F.col("event_type") == "error", "error").when(F.col("k") < 10, "drop").when(F.col("k") < 30, "review").otherwise("keep")
-    a = e.withColumn("verdict", verdict)
-    return a.groupBy("verdict").agg(F.count("*").alias("n"), F.count_if(F.col("k") % 2 == 0).alias("noisy"), F.count_if(F.col("k") % 3 == 0).alias("clipped"))
+    return removal.verdicts(e.select(verdict.alias("verdict"), (F.col("k") % 2 == 0).alias("noisy"), (F.col("k") % 3 == 0).alias("clipped")), ("noisy", "clipped"))
+
+
+@query
+def kept_results(spark, d):
+    """Two audits of labelled documents, the second of even ids; results of documents that are left or were done before."""
+    labels = fx.table(spark, d, "labels")
+    first = labels.select("doc_id", F.lit(0).alias("n"), F.col("quality").cast("long").alias("verdict"))
+    second = labels.where("doc_id % 2 = 0").select("doc_id", F.lit(1).alias("n"), (F.col("toxic") + 10).cast("long").alias("verdict"))
+    docs = fx.table(spark, d, "documents").select("doc_id")
+    return removal.kept_results(first.union(second), docs.where("doc_id % 3 <> 0"), docs.where("doc_id % 6 = 0"), "doc_id")
+
+
+@query
+def changed_samples(spark, d):
+    """The report's first twelve changes: its own limit."""
+    docs = fx.table(spark, d, "documents").select("doc_id", "text")
+    after = docs.withColumn("text", F.when(F.col("doc_id") % 10 == 7, F.concat("text", F.lit("!"))).otherwise(F.col("text")))
+    return removal.changed_samples(docs, after, "doc_id").select("doc_id", F.sha1("old").alias("old_sha"), F.sha1("new").alias("new_sha"))
+
+
+@query
+def episode_subset(spark, d):
+    seg = fx.segments(spark, d)
+    return removal.of_episodes(seg, seg.where("idx % 4 = 1").select("idx")).select("idx", "i", "start_ms")
+
+
+@query
+def with_audio(spark, d):
+    meta = fx.table(spark, d, "documents").select(F.col("doc_id").alias("sid"))
+    return removal.with_audio(meta, fx.table(spark, d, "embeddings").select((F.col("vec_id") * 3).alias("sid")))
+
+
+@query
+def enhancement_summary(spark, d):
+    o = fx.table(spark, d, "orders").select((F.col("o_custkey") % 100 / 100).alias("sim"), (F.col("o_orderkey") % 37).cast("double").alias("floor_gain"))
+    return levels.enhancement_summary(o.withColumn("accepted", F.col("sim") >= 0.9))
 
 
 @query

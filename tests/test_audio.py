@@ -3,7 +3,6 @@
 import numpy as np
 import pytest
 
-from cadenza.config import CutConfig
 from cadenza.operators import audio, events, levels, prosody, silence, vectors
 
 SR = 16000
@@ -27,17 +26,17 @@ def test_long_pauses_are_pressed():
     x = np.zeros(6 * SR, np.float32)
     for s, e in ((0.5, 1.5), (4.0, 5.0)):
         x[int(s * SR) : int(e * SR)] = rng.normal(0, 0.2, int((e - s) * SR))
-    c = CutConfig()
+    c = audio.Slicing()
     y = audio.cut_utterance(x, [(0.5, 1.8), (3.8, 5.0)], 0.3, 5.2, SR, c)
     assert 3.0 < len(y) / SR < 3.5  # two seconds of sound, 0.8 of pause, pads
     short = audio.cut_utterance(x, [(0.5, 1.5), (2.0, 2.5)], 0.5, 2.5, SR, c)
-    assert abs(len(short) / SR - (2.0 - c.xfade)) < 0.001
+    assert abs(len(short) / SR - (2.0 - c.join_s)) < 0.001
 
 
 def test_quiet_edges():
     x = np.zeros(2 * SR, np.float32)
     x[: SR // 2] = 0.3
-    c = CutConfig()
+    c = audio.Slicing()
     assert abs(audio.quiet_end(x, 1.0, SR, c) - 0.58) < 0.021
     assert audio.quiet_end(np.zeros(SR, np.float32), 1.0, SR, c) == pytest.approx(0.2)
     assert audio.quiet_end(x, 0.01, SR, c) == 0.01
@@ -96,7 +95,7 @@ def test_materialised_clips(spark):
     x = (np.random.default_rng(1).normal(0, 0.2, 3 * SR).clip(-1, 1) * 32767).astype("<i2").tobytes()
     rows = [("a", SR, x, 10.0, [(10.5, 11.0), (11.2, 12.0)], 10.4, 12.1)]
     df = spark.createDataFrame(rows, "sid string, sr int, pcm binary, offset_s double, members array<struct<start: double, end: double>>, start double, end double")
-    (r,) = audio.materialise(df, CutConfig(min_tail_sil=0.3)).collect()
+    (r,) = audio.materialise(df, audio.Slicing(tail_s=0.3)).collect()
     y = np.frombuffer(r["pcm"], "<i2")
     assert r["padded"] and abs(len(y) / SR - (1.7 - 0.02 + 0.3)) < 0.01 and y[0] == 0 and y[-1] == 0
 

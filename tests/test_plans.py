@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from cadenza import config, providers
-from cadenza.operators import freshness, removal
+from cadenza.operators import export, freshness, removal, segments
 from cadenza.plans import pipeline
 from cadenza.sources import metadata as md
 from cadenza.sources import wav
@@ -93,35 +93,105 @@ def test_freshness(spark):
     assert freshness.files_hash(files).first()["fp"] == hashlib.sha1(b"a:1|b:2").hexdigest()[:16]
 
 
-def test_config():
-    p = config.parse_project('{"name": "p", "cut": {"max_gap": 1.2}, "extract": {"split_tiers": [0.4]}}')
-    assert p.cut.max_gap == 1.2 and p.cut.min_dur == 2.0 and p.extract.split_tiers == (0.4,) and p.group.max_dur == 29.0
-    for bad in ('{"name": "p", "cut": {"nope": 1}}', '{"name": "p", "nope": 1}'):
+def test_config(tmp_path):
+    p = config.parse_project('{"name": "p", "group": {"max_gap": 3000}, "loudness": {"target_db": -20.0}}')
+    assert p.of("group").max_gap == 3000 and p.of("group").max_dur == 29000 and p.of("loudness").target_db == -20.0 and p.of("export").pad_ms == 200
+    for bad in ('{"name": "p", "group": {"nope": 1}}', '{"name": "p", "nope": 1}'):
         with pytest.raises(TypeError):
             config.parse_project(bad)
+    for name in ("b", "a"):
+        (tmp_path / f"{name}.json").write_text("{}")
+    assert config.list_projects(str(tmp_path)) == ["a", "b"]
+
+
+def _workspace(spark, tmp_path, rows):
+    w = pipeline.Workspace(spark, config.Project("p", out_root=str(tmp_path), prefix="p"))
+    w.table("segments").commit(spark.createDataFrame(rows, SCHEMA))
+    return w
 
 
 def test_pipeline_plans_then_applies(spark, tmp_path):
     rows = [r for r in made(3, 60) if r[3] - r[2] <= 15000]
-    p = config.Project("p", out_root=str(tmp_path), seg_prefix="p", group=config.GroupConfig())
-    w = pipeline.Workspace(spark, p)
-    w.table("segments").commit(spark.createDataFrame(rows, SCHEMA))
+    w = _workspace(spark, tmp_path, rows)
     before = pipeline.plan(w, "merge-prep")["groups"].count()
-    assert w.table("groups").versions() == [] and before == len(packed(gapped(rows), pipeline.packing(p)))
+    assert w.table("groups").versions() == [] and before == len(packed(gapped(rows), w.project.of("group")))
     assert pipeline.run_all(w) == {"group": 1, "export": 1}
     manifest = w.table("manifest").read()
     sids = [r["sid"] for r in manifest.collect()]
     assert len(set(sids)) == len(sids) > 5 and all(s.startswith("p") for s in sids)
     w.table("flags").commit(spark.createDataFrame([(sids[0],)], "sid string"))
     assert pipeline.apply(w, "prune") == 2 and w.table("manifest").read().count() == len(sids) - 1
+    assert [r["sid"] for r in w.read("removed").collect()] == [sids[0]]
     w.table("manifest").commit(manifest.withColumn("length_ms", manifest["length_ms"] + 1))
     with pytest.raises(freshness.StaleArtifact):
         pipeline.apply(w, "prune")
 
 
-def test_pipeline_refuses_broken_groups(spark, tmp_path):
+def test_tails_need_one_generation(spark, tmp_path):
+    """Texts whose clip ends by force get a comma; groups of another generation are refused before anything is changed."""
+    w = _workspace(spark, tmp_path, [r for r in made(3, 60) if r[3] - r[2] <= 15000])
+    pipeline.run_all(w)
+    ends = {r["sid"]: r["forced"] for r in export.forced_ends(w.read("manifest"), segments.gaps(w.read("segments"))).collect()}
+    w.table("metadata").commit(spark.createDataFrame([(s, "好。") for s in ends], "sid string, text string"))
+    assert pipeline.apply(w, "fix-tail-punct") == 2
+    assert {r["sid"]: r["text"] for r in w.read("metadata").collect()} == {s: "好," if f else "好。" for s, f in ends.items()} and 0 < sum(ends.values()) < len(ends)
+    groups = w.read("groups")
+    for other in (groups.where("pos > 0"), groups.withColumn("i", groups["i"] + 1), groups.where("gid > 2")):
+        w.table("groups").commit(other)
+        with pytest.raises(ValueError, match="generations"):
+            pipeline.apply(w, "tails")
+    assert w.table("metadata").versions() == [1, 2]
+
+
+def test_checks_fill_the_flags(spark, tmp_path):
+    """Silence and speaker flags stand side by side, and a second run replaces those of its own source."""
     w = pipeline.Workspace(spark, config.Project("p", out_root=str(tmp_path)))
-    w.table("segments").commit(spark.createDataFrame([(0, 0, 0, 40000, True)], SCHEMA))
+    words = [(f"s{k}", p, 100 * p + (900 if k == 3 and p else 0), 100 * p + 80 + (900 if k == 3 and p else 0), "，") for k in range(12) for p in range(3)]
+    w.table("words").commit(spark.createDataFrame([(s, p, a + (1300 if s == "s3" and p > 1 else 0), b + (1300 if s == "s3" and p > 1 else 0), x) for s, p, a, b, x in words], "sid string, pos long, start_ms long, end_ms long, between string"))
+    w.table("durations").commit(spark.createDataFrame([(f"s{k}", 2400 if k == 5 else 400 if k != 3 else 2600) for k in range(12)], "sid string, dur_ms long"))
+    rng = np.random.default_rng(1)
+    base, other = rng.normal(size=8), rng.normal(size=8)
+    vecs = [(f"s{k}", p, ((other if k == 7 else base) + rng.normal(size=8) * 0.05).tolist()) for k in range(12) for p in range(6)]
+    w.table("windows").commit(spark.createDataFrame(vecs, "utt string, pos long, emb array<double>"))
+    w.table("metrics").commit(spark.createDataFrame([(f"s{k}", float(k), 1.0, 2.0) for k in range(12)], "sid string, f0_std double, f0_range double, energy_std double"))
+    w.table("levels").commit(spark.createDataFrame([(f"s{k}", k % 2, -20.0 - k % 2 * 6, -3.0) for k in range(12)], "clip string, episode int, loud double, peak double"))
+    assert pipeline.run_all(w) == {"silence": 1, "speaker": 2, "prosody": 1, "loudness": 1}
+    flags = {(r["sid"], r["source"]) for r in w.read("flags").collect()}
+    assert ("s3", "silence") in flags and ("s5", "silence") in flags and {x for x in flags if x[1] == "speaker"} == {("s7", "speaker")}
+    again = pipeline._flagged(w, "silence", w.read("flags").where("source = 'silence'").select("sid", "reason"))
+    assert {(r["sid"], r["source"]) for r in again.collect()} == flags
+    assert {r["prosody_level"] for r in w.read("prosody").collect()} == {1, 2, 3, 4, 5}
+    assert {(r["episode"], round(r["gain"], 6)) for r in w.read("gains").collect()} == {(0, -3.0), (1, 2.0)}  # the peak allows 2 dB
+
+
+def test_cuts_are_verified(spark, tmp_path):
+    """A sound between words is cut; frames after the cut must hold nothing more to cut, or nothing is applied."""
+    w = pipeline.Workspace(spark, config.Project("p", out_root=str(tmp_path)))
+    w.table("words").commit(spark.createDataFrame([("a", 0, 0, 400), ("a", 1, 2000, 2400)], "sid string, pos long, start_ms long, end_ms long"))
+    w.table("durations").commit(spark.createDataFrame([("a", 2400)], "sid string, dur_ms long"))
+    loud = {*range(0, 20), *range(50, 65), *range(100, 120)}
+    w.table("frames").commit(spark.createDataFrame([("a", k, 0.1 if k in loud else 1e-9) for k in range(120)], "sid string, frame int, ms double"))
+    (cut,) = pipeline.plan(w, "para-cut")["cuts"].collect()
+    assert (cut["t0"], cut["t1"]) == (980, 1320)
+    for after, good in (([k for k in range(120) if not 49 <= k < 66], True), (list(range(120)), False)):
+        w.table("frames-after").commit(spark.createDataFrame([("a", n, 0.1 if k in loud else 1e-9) for n, k in enumerate(after)], "sid string, frame int, ms double"))
+        w.table("durations-after").commit(spark.createDataFrame([("a", 20 * len(after))], "sid string, dur_ms long"))
+        assert pipeline.plan(w, "nonspeech")["leftovers"].isEmpty() == good
+    with pytest.raises(ValueError, match="leftovers"):
+        pipeline.apply(w, "nonspeech")
+
+
+def test_marks_are_repaired_by_stage(spark, tmp_path):
+    w = pipeline.Workspace(spark, config.Project("p", out_root=str(tmp_path)))
+    w.table("metadata").commit(spark.createDataFrame([("a", "你好"), ("b", "旧")], "sid string, text string"))
+    w.table("alignments").commit(spark.createDataFrame([("a", "你好", [("你", 0.0, 0.2), ("好", 1.0, 1.2)])], "sid string, text string, items array<struct<token: string, start: double, end: double>>"))
+    out = pipeline.plan(w, "fix-punct")
+    assert {r["sid"]: r["text"] for r in out["metadata"].collect()} == {"a": "你，好", "b": "旧"} and out["samples"].count() == 1
+    assert pipeline.apply(w, "punct") == 2
+
+
+def test_pipeline_refuses_broken_groups(spark, tmp_path):
+    w = _workspace(spark, tmp_path, [(0, 0, 0, 40000, True)])
     with pytest.raises(ValueError, match="break rules"):
         pipeline.apply(w, "group")
 
