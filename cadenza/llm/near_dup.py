@@ -271,6 +271,10 @@ class _Join:
         wanted = self.scratch.write(rows.distinct(), name)
         return self.prepared.select("row", "text").join(_bounded(wanted), "row", "left_semi")
 
+    def among(self, reps: DataFrame, members: DataFrame, name: str) -> DataFrame:
+        """The representatives that ``members`` has, so that a join moves the tokens of no others."""
+        return reps.join(_bounded(self.scratch.write(members.select("row").distinct(), name)), "row", "left_semi")
+
     def compared(self, pairs: DataFrame, name: str) -> DataFrame:
         """a, b, and the sizes of intersection and union of their full sets."""
         pairs = self.scratch.write(pairs, f"{name}-pairs")
@@ -395,13 +399,14 @@ class _Join:
                 cells = large.select("node", "row", "label", "circle", own_block.alias("p"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("q"))
                 leaves.append(cells.select(F.xxhash64("node", F.least("p", "q"), F.greatest("p", "q")).alias("node"), "row", "label", "circle", F.lit(-1).alias("place")))
                 break
-            labelled = self.children(large.drop("size", "place").join(reps.select("row", "tokens"), "row"), level)
+            tokens = self.among(reps.select("row", "tokens"), large, f"large-{level}")
+            labelled = self.children(large.drop("size", "place").join(tokens, "row"), level)
         of_first = leaves[0].groupBy("row").agg(F.bit_or(F.expr("shiftleft(1, place)")).alias("leaves"))
         leaf = leaves[0]
         for more in leaves[1:]:
             leaf = leaf.union(more)
         leaf = leaf.join(of_first, "row", "left").withColumn("leaves", F.coalesce("leaves", F.lit(0)))
-        dealt = leaf.join(reps, "row").select("node", "row", "label", "circle", "place", "leaves", "n", "tokens").repartition("node").sortWithinPartitions("node")
+        dealt = leaf.join(self.among(reps, leaf, "leaf-rows"), "row").select("node", "row", "label", "circle", "place", "leaves", "n", "tokens").repartition("node").sortWithinPartitions("node")
         pairs = dealt.mapInArrow(_leaf_pairs, "a long, b long").distinct()
         more = self.compared(pairs, "leaves").where(f"100 * both >= {PERCENT} * all").select("a", "b")
         all_links = groups.where("row <> root").select(F.col("row").alias("a"), F.col("root").alias("b")).union(more)
