@@ -6,7 +6,7 @@ slices over the tasks, so a long episode isn't one task's job.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -136,6 +136,53 @@ def apply_gain(x: np.ndarray, gain_db: float) -> np.ndarray:
     return np.clip(x * 10 ** (gain_db / 20), -1, 1).astype(x.dtype)
 
 
+def resampled(x: np.ndarray, sr: int, to: int) -> np.ndarray:
+    """Samples at another rate, along straight lines; before a lower rate, means over one new sample keep aliases down."""
+    if sr == to or not len(x):
+        return x
+    if to < sr:
+        half = sr // to // 2
+        sums = np.concatenate([[0.0], np.cumsum(x, dtype=np.float64)])
+        k = np.arange(len(x))
+        low, high = np.maximum(k - half, 0), np.minimum(k + half + 1, len(x))
+        x = (sums[high] - sums[low]) / (high - low)
+    n = round(len(x) * to / sr)
+    return np.interp(np.arange(n) * sr / to, np.arange(len(x)), x).astype(np.float32)
+
+
+def of_length(x: np.ndarray, n: int) -> np.ndarray:
+    """Cut off or filled up with silence to n samples, as a model's output is brought back to its input's length."""
+    return x[:n] if len(x) >= n else np.concatenate([x, np.zeros(n - len(x), x.dtype)])
+
+
+def _each_clip(clips: DataFrame, change: Callable[[dict, np.ndarray], tuple[int, np.ndarray]]) -> DataFrame:
+    """(sid, sr, pcm) with new samples for each clip that has some; ``change`` gives rate and samples."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = []
+            for r in pdf.to_dict("records"):
+                if r["pcm"] is None:
+                    rows.append((r["sid"], None, None))
+                    continue
+                sr, y = change(r, np.frombuffer(r["pcm"], "<i2").astype(np.float32) / 32768)
+                rows.append((r["sid"], sr, np.round(np.clip(y, -1, 32767 / 32768) * 32768).astype("<i2").tobytes()))
+            yield pd.DataFrame(rows, columns=["sid", "sr", "pcm"]).astype({"sr": "Int32"})
+
+    return clips.mapInPandas(run, f"sid {dict(clips.dtypes)['sid']}, sr int, pcm binary")
+
+
+def at_rate(clips: DataFrame, to: int) -> DataFrame:
+    """Clips (sid, sr, pcm) at the rate ``to``; a clip without samples stays without."""
+    return _each_clip(clips.select("sid", "sr", "pcm"), lambda r, x: (to, resampled(x, int(r["sr"]), to)))
+
+
+def with_gains(clips: DataFrame, gains: DataFrame) -> DataFrame:
+    """Clips (sid, sr, pcm) with the gain of (sid, gain_db) applied; clips without one stay as they are."""
+    rows = clips.select("sid", "sr", "pcm").join(gains.select("sid", F.col("gain_db").cast("double").alias("gain_db")), "sid", "left")
+    return _each_clip(rows.fillna(0.0, ["gain_db"]), lambda r, x: (int(r["sr"]), apply_gain(x, r["gain_db"])))
+
+
 def windows(n: int, win: int, hop: int) -> list[tuple[int, int]]:
     """Sliding windows; one more may start as long as half a window is left."""
     return [(s, min(s + win, n)) for s in range(0, max(1, n - win // 2), hop)]

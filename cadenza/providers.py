@@ -120,17 +120,24 @@ class EvenAlignment:
 VERDICTS = ("keep", "review", "drop")
 
 
+def unfenced(reply: str) -> str:
+    """A reply without the code fence that may stand around it."""
+    return re.sub(r"^\s*```[a-z]*\s*|\s*```\s*$", "", reply)
+
+
 def parse_verdict(reply: str) -> dict:
     """The JSON object of a reply, with or without a code fence around it; the verdict must be a known one."""
-    body = re.sub(r"^\s*```[a-z]*\s*|\s*```\s*$", "", reply)
-    got = json.loads(body)
+    got = json.loads(unfenced(reply))
     if got.get("verdict") not in VERDICTS:
         raise ValueError(f"unknown verdict {got.get('verdict')!r}")
     return {"verdict": got["verdict"], "reason": str(got.get("reason", ""))}
 
 
-def audits(df: DataFrame, make: Callable[[], Provider], key: str = "sid", attempts: int = 6) -> DataFrame:
-    """Verdicts of a listening model (its output ``reply``); whatever fails to the end has the verdict ``error``."""
+def audits(df: DataFrame, make: Callable[[], Provider], key: str = "sid", attempts: int = 6, wait_s: float = 1.0) -> DataFrame:
+    """Verdicts of a listening model (its output ``reply``); whatever fails to the end has the verdict ``error``.
+
+    Between attempts a task waits ``wait_s`` seconds, then twice as long each time.
+    """
     from pyspark.sql import functions as F
 
     class Parsed:
@@ -141,7 +148,7 @@ def audits(df: DataFrame, make: Callable[[], Provider], key: str = "sid", attemp
         def __call__(self, inputs: list[dict]) -> list[dict]:
             return [parse_verdict(x["reply"]) for x in self.model(inputs)]
 
-    got = apply(df, Parsed, "verdict string, reason string", key, attempts)
+    got = apply(df, Parsed, "verdict string, reason string", key, attempts, wait_s)
     return got.withColumn("verdict", F.coalesce("verdict", F.lit("error")))
 
 
@@ -150,3 +157,14 @@ def accept_enhanced(rows: DataFrame, threshold: float = 0.9) -> DataFrame:
     from pyspark.sql import functions as F
 
     return rows.withColumn("accepted", F.coalesce(F.col("sim") >= threshold, F.lit(False))).withColumn("floor_gain", F.col("floor_before") - F.col("floor_after"))
+
+
+def enhancement_summary(accepted: DataFrame) -> DataFrame:
+    """One row for what :func:`accept_enhanced` gives: n, n_accepted, and the medians of ``sim`` and ``floor_gain`` (exact; nulls left out)."""
+    from pyspark.sql import functions as F
+
+    from cadenza.functions.quantiles import percentiles
+
+    n = accepted.agg(F.count("*").alias("n"), F.count_if("accepted").alias("n_accepted"))
+    sim, gain = (percentiles(accepted, F.col(c), [0.5]).select(F.col("p")[0].alias(f"median_{c}")) for c in ("sim", "floor_gain"))
+    return n.crossJoin(sim).crossJoin(gain)  # one row each

@@ -57,9 +57,12 @@ def read_alignments(spark: SparkSession, path: str, strict: bool = True) -> Data
     """id, text, items ARRAY<STRUCT<token, start, end>>; of repeated ids the last line counts.
 
     Items are JSON arrays of mixed types, so they are read as strings and cast. A corrupt line is an error, or is
-    left out when not ``strict`` (to resume after a crash).
+    left out when not ``strict`` (to resume after a crash). Of files that :func:`append_alignments` wrote, later runs count
+    as later lines.
     """
-    raw = spark.read.text(path).select(F.monotonically_increasing_id().alias("n"), "value")
+    lines = spark.read.text(path)
+    run = F.col("run").cast("long") if "run" in lines.columns else F.lit(0)
+    raw = lines.select(F.struct(run.alias("run"), F.monotonically_increasing_id().alias("line")).alias("n"), "value")
     kind = "id string, text string, items array<array<string>>"
     d = raw.select("n", F.from_json("value", kind, {"mode": "FAILFAST" if strict else "PERMISSIVE"}).alias("d")).where("d.id is not null")
     last = d.groupBy("d.id").agg(F.max_by("d", "n").alias("d"))
@@ -67,6 +70,27 @@ def read_alignments(spark: SparkSession, path: str, strict: bool = True) -> Data
     return last.select("d.id", "d.text", item.alias("items"))
 
 
+def append_alignments(rows: DataFrame, path: str, run: int) -> None:
+    """(id, text, items) as JSON lines of run ``run``, beside those of other runs; items are [token, start, end].
+
+    A run that is written again replaces its own lines only, so a job that died half-way is simply repeated. What is left
+    to do is :func:`cadenza.operators.removal.todo` against ``read_alignments(path, strict=False)``.
+    """
+
+    def quoted(c: Column) -> Column:
+        """A JSON string; null stays null."""
+        one = F.to_json(F.array(c))
+        return F.when(c.isNotNull(), one.substr(F.lit(2), F.length(one) - 2))
+
+    def item(x: Column) -> Column:
+        parts = (F.coalesce(p, F.lit("null")) for p in (quoted(x["token"]), x["start"].cast("string"), x["end"].cast("string")))
+        return F.concat(F.lit("["), F.concat_ws(", ", *parts), F.lit("]"))
+
+    items = F.concat(F.lit("["), F.array_join(F.transform("items", item), ", "), F.lit("]"))
+    fields = F.concat_ws(", ", *(F.concat(F.lit(f'"{n}": '), F.coalesce(v, F.lit("null"))) for n, v in (("id", quoted(F.col("id"))), ("text", quoted(F.col("text"))), ("items", items))))
+    rows.select(F.concat(F.lit("{"), fields, F.lit("}")).alias("value")).write.mode("overwrite").text(f"{path}/run={run}")
+
+
 def read_ids(spark: SparkSession, path: str) -> DataFrame:
     """One id a line; blank lines are ignored."""
     return spark.read.text(path).select(F.trim("value").alias("id")).where("id <> ''")

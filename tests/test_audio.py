@@ -182,3 +182,26 @@ def test_previews(spark):
     df = spark.createDataFrame(rows, "idx int, label int, i long, start_ms long, end_ms long")
     got = sorted((r["i"], r["end_ms"] - r["start_ms"]) for r in vectors.previews(df).collect())
     assert got == [(0, 5000), (1, 4000), (2, 4000)]
+
+
+def test_other_rates_and_lengths():
+    t = np.arange(16000) / 16000
+    x = np.sin(2 * np.pi * 200 * t).astype(np.float32)
+    for to in (8000, 44100):
+        y = audio.resampled(x, 16000, to)
+        assert len(y) == to and np.abs(y - np.sin(2 * np.pi * 200 * np.arange(to) / to))[: to - to // 100].max() < 0.02
+    high = audio.resampled(np.tile(np.float32([1, -1]), 8000), 16000, 8000)
+    assert np.abs(high[1:-1]).max() < 0.5
+    assert audio.resampled(x[:0], 16000, 8000).size == 0 and audio.resampled(x, 16000, 16000) is x
+    assert audio.of_length(x, 5).tolist() == x[:5].tolist() and audio.of_length(x[:2], 4).tolist() == [*x[:2].tolist(), 0, 0]
+
+
+def test_clips_change_rate_and_gain(spark):
+    pcm = np.arange(-400, 400, dtype="<i2")
+    clips = spark.createDataFrame([("a", 16000, pcm.tobytes()), ("b", 8000, pcm.tobytes()), ("c", None, None)], "sid string, sr int, pcm binary")
+    got = {r["sid"]: r for r in audio.at_rate(clips, 8000).collect()}
+    assert len(got["a"]["pcm"]) == len(pcm) and got["a"]["sr"] == 8000 and bytes(got["b"]["pcm"]) == pcm.tobytes() and got["c"]["pcm"] is None
+    gains = spark.createDataFrame([("a", 20.0), ("b", None)], "sid string, gain_db double")
+    got = {r["sid"]: r for r in audio.with_gains(clips, gains).collect()}
+    assert np.abs(np.frombuffer(got["a"]["pcm"], "<i2") - 10 * pcm.astype(int)).max() <= 1
+    assert bytes(got["b"]["pcm"]) == pcm.tobytes() and got["c"]["sr"] is None

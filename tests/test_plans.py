@@ -36,6 +36,20 @@ def test_alignments(spark, tmp_path):
         md.read_alignments(spark, str(path)).collect()
 
 
+def test_alignments_of_several_runs(spark, tmp_path):
+    path, schema = str(tmp_path / "aligned"), "id string, text string, items array<struct<token: string, start: double, end: double>>"
+    first = spark.createDataFrame([("x", 'a "q" \\', [("你", 0.0, 0.5), ("\n", 0.5, None)]), ("y", None, None)], schema)
+    md.append_alignments(first, path, 1)
+    md.append_alignments(spark.createDataFrame([("z", "", [])], schema), path, 10)
+    for _ in range(2):  # a run that is repeated leaves no lines twice
+        md.append_alignments(spark.createDataFrame([("z", "newer", [("n", 0.0, 1e-7)])], schema), path, 11)
+    assert spark.read.text(path).count() == 4
+    got = {r["id"]: (r["text"], r["items"] and [tuple(i) for i in r["items"]]) for r in md.read_alignments(spark, path).collect()}
+    assert got == {"x": ('a "q" \\', [("你", 0.0, 0.5), ("\n", 0.5, None)]), "y": (None, None), "z": ("newer", [("n", 0.0, 1e-7)])}
+    ids = spark.createDataFrame([("x",), ("w",)], "id string")
+    assert [r["id"] for r in removal.todo(ids, md.read_alignments(spark, path, strict=False), "id").collect()] == ["w"]
+
+
 def test_reports(spark, tmp_path):
     seg = {"i": 0, "start": 0.5, "end": 1.25, "text": "你好", "logprob": -0.1, "kept": True, "cluster": 0}
     (tmp_path / "r1.json").write_text(json.dumps({"episode": "001", "segments": [seg], "spk_clusters": {"0": {"dur": 1.0, "n": 1}}}, indent=1))
@@ -229,7 +243,7 @@ class Listener:
 
 def test_audits_never_end_in_nothing(spark):
     rows = [("a", '```json\n{"verdict": "keep", "reason": "fine"}\n```'), ("b", '{"verdict": "odd"}'), ("c", "no json")]
-    got = {r["sid"]: r["verdict"] for r in providers.audits(spark.createDataFrame(rows, "sid string, reply string"), Listener, attempts=1).collect()}
+    got = {r["sid"]: r["verdict"] for r in providers.audits(spark.createDataFrame(rows, "sid string, reply string"), Listener, attempts=1, wait_s=0).collect()}
     assert got == {"a": "keep", "b": "error", "c": "error"}
     assert sorted(tuple(r) for r in removal.verdicts(spark.createDataFrame(list(got.items()), "sid string, verdict string")).collect()) == [("error", 2), ("keep", 1)]
 
@@ -247,3 +261,10 @@ def test_enhanced_clips(spark):
     rows = [("a", 0.95, -40.0, -60.0), ("b", 0.5, -40.0, -70.0), ("c", None, -40.0, -50.0)]
     got = {r["sid"]: (r["accepted"], r["floor_gain"]) for r in providers.accept_enhanced(spark.createDataFrame(rows, "sid string, sim double, floor_before double, floor_after double")).collect()}
     assert got == {"a": (True, 20.0), "b": (False, 30.0), "c": (False, 10.0)}
+
+
+def test_enhancement_summary(spark):
+    rows = [("a", 0.9, -40.0, -60.0), ("b", 0.5, -40.0, -70.0), ("c", None, -40.0, -45.0)]
+    df = providers.accept_enhanced(spark.createDataFrame(rows, "sid string, sim double, floor_before double, floor_after double"))
+    assert tuple(providers.enhancement_summary(df).first()) == (3, 1, 0.7, 20.0)
+    assert tuple(providers.enhancement_summary(df.where("false")).first()) == (0, 0, None, None)
