@@ -141,11 +141,10 @@ def resampled(x: np.ndarray, sr: int, to: int) -> np.ndarray:
     if sr == to or not len(x):
         return x
     if to < sr:
-        half = sr // to // 2
         sums = np.concatenate([[0.0], np.cumsum(x, dtype=np.float64)])
         k = np.arange(len(x))
-        low, high = np.maximum(k - half, 0), np.minimum(k + half + 1, len(x))
-        x = (sums[high] - sums[low]) / (high - low)
+        reach = np.minimum(sr // to // 2, np.minimum(k, len(x) - 1 - k))  # even on both sides, so that edges don't shift
+        x = (sums[k + reach + 1] - sums[k - reach]) / (2 * reach + 1)
     n = round(len(x) * to / sr)
     return np.interp(np.arange(n) * sr / to, np.arange(len(x)), x).astype(np.float32)
 
