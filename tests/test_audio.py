@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 
 from cadenza.operators import audio, events, levels, prosody, silence, vectors
+from cadenza.sources import wav
 
 SR = 16000
 
@@ -205,3 +206,22 @@ def test_clips_change_rate_and_gain(spark):
     got = {r["sid"]: r for r in audio.with_gains(clips, gains).collect()}
     assert np.abs(np.frombuffer(got["a"]["pcm"], "<i2") - 10 * pcm.astype(int)).max() <= 1
     assert bytes(got["b"]["pcm"]) == pcm.tobytes() and got["c"]["sr"] is None
+
+
+def test_clips_become_files(spark, tmp_path):
+    pcm = {f"c{k}": np.arange(-k, 50 * k, dtype="<i2").tobytes() for k in range(20)}
+    rows = [(k, 16000, v) for k, v in pcm.items()] + [("none", 16000, None), (None, 16000, b"")]
+    clips = spark.createDataFrame(rows, "sid string, sr int, pcm binary").repartition(4)
+    folder = tmp_path / "wavs"
+    for _ in range(2):  # writing again replaces
+        assert wav.write_files(clips, folder.as_uri()) == len(pcm)
+        assert sorted(p.name for p in folder.iterdir()) == sorted(f"{k}.wav" for k in pcm)
+    for k, v in pcm.items():
+        assert folder.joinpath(f"{k}.wav").read_bytes() == wav.encode(16000, v)
+    got = {r["sid"]: r for r in wav.read_clips(spark, str(folder)).collect()}
+    assert got.keys() == pcm.keys() and all(r["error"] is None and r["sr"] == 16000 and len(r["pcm"]) == len(pcm[k]) for k, r in got.items())
+    twice = clips.where("sid = 'c3'")
+    assert wav.write_files(twice.union(twice), folder.as_uri()) == 2 and len(list(folder.iterdir())) == len(pcm)
+    assert wav.write_files(clips.limit(0), folder.as_uri()) == 0
+    with pytest.raises(Exception, match="slash"):
+        wav.write_files(spark.createDataFrame([("../x", 16000, b"")], clips.schema), folder.as_uri())
