@@ -10,9 +10,12 @@ from cadenza.llm import langid, secrets, toxicity
 from cadenza.llm.bpe import bpe_round_trip
 from cadenza.llm.common import crc32_mod
 from cadenza.llm.decontaminate import find_items
+from cadenza.llm.divergence import source_divergence
 from cadenza.llm.licenses import license_scan
 from cadenza.llm.near_dup import near_duplicates
 from cadenza.llm.repetition import repetition_quality
+from cadenza.llm.simhash import simhash_groups
+from cadenza.llm.spelling import spelling_variants, vocabulary
 from cadenza.llm.token_counts import token_counts
 from cadenza.llm.urls import url_filter
 
@@ -105,6 +108,19 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(_texts(spark, sf_dir)).select("doc_id", "licenses.n_words", "licenses.n_base", "licenses.first_word", "licenses.last_word", *joined, "licenses.score")
 
 
+def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    digits = F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint")
+    return simhash_groups(_texts(spark, sf_dir)).select("doc_id", digits, "component_id")
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(vocabulary(_texts(spark, sf_dir), slip=31)).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence(_table(spark, sf_dir, "documents", "text", "lang", "source"))
+
+
 def queries() -> dict:
     return {
         "op1_repetition_quality": op1_repetition_quality,
@@ -117,6 +133,9 @@ def queries() -> dict:
         "op8_language_id": op8_language_id,
         "op9_token_counts": op9_token_counts,
         "op10_license_scan": op10_license_scan,
+        "op11_simhash": op11_simhash,
+        "op12_spelling_variants": op12_spelling_variants,
+        "op13_source_divergence": op13_source_divergence,
     }
 
 
@@ -176,6 +195,25 @@ SELECT h.page_id, h.host, h.path, m.rule, coalesce(m.rverdict, 'allow') AS verdi
 FROM h LEFT JOIN (SELECT DISTINCT * FROM m WHERE k = 1) m ON m.page_id = h.page_id AND m.host = h.host AND m.path = h.path
 """
 
+OP13_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                  list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x40\x5B-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM documents),
+t AS MATERIALIZED (SELECT r, lang, source, unnest(w) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS n FROM t GROUP BY lang, term HAVING count(DISTINCT r) >= 30),
+l AS (SELECT lang, count(*) AS v, sum(n) AS n FROM kept GROUP BY lang),
+c AS (SELECT lang, source, term, count(*) AS n FROM t SEMI JOIN kept USING (lang, term) GROUP BY lang, source, term),
+g AS (SELECT d.lang, d.source, coalesce(any_value(x.n), 0) AS n FROM d LEFT JOIN (SELECT lang, source, sum(n) AS n FROM c GROUP BY lang, source) x ON x.lang = d.lang AND x.source = d.source GROUP BY d.lang, d.source),
+p AS MATERIALIZED (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, CAST(1 + (1000000000 * (coalesce(c.n, 0) + 5)::HUGEINT) // (g.n + 5 * l.v)::HUGEINT AS BIGINT) AS p,
+             CAST(1 + (1000000000 * (k.n + 5)::HUGEINT) // (l.n + 5 * l.v)::HUGEINT AS BIGINT) AS q
+      FROM g JOIN kept k ON k.lang = g.lang JOIN l ON l.lang = g.lang LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+far AS (SELECT x.lang, x.source, y.source AS item, sum(abs(x.p - y.p)) AS value FROM p x JOIN p y ON y.lang = x.lang AND y.term = x.term AND y.source <> x.source GROUP BY x.lang, x.source, y.source),
+found AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(far.value, 0) AS BIGINT) AS value FROM g a JOIN g b ON b.lang = a.lang AND b.source <> a.source
+               LEFT JOIN far ON far.lang = a.lang AND far.source = a.source AND far.item = b.source
+          UNION ALL SELECT lang, source, 'term', term, p - q FROM p WHERE n > 0 AND p > q),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM found)
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 50
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_repetition_quality": OP1_SQL, "op2_near_duplicates": OP2_SQL, "op5_decontamination": OP5_SQL, "op7_url_filter": OP7_SQL}
+    return {"op1_repetition_quality": OP1_SQL, "op2_near_duplicates": OP2_SQL, "op5_decontamination": OP5_SQL, "op7_url_filter": OP7_SQL, "op13_source_divergence": OP13_SQL}
