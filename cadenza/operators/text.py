@@ -43,10 +43,11 @@ def repair(rows: DataFrame, chinese_only: bool = True) -> DataFrame:
                     out.append((sid, old, "unlike", 0, 0))
                     continue
                 words = [(x["token"], x["start"], x["end"]) for x in items]
-                if matching.match_chars(text, [w[0] for w in words])[1] < 0.8:
+                owner, coverage = matching.match_chars(text, [w[0] for w in words])
+                if coverage < 0.8:
                     out.append((sid, old, "not_covered", 0, 0))
                     continue
-                fixed, deleted, inserted = matching.repair_punctuation(text, words)
+                fixed, deleted, inserted = matching.repair_punctuation(text, words, owner)
                 out.append((sid, fixed, "repaired", deleted, inserted))
             yield pd.DataFrame(out, columns=["id", "text", "outcome", "n_deleted", "n_inserted"])
 

@@ -181,6 +181,19 @@ SELECT sid, min(frame) AS first, max(frame) + 1 AS "end" FROM i GROUP BY sid, is
     "cut_plan": f"WITH {CUT} SELECT * FROM cuts",
     "item_shift": f"WITH {CUT} SELECT w.sid, w.pos, CAST(start_ms - coalesce(sum(CASE WHEN t1 <= start_ms THEN t1 - t0 - pad END), 0) AS BIGINT) AS start_ms, CAST(end_ms - coalesce(sum(CASE WHEN t1 <= end_ms THEN t1 - t0 - pad END), 0) AS BIGINT) AS end_ms FROM words w LEFT JOIN cuts c ON c.sid = w.sid GROUP BY w.sid, w.pos, start_ms, end_ms",
     "cut_totals": f"WITH {CUT} SELECT kind, count(*) AS n, CAST(sum(t1 - t0) AS BIGINT) AS cut_ms, CAST(sum(pad) AS BIGINT) AS pad_ms, count(DISTINCT sid) AS clips FROM cuts GROUP BY kind",
+    "aligned_words": r"""WITH RECURSIVE ex AS (SELECT conv_id, turn, unnest(string_split(text, ' ')) AS word, unnest(range(0, len(string_split(text, ' ')))) AS pos FROM conversations),
+tm AS (SELECT *, CAST(coalesce(sum(40 * length(word) + (length(word) % 7) * 90) OVER (PARTITION BY conv_id, turn ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start_ms FROM ex),
+hd AS (SELECT conv_id, turn, pos, CASE WHEN pos = 41 AND conv_id % 3 = 0 THEN '#' ELSE regexp_replace(word, '[^\p{L}\p{N}]', '', 'g') END AS token, start_ms, start_ms + 40 * length(word) AS end_ms FROM tm
+       WHERE pos % 7 <> 6 AND regexp_replace(word, '[^\p{L}\p{N}]', '', 'g') <> ''),
+it AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY conv_id, turn ORDER BY pos) AS k FROM hd),
+walk AS (SELECT conv_id, turn, CAST(0 AS BIGINT) AS k, text AS rest, CAST(-1 AS BIGINT) AS step, '' AS before FROM conversations
+         UNION ALL
+         SELECT w.conv_id, w.turn, it.k, substr(w.rest, strpos(w.rest, it.token) + length(it.token)), w.step + strpos(w.rest, it.token), substr(w.rest, 1, strpos(w.rest, it.token) - 1)
+         FROM walk w JOIN it ON it.conv_id = w.conv_id AND it.turn = w.turn AND it.k = w.k + 1 WHERE strpos(w.rest, it.token) > 0),
+met AS (SELECT *, coalesce(lead(before) OVER (PARTITION BY conv_id, turn ORDER BY k), rest) AS between_ FROM walk)
+SELECT conv_id || '-' || turn AS sid, step AS pos, token, start_ms, end_ms,
+       CASE WHEN regexp_matches(between_, '[。！？!?…~～.]') THEN 'fin' WHEN regexp_matches(between_, '[，,、；;：:—]') THEN 'mid' ELSE 'none' END AS kind
+FROM met JOIN it USING (conv_id, turn, k)""",
     "metadata_parse": "WITH l AS (SELECT CAST(doc_id AS VARCHAR) || '|' || replace(text, chr(10), ' ') AS line FROM documents) SELECT substr(line, 1, strpos(line, '|') - 1) AS sid, substr(line, strpos(line, '|') + 1) AS text FROM l",
     "filelist_format": "SELECT 'wavs/' || CAST(doc_id AS VARCHAR) || '.wav|speaker|ZH|' || regexp_replace(replace(text, chr(10), ' '), '[\\r\\n]+', ' ', 'g') AS line FROM documents",
     "char_metrics": """WITH t AS (SELECT CAST(doc_id AS VARCHAR) AS id, text FROM documents UNION ALL VALUES ('v1', '你好，world 3。'), ('v2', '㐀一鿿!'), ('v3', '…？'), ('v4', '')),

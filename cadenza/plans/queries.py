@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cadenza.functions import text as tx
-from cadenza.operators import events, export, freshness, grouping, levels, prosody, removal, segments, silence, text, vectors
+from cadenza.operators import events, export, freshness, grouping, levels, prosody, removal, segments, silence, text, vectors, words
 from cadenza.plans.oracle import SQL
 from cadenza.sources import fixtures as fx
 from cadenza.sources import metadata as md
@@ -331,6 +331,32 @@ def punct_rewrite(spark, d):
     return text.repair(_aligned(spark, d).withColumn("old", F.col("text")), chinese_only=False)
 
 
+def _transcripts(spark, d):
+    """Turns as transcripts, and what an aligner made of them: every seventh word wasn't heard, and in every third conversation a word that isn't there stands after the fortieth."""
+    it = fx.items(spark, d).withColumn("sid", F.concat_ws("-", "conv_id", "turn")).withColumn("token", F.regexp_replace("token", r"[^\p{L}\p{N}]", ""))
+    item = F.struct("pos", "token", (F.col("start_ms") / 1000).alias("start"), (F.col("end_ms") / 1000).alias("end"), "conv_id")
+    heard = F.sort_array(F.collect_list(F.when((F.col("pos") % 7 != 6) & (F.col("token") != ""), item)))
+    items = F.transform("heard", lambda x: F.struct(F.when((x["pos"] == 41) & (x["conv_id"] % 3 == 0), "#").otherwise(x["token"]).alias("token"), x["start"].alias("start"), x["end"].alias("end")))
+    alignments = it.groupBy("sid").agg(heard.alias("heard")).select("sid", F.array_join(F.transform("heard", lambda x: x["token"]), " ").alias("text"), items.alias("items"))
+    metadata = fx.table(spark, d, "conversations").select(F.concat_ws("-", "conv_id", "turn").alias("sid"), "text")
+    return metadata, alignments
+
+
+@query
+def aligned_words(spark, d):
+    """Each item of an alignment that the walk along the whole transcript meets, and the boundary behind it."""
+    rows = words.rows(words.walked(*_transcripts(spark, d), compare=False))
+    return rows.select("sid", "pos", "token", "start_ms", "end_ms", tx.boundary(F.col("between")).alias("kind"))
+
+
+@query
+def alignment_scores(spark, d):
+    """How much of each alignment is met, and whether it can be judged."""
+    scored = words.walked(*_transcripts(spark, d))
+    good = words.eligible(scored).select("sid", F.lit(True).alias("eligible"))
+    return scored.join(good, "sid", "left").select("sid", F.round("sim", 6).alias("sim"), "n_items", "aligned", F.coalesce("eligible", F.lit(False)).alias("eligible"))
+
+
 _ITEM_KEYS = ["conv_id", "turn"]
 
 

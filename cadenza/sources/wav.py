@@ -13,24 +13,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Bytes in which the chunks before the samples must lie.
-HEAD = 4096
-
+from cadenza.sources.wavsource import headers, layout
 
 def header(head: bytes, size: int) -> tuple[int, int, int, int]:
     """Rate, channels, bytes a sample, frames; from the head of a RIFF file of ``size`` bytes."""
-    if head[:4] != b"RIFF" or head[8:12] != b"WAVE":
-        raise ValueError("not a WAV file")
-    at, rate, channels, width = 12, 0, 0, 0
-    while at + 8 <= len(head):
-        kind, n = head[at : at + 4], int.from_bytes(head[at + 4 : at + 8], "little")
-        if kind == b"fmt ":
-            channels, rate = int.from_bytes(head[at + 10 : at + 12], "little"), int.from_bytes(head[at + 12 : at + 16], "little")
-            width = int.from_bytes(head[at + 22 : at + 24], "little") // 8
-        elif kind == b"data":
-            return rate, channels, width, min(n, size - at - 8) // max(1, channels * width)
-        at += 8 + n + n % 2
-    raise ValueError("no samples")
+    found = layout(lambda at, n: head[at : at + n], size)
+    return found.sr, found.channels, found.width, found.frames
 
 
 def decode(data: bytes) -> tuple[int, np.ndarray]:
@@ -63,16 +51,11 @@ def _sid():
     return F.regexp_extract("path", r"([^/]*)\.wav$", 1).alias("sid")
 
 
-def read_headers(spark: SparkSession, path: str) -> DataFrame:
-    """sid, sr, channels, frames; only the head of each file leaves the scan."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            rows = [(sid, *(h[0], h[1], h[3])) for sid, head, size in pdf.itertuples(index=False) for h in [header(head, size)]]
-            yield pd.DataFrame(rows, columns=["sid", "sr", "channels", "frames"])
-
-    heads = _files(spark, path).select(_sid(), F.substring("content", 1, HEAD).alias("head"), "length")
-    return heads.mapInPandas(run, "sid string, sr int, channels int, frames long")
+def read_headers(spark: SparkSession, path: str, globs: tuple[str, ...] = ("*.wav",)) -> DataFrame:
+    """sid, sr, channels, frames; only the head of each file is read, and one that can't be read is an error."""
+    rows = headers(spark, path, globs)
+    good = F.when(F.col("error").isNull(), F.col("sid")).otherwise(F.raise_error(F.concat("path", F.lit(": "), "error")))
+    return rows.select(good.alias("sid"), "sr", "channels", "frames")
 
 
 def read_clips(spark: SparkSession, path: str) -> DataFrame:
