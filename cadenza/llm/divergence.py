@@ -42,8 +42,8 @@ SCALE_STEP, SCALE_STEPS, SMOOTH = 1000, 3, 5
 SCALE = SCALE_STEP**SCALE_STEPS
 #: Kept terms of a chunk, and counts that close one early; sources of a block.
 CHUNK, MOST_COUNTS, SOURCES = 4096, 4_000_000, 256
-#: Bytes of terms that a counting task holds before it hands them on.
-HELD_BYTES = 32 << 20
+#: Bytes of terms that a counting task holds before it hands them on; the bit from which on it counts documents.
+HELD_BYTES, DOCS = 56 << 20, 42
 _TERM = bytes(b if 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in range(256))
 
 
@@ -54,30 +54,31 @@ def terms(raw: bytes) -> list[bytes]:
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(lang, source, term, n, docs), and a row without a term for each group."""
-    held: dict[tuple, tuple[Counter, Counter]] = {}
+    held: dict[tuple, dict[bytes, int]] = {}  # by group; a term's documents are counted above bit DOCS, its occurrences below
+    new = 0
+
+    def out() -> Iterator[pa.RecordBatch]:
+        for (lang, source), counts in held.items():
+            names, both = list(counts), np.fromiter(counts.values(), np.int64, len(counts))
+            for at in range(0, len(names) + 1, 1 << 16):
+                part, values = [t.decode() for t in names[at : at + (1 << 16)]], both[at : at + (1 << 16)]
+                own = [] if at else [None]
+                columns = [pa.array(own + part, pa.string()), pa.array(np.r_[[0] * len(own), values & ((1 << DOCS) - 1)].astype(np.int64)), pa.array(np.r_[[0] * len(own), values >> DOCS].astype(np.int64))]
+                group = [pa.array([x] * len(columns[0]), pa.string()) for x in (lang, source)]
+                yield pa.RecordBatch.from_arrays([*group, *columns], names=["lang", "source", "term", "n", "docs"])
 
-    def out():
-        columns: list[list] = [[], [], [], [], []]
-        for (lang, source), (n, docs) in held.items():
-            for values, new in zip(columns, ([lang] * (len(n) + 1), [source] * (len(n) + 1), [None, *(t.decode() for t in n)], [0, *n.values()], [0, *(docs[t] for t in n)])):
-                values += new
-        kinds = (pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64())
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["lang", "source", "term", "n", "docs"])
-
-    size = 0
     for batch in slices(batches):
         for lang, source, raw in zip(batch.column("lang").to_pylist(), batch.column("source").to_pylist(), raw_texts(batch)):
-            n, docs = held.setdefault((lang, source), (Counter(), Counter()))
-            before, found = len(n), Counter(terms(raw or b""))
-            n.update(found)
-            docs.update(found.keys())
-            if len(n) > before:
-                size += 300 * (len(n) - before) + (len(raw) if len(raw) > 1 << 16 else 0)
-        if size > HELD_BYTES:
-            yield out()
+            counts = held.setdefault((lang, source), {})
+            before, get = len(counts), counts.get
+            for term, n in Counter(terms(raw or b"")).items():
+                counts[term] = get(term, 0) + n + (1 << DOCS)
+            new += 160 * (len(counts) - before) + (len(raw or b"") if len(counts) > before and len(raw) > 1 << 16 else 0)
+        if new > HELD_BYTES:
+            yield from out()
             held.clear()
-            size = 0
-    yield out()
+            new = 0
+    yield from out()
 
 
 def _chunks(batches: Iterator[pa.RecordBatch], most: int = CHUNK) -> Iterator[pa.RecordBatch]:
