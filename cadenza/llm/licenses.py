@@ -3,7 +3,7 @@
 One automaton finds the phrases of :data:`PHRASES`, the identifiers of
 :data:`IDENTIFIERS` that have several words, and the words of :data:`TAGS`, at once,
 in time linear in the text and its hits. Where a tag stands, however its words are
-parted, the rest of the line is read as a licence expression, which without a colon or
+parted, and not within an expression that was read already, the rest of the line is read as a licence expression, which without a colon or
 equals sign between must hold known identifiers only: a
 shunting-yard parser orders ``and``, ``or``, ``with`` and parentheses (``with``
 binds strongest, then ``and``), and the expression is evaluated to its labels
@@ -13,7 +13,8 @@ of other languages too, so they count behind tags only.
 
 The score is the strongest binding found, 0 without any. Null counts as the
 empty text: no words, no labels, score 0. Repeated rows are scanned one by one, an
-empty table stays empty. Of hits that overlap all count, so there are no ties.
+empty table stays empty. Of hits that overlap all count, so there are no ties. A very long line
+is read once, whatever tags and names it holds. A column named like the result is replaced.
 """
 
 from __future__ import annotations
@@ -62,15 +63,16 @@ def binding(label: str) -> float:
     return BINDING[max(known, key=len)] if known else OTHER
 
 
-def read_expression(text: str, at: int = 0) -> tuple[list[str], int]:
-    """Shunting-yard over what stands from ``at`` on: operands and lower-case operators in evaluation order, and where it ends.
+def read_expression(text: str, at: int = 0) -> tuple[list[str], int, int]:
+    """Shunting-yard over what stands from ``at`` on: operands and lower-case operators in evaluation order, where it ends, and where its
+    last operand starts that is no known identifier (``at``, if all are known).
 
     Reading stops at the end of the line, or at the first term that can't follow, so prose behind the expression is left out;
     missing or surplus parentheses are forgiven.
     """
     out: list[str] = []
     held: list[str] = []
-    operand = True  # one is due
+    operand, strange = True, at  # one is due
     for m in _TERM.finditer(text, at):
         term = m[0]
         word = term.lower()
@@ -89,26 +91,37 @@ def read_expression(text: str, at: int = 0) -> tuple[list[str], int]:
         elif word not in _ORDER and operand and term not in "()\r\n":
             out.append(word.rstrip(".-:"))
             operand = False
+            if out[-1] not in _KNOWN:
+                strange = m.start()
         else:
             break
         at = m.end()
     if operand and held and held[-1] in _ORDER:
         held.pop()  # an operator without a right side
-    return out + [x for x in reversed(held) if x != "("], at
+    return out + [x for x in reversed(held) if x != "("], at, strange
 
 
 def evaluate(postfix: list[str]) -> tuple[set[str], float]:
-    """The labels of an expression, exceptions left out, and how strongly it binds."""
-    stack: list[tuple[set[str], float]] = []
+    """The labels of an expression, exceptions left out, and how strongly it binds; in time linear in it."""
+    stack: list[tuple[int, float]] = []  # the first operand of each side, and how strongly it binds
+    operands: list[str] = []
+    left_out: list[tuple[int, int]] = []  # operands behind a ``with``
     for term in postfix:
         if term not in _ORDER:
-            stack.append(({term}, binding(term)))
+            stack.append((len(operands), binding(term)))
+            operands.append(term)
             continue
         if len(stack) < 2:
             continue
         (right, b), (left, a) = stack.pop(), stack.pop()
-        stack.append((left, a / 2) if term == "with" else (left | right, max(a, b) if term == "and" else min(a, b)))
-    return (set().union(*(x for x, _ in stack)), max(b for _, b in stack)) if stack else (set(), 0.0)
+        if term == "with":
+            left_out.append((right, len(operands)))
+        stack.append((left, a / 2 if term == "with" else max(a, b) if term == "and" else min(a, b)))
+    labels, done = set(), 0
+    for start, end in [*sorted(left_out), (len(operands), len(operands))]:
+        labels.update(operands[done:start])
+        done = max(done, end)
+    return labels, max((b for _, b in stack), default=0.0)
 
 
 def automaton() -> ahocorasick.Automaton:
@@ -147,16 +160,21 @@ def scan(raw: bytes, phrases: ahocorasick.Automaton) -> dict:
             tags.add(seen - 1)
     strength, inside, expressed = 0.0, set(), set()
     if tags:
-        plain, until = raw.lower().decode("latin-1"), 0
+        plain, until, strange = raw.lower().decode("latin-1"), 0, 0
         for k, m in enumerate(_WORD.finditer(plain)):
-            if m.start() < until:
+            if m.start() < until:  # within an expression that was read, so no tag
                 inside.add(k)
-            if k in tags:
-                postfix, end = read_expression(plain, m.end())
+                continue
+            signed = k in tags and _SIGN.match(plain, m.end())
+            if k in tags and (signed or m.end() >= strange):  # up to there an expression without a sign holds a name that isn't known
+                postfix, end, last = read_expression(plain, m.end())
                 labels, bound = evaluate(postfix)
-                if _SIGN.match(plain, m.end()) or labels and labels <= _KNOWN:  # else it may be prose
-                    until, expressed = end, expressed | labels
+                if signed or labels and labels <= _KNOWN:  # else it may be prose
+                    until = end
+                    expressed |= labels
                     strength = max(strength, bound)
+                else:
+                    strange = last
     own |= {label for at, label in ids if at not in inside}
     strength = max(strength, max(map(binding, own | {*base}), default=0.0))
     own |= expressed

@@ -154,8 +154,23 @@ def test_op10(spark, folder):
         assert ok and set(filter(None, r["base_labels"].split(","))) <= set(r["labels"].split(",")) and 0 <= r["score"] <= 1
 
 
+def test_op11(spark, folder):
+    from tests.llm.test_simhash import expected
+
+    rows = _rows(spark, folder, "op11_simhash", "doc_id:bigint fingerprint:string component_id:bigint")
+    assert sorted(str((r["doc_id"], r["fingerprint"], r["component_id"])) for r in rows) == expected(folder[1])
+
+
+def test_op12(spark, folder):
+    from tests.llm.test_spelling import counted, expected
+
+    df = queries.queries()["op12_spelling_variants"](spark, folder[0])
+    assert dict(df.dtypes) == {"word": "string", "form": "string", "root": "string", "n": "bigint", "n_near": "bigint", "form_n": "bigint"}
+    assert sorted(str(tuple(r)) for r in df.select("word", "n", "n_near", "form", "form_n", "root").collect()) == expected(counted(folder[1]))
+
+
 def test_empty_tables(spark, tmp_path):
-    for name, schema in (("documents", "doc_id long, text string, lang string"), ("labels", "doc_id long, quality int, toxic int"), ("benchmark", "item_id long, text string"), ("pages", "page_id long, url string")):
+    for name, schema in (("documents", "doc_id long, text string, lang string, source string"), ("labels", "doc_id long, quality int, toxic int"), ("benchmark", "item_id long, text string"), ("pages", "page_id long, url string")):
         spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/{name}.parquet")
     for name, query in queries.queries().items():
         assert query(spark, str(tmp_path)).count() == 0, name

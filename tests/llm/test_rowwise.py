@@ -140,6 +140,22 @@ def test_many_hits_and_long_hosts_take_linear_time():
     assert time.perf_counter() - start < 5
 
 
+def test_licence_lines_take_linear_time():
+    """A hundred thousand tags on one line, with and without signs, and one expression of as many names."""
+    phrases = licenses.automaton()
+    for line in ("license-id:x or ", "license-id-x or ", "spdx-id x and ", "license id MIT or license-id-", "license id: mit with x and ( "):
+        start = time.perf_counter()
+        licenses.scan(line.encode() * 100_000, phrases)
+        assert time.perf_counter() - start < 6, line
+    start = time.perf_counter()
+    names = [f"n{k}" for k in range(100_000)]
+    got = licenses.scan(("SPDX-License-Identifier: " + " or ".join(names)).encode(), phrases)
+    assert got["labels"] == sorted(names) and time.perf_counter() - start < 4
+    text = b"license-id-foo or license-id-bar and license id: gpl-2.0-only or mit"
+    assert licenses.scan(text, phrases)["labels"] == ["gpl-2.0-only", "mit"]
+    assert licenses.evaluate(["a", "b", "c", "and", "with", "d", "or"]) == ({"a", "d"}, 0.25)
+
+
 def test_base_places_by_brute_force():
     rng = random.Random(3)
     vocabulary = "cc by general public license all rights reserved x é1".split()
