@@ -106,7 +106,7 @@ def match_tokens(text: str, tokens: list[str]) -> tuple[list[tuple[int, int | No
     while at < len(text):
         hit = k < len(tokens) and text.startswith(tokens[k], at)
         steps.append((at, k if hit else None))
-        at += len(tokens[k]) if hit and tokens[k] else 1
+        at += len(tokens[k]) if hit else 1
         k += hit
     return steps, k
 

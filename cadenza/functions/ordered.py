@@ -5,9 +5,9 @@ key are cut into buckets by an expression that grows with the order; windows
 run over (key, bucket), and a table with one row for each bucket carries ranks,
 sums and neighbours across their borders. A bucket without rows does no harm.
 
-The input is read twice, once for the table of buckets, so columns that need
-the same order are best made in one call of :func:`extended`, and an input that
-is costly to make is best written first.
+The table of buckets is written at once, so the input is read once for it and
+once for the result, however many calls follow each other; columns that need the
+same order are still best made in one call of :func:`extended`.
 """
 
 from __future__ import annotations
@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from cadenza.sources.scratch import Scratch
+
 _B = "__bucket"
 
 
@@ -44,6 +46,7 @@ def extended(
         *(F.coalesce(F.sum(f"__s_{n}").over(before), F.lit(0)).alias(f"__s_{n}") for n in sums),
         *((F.lead if side == "ahead" else F.lag)(f"__e_{side}").over(across).alias(f"__e_{side}") for side in packed),
     )
+    small = Scratch(df.sparkSession, "ordered").write(small, "buckets")
     inside = Window.partitionBy(*keys, _B).orderBy(*order)
     own = [F.row_number().over(inside).cast("long").alias("__rank")] if rank else []
     for n, (value, inclusive) in sums.items():

@@ -210,6 +210,13 @@ def at_rate(clips: DataFrame, to: int) -> DataFrame:
     return _each_clip(clips.select("sid", "sr", "pcm"), lambda r, x: (to, resampled(x, int(r["sr"]), to)))
 
 
+def like(made: DataFrame, clips: DataFrame) -> DataFrame:
+    """Clips (sid, sr, pcm) that a model made, brought back to the rate and to the number of samples of ``clips``."""
+    goal = clips.select("sid", F.col("sr").cast("int").alias("goal"), F.expr("octet_length(pcm) div 2").alias("n"))
+    rows = made.select("sid", "sr", "pcm").join(goal, "sid")
+    return _each_clip(rows, lambda r, x: (int(r["goal"]), of_length(resampled(x, int(r["sr"]), int(r["goal"])), int(r["n"]))))
+
+
 def with_gains(clips: DataFrame, gains: DataFrame) -> DataFrame:
     """Clips (sid, sr, pcm) with the gain of (sid, gain_db) applied; clips without one stay as they are."""
     rows = clips.select("sid", "sr", "pcm").join(gains.select("sid", F.col("gain_db").cast("double").alias("gain_db")), "sid", "left")
@@ -270,16 +277,63 @@ def materialise(clips: DataFrame, c: Slicing = Slicing()) -> DataFrame:
     return clips.select("sid", "sr", "pcm", "offset_s", "members", "start", "end").mapInPandas(run, "sid string, sr int, pcm binary, padded boolean")
 
 
-def clip_frames(clips: DataFrame, frame_s: float = FRAME_S) -> DataFrame:
-    """(sid, sr, pcm) to (sid, frame, ms, peak) of whole frames."""
+def clip_frames(clips: DataFrame, frame_s: float = FRAME_S, hop_s: float | None = None) -> DataFrame:
+    """(sid, sr, pcm) to (sid, frame, ms, peak) of whole frames; with ``hop_s`` of overlapping ones, (samples - frame) div hop of them.
+
+    Without ``hop_s`` ``peak`` is a frame's, else the clip's.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for sid, sr, pcm in pdf.itertuples(index=False):
                 x = np.frombuffer(pcm, "<i2").astype(float) / 32768
                 size = int(frame_s * sr)
-                n = len(x) // size
-                f = x[: n * size].reshape(n, size)
-                yield pd.DataFrame({"sid": sid, "frame": np.arange(n), "ms": np.square(f).mean(1), "peak": np.abs(f).max(1) if n else []})
+                if hop_s is None:
+                    n = len(x) // size
+                    f = x[: n * size].reshape(n, size)
+                    yield pd.DataFrame({"sid": sid, "frame": np.arange(n), "ms": np.square(f).mean(1), "peak": np.abs(f).max(1) if n else []})
+                    continue
+                hop = int(hop_s * sr)
+                at = np.arange(max(0, (len(x) - size) // hop)) * hop
+                total = np.r_[0.0, np.cumsum(np.square(x))]
+                yield pd.DataFrame({"sid": sid, "frame": np.arange(len(at)), "ms": (total[at + size] - total[at]) / size, "peak": np.abs(x).max() if len(x) else 0.0})
+
+    rows = clips.select("sid", F.col("sr").cast("int"), "pcm").where("pcm is not null")
+    return rows.mapInPandas(run, f"sid {dict(clips.dtypes)['sid']}, frame long, ms double, peak double")
+
+
+def clip_windows(clips: DataFrame, win_s: float = 2.0, hop_s: float = 0.5) -> DataFrame:
+    """(sid, sr, pcm) to (utt, pos, sr, pcm): sliding windows that hold sound; the last ones may be shorter, silent ones are left out."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for sid, sr, pcm in pdf.itertuples(index=False):
+                x, win = np.frombuffer(pcm, "<i2"), int(win_s * sr)
+                spans = [(k, a, b) for k, (a, b) in enumerate(windows(len(x), win, int(hop_s * sr)))]
+                rows = [(sid, k, sr, x[a:b].tobytes()) for k, a, b in spans if audible(x[a:b] / 32768, win)]
+                yield pd.DataFrame(rows, columns=["utt", "pos", "sr", "pcm"])
+
+    rows = clips.select("sid", F.col("sr").cast("int"), "pcm").where("pcm is not null")
+    return rows.mapInPandas(run, f"utt {dict(clips.dtypes)['sid']}, pos long, sr int, pcm binary")
+
+
+def padded_batch(inputs: list[dict]) -> np.ndarray:
+    """The samples of a provider's inputs as rows of one array, short ones filled up with zeros, as a model of vectors takes them."""
+    rows = [np.frombuffer(x["pcm"], "<i2").astype(np.float32) / 32768 for x in inputs]
+    out = np.zeros((len(rows), max(map(len, rows), default=0)), np.float32)
+    for row, x in zip(out, rows):
+        row[: len(x)] = x
+    return out
+
+
+def softened(clips: DataFrame, edges: DataFrame, c: Slicing = Slicing()) -> DataFrame:
+    """Clips after cuts: where (sid, head, tail) says that an end was cut, it gets its silence and its fade again."""
+    rows = clips.select("sid", "sr", "pcm").join(edges.select("sid", "head", "tail"), "sid", "left").fillna(False, ["head", "tail"])
+
+    def change(r: dict, x: np.ndarray) -> tuple[int, np.ndarray]:
+        sr = int(r["sr"])
+        if r["tail"]:
+            x, _ = tail_silence(x, sr, c.tail_s, c.loud_db, from_tail=False)
+        return sr, edge_fades(x, sr, c.fades_s[0] if r["head"] else 0.0, c.fades_s[1] if r["tail"] else 0.0)
 
-    return clips.select("sid", F.col("sr").cast("int"), "pcm").mapInPandas(run, "sid string, frame long, ms double, peak double")
+    return _each_clip(rows, change)

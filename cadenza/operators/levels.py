@@ -67,6 +67,7 @@ def loudness_plan(levels: DataFrame, target_db: float | None = None, pass_ratio:
     the gain that leaves this share of its deviation; the peak may not pass ``ceiling_db``.
     """
     by_episode = percentiles(levels, F.col("loud"), [0.5], ["episode"]).select("episode", F.col("p")[0].alias("ep"))
+    by_episode = Scratch(levels.sparkSession, "levels").write(by_episode, "episodes")  # the target and the gains read it
     goal = percentiles(by_episode, F.col("ep"), [0.5]).select(F.col("p")[0].alias("target")) if target_db is None else by_episode.limit(1).select(F.lit(target_db).alias("target"))
     rows = levels.join(by_episode, "episode").crossJoin(F.broadcast(goal))
     wanted = F.col("target") - F.col("ep") if pass_ratio is None else F.col("target") - F.col("loud") + (F.col("loud") - F.col("ep")) * pass_ratio
@@ -77,9 +78,11 @@ def loudness_plan(levels: DataFrame, target_db: float | None = None, pass_ratio:
 def episode_rollup(plan: DataFrame) -> DataFrame:
     plan = Scratch(plan.sparkSession, "levels").write(plan, "plan")
     out = plan.groupBy("episode").agg(F.count("*").alias("n_utts"), F.count_if("clamped").alias("n_clamped"))
-    for name, value in (("measured", F.col("loud")), ("gain", F.col("gain")), ("achieved", F.col("loud") + F.col("gain"))):
-        out = out.join(percentiles(plan, value, [0.5], ["episode"]).select("episode", F.col("p")[0].alias(name)), "episode", "left")
-    return out
+    values = {"measured": F.col("loud"), "gain": F.col("gain"), "achieved": F.col("loud") + F.col("gain")}
+    long = plan.select("episode", F.explode(F.array(*(F.struct(F.lit(n).alias("what"), v.alias("v")) for n, v in values.items()))).alias("x")).select("episode", "x.what", "x.v")
+    p = percentiles(long, F.col("v"), [0.5], ["episode", "what"])  # all three in one pass
+    medians = p.groupBy("episode").agg(*(F.max(F.when(F.col("what") == n, F.col("p")[0])).alias(n) for n in values))
+    return out.join(medians, "episode", "left")
 
 
 def enhancement_summary(enhanced: DataFrame) -> DataFrame:

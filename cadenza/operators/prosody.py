@@ -55,3 +55,26 @@ def measure(samples: np.ndarray, sr: int, f0: np.ndarray, n_chars: int) -> dict:
         "f0_mean": round(float(voiced.mean()), 1), "f0_std": round(float(tones.std()), 3), "f0_range": round(float(np.percentile(tones, 95) - np.percentile(tones, 5)), 3),
         "energy_std": round(float(level[loud].std()), 3), "pause_ratio": round(float(1 - loud[first : last + 1].mean()), 4), "cps": round(n_chars / spoken, 2) if n_chars and spoken > 0.2 else None,
     }
+
+
+def of_clips(clips: DataFrame, texts: DataFrame) -> DataFrame:
+    """(sid, sr, pcm) and (sid, text) to the metrics of :func:`measure` for each clip that has a text; what can't be measured has a reason in ``error``."""
+    import pandas as pd
+
+    from cadenza.functions.text import n_chars
+    from cadenza.operators.audio import pitch
+
+    names = ["f0_mean", "f0_std", "f0_range", "energy_std", "pause_ratio", "cps"]
+
+    def run(batches):
+        for pdf in batches:
+            rows = []
+            for sid, sr, pcm, chars in pdf.itertuples(index=False):
+                x = np.frombuffer(pcm, "<i2").astype(np.float32) / 32768
+                got = measure(x, int(sr), pitch(x, int(sr)), int(chars))
+                rows.append((sid, *(got.get(n) for n in names), got.get("error")))
+            yield pd.DataFrame(rows, columns=["sid", *names, "error"]).astype(dict.fromkeys(names, "float64"))
+
+    rows = clips.where("pcm is not null").join(texts.select("sid", n_chars(F.col("text")).alias("chars")), "sid")
+    kind = dict(clips.dtypes)["sid"]
+    return rows.select("sid", "sr", "pcm", F.coalesce("chars", F.lit(0)).alias("chars")).mapInPandas(run, f"sid {kind}, {', '.join(n + ' double' for n in names)}, error string")

@@ -48,13 +48,18 @@ def gaps(segments: DataFrame) -> DataFrame:
     )
 
 
-def coalesce_spans(spans: DataFrame, split_gap_ms: int = 800) -> DataFrame:
-    """(idx, start_ms, end_ms) in order and disjoint; spans whose gap is ``split_gap_ms`` at most become one."""
+def coalesce_spans(spans: DataFrame, split_gap_ms: int = 800, pauses: bool = False) -> DataFrame:
+    """(idx, start_ms, end_ms) in order and disjoint; spans whose gap is ``split_gap_ms`` at most become one.
+
+    With ``pauses`` each has the gaps inside it, ARRAY<STRUCT<a, b>> in seconds, for :func:`split_long`.
+    """
     bucket = F.expr(f"start_ms div {MINUTE_MS}")
     spans = ordered.neighbour(spans.select("idx", "start_ms", "end_ms"), ["idx"], ["start_ms"], bucket, {"end_ms": "prev_end"}, -1)
     opens = (F.col("prev_end").isNull() | (F.col("start_ms") - F.col("prev_end") > split_gap_ms)).cast("int")
     spans = ordered.running_sum(spans, ["idx"], ["start_ms"], bucket, opens, "island")
-    return spans.groupBy("idx", "island").agg(F.min("start_ms").alias("start_ms"), F.max("end_ms").alias("end_ms"), F.count("*").alias("n"))
+    gap = F.when((opens == 0) & (F.col("start_ms") > F.col("prev_end")), F.struct((F.col("prev_end") / 1000).alias("a"), (F.col("start_ms") / 1000).alias("b")))
+    inside = [F.sort_array(F.collect_list(gap)).alias("pauses")] if pauses else []
+    return spans.groupBy("idx", "island").agg(F.min("start_ms").alias("start_ms"), F.max("end_ms").alias("end_ms"), F.count("*").alias("n"), *inside)
 
 
 def long_enough(spans: DataFrame, least_ms: int = 1000) -> DataFrame:

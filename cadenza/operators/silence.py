@@ -59,9 +59,11 @@ def distribution(rows: DataFrame) -> DataFrame:
 
 
 def bounds(ends: DataFrame) -> DataFrame:
-    """One row: head_bound and tail_bound."""
-    head, tail = (upper_bound(ends, F.col(f"{c}_ms"), f"{c}_bound").drop("n") for c in ("head", "tail"))
-    return head.crossJoin(F.broadcast(tail))
+    """One row: head_bound and tail_bound, from one look at ``ends``."""
+    sides = F.explode(F.array(*(F.struct(F.lit(c).alias("side"), F.col(f"{c}_ms").cast("double").alias("v")) for c in ("head", "tail")))).alias("x")
+    p = percentiles(ends.select(sides).select("x.side", "x.v"), F.col("v"), [0.25, 0.75], ["side"])
+    bound = F.col("p")[1] + 1.5 * (F.col("p")[1] - F.col("p")[0])
+    return p.agg(*(F.max(F.when(F.col("side") == c, bound)).alias(f"{c}_bound") for c in ("head", "tail")))
 
 
 def flags(gaps: DataFrame, ends: DataFrame, keys: list[str], fixed_gap_ms: int = 1150) -> DataFrame:
@@ -80,8 +82,3 @@ def flags(gaps: DataFrame, ends: DataFrame, keys: list[str], fixed_gap_ms: int =
     at = F.concat(F.col("kind"), F.lit("_gap="), seconds("gap_ms"), F.lit("s@"), F.col("pos").cast("string"), F.lit("-"), F.col("next_pos").cast("string"))
     parts.append(wide.select(*keys, at.alias("reason")))
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
-
-
-def eligible(scored: DataFrame) -> DataFrame:
-    """Alignments good enough to judge: similarity a half, four fifths of the items matched, two aligned."""
-    return scored.where("sim >= 0.5 and matched >= 0.8 * n_items and aligned >= 2")

@@ -28,10 +28,10 @@ class Provider(Protocol):
     def __call__(self, inputs: list[dict]) -> list[dict]: ...
 
 
-def apply(df: DataFrame, make: Callable[[], Provider], schema: str, key: str, attempts: int = 3, wait_s: float = 0.0) -> DataFrame:
+def apply(df: DataFrame, make: Callable[[], Provider], schema: str, key: str, attempts: int = 3, wait_s: float = 1.0) -> DataFrame:
     """(key, inputs...) to (key, outputs..., error), as the DDL ``schema`` of the outputs says.
 
-    A batch that fails is tried again, then item by item, so one bad item doesn't take others with it; an item that
+    A batch that fails is tried again after ``wait_s`` seconds, then after twice as long, and so on; then item by item, so one bad item doesn't take others with it; an item that
     keeps failing has nulls and the reason in ``error``. To resume, leave out finished keys by an anti join before.
     """
     names = [p.split()[0] for p in re.split(r",\s*(?![^<]*>)", schema)]
@@ -49,7 +49,8 @@ def apply(df: DataFrame, make: Callable[[], Provider], schema: str, key: str, at
                     return [{**x, "error": None} for x in got]
                 except Exception as e:  # noqa: BLE001  whatever a model raises
                     reason = f"{type(e).__name__}: {e}"
-                    time.sleep(wait_s * 2**attempt)
+                    if attempt + 1 < attempts:
+                        time.sleep(wait_s * 2**attempt)
             return [x for r in rows for x in call([r])] if len(rows) > 1 else [{"error": reason}]
 
         for pdf in batches:
@@ -133,6 +134,20 @@ def parse_verdict(reply: str) -> dict:
     return {"verdict": got["verdict"], "reason": str(got.get("reason", ""))}
 
 
+#: What a listening model is asked; speaker, seconds and transcript are put in.
+AUDIT = """You hear one clip of %s, %.1f seconds long. Its transcript is: %s
+Say whether it is fit to train a voice on. Reasons against it: another voice, clipping, a pause that doesn't belong there,
+speech that can't be understood, words that the transcript lacks or has too many.
+Answer with JSON only: {"verdict": "keep" | "review" | "drop", "reason": "..."}"""
+
+
+def audit_prompt(speaker: str, seconds, text):
+    """The question about a clip, from columns of its length and its transcript."""
+    from pyspark.sql import functions as F
+
+    return F.format_string(AUDIT, F.lit(speaker), seconds.cast("double"), F.coalesce(text, F.lit("")))
+
+
 def audits(df: DataFrame, make: Callable[[], Provider], key: str = "sid", attempts: int = 6, wait_s: float = 1.0) -> DataFrame:
     """Verdicts of a listening model (its output ``reply``); whatever fails to the end has the verdict ``error``.
 
@@ -157,14 +172,3 @@ def accept_enhanced(rows: DataFrame, threshold: float = 0.9) -> DataFrame:
     from pyspark.sql import functions as F
 
     return rows.withColumn("accepted", F.coalesce(F.col("sim") >= threshold, F.lit(False))).withColumn("floor_gain", F.col("floor_before") - F.col("floor_after"))
-
-
-def enhancement_summary(accepted: DataFrame) -> DataFrame:
-    """One row for what :func:`accept_enhanced` gives: n, n_accepted, and the medians of ``sim`` and ``floor_gain`` (exact; nulls left out)."""
-    from pyspark.sql import functions as F
-
-    from cadenza.functions.quantiles import percentiles
-
-    n = accepted.agg(F.count("*").alias("n"), F.count_if("accepted").alias("n_accepted"))
-    sim, gain = (percentiles(accepted, F.col(c), [0.5]).select(F.col("p")[0].alias(f"median_{c}")) for c in ("sim", "floor_gain"))
-    return n.crossJoin(sim).crossJoin(gain)  # one row each

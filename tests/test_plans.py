@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from cadenza import config, providers
-from cadenza.operators import export, freshness, removal, segments
+from cadenza.operators import export, freshness, levels, removal, segments
 from cadenza.plans import pipeline
 from cadenza.sources import metadata as md
 from cadenza.sources import wav
@@ -127,9 +127,9 @@ def _workspace(spark, tmp_path, rows):
 def test_pipeline_plans_then_applies(spark, tmp_path):
     rows = [r for r in made(3, 60) if r[3] - r[2] <= 15000]
     w = _workspace(spark, tmp_path, rows)
-    before = pipeline.plan(w, "merge-prep")["groups"].count()
-    assert w.table("groups").versions() == [] and before == len(packed(gapped(rows), w.project.of("group")))
-    assert pipeline.run_all(w) == {"group": 1, "export": 1}
+    before = pipeline.plan(w, "merge-prep")["packed"].count()
+    assert w.table("packed").versions() == [] and before == len(packed(gapped(rows), w.project.of("group")))
+    assert pipeline.run_all(w) == {"group": 1, "group-apply": 1, "export": 1}
     manifest = w.table("manifest").read()
     sids = [r["sid"] for r in manifest.collect()]
     assert len(set(sids)) == len(sids) > 5 and all(s.startswith("p") for s in sids)
@@ -160,16 +160,17 @@ def test_tails_need_one_generation(spark, tmp_path):
 def test_checks_fill_the_flags(spark, tmp_path):
     """Silence and speaker flags stand side by side, and a second run replaces those of its own source."""
     w = pipeline.Workspace(spark, config.Project("p", out_root=str(tmp_path)))
-    words = [(f"s{k}", p, 100 * p + (900 if k == 3 and p else 0), 100 * p + 80 + (900 if k == 3 and p else 0), "，") for k in range(12) for p in range(3)]
-    w.table("words").commit(spark.createDataFrame([(s, p, a + (1300 if s == "s3" and p > 1 else 0), b + (1300 if s == "s3" and p > 1 else 0), x) for s, p, a, b, x in words], "sid string, pos long, start_ms long, end_ms long, between string"))
+    times = {f"s{k}": [(0, 80), (1000, 1080), (2400, 2480)] if k == 3 else [(100 * p, 100 * p + 80) for p in range(3)] for k in range(12)}
+    w.table("metadata").commit(spark.createDataFrame([(s, "甲，乙，丙。") for s in times], "sid string, text string"))
     w.table("durations").commit(spark.createDataFrame([(f"s{k}", 2400 if k == 5 else 400 if k != 3 else 2600) for k in range(12)], "sid string, dur_ms long"))
+    pipeline.take_alignments(w, spark.createDataFrame([(s, "甲，乙，丙。", [(c, a / 1000, b / 1000) for c, (a, b) in zip("甲乙丙", t)]) for s, t in times.items()], f"sid string, text string, items {pipeline.ITEMS}"))
     rng = np.random.default_rng(1)
     base, other = rng.normal(size=8), rng.normal(size=8)
     vecs = [(f"s{k}", p, ((other if k == 7 else base) + rng.normal(size=8) * 0.05).tolist()) for k in range(12) for p in range(6)]
     w.table("windows").commit(spark.createDataFrame(vecs, "utt string, pos long, emb array<double>"))
     w.table("metrics").commit(spark.createDataFrame([(f"s{k}", float(k), 1.0, 2.0) for k in range(12)], "sid string, f0_std double, f0_range double, energy_std double"))
     w.table("levels").commit(spark.createDataFrame([(f"s{k}", k % 2, -20.0 - k % 2 * 6, -3.0) for k in range(12)], "clip string, episode int, loud double, peak double"))
-    assert pipeline.run_all(w) == {"silence": 1, "speaker": 2, "prosody": 1, "loudness": 1}
+    assert pipeline.run_all(w) == {"punct": 2, "silence": 1, "speaker": 2, "prosody": 1, "loudness": 1}
     flags = {(r["sid"], r["source"]) for r in w.read("flags").collect()}
     assert ("s3", "silence") in flags and ("s5", "silence") in flags and {x for x in flags if x[1] == "speaker"} == {("s7", "speaker")}
     again = pipeline._flagged(w, "silence", w.read("flags").where("source = 'silence'").select("sid", "reason"))
@@ -181,8 +182,9 @@ def test_checks_fill_the_flags(spark, tmp_path):
 def test_cuts_are_verified(spark, tmp_path):
     """A sound between words is cut; frames after the cut must hold nothing more to cut, or nothing is applied."""
     w = pipeline.Workspace(spark, config.Project("p", out_root=str(tmp_path)))
-    w.table("words").commit(spark.createDataFrame([("a", 0, 0, 400), ("a", 1, 2000, 2400)], "sid string, pos long, start_ms long, end_ms long"))
+    w.table("metadata").commit(spark.createDataFrame([("a", "甲乙")], "sid string, text string"))
     w.table("durations").commit(spark.createDataFrame([("a", 2400)], "sid string, dur_ms long"))
+    pipeline.take_alignments(w, spark.createDataFrame([("a", "甲乙", [("甲", 0.0, 0.4), ("乙", 2.0, 2.4)])], f"sid string, text string, items {pipeline.ITEMS}"))
     loud = {*range(0, 20), *range(50, 65), *range(100, 120)}
     w.table("frames").commit(spark.createDataFrame([("a", k, 0.1 if k in loud else 1e-9) for k in range(120)], "sid string, frame int, ms double"))
     (cut,) = pipeline.plan(w, "para-cut")["cuts"].collect()
@@ -198,7 +200,7 @@ def test_cuts_are_verified(spark, tmp_path):
 def test_marks_are_repaired_by_stage(spark, tmp_path):
     w = pipeline.Workspace(spark, config.Project("p", out_root=str(tmp_path)))
     w.table("metadata").commit(spark.createDataFrame([("a", "你好"), ("b", "旧")], "sid string, text string"))
-    w.table("alignments").commit(spark.createDataFrame([("a", "你好", [("你", 0.0, 0.2), ("好", 1.0, 1.2)])], "sid string, text string, items array<struct<token: string, start: double, end: double>>"))
+    pipeline.take_alignments(w, spark.createDataFrame([("a", "你好", [("你", 0.0, 0.2), ("好", 1.0, 1.2)])], f"sid string, text string, items {pipeline.ITEMS}"))
     out = pipeline.plan(w, "fix-punct")
     assert {r["sid"]: r["text"] for r in out["metadata"].collect()} == {"a": "你，好", "b": "旧"} and out["samples"].count() == 1
     assert pipeline.apply(w, "punct") == 2
@@ -206,8 +208,9 @@ def test_marks_are_repaired_by_stage(spark, tmp_path):
 
 def test_pipeline_refuses_broken_groups(spark, tmp_path):
     w = _workspace(spark, tmp_path, [(0, 0, 0, 40000, True)])
+    pipeline.apply(w, "group")
     with pytest.raises(ValueError, match="break rules"):
-        pipeline.apply(w, "group")
+        pipeline.apply(w, "group-apply")
 
 
 def test_streaming_ingest(spark, tmp_path):
@@ -230,7 +233,7 @@ class Flaky:
 
 
 def test_a_bad_item_takes_no_others_with_it(spark):
-    got = {r["n"]: (r["twice"], r["error"]) for r in providers.apply(spark.range(8).withColumnRenamed("id", "n"), Flaky, "twice long", "n", 2).collect()}
+    got = {r["n"]: (r["twice"], r["error"]) for r in providers.apply(spark.range(8).withColumnRenamed("id", "n"), Flaky, "twice long", "n", 2, wait_s=0).collect()}
     assert got[3] == (None, "RuntimeError: bad item") and all(got[k] == (2 * k, None) for k in range(8) if k != 3)
 
 
@@ -266,5 +269,5 @@ def test_enhanced_clips(spark):
 def test_enhancement_summary(spark):
     rows = [("a", 0.9, -40.0, -60.0), ("b", 0.5, -40.0, -70.0), ("c", None, -40.0, -45.0)]
     df = providers.accept_enhanced(spark.createDataFrame(rows, "sid string, sim double, floor_before double, floor_after double"))
-    assert tuple(providers.enhancement_summary(df).first()) == (3, 1, 0.7, 20.0)
-    assert tuple(providers.enhancement_summary(df.where("false")).first()) == (0, 0, None, None)
+    assert tuple(levels.enhancement_summary(df).first()) == (1, 2, 0.7, 20.0)
+    assert tuple(levels.enhancement_summary(df.where("false")).first()) == (0, 0, None, None)

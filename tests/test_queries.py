@@ -42,7 +42,7 @@ def test_query(spark, duck, name):
 
 
 def test_everything_but_text_matching_has_sql():
-    assert queries().keys() - oracle_sql().keys() == {"text_similarity", "char_alignment", "punct_rewrite"}
+    assert queries().keys() - oracle_sql().keys() == {"text_similarity", "char_alignment", "punct_rewrite", "alignment_scores"}
 
 
 def test_plans(spark):
@@ -54,6 +54,28 @@ def test_plans(spark):
     assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint,o_totalprice:double>" in plan("loudness_plan")
 
 
+@pytest.mark.parametrize(("name", "table", "most"), [("segment_gaps", "events", 1), ("gap_event_plan", "embeddings", 6), ("cut_totals", "embeddings", 6), ("silence_bounds", "conversations", 1), ("silence_flags", "conversations", 1), ("split_override", "events", 0), ("manifest_check", "events", 0), ("loudness_plan", "orders", 1)])
+def test_source_tables_are_read_a_few_times(spark, name, table, most):
+    """Scans of the source in the result's own plan; bucket tables and written inputs are small or read instead."""
+    plan = queries()[name](spark, DATA)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count(f"sf0.001/{table}.parquet") <= most, plan.count(f"sf0.001/{table}.parquet")
+
+
+def test_alignments_are_scored(spark):
+    """Against difflib and a walk along the text, on whole turns."""
+    from cadenza.functions import matching
+    from cadenza.plans import queries as q
+
+    metadata, alignments = (df.collect() for df in q._transcripts(spark, DATA))
+    texts, got = {r["sid"]: r["text"] for r in metadata}, {r["sid"]: r for r in queries()["alignment_scores"](spark, DATA).collect()}
+    assert got.keys() == {r["sid"] for r in alignments} and {r["eligible"] for r in got.values()} == {True, False}
+    for r in alignments:
+        sim, met = SequenceMatcher(None, texts[r["sid"]], r["text"]).ratio(), matching.match_tokens(texts[r["sid"]], [x["token"] for x in r["items"]])[1]
+        want = (round(sim, 6), len(r["items"]), met, sim >= 0.5 and met >= 0.8 * len(r["items"]) and met >= 2)
+        have = got[r["sid"]]
+        assert (have["n_items"], have["aligned"], have["eligible"]) == want[1:] and have["sim"] == pytest.approx(want[0], abs=1.01e-6)
+
+
 def test_turns_are_compared_whole(spark):
     """Against difflib, on whole texts of all turns."""
     texts = {(r["conv_id"], r["turn"]): r["text"] for r in spark.read.parquet(f"{DATA}/conversations.parquet").collect()}

@@ -1,6 +1,9 @@
 """Transcripts: column functions, matching, repair."""
 
 import difflib
+import random
+import time
+from difflib import SequenceMatcher
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,6 +11,7 @@ from pyspark.sql import functions as F
 from cadenza.functions import matching
 from cadenza.functions import text as tx
 from cadenza.operators import text
+from cadenza.operators import words as words_
 
 
 def test_join_and_strip(spark):
@@ -71,3 +75,55 @@ def test_groups_without_a_manifest(spark):
     texts = spark.createDataFrame([(1, 0, "你好，世界。"), (1, 1, "再见！")], "idx int, n int, text string")
     groups = spark.createDataFrame([(1, 0, "你好世界"), (1, 1, "別的"), (1, 2, "再见")], "idx int, gid long, text string")
     assert sorted(tuple(r) for r in text.pair_groups(texts, groups).collect()) == [(1, 0, 0), (1, 1, 2)]
+
+
+def test_blocks_equal_the_usual_matching():
+    """Against difflib: popular characters, ties, repeats, short and long texts."""
+    rng = random.Random(11)
+    wide = " etaoinshrdlu" + "".join(map(chr, range(200, 420)))
+    for _ in range(400):
+        letters = rng.choice(["ab", "abc", "abcdefgh", wide])
+        a = "".join(rng.choice(letters) for _ in range(rng.randrange(rng.choice([8, 40, 420]))))
+        b = "".join(c for c in a if rng.random() > 0.1) if rng.random() < 0.5 else "".join(rng.choice(letters) for _ in range(rng.randrange(rng.choice([8, 40, 420]))))
+        for popular in (False, True):
+            want = SequenceMatcher(None, a, b, autojunk=popular)
+            marks = [[None] * len(a), [None] * len(a)]
+            for out, found in zip(marks, (matching.blocks(a, b, popular), want.get_matching_blocks())):
+                for i, j, n in found:
+                    out[i : i + n] = range(j, j + n)
+            assert marks[0] == marks[1]
+        assert matching.similarity(a, b) == want.ratio()
+
+
+def test_long_transcripts_take_seconds():
+    rng = random.Random(12)
+    vocabulary = ["".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randrange(2, 9))) for _ in range(3000)]
+    words = [rng.choice(vocabulary) for _ in range(18_000)]
+    start = time.perf_counter()
+    owner, coverage = matching.match_chars("".join(words), ["#" if k % 7 == 6 else w for k, w in enumerate(words)])
+    assert len(owner) > 90_000 and 0.85 < coverage < 0.87 and time.perf_counter() - start < 60
+
+
+def test_tokens_met_on_the_way():
+    rng = random.Random(13)
+    for _ in range(500):
+        text = "".join(rng.choice("ab，") for _ in range(rng.randrange(12)))
+        tokens = ["".join(rng.choice("ab") for _ in range(rng.randrange(3))) for _ in range(rng.randrange(6))]
+        steps, met = matching.match_tokens(text, tokens)
+        got = matching.aligned_tokens(text, tokens)
+        assert [(k, at) for k, (at, token) in enumerate(steps) if token is not None] == [(step, start) for step, start, _ in got] and len(got) == met
+
+
+def test_words_of_alignments(spark):
+    """Too unlike, too little met, too few words, no alignment, repeated and null texts."""
+    items = lambda s: [(c, 0.1 * k, 0.1 * k + 0.05) for k, c in enumerate(s)]
+    texts = {"a": "甲，乙。丙", "b": "甲乙丙", "c": "甲乙丙丁戊", "d": "甲", "e": "甲乙", "f": None}
+    heard = {"a": ("甲乙丙", items("甲乙丙")), "b": ("完全不同", items("甲乙丙")), "c": ("甲乙丙丁戊", items("甲乙己丁戊")), "d": ("甲", items("甲")), "f": (None, None), "g": ("甲", items("甲"))}
+    metadata = spark.createDataFrame(list(texts.items()), "sid string, text string")
+    alignments = spark.createDataFrame([(s, t, i) for s, (t, i) in heard.items()], "sid string, text string, items array<struct<token: string, start: double, end: double>>")
+    scored = words_.walked(metadata, alignments)
+    assert {r["sid"]: (r["n_items"], r["aligned"]) for r in scored.collect()} == {"a": (3, 3), "b": (3, 3), "c": (5, 2), "d": (1, 1), "f": (0, 0)}
+    rows = sorted(tuple(r) for r in words_.judged(metadata, alignments).collect())
+    assert rows == [("a", 0, "甲", 0, 50, "，"), ("a", 2, "乙", 100, 150, "。"), ("a", 4, "丙", 200, 250, "")]
+    assert {r["sid"]: r["n"] for r in words_.heard(metadata, alignments).groupBy("sid").count().withColumnRenamed("count", "n").collect()} == {"a": 3, "b": 3, "c": 5}
+    assert words_.judged(metadata.where("false"), alignments).count() == 0
