@@ -93,9 +93,22 @@ def drawn(rows: DataFrame, kind: str, by: list[str], most: int, longest: int | N
     return Scratch(spark, "drawn").write(low.dropDuplicates([kind, "draw"]), "rows")
 
 
-def taken(sample: DataFrame, kind: str, value, most: int) -> list:
-    """The ``most`` rows of lowest hash of one kind, on the driver."""
-    return sample.where(F.col(kind) == F.lit(value)).orderBy("draw").limit(most).collect()
+#: Characters of a sample of texts on the driver, at most.
+SAMPLE_CHARS = 24 << 20
+
+
+def taken(sample: DataFrame, kind: str, value, most: int, most_chars: int = SAMPLE_CHARS) -> list:
+    """The ``most`` rows of lowest hash of one kind, on the driver; fewer where their texts together are over ``most_chars`` characters."""
+    lowest = sample.where(F.col(kind) == F.lit(value)).orderBy("draw").limit(most)
+    if "text" not in sample.columns:
+        return lowest.collect()
+    total, last = 0, None
+    for r in lowest.select("draw", F.coalesce(F.length("text"), F.lit(0)).alias("n")).collect():
+        total += r["n"]
+        if total > most_chars:
+            break
+        last = r["draw"]
+    return lowest.where(F.col("draw") <= last).collect() if last is not None else []
 
 
 def crc32_mod(col, n: int):

@@ -9,8 +9,9 @@ but "all outside" can win keeps that path without decoding; the bound is exact.
 
 The field is trained here: on windows of ``_WINDOW`` tokens around the lines of at
 most ``sample`` texts, half of them with a base span that labels it, the others
-without; and on the same lines with generated secrets of other kinds put in
-(access keys, hexadecimal and base64 strings, prefixed tokens). Texts with a base
+without; on the same lines with generated secrets of other kinds put in
+(access keys, hexadecimal and base64 strings, prefixed tokens); and with links, paths,
+identifiers, versions and names that are no secrets. Texts with a base
 span are sought among ``pool`` texts; both are drawn by a 64-bit hash of the text
 from those of ``longest`` characters at most. These bounds hold for fitting only.
 
@@ -33,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cadenza.llm.common import Scratch, annotate, drawn, raw_texts, slices
+from cadenza.llm.common import Scratch, annotate, drawn, raw_texts, slices, taken
 
 KINDS = ("assign", "access", "hex", "crf")
 FIELDS = "spans array<struct<kind: string, start: long, end: long, secret: long>>"
@@ -62,7 +63,7 @@ _FLAGS = {
 _CLASS = _FLAGS["digit"] * 1 + _FLAGS["upper"] * 2 + _FLAGS["lower"] * 3 + _FLAGS["mark"] * 4 + _FLAGS["other"] * 5
 _LENGTHS = np.array([3, 6, 8, 12, 16, 20, 32, 64])
 #: Values of each feature.
-SIZES = (6, 9, 25, 48, 2, 14, 14, 7, 2, 4, 54)
+SIZES = (6, 9, 25, 48, 2, 14, 14, 7, 2, 4, 54, 72, 24, 12)
 
 
 @dataclass
@@ -126,7 +127,14 @@ def tokenize(data: bytes, texts: np.ndarray) -> Tokens:
     strange = np.bincount(of_text, (digit > 0) & (size >= 16) & (case != 4), len(texts)) / np.maximum(np.bincount(of_text, minlength=len(texts)), 1)
     file = np.searchsorted([0.0005, 0.01, 0.1], strange, side="right")[of_text] if n else np.zeros(0, int)
     both = np.minimum(length, 8) * 6 + np.minimum(share, 2) * 2 + near
-    features = np.stack([sort, length, share * 5 + case, np.minimum(shape, 47), key, shifted(around, -1, 12), shifted(around, -2, 12), shifted(sort, 1, 6), shifted(key, -3, 0), file, both], 1)
+    slash, dot, dash = (count(b == ord(x)) for x in "/.-")
+    doubled = (size > 1) & (b[start] == ord("/")) & (b[np.minimum(start + 1, len(b) - 1)] == ord("/")) if n else np.zeros(0, bool)
+    # what parts a token has: paths, links, versions and identifiers have many, and few changes of class within them
+    parts = (np.minimum(slash, 2) * 3 + np.minimum(dot, 2)) * 8 + np.searchsorted([1, 2, 4], dash, side="right") * 2 + doubled
+    restless = np.searchsorted([0.1, 0.2, 0.3, 0.4, 0.55], changes / np.maximum(size, 1), side="right")
+    texture = np.where(word, restless * 4 + (slash > 0) * 2 + (size >= 20), 0)
+    grouped = np.where(word, np.minimum(dash, 5) * 2 + (hexes + dash == size), 0)
+    features = np.stack([sort, length, share * 5 + case, np.minimum(shape, 47), key, shifted(around, -1, 12), shifted(around, -2, 12), shifted(sort, 1, 6), shifted(key, -3, 0), file, both, parts, texture, grouped], 1)
     return Tokens(start, end, line, features.astype(np.int16))
 
 
@@ -244,6 +252,39 @@ def generated(rng: random.Random) -> tuple[str, str]:
     return lead, kinds[k]()
 
 
+def harmless(rng: random.Random) -> str:
+    """A string that looks odd and is no secret: a link, a path, an identifier, a version, a name in code."""
+    some = lambda alphabet, n: "".join(rng.choice(alphabet) for _ in range(n))
+    small, digits = "abcdefghijklmnopqrstuvwxyz", "0123456789"
+
+    def name() -> str:
+        """Letters in the order of words: consonants and vowels in turn, in some common spelling."""
+        word = "".join(rng.choice("bcdfghklmnprstvw") + rng.choice("aeiou") + rng.choice(["", "", "n", "r", "s", "st"]) for _ in range(rng.randrange(1, 4)))
+        return rng.choice((word, word, word, word.capitalize(), word.upper() if len(word) < 6 else word, word + rng.choice(digits)))
+
+    def names(sign: str, low: int, high: int) -> str:
+        return sign.join(name() for _ in range(rng.randrange(low, high)))
+
+    host = lambda: names(".", 1, 3).lower() + rng.choice((".org", ".com", ".net", ".io", ".de", ".co.uk"))
+    ending = lambda: rng.choice((".py", ".html", ".json", ".md", ".tar.gz", ".so", ".php", ".jpg", "", ""))
+    uuid = lambda: "-".join(some("0123456789abcdef", k) for k in (8, 4, 4, 4, 12))
+    version = lambda: ".".join(str(rng.randrange(30)) for _ in range(rng.randrange(2, 5)))
+    kinds = [
+        lambda: rng.choice(("https://", "http://", "https://www.")) + host() + "/" + rng.choice((names("/", 1, 5), names("_", 1, 4), names("-", 2, 7))) + ending(),
+        lambda: "https://" + host() + "/" + names("/", 1, 4) + f"?{name()}={rng.choice((name(), some(digits, 8)))}&{name()}={some(digits, 3)}#" + names("-", 1, 3),
+        lambda: "https://" + host() + f"/{rng.randrange(1990, 2030)}/{rng.randrange(10, 13)}/" + names("-", 3, 9) + rng.choice(("", f"-{some(digits, 7)}")),
+        lambda: rng.choice(("/", "./", "../", "~/", "/usr/", "/home/", "C:/")) + rng.choice((names("/", 2, 7), names("/", 1, 3) + version() + "/" + names("-", 1, 4))) + ending(),
+        uuid, lambda: uuid().upper(), lambda: rng.choice(("urn:uuid:", "id ", "")) + uuid(),
+        lambda: version() + rng.choice(("-", "+", "_", "-rc")) + rng.choice((names("-", 1, 3), names(".", 1, 3).upper(), some(digits, 8))) + rng.choice(("", "-" + some(digits, 8), ".post1")),
+        lambda: names("_", 2, 6), lambda: names("_", 2, 6).upper(), lambda: "https://" + host() + "/" + some(small + small.upper() + digits + "_", rng.randrange(5, 13)), lambda: "".join(name().capitalize() for _ in range(rng.randrange(3, 6))), lambda: names("-", 3, 7), lambda: names(".", 3, 7),
+        lambda: f"{some(digits, 4)}-{rng.randrange(10, 13)}-{rng.randrange(10, 29)}T{rng.randrange(10, 24)}:{some('012345', 2)}:{some('012345', 2)}" + rng.choice(("Z", ".000Z", "+00:00")),
+        lambda: rng.choice(("978-", "ISBN 978-", "+49-", "DOI 10.")) + some(digits, 4) + rng.choice("-/") + some(digits, rng.randrange(4, 9)) + "-" + some(digits, 2),
+        lambda: names(".", 1, 3).lower() + "@" + host(), lambda: some(small, rng.randrange(20, 45)) if rng.random() < 0.3 else names("", 4, 9).lower(),
+        lambda: f"{name()}-{version()}-py3-none-any" + rng.choice((".whl", "", "_x86_64")),
+    ]
+    return rng.choice(kinds)()
+
+
 _WINDOW = 40
 
 
@@ -259,31 +300,33 @@ class Examples:
 
 def examples(texts: list[bytes], rng: random.Random) -> Examples:
     """Windows of lines of each text: two at random, the one of the longest token, and three with a base span; each as it
-    is, around its longest token if it has no secret, and with a generated secret."""
+    is, around its longest token if it has no secret, with a generated secret, and with a :func:`harmless` string."""
     out = []
     for raw in texts:
         lines = [x for x in raw.split(b"\n") if x.strip()]
         longest = [max(lines, key=lambda x: max(map(len, x.split())))] if lines else []
         for line in rng.sample(lines, min(len(lines), 2)) + longest + [x for x in lines if base_spans(x)][:3]:
-            for put in (False, True):
+            for put in ("nothing", "secret", "harmless"):
                 spans = [(s, e) for _, _, e, s in base_spans(line)]
-                based, data = bool(spans), line
-                if put:
-                    lead, secret = generated(rng)
+                based, data, at = bool(spans), line, None
+                if put != "nothing":
+                    lead, piece = generated(rng) if put == "secret" else (rng.choice(("", "", "", "see ", "(", '"', "path = ", "url: ", "id=", "version: ")), harmless(rng))
                     at = rng.choice([m.start() for m in re.finditer(rb" ", line)] or [len(line)])
-                    piece = f" {lead}".encode()
+                    before = f" {lead}".encode()
                     close = rng.choice((b"", b'"', b".", b",")) if lead[-1:] not in ("'", '"') else lead[-1:].encode()
-                    data = line[:at] + piece + secret.encode() + close + line[at:]
-                    s = at + len(piece)
+                    data = line[:at] + before + piece.encode() + close + line[at:]
+                    at += len(before)
                     spans = [(x, y) for _, _, y, x in base_spans(data)]
-                    if not any(x < s + len(secret) and s < y for x, y in spans):
-                        spans.append((s, s + len(secret)))
+                    if put == "secret" and not any(x < at + len(piece) and at < y for x, y in spans):
+                        spans.append((at, at + len(piece)))
                 tokens = tokenize(data, np.zeros(1, np.int64))
                 y = _labels(tokens, spans)
                 if not len(y):
                     continue
                 marked = np.flatnonzero(y < 2)
                 middle = int(marked[rng.randrange(len(marked))]) if len(marked) else int((tokens.end - tokens.start).argmax())
+                if put == "harmless":
+                    middle = min(int(np.searchsorted(tokens.start, at)), len(y) - 1)
                 lo = max(0, min(middle - rng.randrange(5, _WINDOW - 5), len(y) - _WINDOW))
                 if lo < len(y) and y[lo] == 1:
                     lo += 1
@@ -368,7 +411,7 @@ def train(texts: list[bytes], steps: int = 160, seed: int = 3, batch: int = 400)
 
 
 def sampled_texts(docs: DataFrame, text_col: str = "text", sample: int = 1000, pool: int = 30_000, longest: int = 200_000) -> list[bytes]:
-    """``sample`` texts at most, half of them with a base span."""
+    """``sample`` texts at most, half of them with a base span; of each half no more than ``common.SAMPLE_CHARS`` characters in all."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -378,8 +421,7 @@ def sampled_texts(docs: DataFrame, text_col: str = "text", sample: int = 1000, p
     rows = docs.select(F.col(f"`{text_col}`").cast("string").alias("text"), F.lit(0).alias("kind")).where("text is not null")
     found = drawn(rows, "kind", ["text"], pool, longest).mapInArrow(run, "draw long, text string, named boolean")
     found = Scratch(docs.sparkSession, "secrets").write(found, "pool")
-    half = sample // 2
-    return [r["text"].encode() for named in (True, False) for r in found.where(F.col("named") == named).orderBy("draw").limit(half).collect()]
+    return [r["text"].encode() for named in (True, False) for r in taken(found, "named", named, sample // 2)]
 
 
 def fit(docs: DataFrame, text_col: str = "text", sample: int = 1000, pool: int = 30_000, longest: int = 200_000) -> SecretField:

@@ -109,6 +109,68 @@ def test_field_finds_other_secrets(field):
     assert found >= 50
 
 
+# Strings that look odd and are no secrets, none of them made by the generator of examples.
+HARMLESS = """https://en.wikipedia.org/wiki/Apache_Spark
+https://github.com/apache/spark/blob/master/README.md
+https://spark.apache.org/docs/latest/api/python/reference/pyspark.sql/api/pyspark.sql.DataFrame.html
+/usr/local/lib/python3.13/site-packages/pyspark/sql/functions/builtin.py
+4.1.2-SNAPSHOT-20260101
+550e8400-e29b-41d4-a716-446655440000
+C:/Program_Files/Common_Files/Microsoft_Shared/ink/en-US
+https://www.example.de/dp/B08N5WRWNW/ref=sr_1_3
+https://doi.org/10.1145/3318464.3389709
+org.apache.spark.sql.catalyst.expressions.codegen.CodegenContext
+numpy-2.3.5-cp313-cp313-manylinux_2_17_x86_64.manylinux2014_x86_64.whl
+Donaudampfschifffahrtsgesellschaftskapitaen
+2026-01-01T12:34:56.789Z
+SparkSession.builder.getOrCreate
+ISBN 978-3-16-148410-0
+s3a://bucket-name/path/to/partition/year=2024/month=05/part-00000.snappy.parquet
+https://arxiv.org/abs/1706.03762v7
+AbstractSingletonProxyFactoryBean
+/home/user/projects/my-app/node_modules/.bin/webpack
+192.168.100.200:8080/api/v1/status""".splitlines()
+AROUND = ("Read more at {} today .", "see {}", "{}", "Der Link {} ist neu .", "path: {}", "({})", '"{}", and then', "a {} b {}", "\n{}\n", "[{}]")
+
+
+def test_links_and_paths_are_no_secrets(spark, field):
+    """Two hundred such strings in ten surroundings; the pipeline's redaction leaves them whole."""
+    texts = [around.replace("{}", x) for x in HARMLESS for around in AROUND]
+    marked = [t for t, spans in zip(texts, secrets.scan([t.encode() for t in texts], field)) if any(s["kind"] == "crf" for s in spans)]
+    assert len(texts) == 200 and len(marked) <= 2, marked
+    whole = "\n".join(x for x in HARMLESS if not any(x in t for t in marked))
+    df = spark.createDataFrame([(1, whole + "\npassword=hunter22", 3)], "doc_id long, text string, n_chars long")
+    r = secrets.redact_secrets(df, field).first()
+    assert r["text"] == whole + "\npassword=[secret]" and r["n_chars"] == len(r["text"])
+
+
+def test_secrets_of_unseen_forms(field):
+    """Forms that the generator can't make: three services' prefixes, two kinds of keys."""
+    import random
+    import string
+
+    rng, letters = random.Random(99), string.ascii_letters + string.digits
+    some = lambda n, more="": "".join(rng.choice(letters + more) for _ in range(n))
+    forms = (lambda: "AIzaSy" + some(33, "_-"), lambda: "glpat-" + some(20, "_-"), lambda: "npm_" + some(36), lambda: some(40, "+/"), lambda: some(86, "+/") + "==")
+    for form in forms:
+        found = 0
+        for k in range(50):
+            secret = form()
+            text = ("please ", "Authorization: Bearer ", "export KEY=", "client_secret: ", "use the token ")[k % 5] + secret + " and go on"
+            at = text.index(secret)
+            found += any(s["secret"] < at + len(secret) and s["end"] > at for s in secrets.scan([text.encode()], field)[0])
+        assert found >= 45
+
+
+def test_samples_are_bounded_in_characters(spark):
+    from cadenza.llm import common
+
+    rows = [(1, k, "x" * 100) for k in range(20)] + [(2, 5, None), (2, 6, "y")]
+    sample = spark.createDataFrame(rows, "kind int, draw long, text string")
+    assert [r["draw"] for r in common.taken(sample, "kind", 1, 9, 550)] == [0, 1, 2, 3, 4] and len(common.taken(sample, "kind", 1, 9)) == 9
+    assert common.taken(sample, "kind", 1, 9, 99) == [] and len(common.taken(sample, "kind", 2, 9)) == 2 and common.taken(sample, "kind", 3, 9) == []
+
+
 def test_skipping_lines_changes_nothing(field):
     """The bound on lines against decoding them all."""
     text = "\n".join([helpers.prose(k, 30) + (f" secret {k:030x}" if k % 3 == 0 else "") for k in range(30)]).encode()
