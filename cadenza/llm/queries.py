@@ -195,6 +195,23 @@ SELECT h.page_id, h.host, h.path, m.rule, coalesce(m.rverdict, 'allow') AS verdi
 FROM h LEFT JOIN (SELECT DISTINCT * FROM m WHERE k = 1) m ON m.page_id = h.page_id AND m.host = h.host AND m.path = h.path
 """
 
+OP12_SQL = r"""
+WITH RECURSIVE bits AS (SELECT i, 0 AS k, CAST(i AS BIGINT) AS x FROM range(256) t(i) UNION ALL SELECT i, k + 1, CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END FROM bits WHERE k < 8),
+tab AS MATERIALIZED (SELECT list(x ORDER BY i) AS t FROM bits WHERE k = 8),
+runs AS (SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-zÀ-ÿ]+')) AS run FROM documents),
+own AS MATERIALIZED (SELECT doc_id, run, count(*) AS n FROM runs GROUP BY doc_id, run),
+hashed AS (SELECT run, n, xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(regexp_extract_all(hex(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run), '..'), lambda x: CAST('0x' || x AS BIGINT))),
+                             lambda c, b: xor(c >> 8, t[xor(c & 255, b) + 1]))) AS h FROM own, tab),
+v AS MATERIALIZED (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM (SELECT n, CASE WHEN h % 31 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word FROM hashed) GROUP BY word HAVING sum(n) >= 2 AND length(word) >= 7),
+cut AS MATERIALIZED (SELECT word, i, substr(word, 1, i - 1) AS a, substr(word, i + 1) AS b FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM v)),
+near AS (SELECT x.word, y.word AS other FROM cut x JOIN cut y ON x.i = y.i AND x.a = y.a AND x.b = y.b AND x.word <> y.word
+         UNION SELECT c.word, w.word FROM cut c JOIN v w ON w.word = c.a || c.b UNION SELECT w.word, c.word FROM cut c JOIN v w ON w.word = c.a || c.b),
+best AS (SELECT near.word, other, v.n AS other_n, count(*) OVER (PARTITION BY near.word) AS n_near, row_number() OVER (PARTITION BY near.word ORDER BY v.n DESC, other) AS k FROM near JOIN v ON v.word = other),
+forms AS MATERIALIZED (SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= 10 * v.n THEN other END AS form, CASE WHEN other_n >= 10 * v.n THEN other_n END AS form_n FROM v LEFT JOIN best ON best.word = v.word AND k = 1),
+ends AS (SELECT word, word AS at, form AS ahead FROM forms UNION ALL SELECT e.word, f.word, f.form FROM ends e JOIN forms f ON f.word = e.ahead)
+SELECT f.word, f.form, e.at AS root, f.n, f.n_near, f.form_n FROM forms f JOIN ends e ON e.word = f.word AND e.ahead IS NULL
+"""
+
 OP13_SQL = r"""
 WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
                   list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x40\x5B-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM documents),
@@ -216,4 +233,4 @@ SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_repetition_quality": OP1_SQL, "op2_near_duplicates": OP2_SQL, "op5_decontamination": OP5_SQL, "op7_url_filter": OP7_SQL, "op13_source_divergence": OP13_SQL}
+    return {"op1_repetition_quality": OP1_SQL, "op2_near_duplicates": OP2_SQL, "op5_decontamination": OP5_SQL, "op7_url_filter": OP7_SQL, "op12_spelling_variants": OP12_SQL, "op13_source_divergence": OP13_SQL}

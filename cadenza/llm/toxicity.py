@@ -18,7 +18,9 @@ subsequence weights of w, the machine folds into one weight for each
 subsequence; sums of these weights over a text give the margins of all of its
 windows at once, without a kernel for each landmark.
 
-A sentence scores as its best window and a text as its best sentence. Labels
+A sentence scores as its best window and a text as its best sentence, or, where toxic texts
+mostly have several telling words, as the second best of its different words, for which the
+threshold is lower: one weak word that stands in a clean text by chance isn't enough. Labels
 mark whole texts, so training is on bags (MI-SVM): it starts from sentences with
 telling words, which labelled toxic texts have far more often than clean ones;
 then each turn takes as positive examples the best windows of the best sentence
@@ -66,6 +68,7 @@ HELD = 300_000
 FIELDS = "score double, predicted int"
 THRESHOLD = 0.7
 LOWEST = -4.0  # the margin of a text without a window
+SAME = 1e-6  # margins of one word at two places are nearer than that
 
 WORD, NEIGHBOURS, WITHIN = 0, 1, 2  # kinds of windows
 
@@ -235,6 +238,7 @@ class ToxicityModel:
     landmarks: list[bytes] = field(default_factory=list)
     alpha: np.ndarray = field(default_factory=lambda: np.zeros(0))
     centre: float = 0.0
+    second: float = math.inf
     steep: float = 4.0
 
     def of_instances(self, instances: list[bytes]) -> np.ndarray:
@@ -278,19 +282,38 @@ class ToxicityModel:
                     m += np.where(length >= j, starts[j][some.head] + ends[j][some.tail], 0.0)
             yield some, m / norm(length, some.kind != WITHIN) + self.bias[some.kind]
 
-    def best(self, texts: list[str]) -> np.ndarray:
-        """The best margin of each text and kind of window."""
+    def evidence(self, texts: list[str]) -> np.ndarray:
+        """Of each text the best margin of all windows, that of its words, and that of its words other than the best one."""
         out = np.full((3, len(texts)), LOWEST)
         for words, several in zip(read(texts), (True, False)):
             for some, m in self.margins(words, several):
-                np.maximum.at(out[some.kind], some.text, m)
+                np.maximum.at(out[0], some.text, m)
+                if some.kind == WORD:
+                    before = out[1].copy()
+                    np.maximum.at(out[1], some.text, m)
+                    other = m < out[1][some.text] - SAME
+                    np.maximum.at(out[2], some.text[other], m[other])
+                    out[2] = np.where(before < out[1] - SAME, np.maximum(out[2], before), out[2])
         return out
 
+    def margin(self, evidence: np.ndarray) -> np.ndarray:
+        """How far each text is beyond the threshold: by its best window, or by two different words that each are weaker."""
+        return np.maximum(evidence[0] - self.centre, evidence[2] - self.second)
+
     def probability(self, margin: float) -> float:
-        x = self.steep * (margin - self.centre) + math.log(THRESHOLD / (1 - THRESHOLD))
+        x = self.steep * margin + math.log(THRESHOLD / (1 - THRESHOLD))
         return 1 / (1 + math.exp(-max(-50.0, min(50.0, x))))
 
 
+def together(evidence: np.ndarray, at: list[int] | np.ndarray, more: np.ndarray) -> None:
+    """Put the evidence of parts of texts, the numbers of these in ``at``, to what is known of them."""
+    for k, i in enumerate(at):
+        first, word, second = more[:, k]
+        best = max(evidence[1, i], word)
+        weaker = [x for x in (evidence[1, i], evidence[2, i], word, second) if x < best - SAME]
+        evidence[:, i] = max(evidence[0, i], first), best, max(weaker, default=LOWEST)
+
+
 def portions(texts: list[str]) -> Iterator[tuple[list[int], list[str]]]:
     """Texts, or overlapping parts of long ones, of about ``PORTION`` characters together; their numbers and themselves."""
     owner: list[int] = []
@@ -323,10 +346,8 @@ class Scorer:
         self.model = model
 
     def __call__(self, raws: list[bytes | None]) -> dict[str, list]:
-        best = np.full(len(raws), LOWEST)
-        for owner, texts in portions([(raw or b"").decode() for raw in raws]):
-            np.maximum.at(best, owner, self.model.best(texts).max(0))
-        scores = [self.model.probability(b) for b in best.tolist()]
+        found = evidence_of(self.model, [(raw or b"").decode() for raw in raws])
+        scores = [self.model.probability(m) for m in self.model.margin(found).tolist()]
         return {"score": scores, "predicted": [int(s >= THRESHOLD) for s in scores]}
 
 
@@ -493,6 +514,12 @@ def train(witnesses: dict[bytes, float], toxic: list[bytes], clean: list[bytes],
         examples = {w: float(n) for w, n in chosen.items() if n >= least} | alike | sure
     low, high = well.latent(model).best, ill.latent(model).best
     model.centre, width = _threshold(np.sort(low[WORD]), np.sort(high[WORD]))
+    few, many = (evidence_of(model, texts)[2] for texts in (clean, toxic))
+    model.second, _ = _threshold(np.sort(few), np.sort(many))
+    if (many >= model.second).mean() >= 0.5:  # toxic texts mostly have several such words, so that one alone must be a clear one
+        model.centre = max(model.centre, float(np.sort(low[WORD])[-1 - len(clean) // 600]) + 0.05)
+    else:
+        model.second = math.inf
     for kind in (NEIGHBOURS, WITHIN):  # at most one clean text of 2,000 may lie above
         top = np.sort(low[kind])[-1 - len(clean) // 2000]
         model.bias[kind] -= max(0.0, float(top) - (model.centre - 0.15 * width))
@@ -500,6 +527,14 @@ def train(witnesses: dict[bytes, float], toxic: list[bytes], clean: list[bytes],
     return model
 
 
+def evidence_of(model: ToxicityModel, texts: list[str]) -> np.ndarray:
+    """See :meth:`ToxicityModel.evidence`; of whole texts, whatever their length."""
+    found = np.full((3, len(texts)), LOWEST)
+    for owner, some in portions(texts):
+        together(found, owner, model.evidence(some))
+    return found
+
+
 def _bent(window: bytes, rng: np.random.Generator) -> list[bytes]:
     """A word with a letter put in here and there, with one doubled, and with one between all."""
     letters = window[1:-1]
