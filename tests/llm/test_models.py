@@ -181,13 +181,25 @@ def test_scores_are_those_of_the_unfolded_machine(model):
     """Kernels to the landmarks for each window of each sentence, the best of all, against the running sums."""
     marks = [_plain(x) for x in model.landmarks]
     for text in ("a nitwit here. blok head and", "the scumbagger of alphabetagammadelta", "n i t w i t s. it is", "gammaing alphas"):
-        best = [toxicity.LOWEST] * 3
+        best, words = [toxicity.LOWEST] * 3, [toxicity.LOWEST] * 2
         for kind, window in set(_plain_windows(text)):
             margin = sum(a * _kernel(window, x) for a, x in zip(model.alpha, marks)) + model.bias[kind]
             best[kind] = max(best[kind], margin)
-        assert model.best([text])[:, 0] == pytest.approx(best, abs=1e-4)
+            words += [margin] * (kind == 0)
+        want = [max(best), *sorted(words)[:-3:-1]]
+        assert model.evidence([text])[:, 0] == pytest.approx(want, abs=1e-4)
         score = toxicity.Scorer(model)([text.encode()])["score"][0]
-        assert score == pytest.approx(model.probability(max(best)), abs=1e-3)
+        assert score == pytest.approx(model.probability(max(want[0] - model.centre, want[2] - model.second)), abs=1e-3)
+
+
+def test_two_weak_words_or_a_clear_one():
+    """Parts of a text tell together what the whole text does; a word that comes back is one word."""
+    model = toxicity.ToxicityModel(np.zeros(1), np.zeros(3), centre=2.0, second=1.0)
+    found = np.full((3, 4), toxicity.LOWEST)
+    toxicity.together(found, [0, 1, 1, 2, 2, 3], np.array([[2.5, 1.4, 1.4, 1.5, 1.4, 1.9], [2.5, 1.4, 1.4, 1.5, 1.4, 1.2], [0.1, -1.0, -2.0, 1.1, 0.0, 1.1]]))
+    assert found.tolist() == [[2.5, 1.4, 1.5, 1.9], [2.5, 1.4, 1.5, 1.2], [0.1, -1.0, 1.4, 1.1]]
+    assert (model.margin(found) >= 0).tolist() == [True, False, True, True]
+    assert toxicity.ToxicityModel(np.zeros(1), np.zeros(3)).margin(found).max() == 2.5  # without a second threshold, the best window alone
 
 
 def test_the_map_is_that_of_nystroem():
