@@ -1,7 +1,7 @@
 """Groups of segments by meaning: a language model proposes them, the rules decide, single segments are the way out.
 
-No group may cross a hard break, so the unit of a question is a run between two of them, and of a long run at most
-``most_rows`` segments at a time. Runs of one segment are never asked about. A task holds one question's rows.
+No group may cross a hard break, so the unit of a question is a run between two of them; a run of over ``most_rows``
+segments is parted at a long pause, see :func:`groups`. Runs of one segment are never asked about. A task holds one question's rows.
 """
 
 from __future__ import annotations
@@ -96,19 +96,27 @@ def groups(gapped: DataFrame, texts: DataFrame, make: Callable[[], Provider], ru
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model, at, held = make(), None, []
 
-        def settle() -> list[tuple]:
-            if not held:
+        def settle(n: int | None = None) -> list[tuple]:
+            """Ask about the first ``n`` segments that are held, or all."""
+            rows = held[:n]
+            del held[:n]
+            if not rows:
                 return []
-            found, source = ask(model, held, rules, attempts, wait_s) if len(held) > 1 else ([[held[0][0]]], "single")
-            held.clear()
+            found, source = ask(model, rows, rules, attempts, wait_s) if len(rows) > 1 else ([[rows[0][0]]], "single")
             return [(at[0], g[0], pos, i, source) for g in found for pos, i in enumerate(g)]
 
+        def widest() -> int:
+            """Where a run that is too long for a question is parted: at the longest pause of its later half, the last among equals."""
+            return max(range(max(1, len(held) // 2), len(held)), key=lambda k: (held[k][1] - held[k - 1][2], k))
+
         for pdf in batches:
             out = []
             for idx, no, i, start, end, text in pdf.itertuples(index=False):
-                if at != (idx, no) or len(held) >= most_rows:
+                if at != (idx, no):
                     out += settle()
                     at = (idx, no)
+                elif len(held) > 1 and len(held) >= most_rows:
+                    out += settle(widest())
                 held.append((int(i), int(start), int(end), text))
             yield pd.DataFrame(out, columns=columns)
         yield pd.DataFrame(settle(), columns=columns)

@@ -211,6 +211,25 @@ def overlapping_levels(samples: DataFrame, frame: int, hop: int, floor: str = "l
     return overlapping_frames(samples, frame, hop).select("sid", "frame", db(F.col("ms"), floor).alias("db"))
 
 
+def audible_windows(samples: DataFrame, win: int, hop: int, least_rms: float = 0.01) -> DataFrame:
+    """(sid, k, x) to (sid, pos, a, b, rms): sliding windows from sample a to b that hold sound.
+
+    A window starts every ``hop`` samples as long as half a window is left, so the last ones are shorter; one of less than half
+    a window counts as silent. Squares are summed as in :func:`overlapping_frames`.
+    """
+    step = int(np.gcd(win, hop))
+    wide, far = win // step, hop // step
+    x = F.col("x").cast("double")
+    buckets = samples.groupBy("sid", F.expr(f"k div {step}").alias("b")).agg(F.sum(x * x).alias("s"))
+    count = samples.groupBy("sid").agg((F.max("k") + 1).alias("n"))
+    low, high = f"greatest(0L, cast(ceil((b - {wide - 1}) / {far}) as bigint))", f"b div {far}"
+    parts = buckets.where(f"{low} <= {high}").select("sid", F.explode(F.expr(f"sequence({low}, {high})")).alias("pos"), "s")
+    sums = parts.groupBy("sid", "pos").agg(F.sum("s").alias("s")).join(count, "sid").where(f"pos * {hop} < greatest(1, n - {win // 2})")
+    a, b = F.col("pos") * hop, F.least(F.col("pos") * hop + win, F.col("n"))
+    rows = sums.select("sid", "pos", a.alias("a"), b.alias("b"), F.sqrt(F.col("s") / (b - a)).alias("rms"))
+    return rows.where((2 * (F.col("b") - F.col("a")) >= win) & (F.col("rms") > least_rms))
+
+
 def sample_rows(chunks: DataFrame, size: int = SIZE) -> DataFrame:
     """Chunks to (sid, k, x), a row for each sample."""
 

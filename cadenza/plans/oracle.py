@@ -181,6 +181,13 @@ SELECT sid, min(frame) AS first, max(frame) + 1 AS "end" FROM i GROUP BY sid, is
     "cut_plan": f"WITH {CUT} SELECT * FROM cuts",
     "item_shift": f"WITH {CUT} SELECT w.sid, w.pos, CAST(start_ms - coalesce(sum(CASE WHEN t1 <= start_ms THEN t1 - t0 - pad END), 0) AS BIGINT) AS start_ms, CAST(end_ms - coalesce(sum(CASE WHEN t1 <= end_ms THEN t1 - t0 - pad END), 0) AS BIGINT) AS end_ms FROM words w LEFT JOIN cuts c ON c.sid = w.sid GROUP BY w.sid, w.pos, start_ms, end_ms",
     "cut_totals": f"WITH {CUT} SELECT kind, count(*) AS n, CAST(sum(t1 - t0) AS BIGINT) AS cut_ms, CAST(sum(pad) AS BIGINT) AS pad_ms, count(DISTINCT sid) AS clips FROM cuts GROUP BY kind",
+    "overlapping_levels": """WITH s AS (SELECT vec_id AS sid, unnest(range(0, len(embedding))) AS k, CAST(unnest(embedding) AS DOUBLE) AS x FROM embeddings),
+n AS (SELECT vec_id AS sid, unnest(range(0, (len(embedding) - 10) // 4)) AS frame FROM embeddings)
+SELECT n.sid, n.frame, round(20 * log10(sqrt(sum(x * x) / 10) + 1e-12), 6) AS db FROM n JOIN s ON s.sid = n.sid AND s.k >= 4 * n.frame AND s.k < 4 * n.frame + 10 GROUP BY n.sid, n.frame""",
+    "audible_windows": """WITH s AS (SELECT vec_id AS sid, unnest(range(0, len(embedding))) AS k, CAST(unnest(embedding) AS DOUBLE) AS x FROM embeddings),
+w AS (SELECT vec_id AS sid, len(embedding) AS n, unnest(range(0, greatest(1, len(embedding) - 10), 6)) AS a FROM embeddings),
+r AS (SELECT w.sid, w.a // 6 AS pos, w.a, least(w.a + 20, w.n) AS b, sqrt(sum(x * x) / (least(w.a + 20, w.n) - w.a)) AS rms FROM w JOIN s ON s.sid = w.sid AND s.k >= w.a AND s.k < w.a + 20 GROUP BY w.sid, w.a, w.n)
+SELECT sid, pos, a, b, round(rms, 6) AS rms FROM r WHERE 2 * (b - a) >= 20 AND rms > 0.11""",
     "aligned_words": r"""WITH RECURSIVE ex AS (SELECT conv_id, turn, unnest(string_split(text, ' ')) AS word, unnest(range(0, len(string_split(text, ' ')))) AS pos FROM conversations),
 tm AS (SELECT *, CAST(coalesce(sum(40 * length(word) + (length(word) % 7) * 90) OVER (PARTITION BY conv_id, turn ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start_ms FROM ex),
 hd AS (SELECT conv_id, turn, pos, CASE WHEN pos = 41 AND conv_id % 3 = 0 THEN '#' ELSE regexp_replace(word, '[^\p{L}\p{N}]', '', 'g') END AS token, start_ms, start_ms + 40 * length(word) AS end_ms FROM tm

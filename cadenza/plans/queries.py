@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cadenza.functions import text as tx
-from cadenza.operators import events, export, freshness, grouping, levels, prosody, removal, segments, silence, text, vectors, words
+from cadenza.operators import events, export, freshness, grouping, levels, prosody, removal, segments, silence, text, vectors, waves, words
 from cadenza.plans.oracle import SQL
 from cadenza.sources import fixtures as fx
 from cadenza.sources import metadata as md
@@ -216,6 +216,23 @@ def frame_levels(spark, d):
     return f.select("sid", F.col("frame").cast("long").alias("frame"), *(F.round(levels.db(F.col("ms"), k), 6).alias(f"db_{k}") for k in ("export", "frame", "prosody", "loudness")))
 
 
+def _samples(spark, d):
+    """Each vector as a clip of 64 samples."""
+    return fx.table(spark, d, "embeddings").select(F.col("vec_id").alias("sid"), F.posexplode("embedding").alias("k", "x")).withColumn("k", F.col("k").cast("long"))
+
+
+@query
+def overlapping_levels(spark, d):
+    """Frames of ten samples, one every four."""
+    return waves.overlapping_levels(_samples(spark, d), 10, 4).select("sid", "frame", F.round("db", 6).alias("db"))
+
+
+@query
+def audible_windows(spark, d):
+    """Windows of twenty samples, one every six; some are silent here below a tenth."""
+    return waves.audible_windows(_samples(spark, d), 20, 6, 0.11).select("sid", "pos", "a", "b", F.round("rms", 6).alias("rms"))
+
+
 @query
 def noise_floor(spark, d):
     return levels.noise_floor(fx.frames(spark, d)).withColumn("floor_db", F.round("floor_db", 6))

@@ -9,6 +9,8 @@ from pyspark.sql.streaming import StreamingQuery
 from cadenza.operators import grouping, segments
 
 SCHEMA = "idx long, i long, start_ms long, end_ms long, kept boolean"
+#: Parts of the store by episode; a batch reads those that its episodes are in.
+BUCKETS = 256
 
 
 def read_segments(spark: SparkSession, path: str) -> DataFrame:
@@ -18,15 +20,19 @@ def read_segments(spark: SparkSession, path: str) -> DataFrame:
 def ingest(source: DataFrame, store: str, groups: str, checkpoint: str, rules: grouping.Packing = grouping.Packing()) -> StreamingQuery:
     """Take up what is there and stop. ``store`` keeps all segments, ``groups`` a version of each touched episode.
 
-    A batch that is run again after a crash overwrites its own files, so nothing counts twice.
+    The store is parted by episode, so a batch reads the history of the parts that its episodes are in, not all of it. A batch that is run
+    again after a crash overwrites its own files, so nothing counts twice.
     """
 
     def one(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        batch.write.mode("overwrite").parquet(f"{store}/batch={number}")
-        touched = spark.read.parquet(f"{store}/batch={number}").select("idx").distinct()
-        rows = spark.read.option("basePath", store).parquet(f"{store}/batch=*").where(F.col("batch") <= number)
-        rows = rows.join(touched, "idx", "left_semi").drop("batch").dropDuplicates(["idx", "i"])
+        dealt = batch.withColumn("bucket", F.pmod(F.xxhash64("idx"), F.lit(BUCKETS)).cast("int"))
+        dealt.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{store}/batch={number}")
+        everything = spark.read.schema(f"{SCHEMA}, batch long, bucket int").option("basePath", store).parquet(f"{store}/batch=*")
+        new = everything.where(F.col("batch") == number)
+        buckets = [r["bucket"] for r in new.select("bucket").distinct().collect()]  # BUCKETS at most
+        rows = everything.where((F.col("batch") <= number) & F.col("bucket").isin(buckets))
+        rows = rows.join(new.select("idx").distinct(), "idx", "left_semi").drop("batch", "bucket").dropDuplicates(["idx", "i"])
         packed = grouping.pack(segments.gaps(rows), rules)
         packed.write.mode("overwrite").parquet(f"{groups}/batch={number}")
 

@@ -97,7 +97,9 @@ def test_runs_are_grouped(spark):
     m = "model"
     assert got == [("a", 0, 0, 0, m), ("a", 0, 1, 1, m), ("a", 2, 0, 2, m), ("a", 2, 1, 3, m), ("a", 4, 0, 4, m), ("a", 5, 0, 5, "single"), ("b", 7, 0, 7, m), ("b", 7, 1, 8, m)]
     parts = _found(semantic.groups(_gapped(spark), _texts(spark), Pairs, most_rows=3))
-    assert [r[1] for r in parts if r[0] == "a"] == [0, 0, 2, 3, 3, 5]
+    assert [r[1] for r in parts if r[0] == "a"] == [0, 0, 2, 2, 4, 5]  # equal pauses: parted at the last one
+    far = _gapped(spark).selectExpr("idx", "i", "start_ms + if(i >= 2 and i < 5, 900, 0) as start_ms", "end_ms + if(i >= 2 and i < 5, 900, 0) as end_ms", "dur_ms", "gap_ms", "next_is_adjacent")
+    assert [r[1] for r in _found(semantic.groups(far, _texts(spark), Pairs, most_rows=4)) if r[0] == "a"] == [0, 0, 2, 2, 4, 5]
 
 
 def test_nothing_is_lost_without_a_model(spark):

@@ -90,3 +90,35 @@ def test_long_files_are_several_partitions(tmp_path):
     for name in "xy":
         own = sorted(r for r in rows if r[0] == name)
         assert [r[1] for r in own] == list(range(60)) and b"".join(r[2] for r in own) == x.tobytes()
+
+
+class Doubled:
+    """A decoder of a format of its own: a rate and bytes, one for each sample."""
+
+    batch = 2
+
+    def __call__(self, inputs):
+        out = []
+        for x in inputs:
+            if x["content"][:1] != b"d":
+                raise ValueError("not mine")
+            out.append({"sr": 100, "pcm": np.frombuffer(x["content"][1:], "u1").astype("<i2").tobytes()})
+        return out
+
+
+def test_decoders_plug_in(spark, tmp_path):
+    for name, content in (("a.dbl", b"d" + bytes(range(10))), ("b.dbl", b"dxyz"), ("c.dbl", b"nope"), ("d.txt", b"dno")):
+        (tmp_path / name).write_bytes(content)
+    done = spark.createDataFrame([("b",)], "sid string")
+    from cadenza import providers
+    from cadenza.sources import decode
+
+    before = providers.apply.__defaults__
+    providers.apply.__defaults__ = (2, 0.0)
+    try:
+        chunks, failed = decode.decoded(spark, str(tmp_path), ("*.dbl", "a.*"), Doubled, done, size=4)
+    finally:
+        providers.apply.__defaults__ = before
+    assert [(r["sid"], r["chunk"], len(r["pcm"]) // 2) for r in chunks.orderBy("chunk").collect()] == [("a", 0, 4), ("a", 1, 4), ("a", 2, 2)]
+    assert [(r["sid"], r["error"]) for r in failed.collect()] == [("c", "ValueError: not mine")]
+    assert np.frombuffer(bytes(waves.joined(chunks).first()["pcm"]), "<i2").tolist() == list(range(10))
