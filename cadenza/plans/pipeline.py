@@ -435,12 +435,20 @@ def apply(w: Workspace, stage: str) -> int:
     return done["tables"][node.targets[0]]["version"]
 
 
+def makers() -> dict[str, str]:
+    """Of each table the stage that makes it; later stages only change it."""
+    out: dict[str, str] = {}
+    for s in ALL:
+        for t in (*STAGES[s].targets, *STAGES[s].also):
+            out.setdefault(t, s)
+    return out
+
+
 def order(stages: tuple[str, ...] = ALL) -> list[str]:
     """Stages so that each stands behind those that make what it needs; otherwise as they are given."""
-    left, out = [_name(s) for s in stages], []
+    left, out, made = [_name(s) for s in stages], [], makers()
     while left:
-        made = {t: s for s in left for t in STAGES[s].targets}
-        ready = next((s for s in left if all(made.get(t, s) == s or t in STAGES[s].targets for t in STAGES[s].needs)), left[0])
+        ready = next((s for s in left if all(made.get(t, s) == s or made[t] not in left for t in STAGES[s].needs)), left[0])
         out.append(ready)
         left.remove(ready)
     return out

@@ -47,6 +47,6 @@ def in_rounds(journal: Journal, todo: DataFrame, ask: Callable[[DataFrame], Data
     number = todo.count()
     rounds = -(-number // per_round)
     for k in range(rounds):
-        part = todo.where(F.pmod(F.xxhash64(key), F.lit(rounds)) == k).repartition(calls)
+        part = todo.where(F.pmod(F.xxhash64(F.col(key), F.lit(number)), F.lit(rounds)) == k).repartition(calls)
         journal.add(ask(part))
     return rounds

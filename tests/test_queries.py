@@ -54,7 +54,7 @@ def test_plans(spark):
     assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint,o_totalprice:double>" in plan("loudness_plan")
 
 
-@pytest.mark.parametrize(("name", "table", "most"), [("segment_gaps", "events", 1), ("gap_event_plan", "embeddings", 6), ("cut_totals", "embeddings", 6), ("silence_bounds", "conversations", 1), ("silence_flags", "conversations", 1), ("split_override", "events", 0), ("manifest_check", "events", 0), ("loudness_plan", "orders", 1)])
+@pytest.mark.parametrize(("name", "table", "most"), [("segment_gaps", "events", 1), ("gap_event_plan", "embeddings", 8), ("cut_totals", "embeddings", 8), ("silence_bounds", "conversations", 1), ("silence_flags", "conversations", 1), ("split_override", "events", 0), ("manifest_check", "events", 0), ("loudness_plan", "orders", 1)])
 def test_source_tables_are_read_a_few_times(spark, name, table, most):
     """Scans of the source in the result's own plan; bucket tables and written inputs are small or read instead."""
     plan = queries()[name](spark, DATA)._jdf.queryExecution().executedPlan().toString()
