@@ -64,10 +64,16 @@ def padded(utts: DataFrame, pad_ms: int = 200) -> DataFrame:
     return more.select(*utts.columns, start.cast("long").alias("pad_start_ms"), end.cast("long").alias("pad_end_ms"))
 
 
+def _padded(number: Column, least: int) -> Column:
+    """At least so many digits; all of a longer number."""
+    digits = number.cast("string")
+    return F.lpad(digits, F.greatest(F.length(digits), F.lit(least)), "0")
+
+
 def manifest(utts: DataFrame, prefix: str = "s") -> DataFrame:
-    """sid = prefix, episode, and a number from 1 over the utterances that are left."""
+    """sid = prefix, episode, and a number from 1 over the utterances that are left; longer ones aren't cut, so no two clips share a sid."""
     numbered = ordered.ranked(utts, ["idx"], ["first_i"], by_i("first_i"), "n")
-    sid = F.concat(F.lit(prefix), F.lpad(F.col("idx").cast("string"), 3, "0"), F.lit("_"), F.lpad(F.col("n").cast("string"), 4, "0"))
+    sid = F.concat(F.lit(prefix), _padded(F.col("idx"), 3), F.lit("_"), _padded(F.col("n"), 4))
     return numbered.select(sid.alias("sid"), "idx", "gid", "n_segs", "first_i", "last_i", "start_ms", "end_ms")
 
 

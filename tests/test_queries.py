@@ -7,6 +7,7 @@ from pathlib import Path
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from cadenza.plans.queries import oracle_sql, queries
 
@@ -41,6 +42,29 @@ def test_query(spark, duck, name):
     assert got == sorted((tuple(r[i] for i in at) for r in want.fetchall()), key=_key)
 
 
+@pytest.fixture(scope="module")
+def many_episodes(spark, tmp_path_factory):
+    """The events of the smallest size, with episodes 100 to 102 and 1000 to 1029: three digits don't tell them apart."""
+    folder = str(tmp_path_factory.mktemp("many"))
+    events = spark.read.parquet(f"{DATA}/events.parquet")
+    number = F.when(F.col("user_id") < 3, F.col("user_id") + 100).otherwise(F.col("user_id") + 1000)
+    events.withColumn("user_id", number).coalesce(1).write.parquet(f"{folder}/events.parquet")
+    return folder
+
+
+def _equals_sql(spark, folder, name):
+    df, con = queries()[name](spark, folder), duckdb.connect()
+    con.sql("SET timezone = 'UTC'")
+    con.sql(f"CREATE VIEW events AS SELECT * FROM read_parquet('{folder}/events.parquet/*.parquet')")
+    want = con.sql(oracle_sql()[name]).project(", ".join(df.columns)).fetchall()
+    return want and sorted((tuple(r) for r in df.collect()), key=_key) == sorted(want, key=_key)
+
+
+@pytest.mark.parametrize("name", ["manifest", "manifest_check"])
+def test_episodes_over_three_digits(spark, many_episodes, name):
+    assert _equals_sql(spark, many_episodes, name)
+
+
 def test_everything_but_text_matching_has_sql():
     assert queries().keys() - oracle_sql().keys() == {"text_similarity", "char_alignment", "punct_rewrite", "alignment_scores"}
 

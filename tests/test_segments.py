@@ -197,3 +197,8 @@ def test_pressed_pauses(spark):
     g = spark.createDataFrame([(500,), (800,), (1800,), (None,)], "g long")
     assert [r[0] for r in g.select(export.pressed(F.col("g"), 800)).collect()] == [500, 800, 800, None]
     assert [r[0] for r in g.select(export.pressed(F.col("g"), 800, 0.3)).collect()] == [500, 800, 1100, None]
+
+
+def test_sids_of_many_episodes_differ(spark):
+    utts = spark.createDataFrame([(x, 0, 1, 0, 0, 0, 900) for x in (1, 100, 1000, 1001)], "idx long, gid long, n_segs long, first_i long, last_i long, start_ms long, end_ms long")
+    assert sorted(r["sid"] for r in export.manifest(utts).collect()) == ["s001_0001", "s1000_0001", "s1001_0001", "s100_0001"]
