@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cadenza.functions import matching
+from cadenza.functions.rowwise import mapped
 from cadenza.functions.text import CHINESE, tail_mark
 
 ITEMS = "array<struct<token: string, start: double, end: double>>"
@@ -31,39 +30,30 @@ def repair(rows: DataFrame, chinese_only: bool = True) -> DataFrame:
     Chinese one, and four fifths of its items are met; a row without an alignment keeps its text.
     """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            out = []
-            for sid, old, text, items in zip(pdf["id"], pdf["old"], pdf["text"], pdf["items"]):
-                if text is None or items is None:
-                    out.append((sid, old, "no_alignment", 0, 0))
-                    continue
-                good = len(text) >= 2 and (not chinese_only or any(CHINESE[0] <= c <= CHINESE[2] for c in text))
-                if not good or matching.similarity(old or "", text) < 0.5:
-                    out.append((sid, old, "unlike", 0, 0))
-                    continue
-                words = [(x["token"], x["start"], x["end"]) for x in items]
-                owner, coverage = matching.match_chars(text, [w[0] for w in words])
-                if coverage < 0.8:
-                    out.append((sid, old, "not_covered", 0, 0))
-                    continue
-                fixed, deleted, inserted = matching.repair_punctuation(text, words, owner)
-                out.append((sid, fixed, "repaired", deleted, inserted))
-            yield pd.DataFrame(out, columns=["id", "text", "outcome", "n_deleted", "n_inserted"])
+    def run(sid, old, text, tokens, starts, ends) -> tuple:
+        if text is None or tokens is None:
+            return sid, old, "no_alignment", 0, 0
+        good = len(text) >= 2 and (not chinese_only or any(CHINESE[0] <= c <= CHINESE[2] for c in text))
+        if not good or matching.similarity(old or "", text) < 0.5:
+            return sid, old, "unlike", 0, 0
+        owner, coverage = matching.match_chars(text, tokens)
+        if coverage < 0.8:
+            return sid, old, "not_covered", 0, 0
+        fixed, deleted, inserted = matching.repair_punctuation(text, list(zip(tokens, starts, ends)), owner)
+        return sid, fixed, "repaired", deleted, inserted
 
     kinds = dict(rows.dtypes)
-    return rows.select("id", "old", "text", "items").mapInPandas(run, f"id {kinds['id']}, text string, outcome string, n_deleted long, n_inserted long")
+    return mapped(rows.select("id", "old", "text", "items.token", "items.start", "items.end"), run, f"id {kinds['id']}, text string, outcome string, n_deleted long, n_inserted long")
 
 
 def align(rows: DataFrame) -> DataFrame:
     """(id, text, tokens) to coverage by characters, and matched and n_items by the pointer walk."""
 
-    @F.pandas_udf("coverage double, matched long, n_items long")
-    def run(text: pd.Series, tokens: pd.Series) -> pd.DataFrame:
-        got = [(t or "", list(k) if k is not None else []) for t, k in zip(text, tokens)]
-        return pd.DataFrame({"coverage": [matching.match_chars(t, k)[1] for t, k in got], "matched": [matching.match_tokens(t, k)[1] for t, k in got], "n_items": [len(k) for _, k in got]})
+    def run(sid, text, tokens) -> tuple:
+        text, tokens = text or "", tokens or []
+        return sid, matching.match_chars(text, tokens)[1], len(matching.aligned_tokens(text, tokens)), len(tokens)
 
-    return rows.withColumn("m", run("text", "tokens")).select("id", "m.*")
+    return mapped(rows.select("id", "text", "tokens"), run, f"id {dict(rows.dtypes)['id']}, coverage double, matched long, n_items long")
 
 
 def rewrite_tails(texts: DataFrame, forced: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 import difflib
 import random
 import time
+import tracemalloc
 from difflib import SequenceMatcher
 
 import pytest
@@ -127,3 +128,30 @@ def test_words_of_alignments(spark):
     assert rows == [("a", 0, "甲", 0, 50, "，"), ("a", 2, "乙", 100, 150, "。"), ("a", 4, "丙", 200, 250, "")]
     assert {r["sid"]: r["n"] for r in words_.heard(metadata, alignments).groupBy("sid").count().withColumnRenamed("count", "n").collect()} == {"a": 3, "b": 3, "c": 5}
     assert words_.judged(metadata.where("false"), alignments).count() == 0
+
+
+def _peak_mb(spark, monkeypatch, make):
+    """MB of Python objects at most while a step runs over one batch of all its rows, and the rows it gives."""
+    steps = []
+    with monkeypatch.context() as m:
+        for name in ("mapInArrow", "mapInPandas"):
+            m.setattr(type(spark.range(1)), name, lambda self, run, schema, name=name: (steps.append((name, self, run)), self.sparkSession.createDataFrame([], schema))[1])
+        make()
+    [(name, rows, run)] = steps
+    table = rows.coalesce(1).toArrow().combine_chunks().to_batches()
+    inputs = (part if name == "mapInArrow" else part.to_pandas() for part in table)
+    tracemalloc.start()
+    n = sum(len(part) for part in run(inputs))
+    peak = tracemalloc.get_traced_memory()[1] / 1e6
+    tracemalloc.stop()
+    return peak, n
+
+
+def _many_turns(spark):
+    item = "named_struct('token', concat('w', id, '-', k), 'start', double(k), 'end', double(k))"
+    return spark.range(2000).selectExpr("id", "'x' as text", "'y' as old", f"transform(sequence(1, 200), k -> {item}) as items")
+
+
+def test_repair_holds_a_few_rows(spark, monkeypatch):
+    peak, n = _peak_mb(spark, monkeypatch, lambda: text.repair(_many_turns(spark), chinese_only=False))
+    assert n == 2000 and peak < 8, peak
