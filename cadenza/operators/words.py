@@ -7,14 +7,13 @@ boundary lies between. Clips without an alignment are left out, and so are clips
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cadenza.functions import matching
+from cadenza.functions.rowwise import mapped
 
 STEPS = "array<struct<pos: long, item: long, between: string>>"
 
@@ -40,20 +39,16 @@ def walked(metadata: DataFrame, alignments: DataFrame, compare: bool = True) ->
     """
     rows = metadata.select("sid", "text").join(alignments.select("sid", F.col("text").alias("heard"), "items"), "sid")
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            out = []
-            for sid, text, heard, tokens in pdf.itertuples(index=False):
-                text, tokens = text or "", list(tokens) if tokens is not None else []
-                met = matching.aligned_tokens(text, tokens)
-                ends = [start for _, start, _ in met[1:]] + [len(text)]
-                steps = [{"pos": step, "item": k, "between": text[end:then]} for k, ((step, _, end), then) in enumerate(zip(met, ends))]
-                out.append((sid, matching.similarity(text, heard or "") if compare else None, len(tokens), len(met), steps))
-            yield pd.DataFrame(out, columns=["sid", "sim", "n_items", "aligned", "steps"]).astype({"sim": "float64"})
+    def run(sid, text, heard, tokens) -> tuple:
+        text, tokens = text or "", tokens or []
+        met = matching.aligned_tokens(text, tokens)
+        ends = [start for _, start, _ in met[1:]] + [len(text)]
+        steps = [{"pos": step, "item": k, "between": text[end:then]} for k, ((step, _, end), then) in enumerate(zip(met, ends))]
+        return sid, matching.similarity(text, heard or "") if compare else None, len(tokens), len(met), steps
 
     tokens = F.transform("items", lambda x: F.coalesce(x["token"], F.lit("")))
     kind = dict(rows.dtypes)["sid"]
-    made = rows.select("sid", "text", "heard", tokens.alias("tokens")).mapInPandas(run, f"sid {kind}, sim double, n_items long, aligned long, steps {STEPS}")
+    made = mapped(rows.select("sid", "text", "heard", tokens.alias("tokens")), run, f"sid {kind}, sim double, n_items long, aligned long, steps {STEPS}")
     return made.join(alignments.select("sid", "items"), "sid")
 
 

@@ -155,3 +155,9 @@ def _many_turns(spark):
 def test_repair_holds_a_few_rows(spark, monkeypatch):
     peak, n = _peak_mb(spark, monkeypatch, lambda: text.repair(_many_turns(spark), chinese_only=False))
     assert n == 2000 and peak < 8, peak
+
+
+def test_walks_hold_a_few_rows(spark, monkeypatch):
+    turns = _many_turns(spark).withColumnRenamed("id", "sid")
+    peak, n = _peak_mb(spark, monkeypatch, lambda: words_.walked(turns, turns))
+    assert n == 2000 and peak < 8, peak
