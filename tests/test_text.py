@@ -161,3 +161,14 @@ def test_walks_hold_a_few_rows(spark, monkeypatch):
     turns = _many_turns(spark).withColumnRenamed("id", "sid")
     peak, n = _peak_mb(spark, monkeypatch, lambda: words_.walked(turns, turns))
     assert n == 2000 and peak < 8, peak
+
+
+def test_usual_turns_need_no_automaton(monkeypatch):
+    calls = []
+    monkeypatch.setattr(matching, "_longest", lambda a, b: calls.append((len(a), len(b))) or (0, 0, 0))
+    rng = random.Random(13)
+    words = ["".join(rng.choice(["th", "er", "on", "tion", "re", "he"]) for _ in range(rng.randrange(1, 5))) for _ in range(300)]
+    heard = ["#" if k % 7 == 6 else w for k, w in enumerate(words)]
+    matching.match_chars(" ".join(words), heard)
+    matching.similarity(" ".join(words), " ".join(heard))
+    assert not calls
