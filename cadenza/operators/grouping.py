@@ -147,13 +147,13 @@ def apply_splits(groups: DataFrame, *splits: DataFrame) -> DataFrame:
     whole = whole.select("idx", "gid", F.transform("g", lambda x: x["i"]).alias("members"))
     chosen = whole.withColumn("source", F.lit("packed")).withColumn("parts", F.array(F.col("members")))
     for k, table in enumerate(reversed(splits)):
-        parts = table.groupBy("idx", "gid", "part").agg(F.sort_array(F.collect_list(F.struct("pos", "i"))).alias("p"))
+        parts = table.repartition("idx", "gid").groupBy("idx", "gid", "part").agg(F.sort_array(F.collect_list(F.struct("pos", "i"))).alias("p"))
         parts = parts.groupBy("idx", "gid").agg(F.sort_array(F.collect_list(F.struct("part", "p"))).alias("ps"))
         parts = parts.select("idx", "gid", F.transform("ps", lambda x: F.transform(x["p"], lambda y: y["i"])).alias("new"))
         fits = F.col("new").isNotNull() & (F.flatten("new") == F.col("members")) & ~F.exists("new", lambda x: F.size(x) == 0)
         chosen = chosen.join(parts, ["idx", "gid"], "left").withColumn("source", F.when(fits, F.lit(f"split{len(splits) - k}")).otherwise(F.col("source")))
         chosen = chosen.withColumn("parts", F.when(fits, F.col("new")).otherwise(F.col("parts"))).drop("new")
     rows = chosen.select("idx", "source", F.explode("parts").alias("part")).select("idx", "source", F.posexplode("part").alias("pos", "i"))
-    rows = rows.withColumn("pos", F.col("pos").cast("long"))
+    rows = Scratch(groups.sparkSession, "splits").write(rows.withColumn("pos", F.col("pos").cast("long")), "rows")  # numbering reads it twice
     numbered = ordered.running_sum(rows, ["idx"], ["i"], by_i(), (F.col("pos") == 0).cast("long"), "gid")
     return numbered.select("idx", (F.col("gid") - 1).alias("gid"), "pos", "i", "source")

@@ -106,3 +106,9 @@ def test_turns_are_compared_whole(spark):
     want = {(c, t): SequenceMatcher(None, a, texts[c, t - 1]).ratio() for (c, t), a in texts.items() if (c, t - 1) in texts}
     got = {(r["conv_id"], r["turn"]): r["sim"] for r in queries()["text_similarity"](spark, DATA).collect()}
     assert any("." in a[:-1] for a in texts.values()) and got == pytest.approx(want, abs=1.01e-6)
+
+
+def test_splits_are_made_once(spark):
+    """The result numbers written rows: it reads these and the table of buckets, and gathers no group again."""
+    plan = queries()["split_override"](spark, DATA)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan parquet") <= 2 and "Aggregate" not in plan
