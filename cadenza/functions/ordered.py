@@ -8,6 +8,10 @@ sums and neighbours across their borders. A bucket without rows does no harm.
 The table of buckets is written at once, so the input is read once for it and
 once for the result, however many calls follow each other; columns that need the
 same order are still best made in one call of :func:`extended`.
+
+There can be almost as many buckets as rows, and their file is some forty times
+smaller than its rows in memory, so the table is never broadcast: it is dealt as
+the windows deal the rows, by one column of keys and bucket, and meets them there.
 """
 
 from __future__ import annotations
@@ -18,7 +22,7 @@ from pyspark.sql.window import Window
 
 from cadenza.sources.scratch import Scratch
 
-_B = "__bucket"
+_B, _AT = "__bucket", "__at"
 
 
 def extended(
@@ -42,18 +46,18 @@ def extended(
     across = Window.partitionBy(*keys).orderBy(_B)
     before = across.rowsBetween(Window.unboundedPreceding, -1)
     small = small.select(
-        *(F.col(c).alias(f"__k_{c}") for c in (*keys, _B)), F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__n"),
+        F.struct(*keys, _B).alias("__k"), F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__n"),
         *(F.coalesce(F.sum(f"__s_{n}").over(before), F.lit(0)).alias(f"__s_{n}") for n in sums),
         *((F.lead if side == "ahead" else F.lag)(f"__e_{side}").over(across).alias(f"__e_{side}") for side in packed),
     )
     small = Scratch(df.sparkSession, "ordered").write(small, "buckets")
-    inside = Window.partitionBy(*keys, _B).orderBy(*order)
+    inside = Window.partitionBy(_AT).orderBy(*order)
     own = [F.row_number().over(inside).cast("long").alias("__rank")] if rank else []
     for n, (value, inclusive) in sums.items():
         own.append(F.coalesce(F.sum(value).over(inside.rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)), F.lit(0)).alias(f"__o_{n}"))
     own += [(F.lead if side == "ahead" else F.lag)(x).over(inside).alias(f"__o_{side}") for side, x in packed.items()]
-    rows = df.select("*", *own)
-    out = rows.join(small, [F.col(c).eqNullSafe(F.col(f"__k_{c}")) for c in (*keys, _B)], "left")
+    rows = df.withColumn(_AT, F.struct(*keys, _B)).select("*", *own)  # a struct is equal where the nulls in it are
+    out = rows.join(small.hint("merge"), F.col(_AT) == F.col("__k"), "left")
     made = [(F.col("__rank") + F.col("__n")).alias(rank)] if rank else []
     made += [(F.col(f"__o_{n}") + F.col(f"__s_{n}")).alias(n) for n in sums]
     for side in packed:

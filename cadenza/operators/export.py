@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from cadenza.functions import ordered
 from cadenza.functions.quantiles import percentiles
+from cadenza.operators import grouping
 from cadenza.sources.fixtures import by_i
 from cadenza.sources.scratch import Scratch
 
@@ -38,7 +39,7 @@ def pressed(gap: Column, max_gap_ms: int = 800, pass_ratio: float | None = None)
 
 def utterances(groups: DataFrame, gapped: DataFrame, max_gap_ms: int = 800, pass_ratio: float | None = None, xfade_ms: int = 20) -> DataFrame:
     """A row for each group: times, members, and the length after pauses are pressed and joins crossfaded."""
-    rows = groups.join(gapped, ["idx", "i"])
+    rows = grouping.group_rows(groups, gapped)
     last = F.max("pos")
     agg = rows.groupBy("idx", "gid").agg(
         F.count("*").alias("n_segs"), F.min("i").alias("first_i"), F.max("i").alias("last_i"), F.min("start_ms").alias("start_ms"), F.max("end_ms").alias("end_ms"),
@@ -105,7 +106,7 @@ def manifest_mismatches(manifest: DataFrame, members: DataFrame, groups: DataFra
     Both are of one generation only if each manifest row's group is there and has the same members in the same order.
     Members meet by (idx, gid, pos), so no group is gathered.
     """
-    named = manifest.select("sid", "idx", "gid")
+    named = manifest.select("sid", "idx", "gid").hint("merge")  # all sides grow with the corpus
     ours = members.join(named, "sid").select("sid", "idx", "gid", "pos", F.col("i").alias("own_i"))
     theirs = groups.join(named, ["idx", "gid"]).select("sid", "idx", "gid", "pos", F.col("i").alias("their_i"))
     both = ours.join(theirs, ["sid", "idx", "gid", "pos"], "full")
@@ -125,6 +126,6 @@ def require_same_generation(manifest: DataFrame, members: DataFrame, groups: Dat
 def forced_ends(utts: DataFrame, gapped: DataFrame, most_ms: int = 800) -> DataFrame:
     """Whether each utterance ends at a forced boundary: the next segment is adjacent and closer than ``most_ms``."""
     last = gapped.select("idx", F.col("i").alias("last_i"), "gap_ms", "next_is_adjacent")
-    joined = utts.join(last, ["idx", "last_i"], "left")
+    joined = utts.join(last.hint("merge"), ["idx", "last_i"], "left")
     forced = F.coalesce(F.col("next_is_adjacent") & (F.col("gap_ms") < most_ms), F.lit(False))
     return joined.select(*utts.columns, forced.alias("forced"))

@@ -105,8 +105,11 @@ def pack(gapped: DataFrame, rules: Packing = Packing()) -> DataFrame:
 
 
 def group_rows(groups: DataFrame, gapped: DataFrame) -> DataFrame:
-    """Members with their times; a group is bounded, so (idx, gid) is a safe key."""
-    return groups.join(gapped, ["idx", "i"])
+    """Members with their times; a group is bounded, so (idx, gid) is a safe key.
+
+    Both sides grow with the segments, and their files don't tell their size in memory, so neither is broadcast.
+    """
+    return groups.join(gapped.hint("merge"), ["idx", "i"])
 
 
 def review(groups: DataFrame, gapped: DataFrame) -> DataFrame:
@@ -125,8 +128,8 @@ def violations(groups: DataFrame, gapped: DataFrame, rules: Packing = Packing())
     member = groups.groupBy("idx", "i").agg(F.count("*").alias("times"))
     cover = gapped.select("idx", "i").join(member, ["idx", "i"], "full").where("times is null or times <> 1")
     lost = cover.select("idx", F.lit(None).cast("long").alias("gid"), F.lit("cover").alias("rule"), "i")
-    unknown = groups.join(gapped.select("idx", "i"), ["idx", "i"], "left_anti").select("idx", "gid", F.lit("cover").alias("rule"), "i")
-    rows = groups.join(gapped, ["idx", "i"])
+    unknown = groups.join(gapped.select("idx", "i").hint("merge"), ["idx", "i"], "left_anti").select("idx", "gid", F.lit("cover").alias("rule"), "i")
+    rows = group_rows(groups, gapped)
     w = Window.partitionBy("idx", "gid").orderBy("pos")
     rows = rows.withColumn("next_i", F.lead("i").over(w)).withColumn("start0", F.first("start_ms").over(w))
     inner = rows.where("next_i is not null")
@@ -151,7 +154,7 @@ def apply_splits(groups: DataFrame, *splits: DataFrame) -> DataFrame:
         parts = parts.groupBy("idx", "gid").agg(F.sort_array(F.collect_list(F.struct("part", "p"))).alias("ps"))
         parts = parts.select("idx", "gid", F.transform("ps", lambda x: F.transform(x["p"], lambda y: y["i"])).alias("new"))
         fits = F.col("new").isNotNull() & (F.flatten("new") == F.col("members")) & ~F.exists("new", lambda x: F.size(x) == 0)
-        chosen = chosen.join(parts, ["idx", "gid"], "left").withColumn("source", F.when(fits, F.lit(f"split{len(splits) - k}")).otherwise(F.col("source")))
+        chosen = chosen.join(parts.hint("merge"), ["idx", "gid"], "left").withColumn("source", F.when(fits, F.lit(f"split{len(splits) - k}")).otherwise(F.col("source")))
         chosen = chosen.withColumn("parts", F.when(fits, F.col("new")).otherwise(F.col("parts"))).drop("new")
     rows = chosen.select("idx", "source", F.explode("parts").alias("part")).select("idx", "source", F.posexplode("part").alias("pos", "i"))
     rows = Scratch(groups.sparkSession, "splits").write(rows.withColumn("pos", F.col("pos").cast("long")), "rows")  # numbering reads it twice

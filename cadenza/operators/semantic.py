@@ -129,5 +129,5 @@ def as_splits(found: DataFrame, packed: DataFrame) -> DataFrame:
 
     Where a model's group goes beyond a packed one, its members there are a part of their own.
     """
-    rows = packed.select("idx", "gid", F.col("pos").alias("place"), "i").join(found.select("idx", "i", "head"), ["idx", "i"])
+    rows = packed.select("idx", "gid", F.col("pos").alias("place"), "i").join(found.select("idx", "i", "head").hint("merge"), ["idx", "i"])
     return rows.select("idx", "gid", F.col("head").alias("part"), F.col("place").alias("pos"), "i")

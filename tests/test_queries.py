@@ -112,3 +112,22 @@ def test_splits_are_made_once(spark):
     """The result numbers written rows: it reads these and the table of buckets, and gathers no group again."""
     plan = queries()["split_override"](spark, DATA)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Scan parquet") <= 2 and "Aggregate" not in plan
+
+
+@pytest.mark.parametrize("name", ["segment_gaps", "vad_coalesce", "greedy_groups", "group_review", "group_validation", "split_override", "pad_clip", "manifest", "forced_ends", "manifest_check", "token_gaps"])
+def test_no_table_that_grows_is_broadcast(spark, monkeypatch, name):
+    """Whatever the files of written tables weigh: neither tables of buckets nor members, on the way or in the result."""
+    from cadenza.sources.scratch import Scratch
+
+    plans, write = [], Scratch.write
+
+    def plan(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+
+    def noted(self, df, table):
+        plan(df)
+        return write(self, df, table)
+
+    monkeypatch.setattr(Scratch, "write", noted)
+    plan(queries()[name](spark, DATA))
+    assert len(plans) > 1 and "SortMergeJoin" in plans[-1] and not any("Broadcast" in p for p in plans)

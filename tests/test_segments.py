@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from cadenza.functions import ordered
@@ -202,3 +203,12 @@ def test_pressed_pauses(spark):
 def test_sids_of_many_episodes_differ(spark):
     utts = spark.createDataFrame([(x, 0, 1, 0, 0, 0, 900) for x in (1, 100, 1000, 1001)], "idx long, gid long, n_segs long, first_i long, last_i long, start_ms long, end_ms long")
     assert sorted(r["sid"] for r in export.manifest(utts).collect()) == ["s001_0001", "s1000_0001", "s1001_0001", "s100_0001"]
+
+
+def test_buckets_meet_rows_where_these_are(spark):
+    """The rows are dealt once, for the windows; pairs of keys with nulls meet their buckets."""
+    rows = [(a, b, t) for a in (1, None) for b in ("x", None) for t in range(10)]
+    out = ordered.ranked(spark.createDataFrame(rows, "a long, b string, t long"), ["a", "b"], ["t"], F.expr("t div 3"), "r")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2 and "Broadcast" not in plan
+    assert sorted(map(str, out.collect())) == sorted(str(Row(a=a, b=b, t=t, r=t + 1)) for a, b, t in rows)
